@@ -121,3 +121,104 @@ def q_classification_report(spark, sf):
           f"SELECT * FROM ({_report_sql()}) WHERE row_order >= {K}")
 def q_weighted_sample_average(spark, sf):
     return ev.averages(B.frame_l(spark, sf), 0.5, "gt")
+
+
+# --- E12-E19 ---------------------------------------------------------------------
+
+from ..operators import analysis as an  # noqa: E402
+
+TS = list(an.DEFAULT_THRESHOLDS)
+L_NAME_ARRAY = "[" + ", ".join(O.q(n) for n in L_NAMES) + "]"
+
+
+@register("threshold_sweep",
+          f"WITH {O.frame_l_sql()}, {O.sweep_sql(K, TS)} SELECT * FROM sw")
+def q_threshold_sweep(spark, sf):
+    return an.threshold_sweep(B.frame_l(spark, sf), TS, "gt")
+
+
+@register("best_threshold",
+          f"WITH {O.frame_l_sql()}, {O.sweep_sql(K, TS)} "
+          "SELECT t_idx, threshold, macro_f1 FROM sw ORDER BY macro_f1 DESC, t_idx ASC LIMIT 1")
+def q_best_threshold(spark, sf):
+    return an.best_threshold(an.threshold_sweep(B.frame_l(spark, sf), TS, "gt"))
+
+
+def _per_label_report_sql() -> str:
+    metrics = _labels_union(O.label_metric_exprs, ev.PER_LABEL_COLUMNS)
+    dic = ", ".join(f"({i}, {O.q(B.L_EN[n])}, {O.q(B.L_DESCRIPTIONS[n])})" for i, n in enumerate(L_NAMES))
+    return (f"WITH {O.frame_l_sql()}, {O.counts_sql(K)}, {O.auc_sql(K)}, m AS ({metrics}), "
+            f"dic AS (SELECT * FROM (VALUES {dic}) AS t(label_idx, label_en, description)) "
+            "SELECT m.*, coalesce(a.auc, 0.5::DOUBLE) AS auc, dic.label_en, dic.description, "
+            "row_number() OVER (ORDER BY m.f1 DESC, m.label_idx) AS rank "
+            "FROM m JOIN auc a USING (label_idx) JOIN dic USING (label_idx)")
+
+
+@register("per_label_report", _per_label_report_sql())
+def q_per_label_report(spark, sf):
+    return an.per_label_report(B.frame_l(spark, sf), 0.5, "gt")
+
+
+def _distribution_sql(truth: bool) -> str:
+    bits = [f"y{i}" if truth else f"CAST({O.pred(i, 0.5)} AS INTEGER)" for i in range(K)]
+    card = O.fsum(bits)
+    cnts = ", ".join(f"CAST(sum({b}) AS BIGINT) AS c_{i}" for i, b in enumerate(bits))
+    head = (f"WITH {O.frame_l_sql()}, s AS (SELECT CAST(count(*) AS BIGINT) AS n, sum({card}) AS card_sum, "
+            f"max({card}) AS card_max, CAST(count_if({card} = 0) AS BIGINT) AS none, "
+            f"CAST(count_if({card} > 1) AS BIGINT) AS several, {cnts} FROM l) ")
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS label_idx, {O.q(n)} AS label, c_{i} AS predicted_count, n AS total_samples, "
+        f"{O.sdiv('card_sum', 'n')} AS avg_labels_per_sample, CAST(card_max AS BIGINT) AS max_labels_per_sample, "
+        "none AS samples_with_no_labels, several AS samples_with_multiple_labels FROM s"
+        for i, n in enumerate(L_NAMES))
+    return head + rows
+
+
+@register("prediction_distribution", _distribution_sql(False))
+def q_prediction_distribution(spark, sf):
+    return an.prediction_distribution(B.frame_l(spark, sf), 0.5, "gt")
+
+
+def _combinations_sql(truth: bool, top: int = 10) -> str:
+    bits = [f"y{i}" if truth else f"CAST({O.pred(i, 0.5)} AS INTEGER)" for i in range(K)]
+    vec = "concat_ws(',', " + ", ".join(f"CAST({b} AS VARCHAR)" for b in bits) + ")"
+    names = O.names_of(L_NAMES, [f"CAST(string_split(vector, ',')[{i + 1}] AS INTEGER)" for i in range(K)],
+                       "clean")
+    return (f"WITH {O.frame_l_sql()}, g AS (SELECT {vec} AS vector, CAST(count(*) AS BIGINT) AS count "
+            "FROM l GROUP BY 1), tot AS (SELECT CAST(sum(count) AS BIGINT) AS n FROM g), "
+            "r AS (SELECT row_number() OVER (ORDER BY count DESC, vector DESC) AS rank, vector, count FROM g) "
+            f"SELECT rank, {names} AS labels, vector, count, CAST(count AS DOUBLE) / CAST(n AS DOUBLE) * 100.0::DOUBLE "
+            f"AS percentage FROM r CROSS JOIN tot WHERE rank <= {top}")
+
+
+@register("top_label_combinations", _combinations_sql(False))
+def q_top_label_combinations(spark, sf):
+    return an.label_combinations(B.frame_l(spark, sf), 0.5, "gt", 10)
+
+
+def _hard_sql(n: int = 20) -> str:
+    conf = f"({O.fsum([f'abs(p{i} - 0.5::DOUBLE)' for i in range(K)])} / {O.d(K)})"
+    correct = " AND ".join(f"(CAST({O.pred(i, 0.5)} AS INTEGER) = y{i})" for i in range(K))
+    keys = ", ".join(B.L_KEYS)
+    order = "hardness DESC, " + ", ".join(f"{c} DESC" for c in B.L_KEYS)
+    true_names = O.names_of(L_NAMES, [f"y{i}" for i in range(K)], "clean")
+    pred_names = O.names_of(L_NAMES, [f"CAST({O.pred(i, 0.5)} AS INTEGER)" for i in range(K)], "clean")
+    probs = ", ".join(f"p{i} AS prob_{i}" for i in range(K))
+    return (f"WITH {O.frame_l_sql()}, hx AS (SELECT *, {conf} AS confidence, CAST({correct} AS INTEGER) AS is_correct "
+            "FROM l), hy AS (SELECT *, round((1.0::DOUBLE - confidence) * 0.5::DOUBLE + CASE WHEN is_correct = 1 "
+            "THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END, 12) AS hardness FROM hx) "
+            f"SELECT row_number() OVER (ORDER BY {order}) AS rank, {keys}, {true_names} AS true_labels, "
+            f"{pred_names} AS predicted_labels, round(confidence, 12) AS confidence, is_correct, hardness, {probs} "
+            f"FROM hy ORDER BY {order} LIMIT {n}")
+
+
+@register("hard_examples", _hard_sql())
+def q_hard_examples(spark, sf):
+    return an.hard_examples(B.frame_l(spark, sf), 20)
+
+
+@register("score_histogram",
+          f"WITH {O.frame_l_sql()}, {O.hist_sql(K, 50)} SELECT label_idx, "
+          f"{L_NAME_ARRAY}[label_idx + 1] AS label, bin, bin_lo, bin_hi, count FROM hist")
+def q_score_histogram(spark, sf):
+    return an.score_histogram(B.frame_l(spark, sf), 50)

@@ -143,3 +143,58 @@ def auc_sql(k: int, src: str = "l") -> str:
             "CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN "
             "CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / (2.0::DOUBLE * sum(pos) * sum(neg)) END AS auc "
             "FROM rk GROUP BY label_idx)")
+
+
+def thresholds_sql(ts) -> str:
+    rows = ", ".join(f"({j}, {d(t)})" for j, t in enumerate(ts))
+    return f"th AS (SELECT * FROM (VALUES {rows}) AS t(t_idx, threshold))"
+
+
+def sweep_sql(k: int, ts, op: str = "gt", src: str = "l") -> str:
+    """CTE ``sw``: per threshold exact match, macro P/R/F1, Hamming (cross join)."""
+    sign = ">" if op == "gt" else ">="
+    parts = ["CAST(count(*) AS BIGINT) AS n"]
+    for i in range(k):
+        h = f"(p{i} {sign} threshold)"
+        parts += [f"CAST(count_if({h} AND y{i} = 1) AS BIGINT) AS tp_{i}",
+                  f"CAST(count_if({h} AND y{i} = 0) AS BIGINT) AS fp_{i}",
+                  f"CAST(count_if(NOT {h} AND y{i} = 1) AS BIGINT) AS fn_{i}"]
+    exact = " AND ".join(f"(CAST((p{i} {sign} threshold) AS INTEGER) = y{i})" for i in range(k))
+    parts.append(f"CAST(count_if({exact}) AS BIGINT) AS exact")
+    ov = overall_exprs(k)
+    cols = ", ".join(f"{ov[m]} AS {m}" for m in ("macro_precision", "macro_recall", "macro_f1",
+                                                 "hamming_loss"))
+    return (f"{thresholds_sql(ts)}, swc AS (SELECT t_idx, threshold, {', '.join(parts)} "
+            f"FROM {src} CROSS JOIN th GROUP BY t_idx, threshold), "
+            f"sw AS (SELECT t_idx, threshold, {sdiv('exact', 'n')} AS exact_match_accuracy, {cols} FROM swc)")
+
+
+def names_of(names, bit_exprs, empty_as=None) -> str:
+    parts = ", ".join(f"CASE WHEN {b} = 1 THEN {q(n)} END" for n, b in zip(names, bit_exprs))
+    s = f"concat_ws(',', {parts})"
+    if empty_as is None:
+        return s
+    return f"(CASE WHEN {s} = '' THEN {q(empty_as)} ELSE {s} END)"
+
+
+def hist_sql(k: int, bins: int, src: str = "l") -> str:
+    cells = " UNION ALL ".join(f"SELECT {i} AS label_idx, p{i} AS p FROM {src}" for i in range(k))
+    b = d(bins)
+    e = lambda j: f"(CASE WHEN {j} = {bins} THEN hi2 ELSE CAST({j} AS DOUBLE) * step + lo2 END)"
+    return (
+        f"hc AS ({cells}), "
+        "hr AS (SELECT label_idx, min(p) AS lo, max(p) AS hi FROM hc GROUP BY label_idx), "
+        "hr2 AS (SELECT label_idx, CASE WHEN lo = hi THEN lo - 0.5::DOUBLE ELSE lo END AS lo2, "
+        "CASE WHEN lo = hi THEN hi + 0.5::DOUBLE ELSE hi END AS hi2 FROM hr), "
+        f"hr3 AS (SELECT *, (hi2 - lo2) / {b} AS step, {b} / (hi2 - lo2) AS norm FROM hr2), "
+        "hb0 AS (SELECT c.label_idx, c.p, r.lo2, r.hi2, r.step, "
+        f"CASE WHEN CAST(floor((c.p - r.lo2) * r.norm) AS INTEGER) = {bins} THEN {bins - 1} "
+        "ELSE CAST(floor((c.p - r.lo2) * r.norm) AS INTEGER) END AS i0 FROM hc c JOIN hr3 r USING (label_idx)), "
+        f"hb1 AS (SELECT *, CASE WHEN p < {e('i0')} THEN i0 - 1 ELSE i0 END AS i1 FROM hb0), "
+        f"hb2 AS (SELECT label_idx, CASE WHEN p >= {e('i1 + 1')} AND i1 <> {bins - 1} THEN i1 + 1 ELSE i1 END AS bin FROM hb1), "
+        "hcnt AS (SELECT label_idx, bin, count(*) AS cnt FROM hb2 GROUP BY label_idx, bin), "
+        f"hgrid AS (SELECT r.label_idx, r.lo2, r.hi2, r.step, g.bin FROM hr3 r CROSS JOIN range(0, {bins}) AS g(bin)), "
+        "hist AS (SELECT g.label_idx, CAST(g.bin AS INTEGER) AS bin, CAST(g.bin AS DOUBLE) * g.step + g.lo2 AS bin_lo, "
+        f"CASE WHEN g.bin = {bins - 1} THEN g.hi2 ELSE CAST(g.bin + 1 AS DOUBLE) * g.step + g.lo2 END AS bin_hi, "
+        "CAST(coalesce(c.cnt, 0) AS BIGINT) AS count FROM hgrid g LEFT JOIN hcnt c "
+        "ON c.label_idx = g.label_idx AND c.bin = g.bin)")
