@@ -132,3 +132,37 @@ def frame_h_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = F.create_map(*[x for k, v in RUN_METRICS.items() for x in (F.lit(k), F.lit(v))])
     return ev.select(F.col("user_id").alias("run_id"), "ts", "event_id",
                      metric[F.col("event_type")].alias("metric"), "value")
+
+
+# --- frame V model: class centroids as a linear head ------------------------
+
+CENTROID_SCALE = 10.0  # logits = 10 * (x . c_k - |c_k|^2 / 2)
+
+
+def centroid_head(spark: SparkSession, sf_dir: str) -> tuple:
+    """(weights K x d, bias K) from the class centroids of ``embeddings``.
+
+    The centroids are one distributed aggregate (groupBy(label, dim), partial
+    in the scan tasks); only the K x d result reaches the driver, as a
+    model's parameters do.
+    """
+    emb = read_table(spark, sf_dir, "embeddings")
+    cells = emb.select("label", F.posexplode("embedding").alias("dim", "x"))
+    cent = cells.groupBy("label", "dim").agg(F.avg(F.col("x").cast("double")).alias("w"))
+    rows = cent.collect()
+    k = 10
+    d = max(r["dim"] for r in rows) + 1
+    w = [[0.0] * d for _ in range(k)]
+    for r in rows:
+        w[r["label"]][r["dim"]] = r["w"]
+    weights = [[CENTROID_SCALE * v for v in wk] for wk in w]
+    bias = [-CENTROID_SCALE * 0.5 * sum(v * v for v in wk) for wk in w]
+    return weights, bias
+
+
+# --- frame H: run log with a global step --------------------------------------
+
+def frame_h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, step, ts, metric, value): step = event_id, which grows with ts."""
+    return frame_h_events(spark, sf_dir).select(
+        "run_id", F.col("event_id").alias("step"), "ts", "metric", "value")

@@ -222,3 +222,171 @@ def q_hard_examples(spark, sf):
           f"{L_NAME_ARRAY}[label_idx + 1] AS label, bin, bin_lo, bin_hi, count FROM hist")
 def q_score_histogram(spark, sf):
     return an.score_histogram(B.frame_l(spark, sf), 50)
+
+
+# --- C1-C7, B1-B12 ------------------------------------------------------------------
+
+from ..operators import corpus as cp  # noqa: E402
+from ..operators import runs as rn  # noqa: E402
+from ..operators import scoring as sc  # noqa: E402
+from ..operators.frame import EvalFrame, from_wide  # noqa: E402
+
+D_NAMES = list(B.D_LABELS)
+U_NAMES = list(B.U_LABELS)
+SPLIT_SQL = "CASE WHEN {k} % 5 = 0 THEN 'valid' ELSE 'train' END"
+D_SQL = ("d AS (SELECT doc_id, " + SPLIT_SQL.format(k="doc_id") + " AS split, text, "
+         "CAST(quality AS INTEGER) AS quality, CAST(toxic AS INTEGER) AS toxic "
+         "FROM documents JOIN labels USING (doc_id))")
+U_SQL = ("u AS (SELECT user_id, CAST(ts AS DATE) AS day, " + SPLIT_SQL.format(k="user_id") + " AS split, "
+         + ", ".join(f"max(CAST(event_type = {O.q(n)} AS INTEGER)) AS {n}" for n in U_NAMES)
+         + " FROM events GROUP BY user_id, CAST(ts AS DATE))")
+
+
+def _stats_sql(src: str, names: list) -> str:
+    card = O.fsum([f"{n}" for n in names])
+    cnts = ", ".join(f"CAST(sum({n}) AS BIGINT) AS c_{i}" for i, n in enumerate(names))
+    return (f"st AS (SELECT CASE WHEN grouping(split) = 1 THEN 'all' ELSE split END AS split, "
+            f"CAST(count(*) AS BIGINT) AS n, sum({card}) AS card_sum, max({card}) AS card_max, "
+            f"CAST(count_if({card} = 0) AS BIGINT) AS none, CAST(count_if({card} > 1) AS BIGINT) AS several, "
+            f"{cnts} FROM {src} GROUP BY ROLLUP (split))")
+
+
+SPLIT_COLS_SQL = ("split, n AS total_samples, " + O.sdiv("card_sum", "n") + " AS avg_labels_per_sample, "
+                  "CAST(card_max AS BIGINT) AS max_labels_per_sample, none AS samples_with_no_labels, "
+                  "several AS samples_with_multiple_labels")
+
+
+def _label_rows_sql(names: list, with_split_cols: bool) -> str:
+    head = SPLIT_COLS_SQL if with_split_cols else "split"
+    return " UNION ALL ".join(
+        f"SELECT {head}, {i} AS label_idx, {O.q(n)} AS label, c_{i} AS count, "
+        f"{O.sdiv(f'c_{i}', 'n')} * 100.0::DOUBLE AS percentage FROM st"
+        for i, n in enumerate(names))
+
+
+@register("label_distribution", f"WITH {D_SQL}, {_stats_sql('d', D_NAMES)} {_label_rows_sql(D_NAMES, False)}")
+def q_label_distribution(spark, sf):
+    return cp.label_distribution(B.frame_d(spark, sf), B.d_dictionary(), "split")
+
+
+@register("cardinality_stats", f"WITH {U_SQL}, {_stats_sql('u', U_NAMES)} SELECT {SPLIT_COLS_SQL} FROM st")
+def q_cardinality_stats(spark, sf):
+    return cp.cardinality_stats(B.frame_u(spark, sf), B.u_dictionary(), "split")
+
+
+@register("dataset_statistics", f"WITH {D_SQL}, {_stats_sql('d', D_NAMES)} {_label_rows_sql(D_NAMES, True)}")
+def q_dataset_statistics(spark, sf):
+    return cp.dataset_statistics(B.frame_d(spark, sf), B.d_dictionary(), "split")
+
+
+@register("events_dataset_statistics",
+          f"WITH {U_SQL}, {_stats_sql('u', U_NAMES)} {_label_rows_sql(U_NAMES, True)}")
+def q_events_dataset_statistics(spark, sf):
+    return cp.dataset_statistics(B.frame_u(spark, sf), B.u_dictionary(), "split")
+
+
+def _weights_sql(method: str, names: list, src: str) -> str:
+    k = len(names)
+    head = (f"cw AS (SELECT CAST(count(*) AS BIGINT) AS n, "
+            + ", ".join(f"CAST(coalesce(sum({n}), 0) AS BIGINT) AS c_{i}" for i, n in enumerate(names))
+            + f" FROM {src})")
+    rows = []
+    raw = [f"(1.0::DOUBLE / ({O.sdiv(f'c_{i}', 'n')} + {O.d(cp.INVERSE_FREQUENCY_EPS)}))" for i in range(k)]
+    for i, n in enumerate(names):
+        pos, neg = f"c_{i}", f"(n - c_{i})"
+        if method == "neg_pos":
+            qv, rv = f"(({neg} * 1000) // {pos})", f"(({neg} * 1000) % {pos})"
+            w = (f"CASE WHEN {pos} = 0 THEN 1.0::DOUBLE ELSE CAST(CASE WHEN 2 * {rv} > {pos} THEN {qv} + 1 "
+                 f"WHEN 2 * {rv} = {pos} AND {qv} % 2 = 1 THEN {qv} + 1 ELSE {qv} END AS DOUBLE) / 1000.0::DOUBLE END")
+        elif method == "balanced":
+            w = f"CASE WHEN {pos} = 0 THEN 1.0::DOUBLE ELSE CAST({neg} AS DOUBLE) / CAST({pos} AS DOUBLE) END"
+        elif method == "inverse_frequency":
+            w = f"{raw[i]} / {O.fsum(raw)} * {O.d(k)}"
+        else:
+            w = "1.0::DOUBLE"
+        cond = f" WHERE {pos} > 0" if method == "neg_pos" else ""
+        rows.append(f"SELECT {i} AS label_idx, {O.q(n)} AS label, {pos} AS n_pos, CAST({neg} AS BIGINT) AS n_neg, "
+                    f"{w} AS pos_weight FROM cw{cond}")
+    return head + " " + " UNION ALL ".join(rows)
+
+
+for _m in ("neg_pos", "balanced", "inverse_frequency", "none"):
+    def _mk(method):
+        def fn(spark, sf):
+            return cp.class_weights(B.frame_u(spark, sf), B.u_dictionary(), method)
+        return fn
+    register(f"class_weights_{_m}", f"WITH {U_SQL}, {_weights_sql(_m, U_NAMES, 'u')}")(_mk(_m))
+
+
+@register("truth_label_combinations",
+          f"WITH {U_SQL}, g AS (SELECT concat_ws(',', " + ", ".join(f"CAST({n} AS VARCHAR)" for n in U_NAMES)
+          + ") AS vector, CAST(count(*) AS BIGINT) AS count FROM u GROUP BY 1), "
+          "tot AS (SELECT CAST(sum(count) AS BIGINT) AS n FROM g), "
+          "r AS (SELECT row_number() OVER (ORDER BY count DESC, vector DESC) AS rank, vector, count FROM g) "
+          "SELECT rank, " + O.names_of(U_NAMES, [f"CAST(string_split(vector, ',')[{i + 1}] AS INTEGER)"
+                                                 for i in range(len(U_NAMES))], "clean")
+          + " AS labels, vector, count, CAST(count AS DOUBLE) / CAST(n AS DOUBLE) * 100.0::DOUBLE AS percentage "
+          "FROM r CROSS JOIN tot WHERE rank <= 10")
+def q_truth_label_combinations(spark, sf):
+    u = B.frame_u(spark, sf)
+    ef = from_wide(u, ["user_id", "day"], B.u_dictionary(), truth_cols=U_NAMES)
+    return an.label_combinations(ef, top=10, truth=True)
+
+
+def _flatten_sql() -> str:
+    ov = O.overall_exprs(K)
+    names = list(ov) + ["macro_auc"]
+    auc_fill = O.fsum([f"(SELECT coalesce(auc, 0.5::DOUBLE) FROM auc WHERE label_idx = {i})" for i in range(K)])
+    cols = ", ".join(f"{e} AS {n}" for n, e in ov.items())
+    rows = [f"SELECT 'eval_overall_{n}' AS name, CAST({n} AS DOUBLE) AS value FROM o" for n in names]
+    rows += [f"SELECT 'eval_avg_{m}' AS name, round({O.macro(m, K)}, 9) AS value FROM c"
+             for m in ("precision", "recall", "f1")]
+    return (f"WITH {O.frame_l_sql()}, {O.counts_sql(K)}, {O.auc_sql(K)}, "
+            f"o AS (SELECT {cols}, {auc_fill} / {O.d(K)} AS macro_auc FROM c) " + " UNION ALL ".join(rows))
+
+
+@register("flatten_metrics", _flatten_sql())
+def q_flatten_metrics(spark, sf):
+    ef = B.frame_l(spark, sf)
+    return cp.flatten_metrics(ev.overall_metrics(ef), ev.per_label_metrics(ef), prefix="eval_")
+
+
+@register("normalize_labels",
+          "SELECT doc_id, text, CAST(quality AS INTEGER) AS quality, CAST(toxic AS INTEGER) AS toxic, "
+          "0 AS spam FROM documents JOIN labels USING (doc_id)")
+def q_normalize_labels(spark, sf):
+    from ..functions.dictionary import make_dictionary
+    raw = (spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("text").alias("body"))
+           .join(spark.read.parquet(f"{sf}/labels.parquet")
+                 .select("doc_id", "quality", F.col("toxic").alias("is_toxic")), "doc_id"))
+    dic = make_dictionary(["quality", "toxic", "spam"], aliases={"toxic": ["is_toxic"]})
+    assert cp.detect_labels(raw.withColumn("spam", F.lit(0)), dic)
+    return cp.normalize_labels(raw, dic, text_col="body", keep=["doc_id"])
+
+
+@register("take_prefix",
+          f"WITH {D_SQL} (SELECT * FROM d WHERE split = 'train' ORDER BY doc_id LIMIT 100) "
+          "UNION ALL (SELECT * FROM d WHERE split = 'valid' ORDER BY doc_id LIMIT 20)")
+def q_take_prefix(spark, sf):
+    return cp.take_prefix(B.frame_d(spark, sf), 100, "doc_id")
+
+
+@register("shuffle_rows",
+          f"WITH {D_SQL} SELECT doc_id, split, CAST(('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), "
+          "'42', '1')), 1, 8)) AS BIGINT) AS shuffle_key FROM d")
+def q_shuffle_rows(spark, sf):
+    d = B.frame_d(spark, sf).select("doc_id", "split")
+    return cp.shuffle_rows(d, "doc_id", seed=42, epoch=1, portable=True)
+
+
+@register("validate_requests",
+          "WITH r AS (SELECT doc_id, text, CAST(doc_id % 12 AS DOUBLE) / 10.0::DOUBLE AS threshold FROM documents) "
+          "SELECT doc_id, threshold, CAST(length(text) AS INTEGER) AS n_chars, CASE WHEN text IS NULL THEN 'text_missing' "
+          "WHEN length(text) < 1 THEN 'text_too_short' WHEN length(text) > 4000 THEN 'text_too_long' "
+          "WHEN regexp_matches(text, '^\\s*$') THEN 'text_blank' "
+          "WHEN threshold < 0.0::DOUBLE OR threshold > 1.0::DOUBLE THEN 'threshold_out_of_range' END AS reason FROM r")
+def q_validate_requests(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(
+        "doc_id", "text", ((F.col("doc_id") % 12).cast("double") / F.lit(10.0)).alias("threshold"))
+    v = cp.validate_requests(docs)
+    return v.select("doc_id", "threshold", F.length("text").alias("n_chars"), "reason")
