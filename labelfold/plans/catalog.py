@@ -390,3 +390,236 @@ def q_validate_requests(spark, sf):
         "doc_id", "text", ((F.col("doc_id") % 12).cast("double") / F.lit(10.0)).alias("threshold"))
     v = cp.validate_requests(docs)
     return v.select("doc_id", "threshold", F.length("text").alias("n_chars"), "reason")
+
+
+# --- D3, D4, D11: scoring on frame V --------------------------------------------------
+
+V_NAMES = [f"class_{i}" for i in range(10)]
+SCORE_ROUND = 6
+CENT_SQL = ("e AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(generate_series(0, len(embedding) - 1)) AS dim "
+            "FROM embeddings), cent AS (SELECT label AS k, dim, avg(CAST(x AS DOUBLE)) AS w FROM e GROUP BY label, dim), "
+            f"bias AS (SELECT k, -{B.CENTROID_SCALE * 0.5!r}::DOUBLE * sum(w * w) AS b FROM cent GROUP BY k), "
+            f"lg AS (SELECT e.vec_id, c.k AS label_idx, sum(CAST(e.x AS DOUBLE) * ({B.CENTROID_SCALE!r}::DOUBLE * c.w)) "
+            "AS dotp FROM e JOIN cent c ON e.dim = c.dim GROUP BY e.vec_id, c.k), "
+            "sv AS (SELECT lg.vec_id, lg.label_idx, lg.dotp + bias.b AS z, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(lg.dotp + bias.b))) "
+            "AS p FROM lg JOIN bias ON bias.k = lg.label_idx)")
+
+
+def _scored_v(spark, sf):
+    weights, bias = B.centroid_head(spark, sf)
+    v = B.frame_v(spark, sf)
+    z = sc.linear_head(v, weights, bias, "features", "logit")
+    return sc.probabilities(z, 10, "logit", "score")
+
+
+@register("linear_head_scores",
+          f"WITH {CENT_SQL} SELECT vec_id, label_idx, round(z, {SCORE_ROUND}) AS logit, "
+          f"round(p, {SCORE_ROUND}) AS probability FROM sv")
+def q_linear_head_scores(spark, sf):
+    s = _scored_v(spark, sf)
+    cells = F.array(*[F.struct(F.lit(i).alias("label_idx"), F.col("logit")[i].alias("z"),
+                               F.col("score")[i].alias("p")) for i in range(10)])
+    return s.select("vec_id", F.inline(cells)).select(
+        "vec_id", "label_idx", F.round("z", SCORE_ROUND).alias("logit"),
+        F.round("p", SCORE_ROUND).alias("probability"))
+
+
+@register("score_batch",
+          f"WITH {CENT_SQL}, nm AS (SELECT * FROM (VALUES "
+          + ", ".join(f"({i}, {O.q(n)})" for i, n in enumerate(V_NAMES))
+          + ") AS t(label_idx, name)) SELECT sv.vec_id, arg_max(nm.name, sv.p) AS top_label, "
+          f"round(max(sv.p), {SCORE_ROUND}) AS top_probability, coalesce(string_agg(nm.name, ',' ORDER BY sv.label_idx) "
+          "FILTER (WHERE sv.p >= 0.5::DOUBLE), '') AS predicted, CAST(count_if(sv.p >= 0.5::DOUBLE) AS INTEGER) AS n_predicted "
+          "FROM sv JOIN nm USING (label_idx) GROUP BY sv.vec_id")
+def q_score_batch(spark, sf):
+    s = sc.score_batch(_scored_v(spark, sf), V_NAMES, 0.5, "ge")
+    picked = F.filter("labels", lambda x: x["predicted"])
+    return s.select("vec_id", F.col("top.name").alias("top_label"),
+                    F.round("top.probability", SCORE_ROUND).alias("top_probability"),
+                    F.array_join(F.transform(picked, lambda x: x["name"]), ",").alias("predicted"),
+                    F.size(picked).alias("n_predicted"))
+
+
+# --- D5-D8, E11: losses on frame L logits ---------------------------------------------
+
+def _loss_sql(kinds) -> str:
+    k = K
+    cells = " UNION ALL ".join(
+        f"SELECT {i} AS label_idx, y{i} AS y, (p{i} - 0.5::DOUBLE) * 6.0::DOUBLE AS z FROM l" for i in range(k))
+    wrows = []
+    for i in range(k):
+        pos, neg = f"c_{i}", f"(n - c_{i})"
+        qv, rv = f"(({neg} * 1000) // {pos})", f"(({neg} * 1000) % {pos})"
+        w = (f"CASE WHEN {pos} = 0 THEN 1.0::DOUBLE ELSE CAST(CASE WHEN 2 * {rv} > {pos} THEN {qv} + 1 "
+             f"WHEN 2 * {rv} = {pos} AND {qv} % 2 = 1 THEN {qv} + 1 ELSE {qv} END AS DOUBLE) / 1000.0::DOUBLE END")
+        wrows.append(f"SELECT {i} AS label_idx, {w} AS pw FROM cwl")
+    bce = "((1.0::DOUBLE - y) * z + (ln(1.0::DOUBLE + exp(-abs(z))) + greatest(-z, 0.0::DOUBLE)))"
+    lw = "((pw - 1.0::DOUBLE) * y + 1.0::DOUBLE)"
+    wbce = f"((1.0::DOUBLE - y) * z + {lw} * (ln(1.0::DOUBLE + exp(-abs(z))) + greatest(-z, 0.0::DOUBLE)))"
+    pr = "(1.0::DOUBLE / (1.0::DOUBLE + exp(-z)))"
+    pt = f"({pr} * y + (1.0::DOUBLE - {pr}) * (1.0::DOUBLE - y))"
+    focal = f"(1.0::DOUBLE * pow(1.0::DOUBLE - {pt}, 2.0::DOUBLE) * {bce})"
+    exprs = {"bce": bce, "weighted_bce": wbce, "focal": focal}
+    rows = " UNION ALL ".join(
+        f"SELECT {O.q(kd)} AS kind, round(CAST(s_{kd} AS DOUBLE) / n, {sc.LOSS_ROUND}) AS mean, "
+        f"round(CAST(s_{kd} AS DOUBLE), {sc.LOSS_ROUND}) AS sum, n FROM agg" for kd in kinds)
+    sums = ", ".join(f"sum(CAST({exprs[kd]} AS DECIMAL(38,18))) AS s_{kd}" for kd in kinds)
+    return (f"WITH {O.frame_l_sql()}, cwl AS (SELECT CAST(count(*) AS BIGINT) AS n, "
+            + ", ".join(f"CAST(sum(y{i}) AS BIGINT) AS c_{i}" for i in range(k)) + " FROM l), "
+            f"w AS ({' UNION ALL '.join(wrows)}), cl AS ({cells}), "
+            "cz AS (SELECT cl.label_idx, CAST(cl.y AS DOUBLE) AS y, cl.z, coalesce(w.pw, 1.0::DOUBLE) AS pw "
+            "FROM cl LEFT JOIN w USING (label_idx)), "
+            f"agg AS (SELECT CAST(count(*) AS BIGINT) AS n, {sums} FROM cz) {rows}")
+
+
+def _loss_query(kinds):
+    def fn(spark, sf):
+        ef = B.frame_l_logits(spark, sf)
+        wide = ef.df.select(*[F.col("y_true")[i].alias(n) for i, n in enumerate(L_NAMES)])
+        pw = cp.class_weights(wide, ef.labels, "neg_pos")
+        return sc.loss_summary(ef, kinds, "logit", pw)
+    return fn
+
+
+register("bce_loss", _loss_sql(["bce"]))(_loss_query(["bce"]))
+register("weighted_bce_loss", _loss_sql(["weighted_bce"]))(_loss_query(["weighted_bce"]))
+register("focal_loss", _loss_sql(["focal"]))(_loss_query(["focal"]))
+register("evaluation_loss", _loss_sql(list(sc.LOSS_KINDS)))(_loss_query(list(sc.LOSS_KINDS)))
+
+
+# --- F1-F5 and G2 batch: run logs from events ----------------------------------------------
+
+H_SQL = ("h AS (SELECT user_id AS run_id, event_id AS step, ts, CASE event_type "
+         + " ".join(f"WHEN {O.q(a)} THEN {O.q(b)}" for a, b in B.RUN_METRICS.items())
+         + " END AS metric, value FROM events)")
+
+
+def _best_sql(metric: str, mode: str) -> str:
+    agg = "max" if mode == "max" else "min"
+    return (f"WITH {H_SQL}, s AS (SELECT run_id, step, value FROM h WHERE metric = {O.q(metric)}), "
+            f"b AS (SELECT run_id, {agg}(value) AS best_value, CAST(count(*) AS BIGINT) AS n_values FROM s GROUP BY run_id), "
+            "bs AS (SELECT s.run_id, min(s.step) AS best_step FROM s JOIN b USING (run_id) "
+            "WHERE s.value = b.best_value GROUP BY s.run_id), "
+            "bp AS (SELECT s.run_id, CAST(count_if(s.step < bs.best_step) AS BIGINT) AS best_position "
+            "FROM s JOIN bs USING (run_id) GROUP BY s.run_id) "
+            f"SELECT run_id, {O.q(metric)} AS metric, best_value, best_step, best_position, n_values "
+            "FROM b JOIN bs USING (run_id) JOIN bp USING (run_id)")
+
+
+@register("best_metric", _best_sql("eval_f1", "max"))
+def q_best_metric(spark, sf):
+    return rn.best_metric(B.frame_h(spark, sf), "eval_f1", "max")
+
+
+@register("best_checkpoint", _best_sql("eval_loss", "min"))
+def q_best_checkpoint(spark, sf):
+    return rn.best_checkpoint(B.frame_h(spark, sf), "eval_loss")
+
+
+def _early_stop_sql(metric: str, patience: int, delta: float) -> str:
+    imp = f"(s.value > r.best + {O.d(delta)})"
+    return (f"WITH RECURSIVE {H_SQL}, s AS (SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY step) - 1 "
+            f"AS pos, value FROM h WHERE metric = {O.q(metric)}), "
+            "r AS (SELECT run_id, pos, value AS best, pos AS best_pos, 0 AS cnt, 0 AS stopped, "
+            "CAST(NULL AS BIGINT) AS stop_pos FROM s WHERE pos = 0 UNION ALL "
+            f"SELECT s.run_id, s.pos, CASE WHEN {imp} THEN s.value ELSE r.best END, "
+            f"CASE WHEN {imp} THEN s.pos ELSE r.best_pos END, CASE WHEN {imp} THEN 0 ELSE r.cnt + 1 END, "
+            f"CASE WHEN NOT {imp} AND r.cnt + 1 >= {patience} THEN 1 ELSE 0 END, "
+            f"CASE WHEN NOT {imp} AND r.cnt + 1 >= {patience} THEN s.pos END "
+            "FROM r JOIN s ON s.run_id = r.run_id AND s.pos = r.pos + 1 WHERE r.stopped = 0), "
+            "nst AS (SELECT run_id, CAST(count(*) AS BIGINT) AS n_steps FROM s GROUP BY run_id), "
+            "lastr AS (SELECT run_id, max(pos) AS pos FROM r GROUP BY run_id) "
+            "SELECT r.run_id, nst.n_steps, CAST(r.stopped AS INTEGER) AS stopped, r.stop_pos AS stop_position, "
+            "CAST(r.best_pos AS BIGINT) AS best_position, r.best AS best_value "
+            "FROM r JOIN lastr USING (run_id, pos) JOIN nst USING (run_id)")
+
+
+@register("early_stop", _early_stop_sql("eval_f1", rn.DEFAULT_PATIENCE, rn.DEFAULT_MIN_DELTA))
+def q_early_stop(spark, sf):
+    return rn.early_stop(B.frame_h(spark, sf), "eval_f1", rn.DEFAULT_PATIENCE, rn.DEFAULT_MIN_DELTA, "max")
+
+
+@register("early_stop_all_steps",
+          _early_stop_sql("eval_f1", 3, 0.001).replace(f"WHERE metric = {O.q('eval_f1')}", "WHERE metric IS NOT NULL"))
+def q_early_stop_all_steps(spark, sf):
+    return rn.early_stop(B.frame_h(spark, sf), None, 3, 0.001, "max")
+
+
+@register("training_curves",
+          f"WITH {H_SQL} SELECT run_id, step, "
+          + ", ".join(f"coalesce(max(CASE WHEN metric = {O.q(m)} THEN value END), 0.0::DOUBLE) AS {m}"
+                      for m in rn.CURVE_METRICS)
+          + " FROM h GROUP BY run_id, step")
+def q_training_curves(spark, sf):
+    return rn.training_curves(B.frame_h(spark, sf))
+
+
+@register("recent_history",
+          "SELECT * FROM (SELECT user_id, event_id, ts, event_type, value, row_number() OVER "
+          "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rank FROM events) WHERE rank <= 10")
+def q_recent_history(spark, sf):
+    from ..streaming.history import recent_history
+    ev_ = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "event_id", "ts", "event_type", "value")
+    return recent_history(ev_, "user_id", ["ts", "event_id"], 10)
+
+
+# --- D1: text length work on documents --------------------------------------------------
+
+from ..operators import features as ft  # noqa: E402
+
+
+@register("length_profile",
+          "WITH t AS (SELECT len(string_split(text, ' ')) AS n FROM documents), a AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, "
+          + ", ".join(f"CAST(count_if(n > {L}) AS BIGINT) AS tr_{L}, CAST(sum(greatest({L} - n, 0)) AS BIGINT) AS pad_{L}"
+                      for L in ft.PROFILE_LENGTHS) + " FROM t) "
+          + " UNION ALL ".join(f"SELECT {L} AS max_length, n_docs, tr_{L} AS n_truncated, CAST(tr_{L} AS DOUBLE) / "
+                               f"CAST(n_docs AS DOUBLE) AS share_truncated, CAST(pad_{L} AS DOUBLE) / (CAST(n_docs AS DOUBLE) "
+                               f"* {O.d(L)}) AS avg_padding_share FROM a" for L in ft.PROFILE_LENGTHS))
+def q_length_profile(spark, sf):
+    return ft.length_profile(spark.read.parquet(f"{sf}/documents.parquet").select("text"))
+
+
+@register("encode_corpus",
+          "WITH t AS (SELECT doc_id, string_split(text, ' ') AS tok FROM documents) SELECT doc_id, "
+          "CAST(len(tok) AS INTEGER) AS n_tokens, CAST(least(len(tok), 512) AS INTEGER) AS mask_sum, "
+          "CAST(greatest(512 - len(tok), 0) AS INTEGER) AS n_pad, "
+          "CASE WHEN len(tok) >= 512 THEN tok[512] ELSE '[PAD]' END AS last_input_token FROM t")
+def q_encode_corpus(spark, sf):
+    enc = ft.encode_corpus(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), 512)
+    return enc.select("doc_id", "n_tokens",
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
+                      F.size(F.filter("attention_mask", lambda x: x == 0)).alias("n_pad"),
+                      F.element_at("input_tokens", -1).alias("last_input_token"))
+
+
+# --- D2, D9, D10: fitting (rows-only checks) -----------------------------------------------
+
+from ..operators import fit as fit_ops  # noqa: E402
+
+
+@register("text_features")
+def q_text_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    d = B.frame_d(spark, sf)
+    feats, _ = ft.text_features(d, 1 << 10)
+    arr = vector_to_array("features")
+    return feats.select("doc_id", "split", F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"),
+                        F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("tfidf_sum"))
+
+
+@register("fit_binary_relevance")
+def q_fit_binary_relevance(spark, sf):
+    d = B.frame_d(spark, sf)
+    train = d.filter(F.col("split") == "train")
+    weights = {r["label"]: r["pos_weight"] for r in
+               cp.class_weights(train, B.d_dictionary(), "neg_pos").collect()}
+    feats, _ = ft.text_features(train.withColumn("y_true", F.array("quality", "toxic")), 1 << 10)
+    _, summary = fit_ops.fit_binary_relevance(feats, D_NAMES, pos_weights=weights, max_iter=10)
+    return summary
+
+
+@register("fit_linear_head_focal")
+def q_fit_linear_head_focal(spark, sf):
+    v = B.frame_v(spark, sf)
+    _, _, hist = fit_ops.fit_linear_head(v, 10, 64, "focal", epochs=3, lr=2.0)
+    return spark.createDataFrame(hist, "epoch int, mean_loss double")
