@@ -234,3 +234,39 @@ def score_histogram(ef: EvalFrame, bins: int = 50) -> DataFrame:
                     F.when(F.col("bin") == bins - 1, hi2)
                     .otherwise((F.col("bin") + 1).cast("double") * step + lo2).alias("bin_hi"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
+
+
+def evaluation_report(ef: EvalFrame, path: str, t=0.5, op: str = "gt",
+                      thresholds: Sequence[float] = DEFAULT_THRESHOLDS, hard_n: int = 20,
+                      bins: int = 50) -> DataFrame:
+    """Every section of the evaluation written under ``path``.
+
+    The evaluation frame is persisted once so the sections (each its own
+    action) share one scan; every section is at most K*bins rows except the
+    detailed predictions, which the executors write directly.
+    Returns (section, path, rows) for the written sections.
+    """
+    from ..sources.reports import write_detailed_predictions, write_report
+
+    cached = ef.with_df(ef.df.persist())
+    try:
+        sweep = threshold_sweep(cached, thresholds, op)
+        sections = {
+            "overall": ev.overall_metrics(cached, t, op),
+            "per_label": per_label_report(cached, t, op),
+            "confusion": ev.confusion(cached, t, op),
+            "classification_report": ev.classification_report(cached, t, op),
+            "threshold_sweep": sweep,
+            "best_threshold": best_threshold(sweep),
+            "prediction_distribution": prediction_distribution(cached, t, op),
+            "top_label_combinations": label_combinations(cached, t, op),
+            "hard_examples": hard_examples(cached, hard_n, text="text" in cached.df.columns),
+            "score_histogram": score_histogram(cached, bins),
+        }
+        written = write_report(sections, path)
+        write_detailed_predictions(cached, f"{path}/detailed_predictions", t, op)
+        spark = ef.df.sparkSession
+        rows = [(name, target, spark.read.json(target).count()) for name, target in written]
+        return spark.createDataFrame(rows, "section string, path string, rows long")
+    finally:
+        cached.df.unpersist()

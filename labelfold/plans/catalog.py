@@ -623,3 +623,120 @@ def q_fit_linear_head_focal(spark, sf):
     v = B.frame_v(spark, sf)
     _, _, hist = fit_ops.fit_linear_head(v, 10, 64, "focal", epochs=3, lr=2.0)
     return spark.createDataFrame(hist, "epoch int, mean_loss double")
+
+
+# --- A1-A9: sources and sinks (round trips through the shared folder) ----------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import corpus_io as io  # noqa: E402
+from ..sources import reports as rp  # noqa: E402
+
+D_SELECT_SQL = f"WITH {D_SQL} SELECT doc_id, text, quality, toxic, split FROM d"
+
+
+@register("csv_round_trip", D_SELECT_SQL)
+def q_csv_round_trip(spark, sf):
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "labeled-csv")
+    io.write_labeled(B.frame_d(spark, sf), path, "csv")
+    back = io.read_labeled_csv(spark, path, B.d_dictionary(), extra=[("doc_id", T.LongType())])
+    return back.select("doc_id", "text", "quality", "toxic", "split")
+
+
+@register("parquet_round_trip", D_SELECT_SQL)
+def q_parquet_round_trip(spark, sf):
+    path = scratch_path(spark, "labeled-parquet")
+    io.write_labeled(B.frame_d(spark, sf), path, "parquet")
+    return io.read_raw(spark, path, "parquet").select("doc_id", "text", "quality", "toxic", "split")
+
+
+@register("label_list_round_trip",
+          f"WITH {D_SQL} SELECT doc_id, split, text, CAST(quality AS VARCHAR) || ',' || CAST(toxic AS VARCHAR) "
+          "AS labels FROM d")
+def q_label_list_round_trip(spark, sf):
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "label-list-csv")
+    io.write_label_list(B.frame_d(spark, sf), B.d_dictionary(), path, "csv", keep=("doc_id", "text"))
+    back = io.read_label_list_csv(spark, path, extra=[("doc_id", T.LongType())])
+    return back.select("doc_id", "split", "text", F.array_join("labels", ",").alias("labels"))
+
+
+@register("metadata_round_trip", f"WITH {U_SQL}, {_weights_sql('neg_pos', U_NAMES, 'u')}")
+def q_metadata_round_trip(spark, sf):
+    path = scratch_path(spark, "metadata")
+    dic = B.u_dictionary()
+    u = B.frame_u(spark, sf)
+    io.write_metadata(path, weights=cp.class_weights(u, dic, "neg_pos"), labels=dic,
+                      statistics=cp.dataset_statistics(u, dic), spark=spark)
+    assert io.read_label_info(spark, path).names == dic.names
+    return io.read_class_weights(spark, path)
+
+
+@register("detailed_predictions",
+          f"WITH {O.frame_l_sql()} SELECT {', '.join(B.L_KEYS)}, "
+          + ", ".join(f"p{i} AS {n}_prob" for i, n in enumerate(L_NAMES)) + ", "
+          + ", ".join(f"CAST({O.pred(i, 0.5)} AS INTEGER) AS {n}_pred" for i, n in enumerate(L_NAMES)) + ", "
+          + ", ".join(f"CAST(y{i} AS DOUBLE) AS {n}_true" for i, n in enumerate(L_NAMES)) + " FROM l")
+def q_detailed_predictions(spark, sf):
+    return rp.detailed_predictions(B.frame_l(spark, sf), 0.5, "gt")
+
+
+@register("evaluation_report")
+def q_evaluation_report(spark, sf):
+    return an.evaluation_report(B.frame_l(spark, sf), scratch_path(spark, "evaluation-report"))
+
+
+# --- G1, G2: streaming, compared with the batch SQL ------------------------------------------
+
+from ..streaming import history as hs  # noqa: E402
+from ..streaming import scoring_stream as ss  # noqa: E402
+
+
+@register("score_stream",
+          f"WITH {CENT_SQL}, nm AS (SELECT * FROM (VALUES "
+          + ", ".join(f"({i}, {O.q(n)})" for i, n in enumerate(V_NAMES))
+          + ") AS t(label_idx, name)), th AS (SELECT vec_id, CAST(vec_id % 12 AS DOUBLE) / 10.0::DOUBLE AS threshold "
+          "FROM embeddings) SELECT sv.vec_id, th.threshold, arg_max(nm.name, sv.p) AS top_label, "
+          f"round(max(sv.p), {SCORE_ROUND}) AS top_probability, coalesce(string_agg(nm.name, ',' ORDER BY sv.label_idx) "
+          "FILTER (WHERE sv.p >= th.threshold), '') AS predicted, CAST(count_if(sv.p >= th.threshold) AS INTEGER) "
+          "AS n_predicted FROM sv JOIN nm USING (label_idx) JOIN th USING (vec_id) WHERE th.threshold <= 1.0::DOUBLE "
+          "GROUP BY sv.vec_id, th.threshold")
+def q_score_stream(spark, sf):
+    weights, bias = B.centroid_head(spark, sf)
+    src = f"{sf}/embeddings.parquet"
+    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
+              .option("pathGlobFilter", "embeddings.parquet").parquet(sf)
+              .select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("features"),
+                      ((F.col("vec_id") % 12).cast("double") / F.lit(10.0)).alias("threshold")))
+
+    def scorer(df):
+        s = sc.probabilities(sc.linear_head(df, weights, bias), 10)
+        # per-request threshold: predicted = p >= threshold
+        items = F.array(*[F.struct(F.lit(n).alias("name"), F.col("score")[i].alias("probability"),
+                                   (F.col("score")[i] >= F.col("threshold")).alias("predicted"))
+                          for i, n in enumerate(V_NAMES)])
+        ti = sc.top_index(F.col("score"), 10)
+        names = F.array(*[F.lit(n) for n in V_NAMES])
+        return s.select("vec_id", "threshold", items.alias("labels"),
+                        F.struct(names[ti].alias("name"), F.col("score")[ti].alias("probability")).alias("top"))
+
+    acc, rej = scratch_path(spark, "stream-accepted"), scratch_path(spark, "stream-rejected")
+    q = ss.score_stream(stream, scorer, acc, rej, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    picked = F.filter("labels", lambda x: x["predicted"])
+    return spark.read.parquet(acc).select(
+        "vec_id", "threshold", F.col("top.name").alias("top_label"),
+        F.round("top.probability", SCORE_ROUND).alias("top_probability"),
+        F.array_join(F.transform(picked, lambda x: x["name"]), ",").alias("predicted"),
+        F.size(picked).alias("n_predicted"))
+
+
+@register("recent_history_stream", ORACLE["recent_history"])
+def q_recent_history_stream(spark, sf):
+    src = f"{sf}/events.parquet"
+    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
+              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    sink = scratch_path(spark, "history-sink")
+    q = hs.recent_history_stream(stream, sink, scratch_path(spark, "history-ckpt"))
+    q.awaitTermination()
+    return hs.latest_lists(spark, sink)

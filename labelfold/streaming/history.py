@@ -19,3 +19,62 @@ HISTORY_LIMIT = 10  # fixed value: entries kept per user
 def recent_history(df: DataFrame, key: str, order: list, n: int = HISTORY_LIMIT) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+STATE_SCHEMA = "ids array<long>, ts array<long>, kinds array<string>, vals array<double>, version long"
+OUT_SCHEMA = "user_id long, event_id long, ts_us long, event_type string, value double, rank int, version long"
+
+
+def _keep_latest(n: int):
+    import pandas as pd
+
+    def fn(key, pdfs, state):
+        if state.exists:
+            ids, ts, kinds, vals, version = state.get
+            cur = pd.DataFrame({"event_id": list(ids), "ts_us": list(ts), "event_type": list(kinds),
+                                "value": list(vals)})
+        else:
+            cur = pd.DataFrame({"event_id": [], "ts_us": [], "event_type": [], "value": []})
+            version = 0
+        for pdf in pdfs:  # Arrow chunks of the group: state never exceeds n rows
+            both = pd.concat([cur, pdf[["event_id", "ts_us", "event_type", "value"]]], ignore_index=True)
+            both = both.drop_duplicates("event_id", keep="last")
+            cur = both.sort_values(["ts_us", "event_id"], ascending=False).head(n)
+        version += 1
+        cur = cur.reset_index(drop=True)
+        state.update((cur["event_id"].astype("int64").tolist(), cur["ts_us"].astype("int64").tolist(),
+                      cur["event_type"].tolist(), cur["value"].astype(float).tolist(), int(version)))
+        yield pd.DataFrame({"user_id": [key[0]] * len(cur), "event_id": cur["event_id"].astype("int64"),
+                            "ts_us": cur["ts_us"].astype("int64"), "event_type": cur["event_type"],
+                            "value": cur["value"].astype(float), "rank": range(1, len(cur) + 1),
+                            "version": [int(version)] * len(cur)})
+    return fn
+
+
+def recent_history_stream(stream: DataFrame, sink_path: str, checkpoint: str, n: int = HISTORY_LIMIT):
+    """G2 (stream): keep the latest n events per user in state; every batch
+    appends the users' current lists with a version; replays are keyed on
+    event_id so they never duplicate an event."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    prepared = stream.select("user_id", "event_id",
+                             F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+                             "event_type", "value")
+    out = prepared.groupBy("user_id").applyInPandasWithState(
+        _keep_latest(n), OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+
+    return (out.writeStream.outputMode("update").foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def latest_lists(spark, sink_path: str) -> DataFrame:
+    """Current list per user: the rows of each user's highest version."""
+    out = spark.read.parquet(sink_path)
+    w = Window.partitionBy("user_id")
+    latest = out.withColumn("_v", F.max("version").over(w)).filter(F.col("version") == F.col("_v"))
+    return latest.select("user_id", "event_id",
+                         F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"),
+                         "event_type", "value", "rank")
