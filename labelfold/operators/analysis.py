@@ -49,16 +49,25 @@ def threshold_sweep(ef: EvalFrame, thresholds: Sequence[float] = DEFAULT_THRESHO
     j_of = [uniq.index(t) for t in ts_in]
     incl = op == "ge"
     k = ef.k
-    cells = [F.struct(F.lit(i).alias("kind"), ef.y(i).alias("x1"),
-                      count_below(ef.p(i), uniq, incl).alias("x2")) for i in range(k)]
+    # stage 1: per-row scalars (each computed once, referenced by name later)
     lo = F.greatest(*[F.when(ef.y(i) == 0, ef.p(i)) for i in range(k)]) if k > 1 else \
         F.when(ef.y(0) == 0, ef.p(0))
     hi = F.least(*[F.when(ef.y(i) == 1, ef.p(i)) for i in range(k)]) if k > 1 else \
         F.when(ef.y(0) == 1, ef.p(0))
-    a = F.when(lo.isNull(), F.lit(0)).otherwise(count_below(lo, uniq, incl))
-    b = F.when(hi.isNull(), F.lit(len(uniq))).otherwise(count_below(hi, uniq, incl))
-    row_rec = F.struct(F.lit(-1).alias("kind"), a.alias("x1"), b.alias("x2"))
-    small = (ef.df.select(F.inline(F.array(*cells, row_rec)))
+    stage = ef.df.select(*[ef.y(i).alias(f"_y{i}") for i in range(k)],
+                         *[ef.p(i).alias(f"_p{i}") for i in range(k)],
+                         lo.alias("_lo"), hi.alias("_hi"))
+    # stage 2: ranks against the sorted thresholds (a log2|T|-deep CASE tree)
+    stage = stage.select(
+        *[F.col(f"_y{i}") for i in range(k)],
+        *[count_below(F.col(f"_p{i}"), uniq, incl).alias(f"_r{i}") for i in range(k)],
+        F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(count_below(F.col("_lo"), uniq, incl)).alias("_a"),
+        F.when(F.col("_hi").isNull(), F.lit(len(uniq))).otherwise(
+            count_below(F.col("_hi"), uniq, incl)).alias("_b"))
+    cells = [F.struct(F.lit(i).alias("kind"), F.col(f"_y{i}").alias("x1"), F.col(f"_r{i}").alias("x2"))
+             for i in range(k)]
+    row_rec = F.struct(F.lit(-1).alias("kind"), F.col("_a").alias("x1"), F.col("_b").alias("x2"))
+    small = (stage.select(F.inline(F.array(*cells, row_rec)))
              .groupBy("kind", "x1", "x2").agg(F.count(F.lit(1)).alias("cnt")))
 
     jmap = F.array(*[F.lit(j) for j in j_of])
@@ -193,47 +202,59 @@ def hard_examples(ef: EvalFrame, n: int = 20, empty_as: str = "clean",
         *[F.col("score")[i].alias(f"prob_{i}") for i in range(k)])
 
 
-def histogram_bin(p: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """numpy.histogram's bin of p on [lo, hi] with equal bins (last closed),
-    including its edge corrections; lo == hi widens to [lo-0.5, hi+0.5]."""
+def histogram_range(lo: Column, hi: Column, bins: int) -> list:
+    """(lo2, hi2, step, norm) of numpy.histogram; lo == hi widens to +-0.5."""
     lo2 = F.when(lo == hi, lo - F.lit(0.5)).otherwise(lo)
     hi2 = F.when(lo == hi, hi + F.lit(0.5)).otherwise(hi)
-    step = (hi2 - lo2) / F.lit(float(bins))
-    norm = F.lit(float(bins)) / (hi2 - lo2)
+    return [lo2.alias("lo2"), hi2.alias("hi2"),
+            ((hi2 - lo2) / F.lit(float(bins))).alias("step"),
+            (F.lit(float(bins)) / (hi2 - lo2)).alias("norm")]
 
-    def edge(j):
-        return F.when(j == bins, hi2).otherwise(j.cast("double") * step + lo2)
-    i0 = F.floor((p - lo2) * norm).cast("int")
-    i0 = F.when(i0 == bins, F.lit(bins - 1)).otherwise(i0)
-    i1 = F.when(p < edge(i0), i0 - 1).otherwise(i0)
-    return F.when((p >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
+
+def _edge(j: Column, bins: int) -> Column:
+    return F.when(j == bins, F.col("hi2")).otherwise(j.cast("double") * F.col("step") + F.col("lo2"))
+
+
+def histogram_bins(df: DataFrame, p: str, bins: int) -> DataFrame:
+    """Add ``bin``: numpy.histogram's bin of p given columns lo2, hi2, step, norm
+    (equal bins, last one closed, with numpy's edge corrections), computed in
+    stages so every intermediate is evaluated once."""
+    i0 = F.floor((F.col(p) - F.col("lo2")) * F.col("norm")).cast("int")
+    d = df.withColumn("_i0", F.when(i0 == bins, F.lit(bins - 1)).otherwise(i0))
+    d = d.withColumn("_i1", F.when(F.col(p) < _edge(F.col("_i0"), bins), F.col("_i0") - 1)
+                     .otherwise(F.col("_i0")))
+    d = d.withColumn("bin", F.when((F.col(p) >= _edge(F.col("_i1") + 1, bins)) & (F.col("_i1") != bins - 1),
+                                   F.col("_i1") + 1).otherwise(F.col("_i1")))
+    return d.drop("_i0", "_i1")
 
 
 def score_histogram(ef: EvalFrame, bins: int = 50) -> DataFrame:
     """Per-label equal-width histogram over that label's [min, max].
 
     Pass 1: min/max per label (K rows) -> broadcast (bounded by K);
-    pass 2: groupBy(label, bin) partial+final; empty bins come from the
-    K*bins grid of the small side.
+    pass 2: groupBy(label, bin) partial+final.  Empty bins come from a K*bins
+    grid of the small side merged by union + aggregate (no join on the bin,
+    so no inferred filter re-evaluates the bin expression).
     """
     cells = long_form(ef).select("label_idx", "p")
-    rng = cells.groupBy("label_idx").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
-    rng_b = F.broadcast(rng)
-    binned = cells.join(rng_b, "label_idx").select(
-        "label_idx", histogram_bin(F.col("p"), F.col("lo"), F.col("hi"), bins).alias("bin"))
-    counts = binned.groupBy("label_idx", "bin").agg(F.count(F.lit(1)).alias("count"))
-    grid = rng.select("label_idx", "lo", "hi",
-                      F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    lo2 = F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo"))
-    hi2 = F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi"))
-    step = (hi2 - lo2) / F.lit(float(bins))
+    rng = (cells.groupBy("label_idx").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
+           .select("label_idx", *histogram_range(F.col("lo"), F.col("hi"), bins)))
+    binned = histogram_bins(cells.join(F.broadcast(rng), "label_idx"), "p", bins)
+    nulls = [F.lit(None).cast("double").alias(c) for c in ("lo2", "hi2", "step")]
+    counts = (binned.groupBy("label_idx", "bin").agg(F.count(F.lit(1)).alias("count"))
+              .select("label_idx", "bin", *nulls, "count"))
+    grid = rng.select("label_idx", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+                      "lo2", "hi2", "step", F.lit(0).cast("long").alias("count"))
+    merged = counts.unionByName(grid).groupBy("label_idx", "bin").agg(
+        F.sum("count").alias("count"), F.max("lo2").alias("lo2"), F.max("hi2").alias("hi2"),
+        F.max("step").alias("step"))
     names = F.array(*[F.lit(n) for n in ef.names])
-    return (grid.join(F.broadcast(counts), ["label_idx", "bin"], "left")
-            .select("label_idx", names[F.col("label_idx")].alias("label"), "bin",
-                    (F.col("bin").cast("double") * step + lo2).alias("bin_lo"),
-                    F.when(F.col("bin") == bins - 1, hi2)
-                    .otherwise((F.col("bin") + 1).cast("double") * step + lo2).alias("bin_hi"),
-                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
+    return merged.select(
+        "label_idx", names[F.col("label_idx")].alias("label"), "bin",
+        (F.col("bin").cast("double") * F.col("step") + F.col("lo2")).alias("bin_lo"),
+        F.when(F.col("bin") == bins - 1, F.col("hi2"))
+        .otherwise((F.col("bin") + 1).cast("double") * F.col("step") + F.col("lo2")).alias("bin_hi"),
+        F.col("count").cast("long").alias("count"))
 
 
 def evaluation_report(ef: EvalFrame, path: str, t=0.5, op: str = "gt",

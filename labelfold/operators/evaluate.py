@@ -170,7 +170,7 @@ def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
     return left.unionByName(right).agg(*[F.max(n).alias(n) for n in names])
 
 
-def sample_average(row: DataFrame) -> dict:
+def sample_average_cols() -> dict:
     n = F.col("n")
     return {"precision": F.round(safe_div(F.col("s_precision"), n), ROUND),
             "recall": F.round(safe_div(F.col("s_recall"), n), ROUND),
@@ -183,25 +183,28 @@ def averages(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     return _average_rows(row, ef.k)
 
 
-def _average_rows(row: DataFrame, k: int) -> DataFrame:
+def _average_structs(k: int) -> list:
     micro = _micro(k)
     support = micro["support"]
-    samples = sample_average(row)
+    samples = sample_average_cols()
     rows = [
         ("micro avg", micro["precision"], micro["recall"], micro["f1"]),
         ("macro avg", _macro("precision", k), _macro("recall", k), _macro("f1", k)),
         ("weighted avg", _weighted("precision", k), _weighted("recall", k), _weighted("f1", k)),
         ("samples avg", samples["precision"], samples["recall"], samples["f1"]),
     ]
-    structs = [F.struct(F.lit(k + j).alias("row_order"), F.lit(name).alias("row_name"),
-                        p.alias("precision"), r.alias("recall"), f.alias("f1"),
-                        support.alias("support"))
-               for j, (name, p, r, f) in enumerate(rows)]
-    return row.select(F.inline(F.array(*structs)))
+    return [F.struct(F.lit(k + j).alias("row_order"), F.lit(name).alias("row_name"),
+                     p.alias("precision"), r.alias("recall"), f.alias("f1"), support.alias("support"))
+            for j, (name, p, r, f) in enumerate(rows)]
+
+
+def _average_rows(row: DataFrame, k: int) -> DataFrame:
+    return row.select(F.inline(F.array(*_average_structs(k))))
 
 
 def classification_report(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
-    """K label rows, then micro, macro, weighted and samples rows."""
+    """K label rows, then micro, macro, weighted and samples rows, all
+    projected from the one aggregate row."""
     row = counts_row(ef, t, op)
     structs = []
     for i, name in enumerate(ef.names):
@@ -209,8 +212,7 @@ def classification_report(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
         structs.append(F.struct(F.lit(i).alias("row_order"), F.lit(name).alias("row_name"),
                                 m["precision"].alias("precision"), m["recall"].alias("recall"),
                                 m["f1"].alias("f1"), m["support"].alias("support")))
-    labels = row.select(F.inline(F.array(*structs)))
-    return labels.unionByName(_average_rows(row, ef.k))
+    return row.select(F.inline(F.array(*structs, *_average_structs(ef.k))))
 
 
 def exact_match(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:

@@ -4,8 +4,9 @@ BCE / focal loss.
 Model parameters (K x d weights, K biases) are small driver-side values and
 enter the plan as literals, so scoring is a narrow projection with no join
 and no shuffle.  Losses are per-cell column expressions reduced by one
-aggregate; sums are taken in DECIMAL(38,18) so they are exact and
-independent of partition order.
+aggregate.  Each cell is rounded once to a 1e-9 fixed-point integer and the
+integers are summed exactly (long-backed decimals), so a sum does not depend
+on partition order and cannot overflow.
 """
 
 from __future__ import annotations
@@ -89,8 +90,22 @@ def focal_cell(z: Column, y: Column, alpha: float = 1.0, gamma: float = 2.0) ->
 
 
 LOSS_KINDS = ("bce", "weighted_bce", "focal")
-EXACT_SUM = "decimal(38,18)"
-LOSS_ROUND = 9
+FIXED_SCALE = 1e9      # per-cell resolution of loss sums
+LOSS_ROUND = 9         # digits of the reported mean
+SUM_ROUND = 6          # digits of the reported sum
+
+
+def fixed_point(x: Column) -> Column:
+    """Cell value as an integer number of 1e-9 units (round half up)."""
+    return F.floor(x * F.lit(FIXED_SCALE) + F.lit(0.5)).cast("decimal(18,0)")
+
+
+def exact_sum(x: Column) -> Column:
+    return F.sum(fixed_point(x))
+
+
+def from_fixed(total: Column) -> Column:
+    return total.cast("double") / F.lit(FIXED_SCALE)
 
 
 def loss_cell(kind: str, z: Column, y: Column, pos_weight: Column | None = None,
@@ -126,11 +141,10 @@ def loss(ef, kind: str = "bce", reduction: str = "mean", logit: str = "logit",
     cells = loss_cells(ef, kind, logit, pos_weights, alpha, gamma)
     if reduction == "none":
         return cells
-    s = F.sum(F.col("loss").cast(EXACT_SUM))
-    agg = cells.agg(s.alias("s"), F.count(F.lit(1)).alias("n"))
-    total = F.col("s").cast("double")
+    agg = cells.agg(exact_sum(F.col("loss")).alias("s"), F.count(F.lit(1)).alias("n"))
+    total = from_fixed(F.col("s"))
     if reduction == "sum":
-        return agg.select(F.round(total, LOSS_ROUND).alias("loss"))
+        return agg.select(F.round(total, SUM_ROUND).alias("loss"))
     if reduction == "mean":
         return agg.select(F.round(total / F.col("n"), LOSS_ROUND).alias("loss"))
     raise ValueError(f"unknown reduction {reduction!r}")
@@ -149,11 +163,11 @@ def loss_summary(ef, kinds=LOSS_KINDS, logit: str = "logit", pos_weights: DataFr
     aggs = [F.count(F.lit(1)).alias("n")]
     for kd in kinds:
         c = loss_cell(kd, F.col("z"), F.col("y"), pw, alpha, gamma)
-        aggs.append(F.sum(c.cast(EXACT_SUM)).alias(f"s_{kd}"))
+        aggs.append(exact_sum(c).alias(f"s_{kd}"))
     row = long.agg(*aggs)
     structs = [F.struct(F.lit(kd).alias("kind"),
-                        F.round(F.col(f"s_{kd}").cast("double") / F.col("n"), LOSS_ROUND).alias("mean"),
-                        F.round(F.col(f"s_{kd}").cast("double"), LOSS_ROUND).alias("sum"),
+                        F.round(from_fixed(F.col(f"s_{kd}")) / F.col("n"), LOSS_ROUND).alias("mean"),
+                        F.round(from_fixed(F.col(f"s_{kd}")), SUM_ROUND).alias("sum"),
                         F.col("n").cast("long").alias("n"))
                for kd in kinds]
     return row.select(F.inline(F.array(*structs)))

@@ -461,9 +461,9 @@ def _loss_sql(kinds) -> str:
     focal = f"(1.0::DOUBLE * pow(1.0::DOUBLE - {pt}, 2.0::DOUBLE) * {bce})"
     exprs = {"bce": bce, "weighted_bce": wbce, "focal": focal}
     rows = " UNION ALL ".join(
-        f"SELECT {O.q(kd)} AS kind, round(CAST(s_{kd} AS DOUBLE) / n, {sc.LOSS_ROUND}) AS mean, "
-        f"round(CAST(s_{kd} AS DOUBLE), {sc.LOSS_ROUND}) AS sum, n FROM agg" for kd in kinds)
-    sums = ", ".join(f"sum(CAST({exprs[kd]} AS DECIMAL(38,18))) AS s_{kd}" for kd in kinds)
+        f"SELECT {O.q(kd)} AS kind, round(CAST(s_{kd} AS DOUBLE) / 1e9::DOUBLE / n, {sc.LOSS_ROUND}) AS mean, "
+        f"round(CAST(s_{kd} AS DOUBLE) / 1e9::DOUBLE, {sc.SUM_ROUND}) AS sum, n FROM agg" for kd in kinds)
+    sums = ", ".join(f"sum(CAST(floor({exprs[kd]} * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS s_{kd}" for kd in kinds)
     return (f"WITH {O.frame_l_sql()}, cwl AS (SELECT CAST(count(*) AS BIGINT) AS n, "
             + ", ".join(f"CAST(sum(y{i}) AS BIGINT) AS c_{i}" for i in range(k)) + " FROM l), "
             f"w AS ({' UNION ALL '.join(wrows)}), cl AS ({cells}), "
