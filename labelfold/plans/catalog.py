@@ -740,3 +740,48 @@ def q_recent_history_stream(spark, sf):
     q = hs.recent_history_stream(stream, sink, scratch_path(spark, "history-ckpt"))
     q.awaitTermination()
     return hs.latest_lists(spark, sink)
+
+
+# --- single-measure queries and label decoding (B2, B9, B10, E8, E9) ----------------------
+
+from ..functions.labels import binarize, decode_names  # noqa: E402
+
+
+@register("exact_match",
+          f"WITH {O.frame_l_sql()}, {O.counts_sql(K)} SELECT {O.sdiv('exact', 'n')} AS exact_match_accuracy, "
+          f"{O.sdiv('exact', 'n')} AS subset_accuracy FROM c")
+def q_exact_match(spark, sf):
+    return ev.exact_match(B.frame_l(spark, sf))
+
+
+@register("hamming_loss",
+          f"WITH {O.frame_l_sql()}, {O.counts_sql(K)} SELECT {O.overall_exprs(K)['hamming_loss']} AS hamming_loss FROM c")
+def q_hamming_loss(spark, sf):
+    return ev.hamming_loss(B.frame_l(spark, sf))
+
+
+@register("decode_labels",
+          f"WITH {O.frame_l_sql()} SELECT {', '.join(B.L_KEYS)}, "
+          f"{O.names_of(L_NAMES, [f'y{i}' for i in range(K)], 'clean')} AS true_labels, "
+          f"{O.names_of(L_NAMES, [f'CAST({O.pred(i, 0.5)} AS INTEGER)' for i in range(K)], 'clean')} AS predicted_labels, "
+          f"{O.names_of([B.L_EN[n] for n in L_NAMES], [f'CAST({O.pred(i, 0.5)} AS INTEGER)' for i in range(K)], B.l_dictionary().en('clean'))} "
+          "AS predicted_labels_en FROM l")
+def q_decode_labels(spark, sf):
+    ef = B.frame_l(spark, sf)
+    h = binarize("score", ef.k, 0.5, "gt")
+    en = [ef.labels.en(n) for n in ef.names]
+    return ef.df.select(*ef.keys, decode_names("y_true", ef.names, "clean").alias("true_labels"),
+                        decode_names(h, ef.names, "clean").alias("predicted_labels"),
+                        decode_names(h, en, ef.labels.en("clean")).alias("predicted_labels_en"))
+
+
+@register("union_splits",
+          f"WITH {D_SQL} SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(sum(quality) AS BIGINT) AS quality, "
+          "CAST(sum(toxic) AS BIGINT) AS toxic FROM d GROUP BY split")
+def q_union_splits(spark, sf):
+    d = B.frame_d(spark, sf).drop("split")
+    both = cp.union_splits(train=d.filter(F.col("doc_id") % B.VALID_MODULUS != 0),
+                           valid=d.filter(F.col("doc_id") % B.VALID_MODULUS == 0))
+    return both.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                     F.sum("quality").cast("long").alias("quality"),
+                                     F.sum("toxic").cast("long").alias("toxic"))
