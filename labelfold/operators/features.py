@@ -24,6 +24,11 @@ def tokens(text: Column) -> Column:
     return F.split(text, " ")
 
 
+def token_count(text: Column) -> Column:
+    """size(split(text, ' ')) without building the array: spaces + 1."""
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + F.lit(1)
+
+
 def encode_corpus(df: DataFrame, max_length: int = DEFAULT_MAX_LENGTH, text: str = "text") -> DataFrame:
     """Tokens cut/padded to ``max_length`` and the attention mask."""
     t = tokens(F.col(text))
@@ -40,7 +45,7 @@ def encode_corpus(df: DataFrame, max_length: int = DEFAULT_MAX_LENGTH, text: str
 def length_profile(df: DataFrame, lengths: Sequence[int] = PROFILE_LENGTHS, text: str = "text") -> DataFrame:
     """Per candidate length L, the share of rows longer than L (truncated)
     and the mean padding share max(L - n, 0) / L, all in one aggregate."""
-    n = F.size(tokens(F.col(text)))
+    n = token_count(F.col(text))
     aggs = [F.count(F.lit(1)).alias("n_docs")]
     for L in lengths:
         aggs.append(F.count_if(n > L).alias(f"tr_{L}"))

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HISTORY_LIMIT = 10  # fixed value: entries kept per user
+# timestamp_ntz <-> microseconds without the session time zone
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def recent_history(df: DataFrame, key: str, order: list, n: int = HISTORY_LIMIT) -> DataFrame:
@@ -58,7 +60,7 @@ def recent_history_stream(stream: DataFrame, sink_path: str, checkpoint: str, n:
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     prepared = stream.select("user_id", "event_id",
-                             F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+                             F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, ts)").alias("ts_us"),
                              "event_type", "value")
     out = prepared.groupBy("user_id").applyInPandasWithState(
         _keep_latest(n), OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
@@ -76,5 +78,5 @@ def latest_lists(spark, sink_path: str) -> DataFrame:
     w = Window.partitionBy("user_id")
     latest = out.withColumn("_v", F.max("version").over(w)).filter(F.col("version") == F.col("_v"))
     return latest.select("user_id", "event_id",
-                         F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"),
+                         F.expr(f"timestampadd(MICROSECOND, ts_us, {EPOCH_NTZ})").alias("ts"),
                          "event_type", "value", "rank")
