@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no per-call call-site capture while plans are built (error context only):
+    # it costs several JVM round trips for every Column function call
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # keep the partial top-n before the shuffle for row_number() <= n
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
