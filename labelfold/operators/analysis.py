@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import (above, binarize, decode_names, safe_div,
                                 vector_key, vector_sum)
+from ..functions import sqltext as X
 from . import auc as auc_ops
 from . import evaluate as ev
 from .frame import EvalFrame, long_form
@@ -22,15 +23,7 @@ DEFAULT_THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 def count_below(x: Column, ts: Sequence[float], inclusive: bool = False) -> Column:
     """#{t in ts : t < x} (or t <= x) for ascending distinct ts, as a balanced
     CASE tree: log2(|ts|) comparisons per value, all inside codegen."""
-    def cmp(t):
-        return (F.lit(float(t)) <= x) if inclusive else (F.lit(float(t)) < x)
-
-    def rec(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(cmp(ts[mid - 1]), rec(mid, hi)).otherwise(rec(lo, mid - 1))
-    return rec(0, len(ts))
+    return F.expr(X.count_below(f"({x._jc.toString()})" if isinstance(x, Column) else x, ts, inclusive))
 
 
 def threshold_sweep(ef: EvalFrame, thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
@@ -49,54 +42,43 @@ def threshold_sweep(ef: EvalFrame, thresholds: Sequence[float] = DEFAULT_THRESHO
     j_of = [uniq.index(t) for t in ts_in]
     incl = op == "ge"
     k = ef.k
+    y = [X.elem("y_true", i) for i in range(k)]
+    p = [X.elem("score", i) for i in range(k)]
     # stage 1: per-row scalars (each computed once, referenced by name later)
-    lo = F.greatest(*[F.when(ef.y(i) == 0, ef.p(i)) for i in range(k)]) if k > 1 else \
-        F.when(ef.y(0) == 0, ef.p(0))
-    hi = F.least(*[F.when(ef.y(i) == 1, ef.p(i)) for i in range(k)]) if k > 1 else \
-        F.when(ef.y(0) == 1, ef.p(0))
-    stage = ef.df.select(*[ef.y(i).alias(f"_y{i}") for i in range(k)],
-                         *[ef.p(i).alias(f"_p{i}") for i in range(k)],
-                         lo.alias("_lo"), hi.alias("_hi"))
+    neg = [f"CASE WHEN {y[i]} = 0 THEN {p[i]} END" for i in range(k)]
+    pos = [f"CASE WHEN {y[i]} = 1 THEN {p[i]} END" for i in range(k)]
+    lo = f"greatest({', '.join(neg)})" if k > 1 else neg[0]
+    hi = f"least({', '.join(pos)})" if k > 1 else pos[0]
+    stage = ef.df.selectExpr(*[f"{y[i]} AS _y{i}" for i in range(k)],
+                             *[f"{p[i]} AS _p{i}" for i in range(k)],
+                             f"{lo} AS _lo", f"{hi} AS _hi")
     # stage 2: ranks against the sorted thresholds (a log2|T|-deep CASE tree)
-    stage = stage.select(
-        *[F.col(f"_y{i}") for i in range(k)],
-        *[count_below(F.col(f"_p{i}"), uniq, incl).alias(f"_r{i}") for i in range(k)],
-        F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(count_below(F.col("_lo"), uniq, incl)).alias("_a"),
-        F.when(F.col("_hi").isNull(), F.lit(len(uniq))).otherwise(
-            count_below(F.col("_hi"), uniq, incl)).alias("_b"))
-    cells = [F.struct(F.lit(i).alias("kind"), F.col(f"_y{i}").alias("x1"), F.col(f"_r{i}").alias("x2"))
-             for i in range(k)]
-    row_rec = F.struct(F.lit(-1).alias("kind"), F.col("_a").alias("x1"), F.col("_b").alias("x2"))
-    small = (stage.select(F.inline(F.array(*cells, row_rec)))
+    stage = stage.selectExpr(
+        *[f"_y{i}" for i in range(k)],
+        *[f"{X.count_below(f'_p{i}', uniq, incl)} AS _r{i}" for i in range(k)],
+        f"CASE WHEN _lo IS NULL THEN 0 ELSE {X.count_below('_lo', uniq, incl)} END AS _a",
+        f"CASE WHEN _hi IS NULL THEN {len(uniq)} ELSE {X.count_below('_hi', uniq, incl)} END AS _b")
+    cells = [X.named_struct([("kind", X.lit(i)), ("x1", f"_y{i}"), ("x2", f"_r{i}")]) for i in range(k)]
+    row_rec = X.named_struct([("kind", X.lit(-1)), ("x1", "_a"), ("x2", "_b")])
+    small = (stage.select(X.inline_rows(cells + [row_rec]))
              .groupBy("kind", "x1", "x2").agg(F.count(F.lit(1)).alias("cnt")))
 
-    jmap = F.array(*[F.lit(j) for j in j_of])
-    tmap = F.array(*[F.lit(t) for t in ts_in])
-    grid = small.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(ts_in) - 1))).alias("t_idx"))
-    j = jmap[F.col("t_idx")]
-    is_cell = F.col("kind") >= 0
-    hit = F.col("x2") > j
-    exact_hit = (F.col("x1") <= j) & (j < F.col("x2"))
-    per_t = grid.groupBy("t_idx").agg(
-        F.sum(F.when(~is_cell, F.col("cnt")).otherwise(0)).alias("n"),
-        F.sum(F.when(~is_cell & exact_hit, F.col("cnt")).otherwise(0)).alias("exact"),
-        *[F.sum(F.when((F.col("kind") == i) & (F.col("x1") == 1) & hit, F.col("cnt"))
-                .otherwise(0)).alias(f"tp_{i}") for i in range(k)],
-        *[F.sum(F.when((F.col("kind") == i) & (F.col("x1") == 0) & hit, F.col("cnt"))
-                .otherwise(0)).alias(f"fp_{i}") for i in range(k)],
-        *[F.sum(F.when((F.col("kind") == i) & (F.col("x1") == 1), F.col("cnt"))
-                .otherwise(0)).alias(f"pos_{i}") for i in range(k)],
-    )
-    per_t = per_t.select("*", *[(F.col(f"pos_{i}") - F.col(f"tp_{i}")).alias(f"fn_{i}")
-                                for i in range(k)])
+    grid = small.selectExpr("*", f"explode(sequence(0, {len(ts_in) - 1})) AS t_idx")
+    j = f"{X.array_of([X.lit(v) for v in j_of])}[t_idx]"
+    hit = f"x2 > {j}"
+    exact_hit = f"(x1 <= {j}) AND ({j} < x2)"
+    aggs = ["sum(CASE WHEN kind < 0 THEN cnt ELSE 0 END) AS n",
+            f"sum(CASE WHEN kind < 0 AND {exact_hit} THEN cnt ELSE 0 END) AS exact"]
+    aggs += [f"sum(CASE WHEN kind = {i} AND x1 = 1 AND {hit} THEN cnt ELSE 0 END) AS tp_{i}" for i in range(k)]
+    aggs += [f"sum(CASE WHEN kind = {i} AND x1 = 0 AND {hit} THEN cnt ELSE 0 END) AS fp_{i}" for i in range(k)]
+    aggs += [f"sum(CASE WHEN kind = {i} AND x1 = 1 THEN cnt ELSE 0 END) AS pos_{i}" for i in range(k)]
+    per_t = grid.groupBy("t_idx").agg(*[F.expr(a) for a in aggs])
+    per_t = per_t.selectExpr("*", *[f"pos_{i} - tp_{i} AS fn_{i}" for i in range(k)])
     ov = ev.overall_columns(k)
-    return per_t.select(
-        F.col("t_idx"), tmap[F.col("t_idx")].alias("threshold"),
-        safe_div(F.col("exact"), F.col("n")).alias("exact_match_accuracy"),
-        ov["macro_precision"].alias("macro_precision"),
-        ov["macro_recall"].alias("macro_recall"),
-        ov["macro_f1"].alias("macro_f1"),
-        ov["hamming_loss"].alias("hamming_loss"))
+    return per_t.selectExpr(
+        "t_idx", f"{X.array_of([X.lit(v) for v in ts_in])}[t_idx] AS threshold",
+        f"{X.safe_div('exact', 'n')} AS exact_match_accuracy",
+        *[f"{ov[m]} AS {m}" for m in ("macro_precision", "macro_recall", "macro_f1", "hamming_loss")])
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
@@ -106,10 +88,10 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
     return sweep.agg(best.alias("b")).select("b.t_idx", "b.threshold", "b.macro_f1")
 
 
-def per_label_report(ef: EvalFrame, t=0.5, op: str = "gt", auc_buckets: int = 1024) -> DataFrame:
+def per_label_report(ef: EvalFrame, t=0.5, op: str = "gt", auc_partitions: int | None = None) -> DataFrame:
     """Per-label metrics + AUC (null shown as 0.5) + description, ranked by F1."""
     metrics = ev.per_label_metrics(ef, t, op)
-    aucs = auc_ops.roc_auc(ef, auc_buckets).select(
+    aucs = auc_ops.roc_auc(ef, auc_partitions).select(
         "label_idx", F.coalesce(F.col("auc"), F.lit(0.5)).alias("auc"))
     dic = ef.labels.to_frame(ef.df.sparkSession).select("label_idx", "label_en", "description")
     # both sides are one row per label (K rows): broadcast is bounded by K

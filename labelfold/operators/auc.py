@@ -3,18 +3,27 @@
 AUC_k = sum over positive cells of  P(neg score < p) + 1/2 P(neg score = p).
 
 A window ``partitionBy(label).orderBy(score)`` would put a whole label (a
-tenth of all cells, or far more with a skewed label) into one task.  Instead:
+tenth of all cells, or far more with few labels) into one task, and any
+fixed score bucket does the same when scores cluster (a confident model puts
+most negatives below 0.001).  Instead:
 
 1. ``groupBy(label, score)`` -> (pos, neg): partial aggregation in the scan
-   tasks, so repeated scores never reach the shuffle more than once per task.
-2. A monotone bucket of the score (B buckets) splits every label into B
-   independent in-bucket running sums: window ``partitionBy(label, bucket)``.
-3. Bucket totals (K*B rows at most) give each bucket's offset with a window
-   over that small table; the final sum needs no join back because
-   sum(pos * (offset + below)) = offset * pos_bucket + sum(pos * below).
-
-Everything is integer arithmetic on 2*S, so the result is exact (and equal to
-the single-window form) as long as counts stay below 2**53.
+   tasks, so a repeated score reaches the shuffle at most once per task and
+   the rows left are distinct (label, score) keys.
+2. ``repartitionByRange(label, score)`` + ``sortWithinPartitions``: Spark
+   samples the keys, so partitions are balanced whatever the score
+   distribution, and partition i holds keys below those of partition i+1.
+3. Each partition emits one summary row per label it holds: positives,
+   negatives and s2 = sum(pos * (2 * neg_below_in_partition + neg)), from a
+   running sum over its sorted rows (numpy inside ``mapInPandas``; state is
+   one counter per label, batches stream through).
+4. The summary table (#partitions x labels rows) gives each partition the
+   negatives of the earlier partitions of its label with a small window, and
+   sum(pos * (offset + below)) = offset * pos_partition + sum(pos * below), so
+   no row is ever joined back.
+
+Counts and s2 are int64 inside the tasks and summed in exact integer
+arithmetic; the result equals the single-window rank-sum form.
 """
 
 from __future__ import annotations
@@ -22,57 +31,81 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.labels import sigmoid
 from .frame import EvalFrame, long_form
 
+SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, s2 long"
+
+
+def _partition_summaries(batches):
+    """Per partition of (label_idx, p, pos, neg) sorted by (label_idx, p):
+    one row per label with pos, neg and s2 = sum(pos * (2 * below + neg))."""
+    import numpy as np
+    import pandas as pd
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    totals = {}  # label -> [pos, neg, s2]; negatives seen so far = neg
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        labels = pdf["label_idx"].to_numpy()
+        pos = pdf["pos"].to_numpy(dtype=np.int64)
+        neg = pdf["neg"].to_numpy(dtype=np.int64)
+        # labels are contiguous in the sorted batch: split at the changes
+        cuts = np.flatnonzero(np.diff(labels)) + 1
+        for lo, hi in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(labels)]))):
+            lab = int(labels[lo])
+            acc = totals.setdefault(lab, [0, 0, 0])
+            n = neg[lo:hi]
+            p = pos[lo:hi]
+            below = np.cumsum(n) - n + acc[1]
+            acc[2] += int(np.dot(p, 2 * below + n))
+            acc[0] += int(p.sum())
+            acc[1] += int(n.sum())
+    rows = [(part, lab, v[0], v[1], v[2]) for lab, v in sorted(totals.items())]
+    yield pd.DataFrame(rows, columns=["part", "label_idx", "pos", "neg", "s2"])
 
-def _bucket(p, buckets: int, probabilities: bool):
-    x = p if probabilities else sigmoid(p)
-    b = F.floor(x * F.lit(float(buckets))).cast("int")
-    return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))
 
+def auc_sums(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
+    """(label_idx, n_pos, n_neg, s2) with s2 = 2 * sum(pos * (neg_below + neg/2)).
 
-def auc_sums(ef: EvalFrame, buckets: int = 1024, probabilities: bool = True) -> DataFrame:
-    """(label_idx, n_pos, n_neg, s2) with s2 = 2 * sum(pos * (neg_below + neg/2))."""
+    ``partitions`` is the number of range partitions (default: the session's
+    shuffle partitions; AQE may merge small neighbours, which keeps order).
+    """
     ef.require_truth()
     cells = long_form(ef).select("label_idx", F.col("y").cast("long").alias("y"), "p")
     by_score = cells.groupBy("label_idx", "p").agg(
         F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg"))
-    by_score = by_score.withColumn("bucket", _bucket(F.col("p"), buckets, probabilities))
-    w_in = (Window.partitionBy("label_idx", "bucket").orderBy("p")
-            .rowsBetween(Window.unboundedPreceding, -1))
-    within = by_score.withColumn("below", F.coalesce(F.sum("neg").over(w_in), F.lit(0)))
-    per_bucket = within.groupBy("label_idx", "bucket").agg(
-        F.sum("pos").alias("pos_b"), F.sum("neg").alias("neg_b"),
-        F.sum(F.col("pos").cast("double") * (F.col("below") * 2 + F.col("neg"))).alias("s2_b"))
-    w_off = (Window.partitionBy("label_idx").orderBy("bucket")
+    ranged = (by_score.repartitionByRange(partitions, "label_idx", "p") if partitions
+              else by_score.repartitionByRange("label_idx", "p"))
+    summaries = ranged.sortWithinPartitions("label_idx", "p").mapInPandas(
+        _partition_summaries, SUMMARY_SCHEMA)
+    w_off = (Window.partitionBy("label_idx").orderBy("part")
              .rowsBetween(Window.unboundedPreceding, -1))
-    per_bucket = per_bucket.withColumn("off", F.coalesce(F.sum("neg_b").over(w_off), F.lit(0)))
-    return per_bucket.groupBy("label_idx").agg(
-        F.sum("pos_b").alias("n_pos"), F.sum("neg_b").alias("n_neg"),
-        F.sum(F.col("s2_b") + F.col("off").cast("double") * 2 * F.col("pos_b")).alias("s2"))
+    summaries = summaries.withColumn("off", F.coalesce(F.sum("neg").over(w_off), F.lit(0)))
+    return summaries.groupBy("label_idx").agg(
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+        F.sum(F.col("s2").cast("decimal(38,0)")
+              + F.col("off").cast("decimal(38,0)") * 2 * F.col("pos")).alias("s2"))
 
 
-def roc_auc(ef: EvalFrame, buckets: int = 1024, probabilities: bool = True) -> DataFrame:
+def roc_auc(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
     """(label_idx, label, auc, n_pos, n_neg); auc is null when a label has one class."""
-    s = auc_sums(ef, buckets, probabilities)
-    names = F.array(*[F.lit(n) for n in ef.names])
-    auc = F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
-                 F.col("s2") / (F.col("n_pos").cast("double") * F.col("n_neg") * 2))
-    return s.select("label_idx", names[F.col("label_idx")].alias("label"),
-                    auc.alias("auc"), F.col("n_pos").cast("long").alias("n_pos"),
-                    F.col("n_neg").cast("long").alias("n_neg"))
+    s = auc_sums(ef, partitions)
+    names = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in ef.names)
+    return s.selectExpr(
+        "label_idx", f"array({names})[label_idx] AS label",
+        "CASE WHEN n_pos > 0 AND n_neg > 0 THEN CAST(s2 AS DOUBLE) / "
+        "(CAST(n_pos AS DOUBLE) * CAST(n_neg AS DOUBLE) * 2.0D) END AS auc",
+        "CAST(n_pos AS BIGINT) AS n_pos", "CAST(n_neg AS BIGINT) AS n_neg")
 
 
-def macro_auc_row(ef: EvalFrame, buckets: int = 1024) -> DataFrame:
+def macro_auc_row(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
     """One row: per-label AUC (null -> 0.5) pivoted in label order, then their
     mean summed in that fixed order."""
-    a = roc_auc(ef, buckets)
-    filled = F.coalesce(F.col("auc"), F.lit(0.5))
-    wide = a.agg(*[F.max(F.when(F.col("label_idx") == i, filled)).alias(f"auc_{i}")
+    a = roc_auc(ef, partitions)
+    wide = a.agg(*[F.expr(f"max(CASE WHEN label_idx = {i} THEN coalesce(auc, 0.5D) END) AS auc_{i}")
                    for i in range(ef.k)])
-    total = F.col("auc_0")
-    for i in range(1, ef.k):
-        total = total + F.col(f"auc_{i}")
-    return wide.select((total / F.lit(float(ef.k))).alias("macro_auc"),
-                       *[F.col(f"auc_{i}") for i in range(ef.k)])
+    total = " + ".join(f"auc_{i}" for i in range(ef.k))
+    return wide.selectExpr(f"({total}) / {float(ef.k)!r}D AS macro_auc",
+                           *[f"auc_{i}" for i in range(ef.k)])

@@ -11,26 +11,24 @@ fixed label order so they are reproducible bit for bit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import above, f1_of, per_label, safe_div
+from ..functions import sqltext as X
+from ..functions.labels import per_label
 from .frame import EvalFrame
 
 ROUND = 9  # digits for averages of per-row ratios (summation order varies)
 
 
-def _fixed_sum(cols: list) -> Column:
-    out = cols[0]
-    for c in cols[1:]:
-        out = out + c
-    return out
-
-
-def _row_terms(ef: EvalFrame, t, op: str):
-    ts = per_label(t, ef.k)
-    h = [above(ef.p(i), ts[i], op).cast("int") for i in range(ef.k)]
-    y = [ef.y(i) for i in range(ef.k)]
+def _row_terms(ef: EvalFrame, t, op: str, pred_col: str | None = None):
+    """SQL text of the K predicted bits and the K truth bits."""
+    if pred_col is None:
+        ts = per_label(t, ef.k)
+        h = [X.as_int(X.above(X.elem("score", i), ts[i], op)) for i in range(ef.k)]
+    else:
+        h = [f"CAST({X.elem(pred_col, i)} AS INT)" for i in range(ef.k)]
+    y = [X.elem("y_true", i) for i in range(ef.k)]
     return h, y
 
 
@@ -41,49 +39,44 @@ def counts_row(ef: EvalFrame, t=0.5, op: str = "gt", pred_col: str | None = None
     thresholding the scores (the reference's call without scores).
     """
     ef.require_truth()
-    if pred_col is None:
-        h, y = _row_terms(ef, t, op)
-    else:
-        h = [F.col(pred_col)[i].cast("int") for i in range(ef.k)]
-        y = [ef.y(i) for i in range(ef.k)]
-    aggs = [F.count(F.lit(1)).alias("n")]
+    h, y = _row_terms(ef, t, op, pred_col)
+    aggs = ["count(1) AS n"]
     for i in range(ef.k):
         aggs += [
-            F.count_if((h[i] == 1) & (y[i] == 1)).alias(f"tp_{i}"),
-            F.count_if((h[i] == 1) & (y[i] == 0)).alias(f"fp_{i}"),
-            F.count_if((h[i] == 0) & (y[i] == 1)).alias(f"fn_{i}"),
-            F.count_if((h[i] == 0) & (y[i] == 0)).alias(f"tn_{i}"),
+            f"count_if(({h[i]}) = 1 AND ({y[i]}) = 1) AS tp_{i}",
+            f"count_if(({h[i]}) = 1 AND ({y[i]}) = 0) AS fp_{i}",
+            f"count_if(({h[i]}) = 0 AND ({y[i]}) = 1) AS fn_{i}",
+            f"count_if(({h[i]}) = 0 AND ({y[i]}) = 0) AS tn_{i}",
         ]
-    exact = h[0] == y[0]
-    for i in range(1, ef.k):
-        exact = exact & (h[i] == y[i])
-    inter = _fixed_sum([h[i] * y[i] for i in range(ef.k)])
-    nh = _fixed_sum(h)
-    ny = _fixed_sum(y)
+    exact = X.all_of([f"({h[i]}) = ({y[i]})" for i in range(ef.k)])
+    inter = X.fsum([f"({h[i]}) * ({y[i]})" for i in range(ef.k)])
+    nh = X.fsum(h)
+    ny = X.fsum(y)
     aggs += [
-        F.count_if(exact).alias("exact"),
-        F.sum(safe_div(inter, nh)).alias("s_precision"),
-        F.sum(safe_div(inter, ny)).alias("s_recall"),
-        F.sum(safe_div(2 * inter, nh + ny)).alias("s_f1"),
+        f"count_if({exact}) AS exact",
+        f"sum({X.safe_div(inter, nh)}) AS s_precision",
+        f"sum({X.safe_div(inter, ny)}) AS s_recall",
+        f"sum({X.safe_div(f'2 * {inter}', f'{nh} + {ny}')}) AS s_f1",
     ]
-    return ef.df.agg(*aggs)
+    return ef.df.agg(*[F.expr(a) for a in aggs])
 
 
 def _label_metric_cols(i: int) -> dict:
-    tp, fp, fn, tn = (F.col(f"{m}_{i}") for m in ("tp", "fp", "fn", "tn"))
+    """SQL text of the per-label metrics over the counts row."""
+    tp, fp, fn, tn = (f"{m}_{i}" for m in ("tp", "fp", "fn", "tn"))
     return {
-        "precision": safe_div(tp, tp + fp),
-        "recall": safe_div(tp, tp + fn),
-        "f1": safe_div(2 * tp, 2 * tp + fp + fn),
-        "support": (tp + fn).cast("long"),
-        "accuracy": safe_div(tp + tn, F.col("n")),
-        "positive_count": (tp + fn).cast("long"),
-        "predicted_count": (tp + fp).cast("long"),
-        "true_positive": tp.cast("long"),
-        "false_positive": fp.cast("long"),
-        "false_negative": fn.cast("long"),
-        "true_negative": tn.cast("long"),
-        "specificity": safe_div(tn, tn + fp),
+        "precision": X.safe_div(tp, f"{tp} + {fp}"),
+        "recall": X.safe_div(tp, f"{tp} + {fn}"),
+        "f1": X.safe_div(f"2 * {tp}", f"2 * {tp} + {fp} + {fn}"),
+        "support": f"CAST({tp} + {fn} AS BIGINT)",
+        "accuracy": X.safe_div(f"{tp} + {tn}", "n"),
+        "positive_count": f"CAST({tp} + {fn} AS BIGINT)",
+        "predicted_count": f"CAST({tp} + {fp} AS BIGINT)",
+        "true_positive": f"CAST({tp} AS BIGINT)",
+        "false_positive": f"CAST({fp} AS BIGINT)",
+        "false_negative": f"CAST({fn} AS BIGINT)",
+        "true_negative": f"CAST({tn} AS BIGINT)",
+        "specificity": X.safe_div(tn, f"{tn} + {fp}"),
     }
 
 
@@ -92,13 +85,14 @@ PER_LABEL_COLUMNS = ["precision", "recall", "f1", "support", "accuracy", "positi
                      "false_negative", "true_negative", "specificity"]
 
 
+def _label_struct(i: int, name: str, fields: list, m: dict, key: str = "label_idx",
+                  name_key: str = "label") -> str:
+    return X.named_struct([(key, X.lit(i)), (name_key, X.lit(name))] + [(f, m[f]) for f in fields])
+
+
 def _unpivot_labels(row: DataFrame, ef: EvalFrame, fields: list, builder) -> DataFrame:
-    structs = []
-    for i, name in enumerate(ef.names):
-        m = builder(i)
-        structs.append(F.struct(F.lit(i).alias("label_idx"), F.lit(name).alias("label"),
-                                *[m[f].alias(f) for f in fields]))
-    return row.select(F.inline(F.array(*structs)))
+    structs = [_label_struct(i, name, fields, builder(i)) for i, name in enumerate(ef.names)]
+    return row.select(X.inline_rows(structs))
 
 
 def confusion(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
@@ -106,7 +100,7 @@ def confusion(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     row = counts_row(ef, t, op)
 
     def b(i):
-        return {m: F.col(f"{m}_{i}").cast("long") for m in ("tn", "fp", "fn", "tp")}
+        return {m: f"CAST({m}_{i} AS BIGINT)" for m in ("tn", "fp", "fn", "tp")}
     return _unpivot_labels(row, ef, ["tn", "fp", "fn", "tp"], b)
 
 
@@ -115,34 +109,35 @@ def per_label_metrics(ef: EvalFrame, t=0.5, op: str = "gt", row: DataFrame | Non
     return _unpivot_labels(row, ef, PER_LABEL_COLUMNS, _label_metric_cols)
 
 
-def _macro(metric: str, k: int) -> Column:
-    return _fixed_sum([_label_metric_cols(i)[metric] for i in range(k)]) / F.lit(float(k))
+def _macro(metric: str, k: int) -> str:
+    return f"({X.fsum([_label_metric_cols(i)[metric] for i in range(k)])} / {X.lit(float(k))})"
 
 
 def _micro(k: int) -> dict:
-    tp = _fixed_sum([F.col(f"tp_{i}") for i in range(k)])
-    fp = _fixed_sum([F.col(f"fp_{i}") for i in range(k)])
-    fn = _fixed_sum([F.col(f"fn_{i}") for i in range(k)])
-    return {"precision": safe_div(tp, tp + fp), "recall": safe_div(tp, tp + fn),
-            "f1": safe_div(2 * tp, 2 * tp + fp + fn), "support": (tp + fn).cast("long")}
+    tp = X.fsum([f"tp_{i}" for i in range(k)])
+    fp = X.fsum([f"fp_{i}" for i in range(k)])
+    fn = X.fsum([f"fn_{i}" for i in range(k)])
+    return {"precision": X.safe_div(tp, f"{tp} + {fp}"), "recall": X.safe_div(tp, f"{tp} + {fn}"),
+            "f1": X.safe_div(f"2 * {tp}", f"2 * {tp} + {fp} + {fn}"),
+            "support": f"CAST({tp} + {fn} AS BIGINT)"}
 
 
-def _weighted(metric: str, k: int) -> Column:
-    num = _fixed_sum([_label_metric_cols(i)[metric] * (F.col(f"tp_{i}") + F.col(f"fn_{i}"))
-                      for i in range(k)])
-    den = _fixed_sum([F.col(f"tp_{i}") + F.col(f"fn_{i}") for i in range(k)])
-    return safe_div(num, den)
+def _weighted(metric: str, k: int) -> str:
+    num = X.fsum([f"{_label_metric_cols(i)[metric]} * (tp_{i} + fn_{i})" for i in range(k)])
+    den = X.fsum([f"tp_{i} + fn_{i}" for i in range(k)])
+    return X.safe_div(num, den)
 
 
 def overall_columns(k: int) -> dict:
-    fp = _fixed_sum([F.col(f"fp_{i}") for i in range(k)])
-    fn = _fixed_sum([F.col(f"fn_{i}") for i in range(k)])
+    """SQL text of the overall measures over the counts row."""
+    fp = X.fsum([f"fp_{i}" for i in range(k)])
+    fn = X.fsum([f"fn_{i}" for i in range(k)])
     micro = _micro(k)
-    exact = safe_div(F.col("exact"), F.col("n"))
+    exact = X.safe_div("exact", "n")
     return {
         "exact_match_accuracy": exact,
         "subset_accuracy": exact,
-        "hamming_loss": safe_div(fp + fn, F.col("n") * F.lit(k)),
+        "hamming_loss": X.safe_div(f"{fp} + {fn}", f"n * {X.lit(k)}"),
         "macro_precision": _macro("precision", k),
         "macro_recall": _macro("recall", k),
         "macro_f1": _macro("f1", k),
@@ -153,34 +148,35 @@ def overall_columns(k: int) -> dict:
 
 
 def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
-                    auc_buckets: int = 1024) -> DataFrame:
+                    auc_partitions: int | None = None) -> DataFrame:
     """E10 overall row: exact match, subset accuracy, Hamming, macro/micro P/R/F1,
     and macro AUC (a null per-label AUC counts as 0.5)."""
     row = counts_row(ef, t, op)
     cols = overall_columns(ef.k)
-    out = row.select(*[c.alias(n) for n, c in cols.items()])
     if not with_auc:
-        return out
+        return row.selectExpr(*[f"{c} AS {n}" for n, c in cols.items()])
     from .auc import macro_auc_row
-    auc = macro_auc_row(ef, auc_buckets)
+    auc = macro_auc_row(ef, auc_partitions)
     # one-row frames meet through a union and a max, never a join
     names = list(cols) + ["macro_auc"]
-    left = out.select(*[F.col(n) for n in cols], F.lit(None).cast("double").alias("macro_auc"))
-    right = auc.select(*[F.lit(None).cast("double").alias(n) for n in cols], F.col("macro_auc"))
-    return left.unionByName(right).agg(*[F.max(n).alias(n) for n in names])
+    left = row.selectExpr(*[f"{c} AS {n}" for n, c in cols.items()], "CAST(NULL AS DOUBLE) AS macro_auc")
+    right = auc.selectExpr(*[f"CAST(NULL AS DOUBLE) AS {n}" for n in cols], "macro_auc")
+    return left.unionByName(right).groupBy().agg(*[F.expr(f"max({n}) AS {n}") for n in names])
 
 
 def sample_average_cols() -> dict:
-    n = F.col("n")
-    return {"precision": F.round(safe_div(F.col("s_precision"), n), ROUND),
-            "recall": F.round(safe_div(F.col("s_recall"), n), ROUND),
-            "f1": F.round(safe_div(F.col("s_f1"), n), ROUND)}
+    return {m: f"round({X.safe_div(f's_{m}', 'n')}, {ROUND})" for m in ("precision", "recall", "f1")}
 
 
 def averages(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     """Micro, macro, weighted and samples averages, one row each."""
     row = counts_row(ef, t, op)
-    return _average_rows(row, ef.k)
+    return row.select(X.inline_rows(_average_structs(ef.k)))
+
+
+def _report_struct(order: int, name: str, p: str, r: str, f: str, support: str) -> str:
+    return X.named_struct([("row_order", X.lit(order)), ("row_name", X.lit(name)),
+                           ("precision", p), ("recall", r), ("f1", f), ("support", support)])
 
 
 def _average_structs(k: int) -> list:
@@ -193,13 +189,7 @@ def _average_structs(k: int) -> list:
         ("weighted avg", _weighted("precision", k), _weighted("recall", k), _weighted("f1", k)),
         ("samples avg", samples["precision"], samples["recall"], samples["f1"]),
     ]
-    return [F.struct(F.lit(k + j).alias("row_order"), F.lit(name).alias("row_name"),
-                     p.alias("precision"), r.alias("recall"), f.alias("f1"), support.alias("support"))
-            for j, (name, p, r, f) in enumerate(rows)]
-
-
-def _average_rows(row: DataFrame, k: int) -> DataFrame:
-    return row.select(F.inline(F.array(*_average_structs(k))))
+    return [_report_struct(k + j, name, p, r, f, support) for j, (name, p, r, f) in enumerate(rows)]
 
 
 def classification_report(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
@@ -209,31 +199,29 @@ def classification_report(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     structs = []
     for i, name in enumerate(ef.names):
         m = _label_metric_cols(i)
-        structs.append(F.struct(F.lit(i).alias("row_order"), F.lit(name).alias("row_name"),
-                                m["precision"].alias("precision"), m["recall"].alias("recall"),
-                                m["f1"].alias("f1"), m["support"].alias("support")))
-    return row.select(F.inline(F.array(*structs, *_average_structs(ef.k))))
+        structs.append(_report_struct(i, name, m["precision"], m["recall"], m["f1"], m["support"]))
+    return row.select(X.inline_rows(structs + _average_structs(ef.k)))
 
 
 def exact_match(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     row = counts_row(ef, t, op)
-    e = safe_div(F.col("exact"), F.col("n"))
-    return row.select(e.alias("exact_match_accuracy"), e.alias("subset_accuracy"))
+    e = X.safe_div("exact", "n")
+    return row.selectExpr(f"{e} AS exact_match_accuracy", f"{e} AS subset_accuracy")
 
 
 def hamming_loss(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     row = counts_row(ef, t, op)
-    return row.select(overall_columns(ef.k)["hamming_loss"].alias("hamming_loss"))
+    return row.selectExpr(f"{overall_columns(ef.k)['hamming_loss']} AS hamming_loss")
 
 
-def evaluate(ef: EvalFrame, t=0.5, op: str = "gt", auc_buckets: int = 1024) -> dict:
+def evaluate(ef: EvalFrame, t=0.5, op: str = "gt", auc_partitions: int | None = None) -> dict:
     """Overall row, per-label table and confusion table of one threshold.
 
     Cache ``ef.df`` first when several sections are computed: they share the
     scan only through the cache (each action runs its own plan).
     """
     return {
-        "overall": overall_metrics(ef, t, op, True, auc_buckets),
+        "overall": overall_metrics(ef, t, op, True, auc_partitions),
         "per_label": per_label_metrics(ef, t, op),
         "confusion": confusion(ef, t, op),
     }

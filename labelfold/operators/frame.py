@@ -59,11 +59,9 @@ def with_pred(ef: EvalFrame, t=0.5, op: str = "gt", name: str = "y_pred") -> Dat
 
 def long_form(ef: EvalFrame, extra: list | None = None) -> DataFrame:
     """(keys..., label_idx, y, p): one row per cell; only for label-wise work."""
-    cells = F.array(*[F.struct(F.lit(i).alias("label_idx"),
-                               ef.y(i).alias("y"), ef.p(i).alias("p"))
-                      for i in range(ef.k)])
+    cells = [f"named_struct('label_idx', {i}, 'y', y_true[{i}], 'p', score[{i}])" for i in range(ef.k)]
     cols = [F.col(c) for c in ef.keys] + [F.col(c) for c in (extra or [])]
-    return ef.df.select(*cols, F.inline(cells))
+    return ef.df.select(*cols, F.expr(f"inline(array({', '.join(cells)}))"))
 
 
 def from_wide(df: DataFrame, keys, labels: LabelDictionary, truth_cols=None,

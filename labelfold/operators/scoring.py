@@ -16,31 +16,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import above, per_label, sigmoid
+from ..functions import sqltext as X
+from ..functions.labels import per_label
 
 
-def dot_literal(x: Column, w: Sequence[float]) -> Column:
+def dot_literal(x: str, w: Sequence[float]) -> str:
     """x . w for a literal weight vector (one higher-order fold over x)."""
-    wl = F.array(*[F.lit(float(v)) for v in w])
-    return F.aggregate(F.zip_with(x, wl, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    wl = X.array_of([X.lit(float(v)) for v in w])
+    return f"aggregate(zip_with({x}, {wl}, (a, b) -> a * b), 0.0D, (acc, v) -> acc + v)"
 
 
 def linear_head(df: DataFrame, weights: Sequence[Sequence[float]], bias: Sequence[float],
                 features: str = "features", out: str = "logit") -> DataFrame:
     """D3: logits = x . W_k + b_k for K labels."""
-    z = F.array(*[dot_literal(F.col(features), w) + F.lit(float(b)) for w, b in zip(weights, bias)])
-    return df.withColumn(out, z)
+    x = X.ident(features)
+    z = X.array_of([f"{dot_literal(x, w)} + {X.lit(float(b))}" for w, b in zip(weights, bias)])
+    return df.withColumn(out, F.expr(z))
 
 
 def probabilities(df: DataFrame, k: int, logit: str = "logit", out: str = "score") -> DataFrame:
     """Independent sigmoid per label (not a softmax)."""
-    return df.withColumn(out, F.array(*[sigmoid(F.col(logit)[i]) for i in range(k)]))
+    return df.withColumn(out, F.expr(X.array_of([X.sigmoid(X.elem(logit, i)) for i in range(k)])))
 
 
-def top_index(score: Column, k: int) -> Column:
+def top_index_sql(score: str, k: int) -> str:
     """Index of the first maximum (smallest index on ties)."""
-    m = F.greatest(*[score[i] for i in range(k)]) if k > 1 else score[0]
-    return F.coalesce(*[F.when(score[i] == m, F.lit(i)) for i in range(k)])
+    s = [X.elem(score, i) for i in range(k)]
+    m = f"greatest({', '.join(s)})" if k > 1 else s[0]
+    return f"coalesce({', '.join(f'CASE WHEN {s[i]} = {m} THEN {i} END' for i in range(k))})"
+
+
+def top_index(score: str, k: int) -> Column:
+    return F.expr(top_index_sql(score, k))
 
 
 def score_batch(df: DataFrame, names: Sequence[str], t=0.5, op: str = "ge",
@@ -52,41 +59,41 @@ def score_batch(df: DataFrame, names: Sequence[str], t=0.5, op: str = "ge",
     """
     k = len(names)
     ts = per_label(t, k)
-    s = F.col(score)
-    items = F.array(*[F.struct(F.lit(n).alias("name"), s[i].alias("probability"),
-                               above(s[i], ts[i], op).alias("predicted"))
-                      for i, n in enumerate(names)])
+    s = [X.elem(score, i) for i in range(k)]
+    items = X.array_of([X.named_struct([("name", X.lit(n)), ("probability", s[i]),
+                                        ("predicted", X.above(s[i], ts[i], op))])
+                        for i, n in enumerate(names)])
     if sort_labels:
-        idx = F.array(*[F.struct((-s[i]).alias("neg_p"), F.lit(i).alias("i")) for i in range(k)])
-        order = F.array_sort(idx)
-        items = F.transform(order, lambda e: items[e["i"]])
-    ti = top_index(s, k)
-    name_arr = F.array(*[F.lit(n) for n in names])
-    top = F.struct(name_arr[ti].alias("name"), s[ti].alias("probability"))
-    return df.withColumn("labels", items).withColumn("top", top)
+        order = X.array_of([X.named_struct([("neg_p", f"-{s[i]}"), ("i", X.lit(i))]) for i in range(k)])
+        items = f"transform(array_sort({order}), e -> {items}[e.i])"
+    ti = top_index_sql(score, k)
+    name_arr = X.array_of([X.lit(n) for n in names])
+    top = X.named_struct([("name", f"{name_arr}[{ti}]"), ("probability", f"{X.ident(score)}[{ti}]")])
+    return df.withColumn("labels", F.expr(items)).withColumn("top", F.expr(top))
 
 
-# --- losses -----------------------------------------------------------------------
+# --- losses (SQL text over a logit z and a 0/1 truth y) ------------------------------
 
 
-def softplus_neg_abs(z: Column) -> Column:
-    return F.log1p(F.exp(-F.abs(z)))
+def softplus_neg_abs(z: str) -> str:
+    return f"log1p(exp(-abs({z})))"
 
 
-def bce_cell(z: Column, y: Column, pos_weight: Column | None = None) -> Column:
+def bce_cell(z: str, y: str, pos_weight: str | None = None) -> str:
     """D5/D6 per cell, in the stable logits form:
     (1 - y) z + (1 + (w - 1) y) (log1p(exp(-|z|)) + max(-z, 0))."""
-    y = y.cast("double")
-    lw = F.lit(1.0) if pos_weight is None else (pos_weight - F.lit(1.0)) * y + F.lit(1.0)
-    return (F.lit(1.0) - y) * z + lw * (softplus_neg_abs(z) + F.greatest(-z, F.lit(0.0)))
+    yd = f"CAST({y} AS DOUBLE)"
+    lw = "1.0D" if pos_weight is None else f"(({pos_weight}) - 1.0D) * {yd} + 1.0D"
+    return (f"((1.0D - {yd}) * ({z}) + ({lw}) * "
+            f"({softplus_neg_abs(z)} + greatest(-({z}), 0.0D)))")
 
 
-def focal_cell(z: Column, y: Column, alpha: float = 1.0, gamma: float = 2.0) -> Column:
+def focal_cell(z: str, y: str, alpha: float = 1.0, gamma: float = 2.0) -> str:
     """D7 per cell: alpha * (1 - p_t)^gamma * BCE."""
-    p = sigmoid(z)
-    yd = y.cast("double")
-    pt = p * yd + (F.lit(1.0) - p) * (F.lit(1.0) - yd)
-    return F.lit(float(alpha)) * F.pow(F.lit(1.0) - pt, F.lit(float(gamma))) * bce_cell(z, y)
+    p = X.sigmoid(z)
+    yd = f"CAST({y} AS DOUBLE)"
+    pt = f"({p} * {yd} + (1.0D - {p}) * (1.0D - {yd}))"
+    return f"({X.lit(float(alpha))} * pow(1.0D - {pt}, {X.lit(float(gamma))}) * {bce_cell(z, y)})"
 
 
 LOSS_KINDS = ("bce", "weighted_bce", "focal")
@@ -95,21 +102,21 @@ LOSS_ROUND = 9         # digits of the reported mean
 SUM_ROUND = 6          # digits of the reported sum
 
 
-def fixed_point(x: Column) -> Column:
+def fixed_point(x: str) -> str:
     """Cell value as an integer number of 1e-9 units (round half up)."""
-    return F.floor(x * F.lit(FIXED_SCALE) + F.lit(0.5)).cast("decimal(18,0)")
+    return f"CAST(floor(({x}) * {X.lit(FIXED_SCALE)} + 0.5D) AS DECIMAL(18,0))"
 
 
-def exact_sum(x: Column) -> Column:
-    return F.sum(fixed_point(x))
+def exact_sum(x: str) -> str:
+    return f"sum({fixed_point(x)})"
 
 
-def from_fixed(total: Column) -> Column:
-    return total.cast("double") / F.lit(FIXED_SCALE)
+def from_fixed(total: str) -> str:
+    return f"(CAST({total} AS DOUBLE) / {X.lit(FIXED_SCALE)})"
 
 
-def loss_cell(kind: str, z: Column, y: Column, pos_weight: Column | None = None,
-              alpha: float = 1.0, gamma: float = 2.0) -> Column:
+def loss_cell(kind: str, z: str, y: str, pos_weight: str | None = None,
+              alpha: float = 1.0, gamma: float = 2.0) -> str:
     """Choose the loss; weighted without weights falls back to plain BCE."""
     if kind == "bce" or (kind == "weighted_bce" and pos_weight is None):
         return bce_cell(z, y)
@@ -120,19 +127,28 @@ def loss_cell(kind: str, z: Column, y: Column, pos_weight: Column | None = None,
     raise ValueError(f"unknown loss {kind!r}; expected one of {LOSS_KINDS}")
 
 
+def _long_cells(ef, logit: str, keys: bool) -> DataFrame:
+    cells = [X.named_struct([("label_idx", X.lit(i)), ("y", X.elem("y_true", i)),
+                             ("z", X.elem(logit, i))]) for i in range(ef.k)]
+    cols = [F.col(c) for c in ef.keys] if keys else []
+    return ef.df.select(*cols, X.inline_rows(cells))
+
+
+def _with_weights(long: DataFrame, pos_weights: DataFrame | None):
+    if pos_weights is None:
+        return long, None
+    # one row per label: broadcast bounded by K; a dropped label weighs 1.0
+    long = long.join(F.broadcast(pos_weights.select("label_idx", "pos_weight")), "label_idx", "left")
+    return long, "coalesce(pos_weight, 1.0D)"
+
+
 def loss_cells(ef, kind: str = "bce", logit: str = "logit", pos_weights: DataFrame | None = None,
                alpha: float = 1.0, gamma: float = 2.0) -> DataFrame:
     """(keys..., label_idx, loss): one row per cell (reduction 'none')."""
-    cells = F.array(*[F.struct(F.lit(i).alias("label_idx"), ef.y(i).alias("y"),
-                               F.col(logit)[i].alias("z")) for i in range(ef.k)])
-    long = ef.df.select(*ef.keys, F.inline(cells))
-    pw = None
-    if kind == "weighted_bce" and pos_weights is not None:
-        # one row per label: broadcast bounded by K; a dropped label weighs 1.0
-        long = long.join(F.broadcast(pos_weights.select("label_idx", "pos_weight")), "label_idx", "left")
-        pw = F.coalesce(F.col("pos_weight"), F.lit(1.0))
+    long, pw = _with_weights(_long_cells(ef, logit, True),
+                             pos_weights if kind == "weighted_bce" else None)
     return long.select(*ef.keys, "label_idx",
-                       loss_cell(kind, F.col("z"), F.col("y"), pw, alpha, gamma).alias("loss"))
+                       F.expr(loss_cell(kind, "z", "y", pw, alpha, gamma)).alias("loss"))
 
 
 def loss(ef, kind: str = "bce", reduction: str = "mean", logit: str = "logit",
@@ -141,33 +157,26 @@ def loss(ef, kind: str = "bce", reduction: str = "mean", logit: str = "logit",
     cells = loss_cells(ef, kind, logit, pos_weights, alpha, gamma)
     if reduction == "none":
         return cells
-    agg = cells.agg(exact_sum(F.col("loss")).alias("s"), F.count(F.lit(1)).alias("n"))
-    total = from_fixed(F.col("s"))
+    agg = cells.agg(F.expr(exact_sum("loss")).alias("s"), F.count(F.lit(1)).alias("n"))
+    total = from_fixed("s")
     if reduction == "sum":
-        return agg.select(F.round(total, SUM_ROUND).alias("loss"))
+        return agg.selectExpr(f"round({total}, {SUM_ROUND}) AS loss")
     if reduction == "mean":
-        return agg.select(F.round(total / F.col("n"), LOSS_ROUND).alias("loss"))
+        return agg.selectExpr(f"round({total} / n, {LOSS_ROUND}) AS loss")
     raise ValueError(f"unknown reduction {reduction!r}")
 
 
 def loss_summary(ef, kinds=LOSS_KINDS, logit: str = "logit", pos_weights: DataFrame | None = None,
                  alpha: float = 1.0, gamma: float = 2.0) -> DataFrame:
     """All requested losses, mean and sum, from ONE scan: (kind, mean, sum, n)."""
-    cells = F.array(*[F.struct(F.lit(i).alias("label_idx"), ef.y(i).alias("y"),
-                               F.col(logit)[i].alias("z")) for i in range(ef.k)])
-    long = ef.df.select(F.inline(cells))
-    pw = None
-    if pos_weights is not None:
-        long = long.join(F.broadcast(pos_weights.select("label_idx", "pos_weight")), "label_idx", "left")
-        pw = F.coalesce(F.col("pos_weight"), F.lit(1.0))
+    long, pw = _with_weights(_long_cells(ef, logit, False), pos_weights)
     aggs = [F.count(F.lit(1)).alias("n")]
     for kd in kinds:
-        c = loss_cell(kd, F.col("z"), F.col("y"), pw, alpha, gamma)
-        aggs.append(exact_sum(c).alias(f"s_{kd}"))
+        aggs.append(F.expr(exact_sum(loss_cell(kd, "z", "y", pw, alpha, gamma))).alias(f"s_{kd}"))
     row = long.agg(*aggs)
-    structs = [F.struct(F.lit(kd).alias("kind"),
-                        F.round(from_fixed(F.col(f"s_{kd}")) / F.col("n"), LOSS_ROUND).alias("mean"),
-                        F.round(from_fixed(F.col(f"s_{kd}")), SUM_ROUND).alias("sum"),
-                        F.col("n").cast("long").alias("n"))
+    structs = [X.named_struct([("kind", X.lit(kd)),
+                               ("mean", f"round({from_fixed(f's_{kd}')} / n, {LOSS_ROUND})"),
+                               ("sum", f"round({from_fixed(f's_{kd}')}, {SUM_ROUND})"),
+                               ("n", "CAST(n AS BIGINT)")])
                for kd in kinds]
-    return row.select(F.inline(F.array(*structs)))
+    return row.select(X.inline_rows(structs))

@@ -39,35 +39,33 @@ def l_dictionary() -> LabelDictionary:
     return make_dictionary(L_LABELS, L_DESCRIPTIONS, L_EN)
 
 
-def _l_truth(li: DataFrame) -> list:
-    return [
-        (F.col("l_returnflag") == "R").cast("int"),
-        (F.col("l_discount") >= 0.05).cast("int"),
-        (F.col("l_quantity") >= 25).cast("int"),
-        (F.col("l_extendedprice") >= 50000).cast("int"),
-    ]
+# truth of frame L, one SQL condition per label (fixed, as L_DESCRIPTIONS)
+L_TRUTH_SQL = (
+    "l_returnflag = 'R'",
+    "l_discount >= 0.05D",
+    "l_quantity >= 25",
+    "l_extendedprice >= 50000",
+)
 
 
-def l_score(i: int, y):
-    mix = (F.col("l_orderkey") * (31 + i) + F.col("l_partkey") * (17 + i)
-           + F.col("l_linenumber") * (7 + i)) % 1000
-    return mix.cast("double") / F.lit(1000.0) * F.lit(0.7) + F.lit(0.3) * y.cast("double")
+def l_score_sql(i: int, y: str) -> str:
+    mix = f"((l_orderkey * {31 + i} + l_partkey * {17 + i} + l_linenumber * {7 + i}) % 1000)"
+    return f"CAST({mix} AS DOUBLE) / 1000.0D * 0.7D + 0.3D * CAST({y} AS DOUBLE)"
 
 
 def frame_l(spark: SparkSession, sf_dir: str) -> EvalFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    ys = _l_truth(li)
-    df = li.select(*[F.col(c) for c in L_KEYS],
-                   F.array(*ys).alias("y_true"),
-                   F.array(*[l_score(i, ys[i]) for i in range(len(ys))]).alias("score"))
+    ys = [f"CAST({c} AS INT)" for c in L_TRUTH_SQL]
+    df = li.selectExpr(*L_KEYS, f"array({', '.join(ys)}) AS y_true",
+                       f"array({', '.join(l_score_sql(i, y) for i, y in enumerate(ys))}) AS score")
     return EvalFrame(df, L_KEYS, l_dictionary())
 
 
 def frame_l_logits(spark: SparkSession, sf_dir: str) -> EvalFrame:
     """Frame L with the score turned into a logit z = (p - 0.5) * 6."""
     ef = frame_l(spark, sf_dir)
-    z = F.array(*[(F.col("score")[i] - F.lit(0.5)) * F.lit(6.0) for i in range(ef.k)])
-    return ef.with_df(ef.df.withColumn("logit", z))
+    z = ", ".join(f"(score[{i}] - 0.5D) * 6.0D" for i in range(ef.k))
+    return ef.with_df(ef.df.selectExpr("*", f"array({z}) AS logit"))
 
 
 # --- frame D: documents with their quality/toxic labels --------------------

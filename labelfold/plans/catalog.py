@@ -715,7 +715,7 @@ def q_score_stream(spark, sf):
         items = F.array(*[F.struct(F.lit(n).alias("name"), F.col("score")[i].alias("probability"),
                                    (F.col("score")[i] >= F.col("threshold")).alias("predicted"))
                           for i, n in enumerate(V_NAMES)])
-        ti = sc.top_index(F.col("score"), 10)
+        ti = sc.top_index("score", 10)
         names = F.array(*[F.lit(n) for n in V_NAMES])
         return s.select("vec_id", "threshold", items.alias("labels"),
                         F.struct(names[ti].alias("name"), F.col("score")[ti].alias("probability")).alias("top"))

@@ -55,12 +55,33 @@ def test_overall_and_auc(micro):
     assert auc["a"] == A(1.0) and auc["b"] == A(0.833333, abs=1e-6) and auc["c"] is None
 
 
-def test_auc_small_buckets_equal(micro):
-    a1 = {r["label"]: r["auc"] for r in auc_ops.roc_auc(micro, buckets=1).collect()}
-    a2 = {r["label"]: r["auc"] for r in auc_ops.roc_auc(micro, buckets=7).collect()}
+def test_auc_partition_count_invariant(micro):
+    a1 = {r["label"]: r["auc"] for r in auc_ops.roc_auc(micro, partitions=1).collect()}
+    a2 = {r["label"]: r["auc"] for r in auc_ops.roc_auc(micro, partitions=7).collect()}
     assert a1 == a2
 
 
+def test_auc_clustered_scores_vs_brute_force(spark):
+    """Scores packed into a tiny range with many ties (the case that makes a
+    fixed score bucket hot) against the pairwise definition."""
+    import numpy as np
+    from labelfold.functions.dictionary import make_dictionary
+    from labelfold.operators.frame import EvalFrame
+    rng = np.random.default_rng(7)
+    n = 400
+    y = rng.integers(0, 2, size=(n, 2))
+    p = np.where(rng.random((n, 2)) < 0.7, rng.integers(0, 5, size=(n, 2)) * 1e-7,
+                 rng.random((n, 2)))
+    rows = [(i, [int(a) for a in y[i]], [float(b) for b in p[i]]) for i in range(n)]
+    df = spark.createDataFrame(rows, "row_id long, y_true array<int>, score array<double>")
+    ef = EvalFrame(df, ("row_id",), make_dictionary(["u", "v"]))
+    got = {r["label_idx"]: r["auc"] for r in auc_ops.roc_auc(ef, partitions=5).collect()}
+    for k in range(2):
+        ps, ns = p[y[:, k] == 1, k], p[y[:, k] == 0, k]
+        wins = (ps[:, None] > ns[None, :]).sum() + 0.5 * (ps[:, None] == ns[None, :]).sum()
+        assert got[k] == A(wins / (len(ps) * len(ns)), abs=1e-12)
+
+
 def test_sweep_and_best(micro):
     sw = {r["t_idx"]: r for r in an.threshold_sweep(micro).collect()}
     expect = {  # t: exact, macro P, macro R, macro F1, Hamming
