@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dictionary import LabelDictionary
-from ..functions.labels import half_even_ratio, safe_div
+from ..functions import sqltext as X
 
 # --- B1, B5, B6, B7: normalisation ------------------------------------------
 
@@ -145,53 +145,49 @@ def rejected(validated: DataFrame) -> DataFrame:
 def _split_stats_row(df: DataFrame, labels: LabelDictionary, by: str | None,
                      total_name: str = "all") -> DataFrame:
     """One row per split plus the total ("all"), from one rollup aggregate."""
-    card = None
-    for n in labels.names:
-        c = F.col(f"`{n}`").cast("int")
-        card = c if card is None else card + c
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(card).alias("card_sum"),
-            F.max(card).alias("card_max"), F.count_if(card == 0).alias("none"),
-            F.count_if(card > 1).alias("several")]
-    aggs += [F.sum(F.col(f"`{n}`").cast("int")).alias(f"c_{i}") for i, n in enumerate(labels.names)]
+    bits = [f"CAST({X.ident(n)} AS INT)" for n in labels.names]
+    card = " + ".join(bits)
+    aggs = ["count(1) AS n", f"sum({card}) AS card_sum", f"max({card}) AS card_max",
+            f"count_if(({card}) = 0) AS none", f"count_if(({card}) > 1) AS several"]
+    aggs += [f"sum({b}) AS c_{i}" for i, b in enumerate(bits)]
     if by is None:
-        return df.agg(*aggs).withColumn("split", F.lit(total_name))
-    g = df.rollup(by).agg(*aggs, F.grouping(by).alias("_g"))
-    named = g.withColumn("_split", F.when(F.col("_g") == 1, F.lit(total_name))
-                         .otherwise(F.col(by).cast("string")))
+        return df.agg(*[F.expr(a) for a in aggs]).withColumn("split", F.lit(total_name))
+    g = df.rollup(by).agg(*[F.expr(a) for a in aggs], F.grouping(by).alias("_g"))
+    named = g.withColumn("_split", F.expr(f"CASE WHEN _g = 1 THEN {X.lit(total_name)} "
+                                          f"ELSE CAST({X.ident(by)} AS STRING) END"))
     return named.drop("_g", by).withColumnRenamed("_split", "split")
 
 
-def _split_cols() -> list:
-    return [F.col("split"),
-            F.col("n").cast("long").alias("total_samples"),
-            safe_div(F.col("card_sum"), F.col("n")).alias("avg_labels_per_sample"),
-            F.col("card_max").cast("long").alias("max_labels_per_sample"),
-            F.col("none").cast("long").alias("samples_with_no_labels"),
-            F.col("several").cast("long").alias("samples_with_multiple_labels")]
+SPLIT_COLUMNS = ["split", "CAST(n AS BIGINT) AS total_samples",
+                 f"{X.safe_div('card_sum', 'n')} AS avg_labels_per_sample",
+                 "CAST(card_max AS BIGINT) AS max_labels_per_sample",
+                 "CAST(none AS BIGINT) AS samples_with_no_labels",
+                 "CAST(several AS BIGINT) AS samples_with_multiple_labels"]
 
 
-def _label_structs(labels: LabelDictionary) -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("label_idx"), F.lit(n).alias("label"),
-                              F.col(f"c_{i}").cast("long").alias("count"),
-                              (safe_div(F.col(f"c_{i}"), F.col("n")) * F.lit(100.0)).alias("percentage"))
-                     for i, n in enumerate(labels.names)])
+def _label_rows(labels: LabelDictionary) -> str:
+    structs = [X.named_struct([("label_idx", X.lit(i)), ("label", X.lit(n)),
+                               ("count", f"CAST(c_{i} AS BIGINT)"),
+                               ("percentage", f"{X.safe_div(f'c_{i}', 'n')} * 100.0D")])
+               for i, n in enumerate(labels.names)]
+    return f"inline({X.array_of(structs)})"
 
 
 def label_distribution(df: DataFrame, labels: LabelDictionary, by: str | None = "split") -> DataFrame:
     """(split, label_idx, label, count, percentage) with the 'all' total."""
     row = _split_stats_row(df, labels, by)
-    return row.select("split", F.inline(_label_structs(labels)))
+    return row.selectExpr("split", _label_rows(labels))
 
 
 def cardinality_stats(df: DataFrame, labels: LabelDictionary, by: str | None = "split") -> DataFrame:
     """Rows, mean/max labels per row, rows with none, rows with several."""
-    return _split_stats_row(df, labels, by).select(*_split_cols())
+    return _split_stats_row(df, labels, by).selectExpr(*SPLIT_COLUMNS)
 
 
 def dataset_statistics(df: DataFrame, labels: LabelDictionary, by: str | None = "split") -> DataFrame:
     """C1 and C2 together, one row per (split, label), from one aggregate."""
     row = _split_stats_row(df, labels, by)
-    return row.select(*_split_cols(), F.inline(_label_structs(labels)))
+    return row.selectExpr(*SPLIT_COLUMNS, _label_rows(labels))
 
 
 # --- C4-C7: class weights -------------------------------------------------------------
@@ -199,6 +195,20 @@ def dataset_statistics(df: DataFrame, labels: LabelDictionary, by: str | None =
 INVERSE_FREQUENCY_EPS = 1e-6
 
 
+def half_even_ratio_sql(num: str, den: str, digits: int = 3) -> str:
+    """Exact half-to-even rounding of the rational num/den to ``digits``
+    (integer arithmetic only, as ``half_even_ratio``)."""
+    scale = 10 ** digits
+    n = f"(CAST({num} AS BIGINT) * {scale})"
+    d0 = f"CAST({den} AS BIGINT)"
+    d = f"(CASE WHEN {d0} = 0 THEN 1 ELSE {d0} END)"
+    r = f"pmod({n}, {d})"
+    q = f"CAST(({n} - {r}) / {d} AS BIGINT)"
+    q_adj = (f"CASE WHEN {r} * 2 > {d} THEN {q} + 1 "
+             f"WHEN {r} * 2 = {d} AND {q} % 2 = 1 THEN {q} + 1 ELSE {q} END")
+    return f"(CASE WHEN {d0} = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST({q_adj} AS DOUBLE) / {X.lit(float(scale))} END)"
+
+
 def class_weights(df: DataFrame, labels: LabelDictionary, method: str = "neg_pos",
                   splits: list | None = None, split_col: str = "split",
                   drop_empty: bool = True) -> DataFrame:
@@ -212,30 +222,28 @@ def class_weights(df: DataFrame, labels: LabelDictionary, method: str = "neg_pos
     """
     src = df if splits is None else df.filter(F.col(split_col).isin(list(splits)))
     k = labels.k
-    row = src.agg(F.count(F.lit(1)).alias("n"),
-                  *[F.sum(F.col(f"`{n}`").cast("long")).alias(f"c_{i}")
+    row = src.agg(F.expr("count(1) AS n"),
+                  *[F.expr(f"coalesce(sum(CAST({X.ident(n)} AS BIGINT)), 0) AS c_{i}")
                     for i, n in enumerate(labels.names)])
-    row = row.select("n", *[F.coalesce(F.col(f"c_{i}"), F.lit(0)).alias(f"c_{i}") for i in range(k)])
-    pos = [F.col(f"c_{i}") for i in range(k)]
-    neg = [F.col("n") - p for p in pos]
+    pos = [f"c_{i}" for i in range(k)]
+    neg = [f"(n - c_{i})" for i in range(k)]
     if method == "neg_pos":
-        w = [F.when(p > 0, half_even_ratio(ng, p, 3)).otherwise(F.lit(1.0)) for p, ng in zip(pos, neg)]
+        w = [f"CASE WHEN {p} > 0 THEN {half_even_ratio_sql(ng, p, 3)} ELSE 1.0D END"
+             for p, ng in zip(pos, neg)]
     elif method == "balanced":
-        w = [F.when(p > 0, ng.cast("double") / p.cast("double")).otherwise(F.lit(1.0))
+        w = [f"CASE WHEN {p} > 0 THEN CAST({ng} AS DOUBLE) / CAST({p} AS DOUBLE) ELSE 1.0D END"
              for p, ng in zip(pos, neg)]
     elif method == "inverse_frequency":
-        raw = [F.lit(1.0) / (safe_div(p, F.col("n")) + F.lit(INVERSE_FREQUENCY_EPS)) for p in pos]
-        total = raw[0]
-        for r in raw[1:]:
-            total = total + r
-        w = [r / total * F.lit(float(k)) for r in raw]
+        raw = [f"(1.0D / ({X.safe_div(p, 'n')} + {X.lit(INVERSE_FREQUENCY_EPS)}))" for p in pos]
+        total = "(" + " + ".join(raw) + ")"
+        w = [f"{r} / {total} * {X.lit(float(k))}" for r in raw]
     else:
-        w = [F.lit(1.0) for _ in pos]
-    structs = [F.struct(F.lit(i).alias("label_idx"), F.lit(n).alias("label"),
-                        pos[i].cast("long").alias("n_pos"), neg[i].cast("long").alias("n_neg"),
-                        w[i].alias("pos_weight"))
+        w = ["1.0D" for _ in pos]
+    structs = [X.named_struct([("label_idx", X.lit(i)), ("label", X.lit(n)),
+                               ("n_pos", f"CAST({pos[i]} AS BIGINT)"),
+                               ("n_neg", f"CAST({neg[i]} AS BIGINT)"), ("pos_weight", w[i])])
                for i, n in enumerate(labels.names)]
-    out = row.select(F.inline(F.array(*structs)))
+    out = row.select(X.inline_rows(structs))
     if method == "neg_pos" and drop_empty:
         out = out.filter(F.col("n_pos") > 0)
     return out
