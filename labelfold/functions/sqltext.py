@@ -110,3 +110,32 @@ def count_below(x: str, ts: Sequence[float], inclusive: bool = False) -> str:
 def expr(text: str, alias: str | None = None) -> Column:
     c = F.expr(text)
     return c.alias(alias) if alias else c
+
+
+# --- label vectors (``vec`` is SQL text of an array<int>) ---------------------------
+
+def binarize(score: str, k: int, ts: Sequence[float], op: str = "gt") -> str:
+    """Scores -> 0/1 int vector with one threshold per label."""
+    return array_of([as_int(above(elem(score, i), ts[i], op)) for i in range(k)])
+
+
+def vec_elem(vec: str, i: int) -> str:
+    return f"({vec})[{i}]"
+
+
+def vector_sum(vec: str, k: int) -> str:
+    return "(" + " + ".join(vec_elem(vec, i) for i in range(k)) + ")"
+
+
+def decode_names(vec: str, names: Sequence[str], empty_as: str | None = None, sep: str = ",") -> str:
+    """Vector -> names of its 1 entries joined by ``sep``; empty -> ``empty_as``."""
+    parts = ", ".join(f"CASE WHEN {vec_elem(vec, i)} = 1 THEN {lit(n)} END" for i, n in enumerate(names))
+    joined = f"concat_ws({lit(sep)}, {parts})"
+    if empty_as is None:
+        return joined
+    return f"(CASE WHEN {joined} = '' THEN {lit(empty_as)} ELSE {joined} END)"
+
+
+def vector_key(vec: str, k: int) -> str:
+    """Vector rendered as '0,1,0': orders like the vector itself (0/1 entries)."""
+    return "concat_ws(',', " + ", ".join(f"CAST({vec_elem(vec, i)} AS STRING)" for i in range(k)) + ")"

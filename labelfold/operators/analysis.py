@@ -9,8 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.labels import (above, binarize, decode_names, safe_div,
-                                vector_key, vector_sum)
+from ..functions.labels import per_label
 from ..functions import sqltext as X
 from . import auc as auc_ops
 from . import evaluate as ev
@@ -104,23 +103,22 @@ def per_label_report(ef: EvalFrame, t=0.5, op: str = "gt", auc_partitions: int |
 def prediction_distribution(ef: EvalFrame, t=0.5, op: str = "gt", truth: bool = False) -> DataFrame:
     """E15 (and C1/C2 on the truth when ``truth``): per-label counts plus the
     per-row cardinality summary, from one aggregate."""
-    vec = F.col("y_true") if truth else binarize("score", ef.k, t, op)
-    card = vector_sum(vec, ef.k)
-    row = ef.df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(card).alias("card_sum"), F.max(card).alias("card_max"),
-        F.count_if(card == 0).alias("none"), F.count_if(card > 1).alias("several"),
-        *[F.sum(vec[i]).alias(f"c_{i}") for i in range(ef.k)])
-    structs = [F.struct(F.lit(i).alias("label_idx"), F.lit(n).alias("label"),
-                        F.col(f"c_{i}").cast("long").alias("predicted_count"))
+    vec = X.ident("y_true") if truth else X.binarize("score", ef.k, per_label(t, ef.k), op)
+    card = X.vector_sum(vec, ef.k)
+    aggs = ["count(1) AS n", f"sum({card}) AS card_sum", f"max({card}) AS card_max",
+            f"count_if({card} = 0) AS none", f"count_if({card} > 1) AS several"]
+    aggs += [f"sum({X.vec_elem(vec, i)}) AS c_{i}" for i in range(ef.k)]
+    row = ef.df.agg(*[F.expr(a) for a in aggs])
+    structs = [X.named_struct([("label_idx", X.lit(i)), ("label", X.lit(n)),
+                               ("predicted_count", f"CAST(c_{i} AS BIGINT)")])
                for i, n in enumerate(ef.names)]
-    return row.select(
-        F.inline(F.array(*structs)),
-        F.col("n").cast("long").alias("total_samples"),
-        safe_div(F.col("card_sum"), F.col("n")).alias("avg_labels_per_sample"),
-        F.col("card_max").cast("long").alias("max_labels_per_sample"),
-        F.col("none").cast("long").alias("samples_with_no_labels"),
-        F.col("several").cast("long").alias("samples_with_multiple_labels"))
+    return row.selectExpr(
+        f"inline({X.array_of(structs)})",
+        "CAST(n AS BIGINT) AS total_samples",
+        f"{X.safe_div('card_sum', 'n')} AS avg_labels_per_sample",
+        "CAST(card_max AS BIGINT) AS max_labels_per_sample",
+        "CAST(none AS BIGINT) AS samples_with_no_labels",
+        "CAST(several AS BIGINT) AS samples_with_multiple_labels")
 
 
 def label_combinations(ef: EvalFrame, t=0.5, op: str = "gt", top: int = 10,
@@ -131,8 +129,8 @@ def label_combinations(ef: EvalFrame, t=0.5, op: str = "gt", top: int = 10,
     the top-k is a TakeOrderedAndProject, the total a union with one row and a
     window over those k+1 rows, so no join and no global sort.
     """
-    vec = F.col("y_true") if truth else binarize("score", ef.k, t, op)
-    groups = ef.df.select(vector_key(vec, ef.k).alias("vector")).groupBy("vector").agg(
+    vec = X.ident("y_true") if truth else X.binarize("score", ef.k, per_label(t, ef.k), op)
+    groups = ef.df.select(F.expr(X.vector_key(vec, ef.k)).alias("vector")).groupBy("vector").agg(
         F.count(F.lit(1)).alias("count"))
     top_rows = (groups.orderBy(F.col("count").desc(), F.col("vector").desc()).limit(top)
                 .withColumn("kind", F.lit("top")))
@@ -142,11 +140,10 @@ def label_combinations(ef: EvalFrame, t=0.5, op: str = "gt", top: int = 10,
     w = Window.partitionBy(F.lit(0))
     n = F.max(F.when(F.col("kind") == "total", F.col("count"))).over(w)
     ranked = both.withColumn("n", n).filter(F.col("kind") == "top")
-    bits = F.split(F.col("vector"), ",")
-    names = decode_names(F.transform(bits, lambda x: x.cast("int")), ef.names, empty_as)
+    bits = "transform(split(vector, ','), x -> CAST(x AS INT))"
     rank = F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("vector").desc()))
     return ranked.select(
-        rank.alias("rank"), names.alias("labels"), "vector",
+        rank.alias("rank"), F.expr(X.decode_names(bits, ef.names, empty_as)).alias("labels"), "vector",
         F.col("count").cast("long").alias("count"),
         (F.col("count") / F.col("n") * F.lit(100.0)).alias("percentage"))
 
@@ -160,28 +157,26 @@ def hard_examples(ef: EvalFrame, n: int = 20, empty_as: str = "clean",
     wrong at 0.5], confidence = mean |p - 0.5|; top n, ties by key descending.
     A TakeOrderedAndProject: each task keeps n rows, nothing is sorted globally."""
     k = ef.k
-    conf = vector_sum(F.array(*[F.abs(ef.p(i) - F.lit(0.5)) for i in range(k)]), k) / F.lit(float(k))
-    h = binarize("score", k, 0.5, "gt")
-    correct = F.lit(True)
-    for i in range(k):
-        correct = correct & (h[i] == ef.y(i))
-    hard = (F.lit(1.0) - F.col("confidence")) * F.lit(0.5) + F.when(
-        F.col("is_correct"), F.lit(0.0)).otherwise(F.lit(0.5))
+    dist = [f"abs({X.elem('score', i)} - 0.5D)" for i in range(k)]
+    conf = f"({' + '.join(dist)}) / {X.lit(float(k))}"
+    h = X.binarize("score", k, [0.5] * k, "gt")
+    correct = X.all_of([f"{X.vec_elem(h, i)} = {X.elem('y_true', i)}" for i in range(k)])
     base = ef.df.select(
         *ef.keys, *(["text"] if text else []), "y_true", "score",
-        h.alias("y_pred"), conf.alias("confidence"), correct.alias("is_correct"))
-    base = base.withColumn("hardness", F.round(hard, HARD_ROUND))
+        F.expr(h).alias("y_pred"), F.expr(conf).alias("confidence"), F.expr(correct).alias("is_correct"))
+    base = base.withColumn("hardness", F.expr(
+        f"round((1.0D - confidence) * 0.5D + CASE WHEN is_correct THEN 0.0D ELSE 0.5D END, {HARD_ROUND})"))
     order = [F.col("hardness").desc()] + [F.col(c).desc() for c in ef.keys]
     top = base.orderBy(*order).limit(n)
     rank = F.row_number().over(Window.orderBy(*order))
     return top.select(
         rank.alias("rank"), *ef.keys, *(["text"] if text else []),
-        decode_names("y_true", ef.names, empty_as).alias("true_labels"),
-        decode_names("y_pred", ef.names, empty_as).alias("predicted_labels"),
-        F.round("confidence", HARD_ROUND).alias("confidence"),
-        F.col("is_correct").cast("int").alias("is_correct"),
+        F.expr(X.decode_names(X.ident("y_true"), ef.names, empty_as)).alias("true_labels"),
+        F.expr(X.decode_names(X.ident("y_pred"), ef.names, empty_as)).alias("predicted_labels"),
+        F.expr(f"round(confidence, {HARD_ROUND})").alias("confidence"),
+        F.expr("CAST(is_correct AS INT)").alias("is_correct"),
         "hardness",
-        *[F.col("score")[i].alias(f"prob_{i}") for i in range(k)])
+        *[F.expr(f"{X.elem('score', i)} AS prob_{i}") for i in range(k)])
 
 
 def histogram_range(lo: Column, hi: Column, bins: int) -> list:

@@ -744,7 +744,7 @@ def q_recent_history_stream(spark, sf):
 
 # --- single-measure queries and label decoding (B2, B9, B10, E8, E9) ----------------------
 
-from ..functions.labels import binarize, decode_names  # noqa: E402
+from ..functions import sqltext as X  # noqa: E402
 
 
 @register("exact_match",
@@ -768,11 +768,11 @@ def q_hamming_loss(spark, sf):
           "AS predicted_labels_en FROM l")
 def q_decode_labels(spark, sf):
     ef = B.frame_l(spark, sf)
-    h = binarize("score", ef.k, 0.5, "gt")
+    h = X.binarize("score", ef.k, [0.5] * ef.k, "gt")
     en = [ef.labels.en(n) for n in ef.names]
-    return ef.df.select(*ef.keys, decode_names("y_true", ef.names, "clean").alias("true_labels"),
-                        decode_names(h, ef.names, "clean").alias("predicted_labels"),
-                        decode_names(h, en, ef.labels.en("clean")).alias("predicted_labels_en"))
+    return ef.df.selectExpr(*ef.keys, f"{X.decode_names('y_true', ef.names, 'clean')} AS true_labels",
+                            f"{X.decode_names(h, ef.names, 'clean')} AS predicted_labels",
+                            f"{X.decode_names(h, en, ef.labels.en('clean'))} AS predicted_labels_en")
 
 
 @register("union_splits",
