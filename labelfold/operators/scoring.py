@@ -107,6 +107,12 @@ def fixed_point(x: str) -> str:
     return f"CAST(floor(({x}) * {X.lit(FIXED_SCALE)} + 0.5D) AS DECIMAL(18,0))"
 
 
+def fixed_point_long(x: str) -> str:
+    """As ``fixed_point`` but BIGINT: for adding a row's K cells exactly
+    before one decimal cast per row (a row total stays far below 2**63)."""
+    return f"CAST(floor(({x}) * {X.lit(FIXED_SCALE)} + 0.5D) AS BIGINT)"
+
+
 def exact_sum(x: str) -> str:
     return f"sum({fixed_point(x)})"
 
@@ -166,14 +172,33 @@ def loss(ef, kind: str = "bce", reduction: str = "mean", logit: str = "logit",
     raise ValueError(f"unknown reduction {reduction!r}")
 
 
+def weight_literals(pos_weights: DataFrame | None, k: int) -> list | None:
+    """K per-label weights as SQL literals (a label missing from the table
+    weighs 1.0).  The table has one row per label, so collecting it is
+    bounded by K, like a model's parameters."""
+    if pos_weights is None:
+        return None
+    got = {int(r["label_idx"]): r["pos_weight"]
+           for r in pos_weights.select("label_idx", "pos_weight").collect()}
+    return [X.lit(float(got[i])) if got.get(i) is not None else "1.0D" for i in range(k)]
+
+
 def loss_summary(ef, kinds=LOSS_KINDS, logit: str = "logit", pos_weights: DataFrame | None = None,
                  alpha: float = 1.0, gamma: float = 2.0) -> DataFrame:
-    """All requested losses, mean and sum, from ONE scan: (kind, mean, sum, n)."""
-    long, pw = _with_weights(_long_cells(ef, logit, False), pos_weights)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    """All requested losses, mean and sum, from ONE scan: (kind, mean, sum, n).
+
+    No explode: every row adds its K fixed-point cells as BIGINT (each cell
+    is still rounded on its own), and the row totals are summed as decimals,
+    so the total is the exact per-cell sum and cannot overflow; ``n`` counts
+    cells (rows x K)."""
+    k = ef.k
+    pw = weight_literals(pos_weights, k)
+    aggs = [F.expr(f"count(1) * {k} AS n")]
     for kd in kinds:
-        aggs.append(F.expr(exact_sum(loss_cell(kd, "z", "y", pw, alpha, gamma))).alias(f"s_{kd}"))
-    row = long.agg(*aggs)
+        cells = [fixed_point_long(loss_cell(kd, X.elem(logit, i), X.elem("y_true", i),
+                                            pw[i] if pw else None, alpha, gamma)) for i in range(k)]
+        aggs.append(F.expr(f"sum(CAST({' + '.join(cells)} AS DECIMAL(18,0))) AS s_{kd}"))
+    row = ef.df.agg(*aggs)
     structs = [X.named_struct([("kind", X.lit(kd)),
                                ("mean", f"round({from_fixed(f's_{kd}')} / n, {LOSS_ROUND})"),
                                ("sum", f"round({from_fixed(f's_{kd}')}, {SUM_ROUND})"),
