@@ -179,59 +179,65 @@ def hard_examples(ef: EvalFrame, n: int = 20, empty_as: str = "clean",
         *[F.expr(f"{X.elem('score', i)} AS prob_{i}") for i in range(k)])
 
 
-def histogram_range(lo: Column, hi: Column, bins: int) -> list:
-    """(lo2, hi2, step, norm) of numpy.histogram; lo == hi widens to +-0.5."""
-    lo2 = F.when(lo == hi, lo - F.lit(0.5)).otherwise(lo)
-    hi2 = F.when(lo == hi, hi + F.lit(0.5)).otherwise(hi)
-    return [lo2.alias("lo2"), hi2.alias("hi2"),
-            ((hi2 - lo2) / F.lit(float(bins))).alias("step"),
-            (F.lit(float(bins)) / (hi2 - lo2)).alias("norm")]
+def histogram_range(lo: float, hi: float, bins: int) -> tuple:
+    """(lo2, hi2, step, norm) of numpy.histogram; lo == hi widens to +-0.5
+    (IEEE double arithmetic, the same values the JVM would compute)."""
+    lo2, hi2 = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+    return lo2, hi2, (hi2 - lo2) / float(bins), float(bins) / (hi2 - lo2)
 
 
-def _edge(j: Column, bins: int) -> Column:
-    return F.when(j == bins, F.col("hi2")).otherwise(j.cast("double") * F.col("step") + F.col("lo2"))
+def histogram_bin_stages(p: str, rng: tuple, bins: int, i: int) -> tuple:
+    """SQL text of numpy.histogram's bin of p in three stages, each a column
+    of the previous select (_i0_i, _i1_i, bin_i): equal bins, last one closed,
+    with numpy's corrections for values that fall on an edge after rounding."""
+    lo2, hi2, step, norm = (X.lit(float(v)) for v in rng)
 
-
-def histogram_bins(df: DataFrame, p: str, bins: int) -> DataFrame:
-    """Add ``bin``: numpy.histogram's bin of p given columns lo2, hi2, step, norm
-    (equal bins, last one closed, with numpy's edge corrections), computed in
-    stages so every intermediate is evaluated once."""
-    i0 = F.floor((F.col(p) - F.col("lo2")) * F.col("norm")).cast("int")
-    d = df.withColumn("_i0", F.when(i0 == bins, F.lit(bins - 1)).otherwise(i0))
-    d = d.withColumn("_i1", F.when(F.col(p) < _edge(F.col("_i0"), bins), F.col("_i0") - 1)
-                     .otherwise(F.col("_i0")))
-    d = d.withColumn("bin", F.when((F.col(p) >= _edge(F.col("_i1") + 1, bins)) & (F.col("_i1") != bins - 1),
-                                   F.col("_i1") + 1).otherwise(F.col("_i1")))
-    return d.drop("_i0", "_i1")
+    def edge(j):
+        return f"CASE WHEN {j} = {bins} THEN {hi2} ELSE CAST({j} AS DOUBLE) * {step} + {lo2} END"
+    i0 = f"CAST(floor(({p} - {lo2}) * {norm}) AS INT)"
+    return (f"CASE WHEN {i0} = {bins} THEN {bins - 1} ELSE {i0} END",
+            f"CASE WHEN {p} < {edge(f'_i0_{i}')} THEN _i0_{i} - 1 ELSE _i0_{i} END",
+            f"CASE WHEN {p} >= {edge(f'_i1_{i} + 1')} AND _i1_{i} != {bins - 1} "
+            f"THEN _i1_{i} + 1 ELSE _i1_{i} END")
 
 
 def score_histogram(ef: EvalFrame, bins: int = 50) -> DataFrame:
     """Per-label equal-width histogram over that label's [min, max].
 
-    Pass 1: min/max per label (K rows) -> broadcast (bounded by K);
-    pass 2: groupBy(label, bin) partial+final.  Empty bins come from a K*bins
-    grid of the small side merged by union + aggregate (no join on the bin,
-    so no inferred filter re-evaluates the bin expression).
+    Pass 1: one aggregate of min/max per label; the K ranges (bounded by K,
+    like model parameters) come back as literals.  Pass 2: every row computes
+    its K bins in the wide frame (no join, no explode of the scores), emits K
+    (label, bin) pairs and one partial+final aggregate counts them.  Empty
+    bins come from a K*bins grid merged by union + aggregate.
     """
-    cells = long_form(ef).select("label_idx", "p")
-    rng = (cells.groupBy("label_idx").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
-           .select("label_idx", *histogram_range(F.col("lo"), F.col("hi"), bins)))
-    binned = histogram_bins(cells.join(F.broadcast(rng), "label_idx"), "p", bins)
-    nulls = [F.lit(None).cast("double").alias(c) for c in ("lo2", "hi2", "step")]
-    counts = (binned.groupBy("label_idx", "bin").agg(F.count(F.lit(1)).alias("count"))
-              .select("label_idx", "bin", *nulls, "count"))
-    grid = rng.select("label_idx", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-                      "lo2", "hi2", "step", F.lit(0).cast("long").alias("count"))
-    merged = counts.unionByName(grid).groupBy("label_idx", "bin").agg(
-        F.sum("count").alias("count"), F.max("lo2").alias("lo2"), F.max("hi2").alias("hi2"),
-        F.max("step").alias("step"))
-    names = F.array(*[F.lit(n) for n in ef.names])
-    return merged.select(
-        "label_idx", names[F.col("label_idx")].alias("label"), "bin",
-        (F.col("bin").cast("double") * F.col("step") + F.col("lo2")).alias("bin_lo"),
-        F.when(F.col("bin") == bins - 1, F.col("hi2"))
-        .otherwise((F.col("bin") + 1).cast("double") * F.col("step") + F.col("lo2")).alias("bin_hi"),
-        F.col("count").cast("long").alias("count"))
+    k = ef.k
+    ext = ef.df.agg(*[F.expr(f"{fn}({X.elem('score', i)}) AS {fn}_{i}")
+                      for i in range(k) for fn in ("min", "max")]).collect()[0]
+    labels = [i for i in range(k) if ext[f"min_{i}"] is not None]
+    rng = {i: histogram_range(float(ext[f"min_{i}"]), float(ext[f"max_{i}"]), bins) for i in labels}
+    stages = {i: histogram_bin_stages(X.elem("score", i), rng[i], bins, i) for i in labels}
+    d = ef.df.selectExpr("score", *[f"{stages[i][0]} AS _i0_{i}" for i in labels])
+    d = d.selectExpr("score", *[f"_i0_{i}" for i in labels], *[f"{stages[i][1]} AS _i1_{i}" for i in labels])
+    d = d.selectExpr(*[f"{stages[i][2]} AS bin_{i}" for i in labels])
+    pairs = [X.named_struct([("label_idx", X.lit(i)), ("bin", f"bin_{i}")]) for i in labels]
+    counts = (d.select(X.inline_rows(pairs)).groupBy("label_idx", "bin")
+              .agg(F.count(F.lit(1)).alias("count")))
+    ids = X.array_of([X.lit(i) for i in labels])
+    grid = ef.df.sparkSession.range(len(labels) * bins).selectExpr(
+        f"{ids}[CAST(id DIV {bins} AS INT)] AS label_idx", f"CAST(id % {bins} AS INT) AS bin",
+        "CAST(0 AS BIGINT) AS count")
+    merged = counts.unionByName(grid).groupBy("label_idx", "bin").agg(F.sum("count").alias("count"))
+
+    def per_label(j):
+        return X.array_of([X.lit(float(rng[i][j])) if i in rng else "CAST(NULL AS DOUBLE)" for i in range(k)])
+    lo2, hi2, step = per_label(0), per_label(1), per_label(2)
+    names = X.array_of([X.lit(n) for n in ef.names])
+    return merged.selectExpr(
+        "label_idx", f"{names}[label_idx] AS label", "bin",
+        f"CAST(bin AS DOUBLE) * {step}[label_idx] + {lo2}[label_idx] AS bin_lo",
+        f"CASE WHEN bin = {bins - 1} THEN {hi2}[label_idx] "
+        f"ELSE CAST(bin + 1 AS DOUBLE) * {step}[label_idx] + {lo2}[label_idx] END AS bin_hi",
+        "CAST(count AS BIGINT) AS count")
 
 
 def evaluation_report(ef: EvalFrame, path: str, t=0.5, op: str = "gt",
