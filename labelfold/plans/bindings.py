@@ -123,10 +123,17 @@ def frame_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- frame H: events as run logs --------------------------------------------
 
-def frame_h_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run_id, ts, event_id, metric, value): events read as metric records."""
+def frame_h_events(spark: SparkSession, sf_dir: str, metrics=None) -> DataFrame:
+    """(run_id, ts, event_id, metric, value): events read as metric records.
+
+    ``metrics`` keeps only those metrics, filtered on the source column so
+    the filter reaches the parquet scan (a filter on the mapped name cannot).
+    """
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id",
                                                     "event_type", "value")
+    if metrics is not None:
+        kinds = [k for k, v in RUN_METRICS.items() if v in set(metrics)]
+        ev = ev.filter(F.col("event_type").isin(kinds))
     metric = F.create_map(*[x for k, v in RUN_METRICS.items() for x in (F.lit(k), F.lit(v))])
     return ev.select(F.col("user_id").alias("run_id"), "ts", "event_id",
                      metric[F.col("event_type")].alias("metric"), "value")
@@ -160,7 +167,7 @@ def centroid_head(spark: SparkSession, sf_dir: str) -> tuple:
 
 # --- frame H: run log with a global step --------------------------------------
 
-def frame_h(spark: SparkSession, sf_dir: str) -> DataFrame:
+def frame_h(spark: SparkSession, sf_dir: str, metrics=None) -> DataFrame:
     """(run_id, step, ts, metric, value): step = event_id, which grows with ts."""
-    return frame_h_events(spark, sf_dir).select(
+    return frame_h_events(spark, sf_dir, metrics).select(
         "run_id", F.col("event_id").alias("step"), "ts", "metric", "value")

@@ -508,12 +508,12 @@ def _best_sql(metric: str, mode: str) -> str:
 
 @register("best_metric", _best_sql("eval_f1", "max"))
 def q_best_metric(spark, sf):
-    return rn.best_metric(B.frame_h(spark, sf), "eval_f1", "max")
+    return rn.best_metric(B.frame_h(spark, sf, ["eval_f1"]), "eval_f1", "max")
 
 
 @register("best_checkpoint", _best_sql("eval_loss", "min"))
 def q_best_checkpoint(spark, sf):
-    return rn.best_checkpoint(B.frame_h(spark, sf), "eval_loss")
+    return rn.best_checkpoint(B.frame_h(spark, sf, ["eval_loss"]), "eval_loss")
 
 
 def _early_stop_sql(metric: str, patience: int, delta: float) -> str:
@@ -536,7 +536,8 @@ def _early_stop_sql(metric: str, patience: int, delta: float) -> str:
 
 @register("early_stop", _early_stop_sql("eval_f1", rn.DEFAULT_PATIENCE, rn.DEFAULT_MIN_DELTA))
 def q_early_stop(spark, sf):
-    return rn.early_stop(B.frame_h(spark, sf), "eval_f1", rn.DEFAULT_PATIENCE, rn.DEFAULT_MIN_DELTA, "max")
+    return rn.early_stop(B.frame_h(spark, sf, ["eval_f1"]), "eval_f1", rn.DEFAULT_PATIENCE,
+                         rn.DEFAULT_MIN_DELTA, "max")
 
 
 @register("early_stop_all_steps",
@@ -779,9 +780,11 @@ def q_decode_labels(spark, sf):
           f"WITH {D_SQL} SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(sum(quality) AS BIGINT) AS quality, "
           "CAST(sum(toxic) AS BIGINT) AS toxic FROM d GROUP BY split")
 def q_union_splits(spark, sf):
-    d = B.frame_d(spark, sf).drop("split")
-    both = cp.union_splits(train=d.filter(F.col("doc_id") % B.VALID_MODULUS != 0),
-                           valid=d.filter(F.col("doc_id") % B.VALID_MODULUS == 0))
+    # the two raw splits of the corpus (the whole table, split by its rule),
+    # concatenated again with their provenance
+    d = B.frame_d(spark, sf)
+    both = cp.union_splits(train=d.filter(F.col("split") == "train").drop("split"),
+                           valid=d.filter(F.col("split") == "valid").drop("split"))
     return both.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
                                      F.sum("quality").cast("long").alias("quality"),
                                      F.sum("toxic").cast("long").alias("toxic"))

@@ -41,3 +41,9 @@ def test_auc_range_partitions_scores(spark):
     # scores are range-partitioned (balanced by sampling), never windowed per label
     p = plan(QUERIES["roc_auc"](spark, SF_SMALL))
     assert "rangepartitioning(label_idx" in p.lower() and "MapInPandas" in p
+
+
+@pytest.mark.parametrize("name", ["best_metric", "best_checkpoint"])
+def test_run_log_metric_filter_reaches_scan(spark, name):
+    pushed = [ln for ln in plan(QUERIES[name](spark, SF_SMALL)).split("\n") if "PushedFilters" in ln]
+    assert pushed and all("event_type" in ln.split("PushedFilters")[1].split("]")[0] for ln in pushed)
