@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import sqltext as X
 from ..session import cut_lineage
 from .ordering import chunked_fold, global_index
 
@@ -171,10 +172,17 @@ CURVE_METRICS = ("train_loss", "eval_loss", "eval_f1", "eval_accuracy", "learnin
 def training_curves(log: DataFrame, metrics=CURVE_METRICS, run: str = "run_id",
                     order: str = "step", nullable=("macro_auc",)) -> DataFrame:
     """the series behind the training plots, one row per (run, step) and
-    one column per metric; a missing metric is 0 except the nullable ones."""
-    g = log.groupBy(run, order).pivot("metric", list(metrics)).agg(F.first("value"))
-    cols = [F.col(m) if m in nullable else F.coalesce(F.col(m), F.lit(0.0)).alias(m) for m in metrics]
-    return g.select(run, order, *cols)
+    one column per metric; a missing metric is 0 except the nullable ones.
+
+    A pivot over a fixed metric list written as conditional aggregates: one
+    partial+final aggregate on (run, step) (``pivot`` would aggregate on
+    (run, step, metric) first, a second shuffle), and ``max`` keeps the
+    result deterministic if a metric is logged twice at one step."""
+    aggs = []
+    for m in metrics:
+        v = f"max(CASE WHEN metric = {X.lit(m)} THEN value END)"
+        aggs.append(F.expr(v if m in nullable else f"coalesce({v}, 0.0D)").alias(m))
+    return log.groupBy(run, order).agg(*aggs)
 
 
 def recent_steps(log: DataFrame, n: int, run: str = "run_id", order: str = "step") -> DataFrame:
