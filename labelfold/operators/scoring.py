@@ -140,21 +140,13 @@ def _long_cells(ef, logit: str, keys: bool) -> DataFrame:
     return ef.df.select(*cols, X.inline_rows(cells))
 
 
-def _with_weights(long: DataFrame, pos_weights: DataFrame | None):
-    if pos_weights is None:
-        return long, None
-    # one row per label: broadcast bounded by K; a dropped label weighs 1.0
-    long = long.join(F.broadcast(pos_weights.select("label_idx", "pos_weight")), "label_idx", "left")
-    return long, "coalesce(pos_weight, 1.0D)"
-
-
 def loss_cells(ef, kind: str = "bce", logit: str = "logit", pos_weights: DataFrame | None = None,
                alpha: float = 1.0, gamma: float = 2.0) -> DataFrame:
     """(keys..., label_idx, loss): one row per cell (reduction 'none')."""
-    long, pw = _with_weights(_long_cells(ef, logit, True),
-                             pos_weights if kind == "weighted_bce" else None)
-    return long.select(*ef.keys, "label_idx",
-                       F.expr(loss_cell(kind, "z", "y", pw, alpha, gamma)).alias("loss"))
+    pw = weight_literals(pos_weights if kind == "weighted_bce" else None, ef.k)
+    weight = f"{X.array_of(pw)}[label_idx]" if pw else None
+    return _long_cells(ef, logit, True).select(
+        *ef.keys, "label_idx", F.expr(loss_cell(kind, "z", "y", weight, alpha, gamma)).alias("loss"))
 
 
 def loss(ef, kind: str = "bce", reduction: str = "mean", logit: str = "logit",
@@ -174,12 +166,19 @@ def loss(ef, kind: str = "bce", reduction: str = "mean", logit: str = "logit",
 
 def weight_literals(pos_weights: DataFrame | None, k: int) -> list | None:
     """K per-label weights as SQL literals (a label missing from the table
-    weighs 1.0).  The table has one row per label, so collecting it is
-    bounded by K, like a model's parameters."""
+    weighs 1.0).  At most one row per label index 0..K-1 is accepted, and at
+    most K + 1 rows are ever fetched, so what reaches the driver is bounded by
+    K, like a model's parameters; a duplicate label is an error."""
     if pos_weights is None:
         return None
-    got = {int(r["label_idx"]): r["pos_weight"]
-           for r in pos_weights.select("label_idx", "pos_weight").collect()}
+    rows = (pos_weights.select("label_idx", "pos_weight")
+            .filter((F.col("label_idx") >= 0) & (F.col("label_idx") < k)).limit(k + 1).collect())
+    got = {}
+    for r in rows:
+        i = int(r["label_idx"])
+        if i in got:
+            raise ValueError(f"pos_weights has more than one row for label_idx {i}")
+        got[i] = r["pos_weight"]
     return [X.lit(float(got[i])) if got.get(i) is not None else "1.0D" for i in range(k)]
 
 

@@ -90,3 +90,17 @@ def test_linear_head_matches_numpy(spark):
     for i, r in enumerate(got):
         assert r["score"] == A(ref[i].tolist(), abs=1e-12)
     assert not math.isnan(got[0]["logit"][0])
+
+
+def test_weighted_cells_sum_to_summary_and_reject_duplicates(micro, spark):
+    from labelfold.operators.frame import EvalFrame
+    ef = EvalFrame(micro.df.withColumn("logit", F.expr("transform(score, p -> (p - 0.5D) * 6.0D)")),
+                   micro.keys, micro.labels)
+    pw = spark.createDataFrame([(0, 2.0), (2, 3.0)], "label_idx int, pos_weight double")
+    cells = sc.loss(ef, "weighted_bce", "none", pos_weights=pw)
+    total = cells.agg(F.sum("loss")).collect()[0][0]
+    summ = sc.loss_summary(ef, ["weighted_bce"], pos_weights=pw).collect()[0]
+    assert cells.count() == 18 and total == A(summ["sum"], abs=1e-5)
+    dup = spark.createDataFrame([(0, 2.0), (0, 3.0)], "label_idx int, pos_weight double")
+    with pytest.raises(ValueError):
+        sc.loss_summary(ef, ["weighted_bce"], pos_weights=dup)
