@@ -29,7 +29,7 @@ HEADLINE = [
     "score_histogram", "evaluation_loss", "dataset_statistics", "class_weights_neg_pos",
     "truth_label_combinations", "linear_head_scores", "score_batch", "length_profile",
     "best_metric", "early_stop", "training_curves", "recent_history", "validate_requests",
-    "detailed_predictions",
+    "detailed_predictions", "fit_linear_head_focal", "fit_binary_relevance",
 ]
 ROW_SIZED = {"detailed_predictions", "linear_head_scores", "score_batch", "training_curves",
              "validate_requests", "recent_history"}

@@ -62,13 +62,16 @@ def best_metric(log: DataFrame, metric: str, mode: str = "max", run: str = "run_
     per_run = per_run.select(run, F.col("b.value").alias("best_value"),
                              F.col("b.best_step").alias("best_step"), "n_values")
     # one row per run on the right: AQE broadcasts it when it is small at run
-    # time and splits a hot run's partition (skew join) when it is not
-    pos = (s.join(per_run.select(run, "best_step"), run)
-           .groupBy(run).agg(F.count_if(F.col(order) < F.col("best_step")).alias("best_position")))
-    return per_run.join(pos, run).select(
-        run, F.lit(metric).alias("metric"), "best_value", "best_step",
-        F.col("best_position").cast("long").alias("best_position"),
-        F.col("n_values").cast("long").alias("n_values"))
+    # time and splits a hot run's partition (skew join) when it is not; the
+    # per-run columns ride along the join (equal on every row of a run), so
+    # one partial+final aggregate finishes the result
+    return (s.join(per_run, run).groupBy(run).agg(
+        F.max("best_value").alias("best_value"), F.max("best_step").alias("best_step"),
+        F.count_if(F.col(order) < F.col("best_step")).alias("best_position"),
+        F.max("n_values").alias("n_values"))
+        .select(run, F.lit(metric).alias("metric"), "best_value", "best_step",
+                F.col("best_position").cast("long").alias("best_position"),
+                F.col("n_values").cast("long").alias("n_values")))
 
 
 def best_checkpoint(log: DataFrame, metric: str = "eval_f1", run: str = "run_id",
