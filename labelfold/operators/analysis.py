@@ -125,25 +125,41 @@ def label_combinations(ef: EvalFrame, t=0.5, op: str = "gt", top: int = 10,
                        truth: bool = False, empty_as: str = "clean") -> DataFrame:
     """Most frequent exact label sets, count and share of rows.
 
-    ``groupBy(vector)`` is a partial + final aggregate (at most 2^K groups);
+    ``groupBy(vector)`` is a partial + final aggregate (at most 2^K groups,
+    on a bitmask for predicted vectors);
     the top-k is a TakeOrderedAndProject, the total a union with one row and a
     window over those k+1 rows, so no join and no global sort.
     """
-    vec = X.ident("y_true") if truth else X.binarize("score", ef.k, per_label(t, ef.k), op)
-    groups = ef.df.select(F.expr(X.vector_key(vec, ef.k)).alias("vector")).groupBy("vector").agg(
-        F.count(F.lit(1)).alias("count"))
-    top_rows = (groups.orderBy(F.col("count").desc(), F.col("vector").desc()).limit(top)
-                .withColumn("kind", F.lit("top")))
+    k = ef.k
+    if truth or k > 62:
+        vec = X.ident("y_true") if truth else X.binarize("score", k, per_label(t, k), op)
+        groups = ef.df.select(F.expr(X.vector_key(vec, k)).alias("vector")).groupBy("vector").agg(
+            F.count(F.lit(1)).alias("count"))
+        top_rows = (groups.orderBy(F.col("count").desc(), F.col("vector").desc()).limit(top)
+                    .withColumn("kind", F.lit("top")))
+    else:
+        # predicted bits are 0/1 by construction: group on a bitmask (first
+        # label = highest bit, so it orders like the '0,1,..' text) and format
+        # the text only for the top rows
+        ts = per_label(t, k)
+        bits = [f"shiftleft(CAST({X.above(X.elem('score', i), ts[i], op)} AS BIGINT), {k - 1 - i})"
+                for i in range(k)]
+        groups = ef.df.select(F.expr(" + ".join(bits)).alias("mask")).groupBy("mask").agg(
+            F.count(F.lit(1)).alias("count"))
+        text = "concat_ws(',', " + ", ".join(
+            f"CAST(shiftright(mask, {k - 1 - i}) & 1 AS STRING)" for i in range(k)) + ")"
+        top_rows = (groups.orderBy(F.col("count").desc(), F.col("mask").desc()).limit(top)
+                    .select(F.expr(text).alias("vector"), "count", F.lit("top").alias("kind")))
     total = groups.agg(F.sum("count").alias("count")).select(
         F.lit(None).cast("string").alias("vector"), "count", F.lit("total").alias("kind"))
     both = top_rows.unionByName(total)
     w = Window.partitionBy(F.lit(0))
     n = F.max(F.when(F.col("kind") == "total", F.col("count"))).over(w)
     ranked = both.withColumn("n", n).filter(F.col("kind") == "top")
-    bits = "transform(split(vector, ','), x -> CAST(x AS INT))"
+    names_of = "transform(split(vector, ','), x -> CAST(x AS INT))"
     rank = F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("vector").desc()))
     return ranked.select(
-        rank.alias("rank"), F.expr(X.decode_names(bits, ef.names, empty_as)).alias("labels"), "vector",
+        rank.alias("rank"), F.expr(X.decode_names(names_of, ef.names, empty_as)).alias("labels"), "vector",
         F.col("count").cast("long").alias("count"),
         (F.col("count") / F.col("n") * F.lit(100.0)).alias("percentage"))
 

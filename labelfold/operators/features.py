@@ -60,19 +60,34 @@ def length_profile(df: DataFrame, lengths: Sequence[int] = PROFILE_LENGTHS, text
     return row.select(F.inline(F.array(*structs)))
 
 
+def term_frequencies(df: DataFrame, dim: int = 1 << 12, text: str = "text",
+                     out: str = "tf") -> DataFrame:
+    """D2, first half: lower-cased whitespace tokens hashed into ``dim``
+    term-frequency buckets (a narrow projection; persist it when it feeds
+    both an IDF fit and a model fit, so the texts are tokenized once)."""
+    from pyspark.ml.feature import HashingTF, RegexTokenizer
+
+    tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern="\\s+", toLowercase=True)
+    tf = HashingTF(inputCol="_tokens", outputCol=out, numFeatures=dim)
+    return tf.transform(tok.transform(df)).drop("_tokens")
+
+
+def inverse_document_frequency(tf_df: DataFrame, tf: str = "tf", out: str = "features"):
+    """D2, second half: fit IDF (one distributed document-frequency aggregate
+    of ``dim`` counts) and weight the term frequencies.  Returns (frame, model)."""
+    from pyspark.ml.feature import IDF
+
+    model = IDF(inputCol=tf, outputCol=out).fit(tf_df)
+    return model.transform(tf_df).drop(tf), model
+
+
 def text_features(df: DataFrame, dim: int = 1 << 12, text: str = "text", out: str = "features",
                   idf: bool = True):
     """Hashed term frequencies (+ IDF) as an ML vector column.
 
-    Returns (frame, fitted pipeline model).  The IDF fit is one distributed
+    Returns (frame, fitted IDF model or None).  The IDF fit is one distributed
     document-frequency aggregate; the transform is a narrow projection.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-
-    tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern="\\s+", toLowercase=True)
-    tf = HashingTF(inputCol="_tokens", outputCol="_tf" if idf else out, numFeatures=dim)
-    stages = [tok, tf] + ([IDF(inputCol="_tf", outputCol=out)] if idf else [])
-    model = Pipeline(stages=stages).fit(df)
-    res = model.transform(df).drop("_tokens", *(["_tf"] if idf else []))
-    return res, model
+    if not idf:
+        return term_frequencies(df, dim, text, out), None
+    return inverse_document_frequency(term_frequencies(df, dim, text, "_tf"), "_tf", out)

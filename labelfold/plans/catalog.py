@@ -612,10 +612,18 @@ def q_text_features(spark, sf):
 def q_fit_binary_relevance(spark, sf):
     d = B.frame_d(spark, sf)
     train = d.filter(F.col("split") == "train")
+    # K weights (bounded by K) reach the driver as the model's parameters do
     weights = {r["label"]: r["pos_weight"] for r in
                cp.class_weights(train, B.d_dictionary(), "neg_pos").collect()}
-    feats, _ = ft.text_features(train.withColumn("y_true", F.array("quality", "toxic")), 1 << 10)
-    _, summary = fit_ops.fit_binary_relevance(feats, D_NAMES, pos_weights=weights, max_iter=10)
+    # tokenize once: the persisted term frequencies feed the IDF fit and the
+    # (cached) training frame of the K logistic regressions
+    tf = ft.term_frequencies(train.select(F.array("quality", "toxic").alias("y_true"), "text"),
+                             1 << 10).drop("text").persist()
+    try:
+        feats, _ = ft.inverse_document_frequency(tf)
+        _, summary = fit_ops.fit_binary_relevance(feats, D_NAMES, pos_weights=weights, max_iter=10)
+    finally:
+        tf.unpersist()
     return summary
 
 
