@@ -41,15 +41,18 @@ def global_index(df: DataFrame, order_cols: list, name: str = "gidx",
 
 
 def chunked_fold(rows: DataFrame, group_cols: list, index_col: str, value_col: str,
-                 zero: Column, combine, chunk: int = 4096, max_rows_log2: int = 45) -> DataFrame:
+                 zero: Column, combine, chunk: int = 4096, max_rows: int | None = None) -> DataFrame:
     """Fold ``value_col`` over each group in ``index_col`` order.
 
     ``combine(acc, x)`` must be associative with identity ``zero``; indices of
-    a group must be consecutive.  Returns (group_cols..., folded).
+    a group must be consecutive and below ``max_rows`` (default 2**45): the
+    fold stops at the first level whose chunks span all of them, so it takes
+    ceil(log_chunk(max_rows)) aggregate levels.  Returns (group_cols..., folded).
     """
+    limit = max(int(max_rows if max_rows is not None else 1 << 45), 1)
     level = rows.select(*group_cols, F.col(index_col).alias("_i"), F.col(value_col).alias("_v"))
     span = 1
-    while span < (1 << max_rows_log2):
+    while span == 1 or span < limit:
         span *= chunk
         level = (level.withColumn("_c", F.floor(F.col("_i") / F.lit(float(span))).cast("long"))
                  .groupBy(*group_cols, "_c")

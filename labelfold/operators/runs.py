@@ -151,7 +151,10 @@ def early_stop(log: DataFrame, metric: str | None = None, patience: int = DEFAUL
     first_row = F.col("_lrun0").isNull()
     table = F.when(first_row, reset).otherwise(F.array(*[entry(c) for c in range(p)]))
     rows = lagged.select(run, "gidx", "value", table.alias("t"))
-    folded = chunked_fold(rows, [run], "gidx", "t", _table_type(p), _compose, chunk)
+    # the index is checkpointed, so its row count is a cheap job; it bounds
+    # the fold's levels (one level per factor of ``chunk`` rows)
+    folded = chunked_fold(rows, [run], "gidx", "t", _table_type(p), _compose, chunk,
+                          max_rows=idx.count())
     res = folded.join(starts, run).select(
         run, "start", "last", "n_steps", F.col("folded")[0].alias("e"))
     stopped = F.col("e.state") == STOP
