@@ -1,21 +1,13 @@
-"""Column expressions over label vectors.
+"""Thresholds over label vectors.
 
 The number of labels K is known when the plan is built (it is the size of the
 label dictionary), so per-label work is written as K element accesses that
-whole-stage codegen compiles, instead of higher-order lambdas or explodes.
+whole-stage codegen compiles (see ``sqltext.py``), instead of higher-order
+lambdas or explodes.  A threshold is one scalar or one value per label.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
 
 def per_label(t, k: int) -> list:
     """Expand a scalar threshold to K thresholds (a list passes through)."""
@@ -25,96 +17,3 @@ def per_label(t, k: int) -> list:
     if len(t) != k:
         raise ValueError(f"expected {k} thresholds, got {len(t)}")
     return t
-
-
-def above(p: Column, t: float, op: str = "gt") -> Column:
-    """Positive decision: strict ``p > t`` (evaluation) or ``p >= t`` (serving)."""
-    if op == "gt":
-        return p > F.lit(float(t))
-    if op == "ge":
-        return p >= F.lit(float(t))
-    raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
-
-
-def binarize(score, k: int, t=0.5, op: str = "gt") -> Column:
-    """Scores -> 0/1 int vector, with one threshold or one per label."""
-    s = _c(score)
-    ts = per_label(t, k)
-    return F.array(*[above(s[i], ts[i], op).cast("int") for i in range(k)])
-
-
-def vector_sum(vec, k: int) -> Column:
-    v = _c(vec)
-    out = v[0]
-    for i in range(1, k):
-        out = out + v[i]
-    return out
-
-
-def decode_names(vec, names: Sequence[str], empty_as: str | None = None,
-                 sep: str = ",") -> Column:
-    """Vector -> names of its 1 entries joined by ``sep``; empty -> ``empty_as``."""
-    v = _c(vec)
-    joined = F.concat_ws(sep, *[F.when(v[i] == 1, F.lit(n)) for i, n in enumerate(names)])
-    if empty_as is None:
-        return joined
-    return F.when(joined == "", F.lit(empty_as)).otherwise(joined)
-
-
-def decode_array(vec, names: Sequence[str], empty_as: str | None = None) -> Column:
-    """Vector -> array of names; an empty set becomes ``[empty_as]`` when given."""
-    v = _c(vec)
-    arr = F.filter(F.array(*[F.when(v[i] == 1, F.lit(n)) for i, n in enumerate(names)]),
-                   lambda x: x.isNotNull())
-    if empty_as is None:
-        return arr
-    return F.when(F.size(arr) == 0, F.array(F.lit(empty_as))).otherwise(arr)
-
-
-def vector_key(vec, k: int) -> Column:
-    """Vector rendered as '0,1,0': orders like the vector itself (0/1 entries)."""
-    v = _c(vec)
-    return F.concat_ws(",", *[v[i].cast("string") for i in range(k)])
-
-
-def sigmoid(z) -> Column:
-    z = _c(z)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-
-
-def sigmoid_vector(z, k: int) -> Column:
-    z = _c(z)
-    return F.array(*[sigmoid(z[i]) for i in range(k)])
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """a / b as double, 0.0 when b is zero (zero_division=0).
-
-    A CASE guard rather than ``try_divide``: the division is never evaluated
-    on a zero divisor (ANSI mode would raise), and it stays cheap in codegen.
-    """
-    return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b.cast("double"))
-
-
-def f1_of(p: Column, r: Column) -> Column:
-    return safe_div(F.lit(2.0) * p * r, p + r)
-
-
-def half_even_ratio(num: Column, den: Column, digits: int = 3) -> Column:
-    """Exact half-to-even rounding of the rational num/den to ``digits``.
-
-    Integer arithmetic only, so it agrees with numpy's rounding of the ratio
-    on ties such as 4001/2000 and never depends on binary float noise.
-    """
-    scale = 10 ** digits
-    n = num.cast("long") * F.lit(scale)
-    d0 = den.cast("long")
-    d = F.when(d0 == 0, F.lit(1)).otherwise(d0)
-    r = F.pmod(n, d)
-    q = ((n - r) / d).cast("long")
-    twice = r * 2
-    q_adj = (F.when(twice > d, q + 1)
-             .when((twice == d) & (q % 2 == 1), q + 1)
-             .otherwise(q))
-    return F.when(d0 == 0, F.lit(None).cast("double")).otherwise(
-        q_adj.cast("double") / F.lit(float(scale)))

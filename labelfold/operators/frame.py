@@ -16,8 +16,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqltext as X
 from ..functions.dictionary import LabelDictionary
-from ..functions.labels import binarize
+from ..functions.labels import per_label
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,7 @@ class EvalFrame:
 
 
 def with_pred(ef: EvalFrame, t=0.5, op: str = "gt", name: str = "y_pred") -> DataFrame:
-    return ef.df.withColumn(name, binarize("score", ef.k, t, op))
+    return ef.df.withColumn(name, F.expr(X.binarize("score", ef.k, per_label(t, ef.k), op)))
 
 
 def long_form(ef: EvalFrame, extra: list | None = None) -> DataFrame:

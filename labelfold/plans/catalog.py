@@ -229,7 +229,7 @@ def q_score_histogram(spark, sf):
 from ..operators import corpus as cp  # noqa: E402
 from ..operators import runs as rn  # noqa: E402
 from ..operators import scoring as sc  # noqa: E402
-from ..operators.frame import EvalFrame, from_wide  # noqa: E402
+from ..operators.frame import from_wide  # noqa: E402
 
 D_NAMES = list(B.D_LABELS)
 U_NAMES = list(B.U_LABELS)

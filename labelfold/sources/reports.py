@@ -7,9 +7,9 @@ is assembled on the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.labels import above, per_label
+from ..functions import sqltext as X
+from ..functions.labels import per_label
 from ..operators.frame import EvalFrame
 from .corpus_io import CSV_WRITE
 
@@ -17,12 +17,14 @@ from .corpus_io import CSV_WRITE
 def detailed_predictions(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     """Text (or keys), then <label>_prob, <label>_pred, <label>_true per label."""
     ts = per_label(t, ef.k)
-    cols = [F.col(c) for c in ef.keys] + ([F.col("text")] if "text" in ef.df.columns else [])
-    cols += [ef.p(i).alias(f"{n}_prob") for i, n in enumerate(ef.names)]
-    cols += [above(ef.p(i), ts[i], op).cast("int").alias(f"{n}_pred") for i, n in enumerate(ef.names)]
+    cols = [X.ident(c) for c in ef.keys] + (["text"] if "text" in ef.df.columns else [])
+    cols += [f"{X.elem('score', i)} AS {X.ident(n + '_prob')}" for i, n in enumerate(ef.names)]
+    cols += [f"{X.as_int(X.above(X.elem('score', i), ts[i], op))} AS {X.ident(n + '_pred')}"
+             for i, n in enumerate(ef.names)]
     if ef.has_truth:
-        cols += [ef.y(i).cast("double").alias(f"{n}_true") for i, n in enumerate(ef.names)]
-    return ef.df.select(*cols)
+        cols += [f"CAST({X.elem('y_true', i)} AS DOUBLE) AS {X.ident(n + '_true')}"
+                 for i, n in enumerate(ef.names)]
+    return ef.df.selectExpr(*cols)
 
 
 def write_detailed_predictions(ef: EvalFrame, path: str, t=0.5, op: str = "gt",

@@ -63,9 +63,9 @@ def test_goldens_weights_and_percentages(spark):
 
 
 def test_half_even_tie(spark):
-    from labelfold.functions.labels import half_even_ratio
-    r = spark.range(1).select(half_even_ratio(F.lit(4001), F.lit(2000), 3).alias("a"),
-                              half_even_ratio(F.lit(4003), F.lit(2000), 3).alias("b")).collect()[0]
+    from labelfold.operators.corpus import half_even_ratio_sql
+    r = spark.range(1).select(F.expr(half_even_ratio_sql("4001", "2000", 3)).alias("a"),
+                              F.expr(half_even_ratio_sql("4003", "2000", 3)).alias("b")).collect()[0]
     assert r["a"] == 2.0 and r["b"] == 2.002
 
 
