@@ -82,9 +82,13 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 
 
 def per_label_report(ef: EvalFrame, t=0.5, op: str = "gt", auc_partitions: int | None = None) -> DataFrame:
-    """Per-label metrics + AUC (null shown as 0.5) + description, ranked by F1."""
-    metrics = ev.per_label_metrics(ef, t, op)
-    aucs = auc_ops.roc_auc(ef, auc_partitions).select(
+    """Per-label metrics + AUC (null shown as 0.5) + description, ranked by F1.
+
+    Metrics and AUC both come from one (label, score) -> (pos, neg) aggregate,
+    so the data is scanned once; every table joined here has K rows."""
+    groups = auc_ops.score_groups(ef)
+    metrics = ev.per_label_metrics_of_groups(groups, ef, t, op)
+    aucs = auc_ops.auc_of(auc_ops.auc_sums_of(groups, auc_partitions), ef.names).select(
         "label_idx", F.coalesce(F.col("auc"), F.lit(0.5)).alias("auc"))
     dic = ef.labels.to_frame(ef.df.sparkSession).select("label_idx", "label_en", "description")
     # both sides are one row per label (K rows): broadcast is bounded by K

@@ -31,6 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import sqltext as X
 from .frame import EvalFrame, long_form
 
 SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, s2 long"
@@ -66,16 +67,23 @@ def _partition_summaries(batches):
     yield pd.DataFrame(rows, columns=["part", "label_idx", "pos", "neg", "s2"])
 
 
-def auc_sums(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
-    """(label_idx, n_pos, n_neg, s2) with s2 = 2 * sum(pos * (neg_below + neg/2)).
+def score_groups(ef: EvalFrame) -> DataFrame:
+    """(label_idx, p, pos, neg): positives and negatives per distinct score of
+    each label (partial aggregation in the scan tasks).  Per-label confusion
+    counts at any threshold are sums over this table too, so a report that
+    needs both reads the data once (the exchange is reused)."""
+    ef.require_truth()
+    cells = long_form(ef).select("label_idx", F.col("y").cast("long").alias("y"), "p")
+    return cells.groupBy("label_idx", "p").agg(
+        F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg"))
+
+
+def auc_sums_of(by_score: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(label_idx, n_pos, n_neg, s2) from ``score_groups``; s2 = 2 * sum(pos * (neg_below + neg/2)).
 
     ``partitions`` is the number of range partitions (default: the session's
     shuffle partitions; AQE may merge small neighbours, which keeps order).
     """
-    ef.require_truth()
-    cells = long_form(ef).select("label_idx", F.col("y").cast("long").alias("y"), "p")
-    by_score = cells.groupBy("label_idx", "p").agg(
-        F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg"))
     ranged = (by_score.repartitionByRange(partitions, "label_idx", "p") if partitions
               else by_score.repartitionByRange("label_idx", "p"))
     summaries = ranged.sortWithinPartitions("label_idx", "p").mapInPandas(
@@ -89,17 +97,25 @@ def auc_sums(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
               + F.col("off").cast("decimal(38,0)") * 2 * F.col("pos")).alias("s2"))
 
 
-def roc_auc(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
+def auc_sums(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
+    return auc_sums_of(score_groups(ef), partitions)
+
+
+def auc_of(sums: DataFrame, names) -> DataFrame:
     """(label_idx, label, auc, n_pos, n_neg); auc is null when a label has one class."""
-    s = auc_sums(ef, partitions)
-    names = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in ef.names)
-    return s.selectExpr(
-        "label_idx", f"array({names})[label_idx] AS label",
+    arr = X.array_of([X.lit(n) for n in names])
+    return sums.selectExpr(
+        "label_idx", f"{arr}[label_idx] AS label",
         "CASE WHEN n_pos > 0 AND n_neg > 0 THEN CAST(s2 AS DOUBLE) / "
         "(CAST(n_pos AS DOUBLE) * CAST(n_neg AS DOUBLE) * 2.0D) END AS auc",
         "CAST(n_pos AS BIGINT) AS n_pos", "CAST(n_neg AS BIGINT) AS n_neg")
 
 
+def roc_auc(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
+    """(label_idx, label, auc, n_pos, n_neg); auc is null when a label has one class."""
+    return auc_of(auc_sums(ef, partitions), ef.names)
+
+
 def macro_auc_row(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
     """One row: per-label AUC (null -> 0.5) pivoted in label order, then their
     mean summed in that fixed order."""

@@ -63,13 +63,17 @@ def counts_row(ef: EvalFrame, t=0.5, op: str = "gt", pred_col: str | None = None
 
 def _label_metric_cols(i: int) -> dict:
     """SQL text of the per-label metrics over the counts row."""
-    tp, fp, fn, tn = (f"{m}_{i}" for m in ("tp", "fp", "fn", "tn"))
+    return metric_exprs(*(f"{m}_{i}" for m in ("tp", "fp", "fn", "tn")))
+
+
+def metric_exprs(tp: str, fp: str, fn: str, tn: str, n: str = "n") -> dict:
+    """SQL text of one label's metrics from its confusion counts."""
     return {
         "precision": X.safe_div(tp, f"{tp} + {fp}"),
         "recall": X.safe_div(tp, f"{tp} + {fn}"),
         "f1": X.safe_div(f"2 * {tp}", f"2 * {tp} + {fp} + {fn}"),
         "support": f"CAST({tp} + {fn} AS BIGINT)",
-        "accuracy": X.safe_div(f"{tp} + {tn}", "n"),
+        "accuracy": X.safe_div(f"{tp} + {tn}", n),
         "positive_count": f"CAST({tp} + {fn} AS BIGINT)",
         "predicted_count": f"CAST({tp} + {fp} AS BIGINT)",
         "true_positive": f"CAST({tp} AS BIGINT)",
@@ -109,6 +113,26 @@ def per_label_metrics(ef: EvalFrame, t=0.5, op: str = "gt", row: DataFrame | Non
     return _unpivot_labels(row, ef, PER_LABEL_COLUMNS, _label_metric_cols)
 
 
+def per_label_metrics_of_groups(by_score: DataFrame, ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
+    """E1/E2 from the (label, score) -> (pos, neg) table of the AUC plan: the
+    counts at a threshold are conditional sums over it (K rows out), so a
+    report that also needs AUC scans the data once."""
+    if op not in ("gt", "ge"):
+        raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
+    ts = X.array_of([X.lit(v) for v in per_label(t, ef.k)])
+    hit = f"(p {'>' if op == 'gt' else '>='} {ts}[label_idx])"
+    counts = by_score.groupBy("label_idx").agg(
+        F.expr(f"sum(CASE WHEN {hit} THEN pos ELSE 0 END) AS tp"),
+        F.expr(f"sum(CASE WHEN {hit} THEN neg ELSE 0 END) AS fp"),
+        F.expr(f"sum(CASE WHEN {hit} THEN 0 ELSE pos END) AS fn"),
+        F.expr(f"sum(CASE WHEN {hit} THEN 0 ELSE neg END) AS tn"),
+        F.expr("sum(pos + neg) AS n"))
+    m = metric_exprs("tp", "fp", "fn", "tn", "n")
+    names = X.array_of([X.lit(n) for n in ef.names])
+    return counts.selectExpr("label_idx", f"{names}[label_idx] AS label",
+                             *[f"{m[c]} AS {c}" for c in PER_LABEL_COLUMNS])
+
+
 def _macro(metric: str, k: int) -> str:
     return f"({X.fsum([_label_metric_cols(i)[metric] for i in range(k)])} / {X.lit(float(k))})"
 
