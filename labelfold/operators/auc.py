@@ -47,6 +47,7 @@ def _partition_summaries(batches):
     part = TaskContext.get().partitionId()
     totals = {}  # label -> [pos, neg, s2]; negatives seen so far = neg
     for pdf in batches:
+        pdf = pdf[pdf["label_idx"] >= 0]  # negative labels are carried-along records
         if len(pdf) == 0:
             continue
         labels = pdf["label_idx"].to_numpy()
@@ -81,6 +82,9 @@ def score_groups(ef: EvalFrame) -> DataFrame:
 def auc_sums_of(by_score: DataFrame, partitions: int | None = None) -> DataFrame:
     """(label_idx, n_pos, n_neg, s2) from ``score_groups``; s2 = 2 * sum(pos * (neg_below + neg/2)).
 
+    Rows with a negative ``label_idx`` are ignored (skipped inside the tasks,
+    not by a filter, which Catalyst would push below the shared aggregate).
+
     ``partitions`` is the number of range partitions (default: the session's
     shuffle partitions; AQE may merge small neighbours, which keeps order).
     """
@@ -119,7 +123,11 @@ def roc_auc(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
 def macro_auc_row(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
     """One row: per-label AUC (null -> 0.5) pivoted in label order, then their
     mean summed in that fixed order."""
-    a = roc_auc(ef, partitions)
+    return macro_auc_of(auc_sums(ef, partitions), ef)
+
+
+def macro_auc_of(sums: DataFrame, ef: EvalFrame) -> DataFrame:
+    a = auc_of(sums, ef.names)
     wide = a.agg(*[F.expr(f"max(CASE WHEN label_idx = {i} THEN coalesce(auc, 0.5D) END) AS auc_{i}")
                    for i in range(ef.k)])
     total = " + ".join(f"auc_{i}" for i in range(ef.k))

@@ -171,16 +171,57 @@ def overall_columns(k: int) -> dict:
     }
 
 
+def score_groups_with_exact(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
+    """(label_idx, p, pos, neg, exact): the AUC plan's (label, score) table
+    plus one record per row under label_idx -1 carrying its exact-match bit.
+    Those records meet in one group, combined map-side (one partial row per
+    task), so the overall measures and the AUC come from one scan."""
+    ef.require_truth()
+    h, y = _row_terms(ef, t, op)
+    exact = X.all_of([f"({h[i]}) = ({y[i]})" for i in range(ef.k)])
+    cells = [X.named_struct([("label_idx", X.lit(i)), ("y", f"CAST({y[i]} AS BIGINT)"),
+                             ("p", X.elem("score", i)), ("ex", "0L")]) for i in range(ef.k)]
+    row = X.named_struct([("label_idx", "-1"), ("y", "0L"), ("p", "0.0D"),
+                          ("ex", f"CAST({exact} AS BIGINT)")])
+    long = ef.df.select(X.inline_rows(cells + [row]))
+    return long.groupBy("label_idx", "p").agg(
+        F.expr("sum(y) AS pos"), F.expr("sum(1 - y) AS neg"), F.expr("sum(ex) AS exact"))
+
+
+def counts_row_of_groups(groups: DataFrame, ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
+    """The counts row (n, tp/fp/fn/tn per label, exact) from
+    ``score_groups_with_exact``: conditional sums over its rows."""
+    if op not in ("gt", "ge"):
+        raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
+    ts = per_label(t, ef.k)
+    cmp = ">" if op == "gt" else ">="
+    aggs = ["sum(CASE WHEN label_idx = -1 THEN neg ELSE 0 END) AS n",
+            "sum(CASE WHEN label_idx = -1 THEN exact ELSE 0 END) AS exact"]
+    for i in range(ef.k):
+        hit = f"label_idx = {i} AND p {cmp} {X.lit(ts[i])}"
+        miss = f"label_idx = {i} AND NOT (p {cmp} {X.lit(ts[i])})"
+        aggs += [f"sum(CASE WHEN {hit} THEN pos ELSE 0 END) AS tp_{i}",
+                 f"sum(CASE WHEN {hit} THEN neg ELSE 0 END) AS fp_{i}",
+                 f"sum(CASE WHEN {miss} THEN pos ELSE 0 END) AS fn_{i}",
+                 f"sum(CASE WHEN {miss} THEN neg ELSE 0 END) AS tn_{i}"]
+    return groups.agg(*[F.expr(a) for a in aggs])
+
+
 def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
                     auc_partitions: int | None = None) -> DataFrame:
     """E10 overall row: exact match, subset accuracy, Hamming, macro/micro P/R/F1,
-    and macro AUC (a null per-label AUC counts as 0.5)."""
-    row = counts_row(ef, t, op)
+    and macro AUC (a null per-label AUC counts as 0.5).
+
+    With AUC, everything comes from one (label, score) aggregate of one scan:
+    the counts are conditional sums over it and the AUC plan reads the same
+    (reused) exchange."""
     cols = overall_columns(ef.k)
     if not with_auc:
-        return row.selectExpr(*[f"{c} AS {n}" for n, c in cols.items()])
-    from .auc import macro_auc_row
-    auc = macro_auc_row(ef, auc_partitions)
+        return counts_row(ef, t, op).selectExpr(*[f"{c} AS {n}" for n, c in cols.items()])
+    from .auc import auc_sums_of, macro_auc_of
+    groups = score_groups_with_exact(ef, t, op)
+    row = counts_row_of_groups(groups, ef, t, op)
+    auc = macro_auc_of(auc_sums_of(groups, auc_partitions), ef)
     # one-row frames meet through a union and a max, never a join
     names = list(cols) + ["macro_auc"]
     left = row.selectExpr(*[f"{c} AS {n}" for n, c in cols.items()], "CAST(NULL AS DOUBLE) AS macro_auc")
