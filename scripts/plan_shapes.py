@@ -19,7 +19,8 @@ from labelfold.plans.catalog import QUERIES  # noqa: E402
 from labelfold.session import build_session  # noqa: E402
 
 NODES = [
-    ("shuffles", r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)"),
+    ("shuffles", r"^[ +:|-]*Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)"),
+    ("reused exchanges", r"\bReusedExchange\b"),
     ("broadcast joins", r"\bBroadcastHashJoin\b"),
     ("sort-merge joins", r"\bSortMergeJoin\b"),
     ("nested-loop / cartesian", r"\b(BroadcastNestedLoopJoin|CartesianProduct)\b"),
@@ -47,7 +48,7 @@ def final_plan(df) -> str:
 
 
 def summary(plan: str) -> dict:
-    out = {name: len(re.findall(pat, plan)) for name, pat in NODES}
+    out = {name: len(re.findall(pat, plan, re.MULTILINE)) for name, pat in NODES}
     schemas = re.findall(r"ReadSchema: (struct<[^\n]*)", plan)
     pushed = [p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if p]
     out["scans"] = len(schemas)
