@@ -22,8 +22,9 @@ most negatives below 0.001).  Instead:
    sum(pos * (offset + below)) = offset * pos_partition + sum(pos * below), so
    no row is ever joined back.
 
-Counts and s2 are int64 inside the tasks and summed in exact integer
-arithmetic; the result equals the single-window rank-sum form.
+Counts are int64; s2 is exact (int64 while provably safe, else Python
+integers) and leaves the tasks as DECIMAL(38,0), so the result equals the
+single-window rank-sum form even when one score holds a third of all rows.
 """
 
 from __future__ import annotations
@@ -34,12 +35,26 @@ from pyspark.sql import functions as F
 from ..functions import sqltext as X
 from .frame import EvalFrame, long_form
 
-SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, s2 long"
+SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, s2 decimal(38,0)"
+INT64_SAFE = 1 << 62
+
+
+def _weighted_sum(p, w) -> int:
+    """sum(p * w) exactly: int64 while a bound proves it cannot overflow,
+    Python integers otherwise (a score shared by a third of all rows makes
+    pos * neg exceed 2**63 at scale)."""
+    if len(p) == 0:
+        return 0
+    if int(p.max()) * int(w.max()) < INT64_SAFE // len(p):
+        return int(p @ w)
+    return sum(a * b for a, b in zip(p.tolist(), w.tolist()))
 
 
 def _partition_summaries(batches):
     """Per partition of (label_idx, p, pos, neg) sorted by (label_idx, p):
     one row per label with pos, neg and s2 = sum(pos * (2 * below + neg))."""
+    from decimal import Decimal
+
     import numpy as np
     import pandas as pd
     from pyspark import TaskContext
@@ -60,11 +75,11 @@ def _partition_summaries(batches):
             acc = totals.setdefault(lab, [0, 0, 0])
             n = neg[lo:hi]
             p = pos[lo:hi]
-            below = np.cumsum(n) - n + acc[1]
-            acc[2] += int(np.dot(p, 2 * below + n))
+            below = np.cumsum(n) - n + acc[1]   # counts stay far below 2**62
+            acc[2] += _weighted_sum(p, 2 * below + n)
             acc[0] += int(p.sum())
             acc[1] += int(n.sum())
-    rows = [(part, lab, v[0], v[1], v[2]) for lab, v in sorted(totals.items())]
+    rows = [(part, lab, v[0], v[1], Decimal(v[2])) for lab, v in sorted(totals.items())]
     yield pd.DataFrame(rows, columns=["part", "label_idx", "pos", "neg", "s2"])
 
 
@@ -97,8 +112,7 @@ def auc_sums_of(by_score: DataFrame, partitions: int | None = None) -> DataFrame
     summaries = summaries.withColumn("off", F.coalesce(F.sum("neg").over(w_off), F.lit(0)))
     return summaries.groupBy("label_idx").agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-        F.sum(F.col("s2").cast("decimal(38,0)")
-              + F.col("off").cast("decimal(38,0)") * 2 * F.col("pos")).alias("s2"))
+        F.sum(F.col("s2") + F.col("off").cast("decimal(38,0)") * 2 * F.col("pos")).alias("s2"))
 
 
 def auc_sums(ef: EvalFrame, partitions: int | None = None) -> DataFrame:

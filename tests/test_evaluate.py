@@ -166,3 +166,21 @@ def test_invariants_on_lineitem(spark):
     combos = an.label_combinations(ef, top=1 << ef.k).agg(F.sum("count")).collect()[0][0]
     assert combos == n
     assert not math.isnan(o["macro_auc"])
+
+
+def test_auc_exact_with_huge_tied_counts(spark):
+    """A score shared by ~1e11 cells (a third of the rows at 100 TB): the
+    per-partition sums exceed 2**63 and must stay exact."""
+    from decimal import Decimal
+    groups = [(0, 0.1, 10**11, 3 * 10**11), (0, 0.5, 2 * 10**11, 10**11), (0, 0.9, 7, 5),
+              (1, 0.2, 5 * 10**10, 9 * 10**10), (1, 0.3, 1, 10**11)]
+    df = spark.createDataFrame(groups, "label_idx int, p double, pos long, neg long")
+    got = {r["label_idx"]: r for r in auc_ops.auc_sums_of(df, partitions=2).collect()}
+    for lab in (0, 1):
+        rows = sorted((g for g in groups if g[0] == lab), key=lambda g: g[1])
+        below, s2 = 0, 0
+        for _, _, pos, neg in rows:
+            s2 += pos * (2 * below + neg)
+            below += neg
+        assert got[lab]["s2"] == Decimal(s2)
+        assert got[lab]["n_pos"] == sum(g[2] for g in rows) and got[lab]["n_neg"] == below
