@@ -107,11 +107,6 @@ def count_below(x: str, ts: Sequence[float], inclusive: bool = False) -> str:
     return rec(0, len(ts))
 
 
-def expr(text: str, alias: str | None = None) -> Column:
-    c = F.expr(text)
-    return c.alias(alias) if alias else c
-
-
 # --- label vectors (``vec`` is SQL text of an array<int>) ---------------------------
 
 def binarize(score: str, k: int, ts: Sequence[float], op: str = "gt") -> str:
