@@ -184,3 +184,18 @@ def test_auc_exact_with_huge_tied_counts(spark):
             below += neg
         assert got[lab]["s2"] == Decimal(s2)
         assert got[lab]["n_pos"] == sum(g[2] for g in rows) and got[lab]["n_neg"] == below
+
+
+def test_label_names_survive_sql_text(spark):
+    """Label names are embedded as SQL literals: quotes, backslashes and the
+    default Korean names must come back unchanged."""
+    from labelfold.functions.dictionary import make_dictionary
+    from labelfold.operators.frame import EvalFrame
+    names = ["it's", "back\\slash", "여성/가족"]
+    df = spark.createDataFrame([(0, [1, 0, 1], [0.9, 0.1, 0.8]), (1, [0, 1, 0], [0.2, 0.7, 0.1])],
+                               "row_id long, y_true array<int>, score array<double>")
+    ef = EvalFrame(df, ("row_id",), make_dictionary(names))
+    assert [r["label"] for r in ev.per_label_metrics(ef).orderBy("label_idx").collect()] == names
+    combos = {r["labels"] for r in an.label_combinations(ef).collect()}
+    assert combos == {"it's,여성/가족", "back\\slash"}
+    assert {r["label"] for r in auc_ops.roc_auc(ef).collect()} == set(names)
