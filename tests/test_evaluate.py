@@ -199,3 +199,19 @@ def test_label_names_survive_sql_text(spark):
     combos = {r["labels"] for r in an.label_combinations(ef).collect()}
     assert combos == {"it's,여성/가족", "back\\slash"}
     assert {r["label"] for r in auc_ops.roc_auc(ef).collect()} == set(names)
+
+
+@pytest.mark.parametrize("op", ["gt", "ge"])
+def test_shared_scan_counts_equal_direct_counts(micro, spark, op):
+    """overall_metrics / per_label_report take their counts from the AUC's
+    (label, score) aggregate; they must equal the direct one-row aggregate."""
+    from labelfold.plans import bindings as B
+    from tests.conftest import SF_SMALL
+    for ef in (micro, B.frame_l(spark, SF_SMALL)):
+        shared = ev.overall_metrics(ef, 0.5, op).drop("macro_auc").collect()[0].asDict()
+        direct = ev.overall_metrics(ef, 0.5, op, with_auc=False).collect()[0].asDict()
+        assert shared == direct
+        cols = ["label_idx"] + ev.PER_LABEL_COLUMNS
+        rep = sorted(tuple(r) for r in an.per_label_report(ef, 0.5, op).select(*cols).collect())
+        plm = sorted(tuple(r) for r in ev.per_label_metrics(ef, 0.5, op).select(*cols).collect())
+        assert rep == plm
