@@ -7,6 +7,10 @@ single-row final merge, so nothing grows with the data after the scan and no
 key can be hot.  Every table below (K label rows, the overall row, the
 report) is a projection of that one row; averages are written as sums in a
 fixed label order so they are reproducible bit for bit.
+
+When AUC is wanted as well, the same counts row is instead summed from the
+AUC plan's (label, score) -> (pos, neg) aggregate (``counts_row_of_groups``),
+so one scan serves both.  Wide expressions are SQL text (``sqltext``).
 """
 
 from __future__ import annotations
