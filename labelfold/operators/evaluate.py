@@ -112,8 +112,11 @@ def confusion(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     return _unpivot_labels(row, ef, ["tn", "fp", "fn", "tp"], b)
 
 
-def per_label_metrics(ef: EvalFrame, t=0.5, op: str = "gt", row: DataFrame | None = None) -> DataFrame:
-    row = row if row is not None else counts_row(ef, t, op)
+def per_label_metrics(ef: EvalFrame, t=0.5, op: str = "gt", row: DataFrame | None = None,
+                      pred_col: str | None = None) -> DataFrame:
+    """E2; ``pred_col`` evaluates a given 0/1 prediction vector instead of
+    thresholding the scores (S16)."""
+    row = row if row is not None else counts_row(ef, t, op, pred_col)
     return _unpivot_labels(row, ef, PER_LABEL_COLUMNS, _label_metric_cols)
 
 
@@ -212,14 +215,18 @@ def counts_row_of_groups(groups: DataFrame, ef: EvalFrame, t=0.5, op: str = "gt"
 
 
 def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
-                    auc_partitions: int | None = None) -> DataFrame:
+                    auc_partitions: int | None = None, pred_col: str | None = None) -> DataFrame:
     """E10 overall row: exact match, subset accuracy, Hamming, macro/micro P/R/F1,
     and macro AUC (a null per-label AUC counts as 0.5).
 
     With AUC, everything comes from one (label, score) aggregate of one scan:
     the counts are conditional sums over it and the AUC plan reads the same
-    (reused) exchange."""
+    (reused) exchange.  With ``pred_col`` (a given 0/1 prediction vector, S16)
+    there are no scores, so macro AUC is null."""
     cols = overall_columns(ef.k)
+    if pred_col is not None:
+        return counts_row(ef, t, op, pred_col).selectExpr(
+            *[f"{c} AS {n}" for n, c in cols.items()], "CAST(NULL AS DOUBLE) AS macro_auc")
     if not with_auc:
         return counts_row(ef, t, op).selectExpr(*[f"{c} AS {n}" for n, c in cols.items()])
     from .auc import auc_sums_of, macro_auc_of

@@ -215,3 +215,15 @@ def test_shared_scan_counts_equal_direct_counts(micro, spark, op):
         rep = sorted(tuple(r) for r in an.per_label_report(ef, 0.5, op).select(*cols).collect())
         plm = sorted(tuple(r) for r in ev.per_label_metrics(ef, 0.5, op).select(*cols).collect())
         assert rep == plm
+
+
+def test_given_predictions_without_scores(micro):
+    """A 0/1 prediction vector is evaluated as given; AUC is null."""
+    pred = micro.with_df(micro.df.withColumn("y_pred", F.expr(
+        "transform(score, p -> CAST(p > 0.5D AS INT))")))
+    o = ev.overall_metrics(pred, pred_col="y_pred").collect()[0]
+    d = ev.overall_metrics(micro, with_auc=False).collect()[0]
+    assert o["macro_auc"] is None and all(o[c] == d[c] for c in d.asDict())
+    a = sorted(map(tuple, ev.per_label_metrics(pred, pred_col="y_pred").collect()))
+    b = sorted(map(tuple, ev.per_label_metrics(micro).collect()))
+    assert a == b
