@@ -33,6 +33,7 @@ D_LABELS = ("quality", "toxic")
 RUN_METRICS = {"click": "eval_loss", "view": "eval_f1", "purchase": "eval_accuracy",
                "signup": "train_loss", "error": "learning_rate"}
 VALID_MODULUS = 5  # split = 'valid' when key % 5 = 0, else 'train'
+CLEAR_EVENT = "signup"  # history fixture: a signup clears the user's history
 
 
 def l_dictionary() -> LabelDictionary:

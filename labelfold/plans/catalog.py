@@ -564,6 +564,24 @@ def q_recent_history(spark, sf):
     return recent_history(ev_, "user_id", ["ts", "event_id"], 10)
 
 
+def _history_clear_sql(n: int = 10) -> str:
+    # (user_id, ts) is unique in events, so "after the clear" is ts > clear ts
+    c = O.q(B.CLEAR_EVENT)
+    return ("WITH c AS (SELECT user_id, max(ts) AS clear_ts FROM events WHERE event_type = " + c
+            + " GROUP BY user_id) SELECT * FROM (SELECT e.user_id, e.event_id, e.ts, e.event_type, e.value, "
+            "row_number() OVER (PARTITION BY e.user_id ORDER BY e.ts DESC, e.event_id DESC) AS rank "
+            "FROM events e LEFT JOIN c USING (user_id) WHERE e.event_type <> " + c
+            + f" AND (c.clear_ts IS NULL OR e.ts > c.clear_ts)) WHERE rank <= {n}")
+
+
+@register("recent_history_clear", _history_clear_sql())
+def q_recent_history_clear(spark, sf):
+    from ..streaming.history import recent_history
+    ev_ = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "event_id", "ts", "event_type", "value")
+    return recent_history(ev_, "user_id", ["ts", "event_id"], 10,
+                          clear=f"event_type = {O.q(B.CLEAR_EVENT)}")
+
+
 # --- D1: text length work on documents --------------------------------------------------
 
 from ..operators import features as ft  # noqa: E402
@@ -740,6 +758,18 @@ def q_score_stream(spark, sf):
         F.size(picked).alias("n_predicted"))
 
 
+@register("recent_history_clear_stream", ORACLE["recent_history_clear"])
+def q_recent_history_clear_stream(spark, sf):
+    src = f"{sf}/events.parquet"
+    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
+              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    sink = scratch_path(spark, "history-clear-sink")
+    q = hs.recent_history_stream(stream, sink, scratch_path(spark, "history-clear-ckpt"),
+                                 clear_type=B.CLEAR_EVENT)
+    q.awaitTermination()
+    return hs.latest_lists(spark, sink)
+
+
 @register("recent_history_stream", ORACLE["recent_history"])
 def q_recent_history_stream(spark, sf):
     src = f"{sf}/events.parquet"

@@ -6,6 +6,9 @@ forwards at most n rows per key and a hot key never reaches one task whole.
 
 Stream: ``applyInPandasWithState`` keeps at most n rows of state per key and
 folds each micro-batch chunk by chunk, so memory per key stays bounded.
+
+Clearing (the page's "clear history"): records marked as clears remove a
+key's earlier rows, in batch and in stream alike.
 """
 
 from __future__ import annotations
@@ -18,34 +21,69 @@ HISTORY_LIMIT = 10  # fixed value: entries kept per user
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def recent_history(df: DataFrame, key: str, order: list, n: int = HISTORY_LIMIT) -> DataFrame:
+def recent_history(df: DataFrame, key: str, order: list, n: int = HISTORY_LIMIT,
+                   clear: str | None = None) -> DataFrame:
+    """Latest n rows per key, newest first (rank 1 = newest).
+
+    ``clear`` (a SQL condition) marks clear records: a key's rows at or
+    before its latest clear, in ``order``, are gone, and clear records are
+    not listed.  The latest clear per key is one partial+final aggregate,
+    joined back on the key (AQE broadcasts it when small and splits a hot
+    key's partition otherwise)."""
+    if clear is not None:
+        is_clear = F.coalesce(F.expr(clear), F.lit(False))
+        pos = F.struct(*[F.col(c) for c in order])
+        marks = df.filter(is_clear).groupBy(key).agg(F.max(pos).alias("_clear"))
+        df = (df.filter(~is_clear).join(marks, key, "left")
+              .filter(F.col("_clear").isNull() | (pos > F.col("_clear"))).drop("_clear"))
     w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-STATE_SCHEMA = "ids array<long>, ts array<long>, kinds array<string>, vals array<double>, version long"
+STATE_SCHEMA = ("ids array<long>, ts array<long>, kinds array<string>, vals array<double>, "
+                "version long, clear_ts long, clear_id long")
 OUT_SCHEMA = "user_id long, event_id long, ts_us long, event_type string, value double, rank int, version long"
+COLS = ["event_id", "ts_us", "event_type", "value"]
 
 
-def _keep_latest(n: int):
+def _keep_latest(n: int, clear_type: str | None = None):
     import pandas as pd
 
     def fn(key, pdfs, state):
         if state.exists:
-            ids, ts, kinds, vals, version = state.get
+            ids, ts, kinds, vals, version, clear_ts, clear_id = state.get
             cur = pd.DataFrame({"event_id": list(ids), "ts_us": list(ts), "event_type": list(kinds),
                                 "value": list(vals)})
         else:
-            cur = pd.DataFrame({"event_id": [], "ts_us": [], "event_type": [], "value": []})
-            version = 0
+            cur = pd.DataFrame({c: [] for c in COLS})
+            version, clear_ts, clear_id = 0, None, None
         for pdf in pdfs:  # Arrow chunks of the group: state never exceeds n rows
-            both = pd.concat([cur, pdf[["event_id", "ts_us", "event_type", "value"]]], ignore_index=True)
-            both = both.drop_duplicates("event_id", keep="last")
+            pdf = pdf[COLS]
+            if clear_type is not None:
+                marks = pdf[pdf["event_type"] == clear_type]
+                if len(marks):
+                    last = marks.sort_values(["ts_us", "event_id"]).iloc[-1]
+                    mark = (int(last["ts_us"]), int(last["event_id"]))
+                    if clear_ts is None or mark > (clear_ts, clear_id):
+                        clear_ts, clear_id = mark
+                pdf = pdf[pdf["event_type"] != clear_type]
+            both = pd.concat([cur, pdf], ignore_index=True).drop_duplicates("event_id", keep="last")
+            if clear_ts is not None:
+                after = (both["ts_us"] > clear_ts) | ((both["ts_us"] == clear_ts)
+                                                      & (both["event_id"] > clear_id))
+                both = both[after]
             cur = both.sort_values(["ts_us", "event_id"], ascending=False).head(n)
         version += 1
         cur = cur.reset_index(drop=True)
         state.update((cur["event_id"].astype("int64").tolist(), cur["ts_us"].astype("int64").tolist(),
-                      cur["event_type"].tolist(), cur["value"].astype(float).tolist(), int(version)))
+                      cur["event_type"].tolist(), cur["value"].astype(float).tolist(), int(version),
+                      clear_ts, clear_id))
+        if len(cur) == 0:
+            # an emptied list still gets a version, so the sink stops showing the old one
+            yield pd.DataFrame({"user_id": [key[0]], "event_id": pd.array([None], dtype="Int64"),
+                                "ts_us": pd.array([None], dtype="Int64"), "event_type": [None],
+                                "value": [None], "rank": [0], "version": [int(version)]})
+            return
         yield pd.DataFrame({"user_id": [key[0]] * len(cur), "event_id": cur["event_id"].astype("int64"),
                             "ts_us": cur["ts_us"].astype("int64"), "event_type": cur["event_type"],
                             "value": cur["value"].astype(float), "rank": range(1, len(cur) + 1),
@@ -56,23 +94,34 @@ def _keep_latest(n: int):
 PARTIAL_SCHEMA = "user_id long, event_id long, ts_us long, event_type string, value double"
 
 
-def _partial_latest(n: int):
-    """Map side: keep at most n newest events per user in every Arrow batch,
-    so a hot user sends at most n rows per batch into the stateful shuffle."""
+def _partial_latest(n: int, clear_type: str | None = None):
+    """Map side: keep at most n newest events (and the newest clear record)
+    per user in every Arrow batch, so a hot user sends at most n + 1 rows per
+    batch into the stateful shuffle.  A dropped event has n newer ones in its
+    batch, so it could never be listed: a clear that removes those removes it
+    too."""
     def fn(batches):
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            pdf = pdf.drop_duplicates("event_id", keep="last")
-            yield pdf.sort_values(["ts_us", "event_id"], ascending=False).groupby(
-                "user_id", sort=False).head(n)
+            pdf = pdf.drop_duplicates("event_id", keep="last").sort_values(
+                ["ts_us", "event_id"], ascending=False)
+            if clear_type is None:
+                yield pdf.groupby("user_id", sort=False).head(n)
+                continue
+            is_clear = pdf["event_type"] == clear_type
+            yield pdf[~is_clear].groupby("user_id", sort=False).head(n)
+            yield pdf[is_clear].groupby("user_id", sort=False).head(1)
     return fn
 
 
-def recent_history_stream(stream: DataFrame, sink_path: str, checkpoint: str, n: int = HISTORY_LIMIT):
+def recent_history_stream(stream: DataFrame, sink_path: str, checkpoint: str, n: int = HISTORY_LIMIT,
+                          clear_type: str | None = None):
     """G2 (stream): keep the latest n events per user in state; every batch
     appends the users' current lists with a version; replays are keyed on
-    event_id so they never duplicate an event.
+    event_id so they never duplicate an event.  Events of ``clear_type``
+    clear the user's list (the state remembers the latest clear, so a late
+    event from before it stays cleared).
 
     Each micro-batch is first cut to the latest n events per user inside
     every map-side Arrow batch (a partial top-n, as the batch plan's partial
@@ -82,9 +131,9 @@ def recent_history_stream(stream: DataFrame, sink_path: str, checkpoint: str, n:
     prepared = stream.select("user_id", "event_id",
                              F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, ts)").alias("ts_us"),
                              "event_type", "value")
-    prepared = prepared.mapInPandas(_partial_latest(n), PARTIAL_SCHEMA)
+    prepared = prepared.mapInPandas(_partial_latest(n, clear_type), PARTIAL_SCHEMA)
     out = prepared.groupBy("user_id").applyInPandasWithState(
-        _keep_latest(n), OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+        _keep_latest(n, clear_type), OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
@@ -94,10 +143,11 @@ def recent_history_stream(stream: DataFrame, sink_path: str, checkpoint: str, n:
 
 
 def latest_lists(spark, sink_path: str) -> DataFrame:
-    """Current list per user: the rows of each user's highest version."""
+    """Current list per user: the rows of each user's highest version (an
+    emptied list is one marker row without an event, dropped here)."""
     out = spark.read.parquet(sink_path)
     w = Window.partitionBy("user_id")
     latest = out.withColumn("_v", F.max("version").over(w)).filter(F.col("version") == F.col("_v"))
-    return latest.select("user_id", "event_id",
-                         F.expr(f"timestampadd(MICROSECOND, ts_us, {EPOCH_NTZ})").alias("ts"),
-                         "event_type", "value", "rank")
+    return latest.filter(F.col("event_id").isNotNull()).select(
+        "user_id", "event_id", F.expr(f"timestampadd(MICROSECOND, ts_us, {EPOCH_NTZ})").alias("ts"),
+        "event_type", "value", "rank")

@@ -37,3 +37,31 @@ def test_history_stream_matches_batch_over_batches(spark):
     want = sorted((r["user_id"], r["rank"], r["event_id"]) for r in
                   hs.recent_history(static, "user_id", ["ts", "event_id"], 10).collect())
     assert got == want
+
+
+def test_history_clear_stream_matches_batch(spark):
+    src = scratch_path(spark, "events-clear-src")
+    base = dt.datetime(2024, 1, 1)
+    ev = lambda e, sec, user, kind: (e, base + dt.timedelta(seconds=sec), user, kind, float(e))
+    parts = [
+        [ev(i, i * 10, 1, "click") for i in range(30)] + [ev(100 + i, i * 10 + 5, 2, "view") for i in range(5)],
+        [ev(200, 295, 1, "signup")] + [ev(201 + i, 300 + i * 10, 1, "view") for i in range(4)]
+        + [ev(300, 1000, 2, "signup")],                      # user 2 ends empty
+        [ev(400, 100, 1, "click"), ev(401, 900, 1, "click"),  # 400 is older than the clear
+         ev(402, 50, 3, "click")],
+    ]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{src}/part={i}")
+    static = spark.read.parquet(src).drop("part")
+    stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    sink = scratch_path(spark, "history-clear-sink")
+    q = hs.recent_history_stream(stream, sink, scratch_path(spark, "history-clear-ckpt"), n=3,
+                                 clear_type="signup")
+    q.awaitTermination()
+    got = sorted((r["user_id"], r["rank"], r["event_id"]) for r in hs.latest_lists(spark, sink).collect())
+    want = sorted((r["user_id"], r["rank"], r["event_id"]) for r in
+                  hs.recent_history(static, "user_id", ["ts", "event_id"], 3,
+                                    clear="event_type = 'signup'").collect())
+    assert got == want
+    assert [e for u, _, e in got if u == 1] == [401, 204, 203] and not [1 for u, _, _ in got if u == 2]
