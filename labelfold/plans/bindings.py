@@ -156,7 +156,7 @@ def centroid_head(spark: SparkSession, sf_dir: str) -> tuple:
     cells = emb.select("label", F.posexplode("embedding").alias("dim", "x"))
     cent = cells.groupBy("label", "dim").agg(F.avg(F.col("x").cast("double")).alias("w"))
     rows = cent.collect()
-    k = 10
+    k = v_dictionary().k  # one head per class of the V dictionary
     d = max(r["dim"] for r in rows) + 1
     w = [[0.0] * d for _ in range(k)]
     for r in rows:
