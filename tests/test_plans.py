@@ -47,3 +47,14 @@ def test_auc_range_partitions_scores(spark):
 def test_run_log_metric_filter_reaches_scan(spark, name):
     pushed = [ln for ln in plan(QUERIES[name](spark, SF_SMALL)).split("\n") if "PushedFilters" in ln]
     assert pushed and all("event_type" in ln.split("PushedFilters")[1].split("]")[0] for ln in pushed)
+
+
+@pytest.mark.parametrize("name", ["overall_metrics", "per_label_report"])
+def test_auc_reports_scan_once(spark, name):
+    """Counts and AUC share one (label, score) aggregate: one lineitem scan,
+    its exchange reused by the AUC branch."""
+    df = QUERIES[name](spark, SF_SMALL)
+    df.collect()  # settle the adaptive plan
+    p = df._jdf.queryExecution().executedPlan().toString()
+    final = p.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
