@@ -708,9 +708,26 @@ def q_detailed_predictions(spark, sf):
     return rp.detailed_predictions(B.frame_l(spark, sf), 0.5, "gt")
 
 
-@register("evaluation_report")
+def _report_rows_sql() -> str:
+    """Rows each written section of the evaluation report must have."""
+    vec = "concat_ws(',', " + ", ".join(f"CAST(CAST({O.pred(i, 0.5)} AS INTEGER) AS VARCHAR)"
+                                      for i in range(K)) + ")"
+    fixed = [("overall", "1"), ("per_label", str(K)), ("confusion", str(K)),
+             ("classification_report", str(K + 4)), ("threshold_sweep", str(len(TS))),
+             ("best_threshold", "1"), ("prediction_distribution", str(K)),
+             ("top_label_combinations", "least(10, (SELECT count(DISTINCT v) FROM vecs))"),
+             ("hard_examples", "least(20, (SELECT count(*) FROM l))"),
+             ("score_histogram", str(K * 50))]
+    rows = " UNION ALL ".join(f"SELECT {O.q(name)} AS section, CAST({n} AS BIGINT) AS rows"
+                              for name, n in fixed)
+    return f"WITH {O.frame_l_sql()}, vecs AS (SELECT {vec} AS v FROM l) {rows}"
+
+
+@register("evaluation_report", _report_rows_sql())
 def q_evaluation_report(spark, sf):
-    return an.evaluation_report(B.frame_l(spark, sf), scratch_path(spark, "evaluation-report"))
+    # (section, rows) of the written report; the folder is a fresh scratch path
+    written = an.evaluation_report(B.frame_l(spark, sf), scratch_path(spark, "evaluation-report"))
+    return written.select("section", "rows")
 
 
 # --- G1, G2: streaming, compared with the batch SQL ------------------------------------------
