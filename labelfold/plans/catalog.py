@@ -645,11 +645,56 @@ def q_fit_binary_relevance(spark, sf):
     return summary
 
 
-@register("fit_linear_head_focal")
+FOCAL_LR, FOCAL_EPOCHS, FIT_ROUND = 2.0, 3, 9
+
+
+def _focal_fit_sql(k: int = 10, lr: float = FOCAL_LR, epochs: int = FOCAL_EPOCHS) -> str:
+    """Full-batch gradient descent of the K heads under focal loss (alpha 1,
+    gamma 2) from zero weights, written out epoch by epoch; the loss of each
+    epoch is taken before its update, as in ``fit_linear_head``."""
+    one = O.d(1.0)
+
+    def cell(z: str) -> dict:
+        p = f"({one} / ({one} + exp(-{z})))"
+        pt = f"({p} * y + ({one} - {p}) * ({one} - y))"
+        bce = f"(({one} - y) * {z} + ln({one} + exp(-abs({z}))) + greatest(-{z}, {O.d(0.0)}))"
+        mod = f"pow({one} - {pt}, {O.d(2.0)})"
+        dmod = f"({O.d(2.0)} * ({one} - {pt}) * (-({O.d(2.0)} * y - {one}) * {p} * ({one} - {p})))"
+        return {"loss": f"({mod} * {bce})", "grad": f"({dmod} * {bce} + {mod} * ({p} - y))"}
+
+    ctes = ["e AS (SELECT vec_id, label, unnest(embedding) AS x, "
+            "unnest(generate_series(0, len(embedding) - 1)) AS dim FROM embeddings)",
+            "v AS (SELECT DISTINCT vec_id, label FROM e)",
+            f"cells AS (SELECT v.vec_id, kk.k, CAST(v.label = kk.k AS DOUBLE) AS y FROM v "
+            f"CROSS JOIN (SELECT unnest(generate_series(0, {k - 1})) AS k) kk)",
+            f"nc AS (SELECT CAST(count(*) AS DOUBLE) AS cells FROM cells)",
+            "w0 AS (SELECT kk.k, d.dim, 0.0::DOUBLE AS w FROM (SELECT DISTINCT k FROM cells) kk "
+            "CROSS JOIN (SELECT DISTINCT dim FROM e) d)",
+            "b0 AS (SELECT DISTINCT k, 0.0::DOUBLE AS b FROM cells)"]
+    for t in range(epochs):
+        ctes.append(f"z{t} AS (SELECT c.vec_id, c.k, c.y, sum(e.x * w.w) + max(b.b) AS z FROM cells c "
+                    f"JOIN e ON e.vec_id = c.vec_id JOIN w{t} w ON w.k = c.k AND w.dim = e.dim "
+                    f"JOIN b{t} b ON b.k = c.k GROUP BY c.vec_id, c.k, c.y)")
+        f = cell("z")
+        ctes.append(f"g{t} AS (SELECT vec_id, k, {f['loss']} AS loss, {f['grad']} AS g FROM z{t})")
+        ctes.append(f"h{t} AS (SELECT {t} AS epoch, sum(loss) / (SELECT cells FROM nc) AS mean_loss FROM g{t})")
+        if t + 1 < epochs:
+            ctes.append(f"w{t + 1} AS (SELECT w.k, w.dim, w.w - {O.d(lr)} * sum(g.g * e.x) / (SELECT cells FROM nc) "
+                        f"AS w FROM w{t} w JOIN g{t} g ON g.k = w.k JOIN e ON e.vec_id = g.vec_id "
+                        f"AND e.dim = w.dim GROUP BY w.k, w.dim, w.w)")
+            ctes.append(f"b{t + 1} AS (SELECT b.k, b.b - {O.d(lr)} * sum(g.g) / (SELECT cells FROM nc) AS b "
+                        f"FROM b{t} b JOIN g{t} g ON g.k = b.k GROUP BY b.k, b.b)")
+    hist = " UNION ALL ".join(f"SELECT * FROM h{t}" for t in range(epochs))
+    return (f"WITH {', '.join(ctes)} SELECT CAST(epoch AS INTEGER) AS epoch, "
+            f"round(mean_loss, {FIT_ROUND}) AS mean_loss FROM ({hist})")
+
+
+@register("fit_linear_head_focal", _focal_fit_sql())
 def q_fit_linear_head_focal(spark, sf):
     v = B.frame_v(spark, sf)
-    _, _, hist = fit_ops.fit_linear_head(v, 10, 64, "focal", epochs=3, lr=2.0)
-    return spark.createDataFrame(hist, "epoch int, mean_loss double")
+    _, _, hist = fit_ops.fit_linear_head(v, 10, 64, "focal", epochs=FOCAL_EPOCHS, lr=FOCAL_LR)
+    # K x d parameters and one loss per epoch reach the driver, as a fit's do
+    return spark.createDataFrame([(e, round(m, FIT_ROUND)) for e, m in hist], "epoch int, mean_loss double")
 
 
 # --- A1-A9: sources and sinks (round trips through the shared folder) ----------------------
