@@ -60,10 +60,11 @@ def length_profile(df: DataFrame, lengths: Sequence[int] = PROFILE_LENGTHS, text
     return row.select(F.inline(F.array(*structs)))
 
 
-def term_frequencies(df: DataFrame, dim: int = 1 << 12, text: str = "text",
+def term_frequencies(df: DataFrame, dim: int = 1 << 18, text: str = "text",
                      out: str = "tf") -> DataFrame:
     """D2, first half: lower-cased whitespace tokens hashed into ``dim``
-    term-frequency buckets (a narrow projection; persist it when it feeds
+    term-frequency buckets; words that share a bucket are counted together, so
+    ``dim`` should be well above the vocabulary (a narrow projection; persist it when it feeds
     both an IDF fit and a model fit, so the texts are tokenized once)."""
     from pyspark.ml.feature import HashingTF, RegexTokenizer
 
@@ -81,7 +82,7 @@ def inverse_document_frequency(tf_df: DataFrame, tf: str = "tf", out: str = "fea
     return model.transform(tf_df).drop(tf), model
 
 
-def text_features(df: DataFrame, dim: int = 1 << 12, text: str = "text", out: str = "features",
+def text_features(df: DataFrame, dim: int = 1 << 18, text: str = "text", out: str = "features",
                   idf: bool = True):
     """Hashed term frequencies (+ IDF) as an ML vector column.
 
@@ -91,3 +92,23 @@ def text_features(df: DataFrame, dim: int = 1 << 12, text: str = "text", out: st
     if not idf:
         return term_frequencies(df, dim, text, out), None
     return inverse_document_frequency(term_frequencies(df, dim, text, "_tf"), "_tf", out)
+
+
+TOKEN_GAP = r"[\x20\x09-\x0D]+"
+
+
+def tfidf_cells(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text") -> DataFrame:
+    """D2 in long form: (key, bucket, tf, tfidf) of every non-zero cell.
+
+    Buckets are the first 32 bits of a token's MD5 modulo ``dim``, a hash any
+    engine computes alike; idf = ln((n + 1) / (df + 1)).  Counts combine on
+    the map side; the bucket table joined back has at most ``dim`` rows."""
+    token = F.explode(F.split(F.lower(F.col(text)), TOKEN_GAP))
+    cells = (df.select(key, token.alias("t")).filter("t <> ''")
+             .select(key, F.expr(f"CAST(conv(substr(md5(t), 1, 8), 16, 10) AS BIGINT) % {dim}").alias("bucket"))
+             .groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("tf")))
+    df_of = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    n = df.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    # one row beside at most ``dim`` rows
+    idf = df_of.join(F.broadcast(n)).select("bucket", F.expr("ln((n + 1D) / (df + 1D))").alias("idf"))
+    return cells.join(F.broadcast(idf), "bucket").select(key, "bucket", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))

@@ -1,37 +1,56 @@
 """Scoring and losses: linear head, sigmoid, batch scoring, BCE / weighted
 BCE / focal loss.
 
-Model parameters (K x d weights, K biases) are small driver-side values and
-enter the plan as literals, so scoring is a narrow projection with no join
-and no shuffle.  Losses are per-cell column expressions reduced by one
-aggregate.  Each cell is rounded once to a 1e-9 fixed-point integer and the
-integers are summed exactly (long-backed decimals), so a sum does not depend
-on partition order and cannot overflow.
+Model parameters (K x d weights, K biases) are small driver-side values, so
+scoring is a narrow step with no join and no shuffle: the head is one matrix
+product per Arrow batch, everything after it an expression.  Losses are
+per-cell expressions summed as doubles by one aggregate; operators round
+nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import sqltext as X
 from ..functions.labels import per_label
 
 
-def dot_literal(x: str, w: Sequence[float]) -> str:
-    """x . w for a literal weight vector (one higher-order fold over x)."""
-    wl = X.array_of([X.lit(float(v)) for v in w])
-    return f"aggregate(zip_with({x}, {wl}, (a, b) -> a * b), 0.0D, (acc, v) -> acc + v)"
+def _head(weights, bias, features: str, out: str):
+    w, b = np.asarray(weights, dtype=float), np.asarray(bias, dtype=float)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            x = batch.column(features)
+            flat = x.flatten().to_numpy(zero_copy_only=False).astype(float)
+            z = np.full((len(x), len(b)), np.nan)
+            whole = np.asarray(x.is_valid())
+            if whole.any():
+                z[whole] = flat.reshape(int(whole.sum()), w.shape[1]) @ w.T + b
+            rows = pa.FixedSizeListArray.from_arrays(pa.array(z.ravel()), len(b)).cast(pa.list_(pa.float64()))
+            if not whole.all():
+                rows = pa.array([r if ok else None for r, ok in zip(rows.to_pylist(), whole)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, rows], names=[*batch.schema.names, out])
+    return run
 
 
 def linear_head(df: DataFrame, weights: Sequence[Sequence[float]], bias: Sequence[float],
                 features: str = "features", out: str = "logit") -> DataFrame:
-    """D3: logits = x . W_k + b_k for K labels."""
-    x = X.ident(features)
-    z = X.array_of([f"{dot_literal(x, w)} + {X.lit(float(b))}" for w, b in zip(weights, bias)])
-    return df.withColumn(out, F.expr(z))
+    """D3: logits = x . W_k + b_k for K labels, one matrix product per Arrow batch.
+
+    A null feature vector gives a null logit vector; one of another length
+    than the weights is an error.
+    """
+    schema = T.StructType([f for f in df.schema.fields if f.name != out]
+                          + [T.StructField(out, T.ArrayType(T.DoubleType()))])
+    return df.drop(out).mapInArrow(_head(weights, bias, features, out), schema)
 
 
 def probabilities(df: DataFrame, k: int, logit: str = "logit", out: str = "score") -> DataFrame:
@@ -54,11 +73,12 @@ def score_batch(df: DataFrame, names: Sequence[str], t=0.5, op: str = "ge",
                 score: str = "score", sort_labels: bool = False) -> DataFrame:
     """labels = array<struct<name, probability, predicted>>, top = first max.
 
-    Serving uses ``p >= t``; ``sort_labels`` orders labels high-first (index
-    breaks ties) as the prediction page shows them.
+    Serving uses ``p >= t``; ``t`` is one number, one per label, or the name of
+    a column with each request's own threshold.  ``sort_labels`` orders labels
+    high-first (index breaks ties) as the prediction page shows them.
     """
     k = len(names)
-    ts = per_label(t, k)
+    ts = [X.ident(t)] * k if isinstance(t, str) else per_label(t, k)
     s = [X.elem(score, i) for i in range(k)]
     items = X.array_of([X.named_struct([("name", X.lit(n)), ("probability", s[i]),
                                         ("predicted", X.above(s[i], ts[i], op))])
@@ -97,28 +117,6 @@ def focal_cell(z: str, y: str, alpha: float = 1.0, gamma: float = 2.0) -> str:
 
 
 LOSS_KINDS = ("bce", "weighted_bce", "focal")
-FIXED_SCALE = 1e9      # per-cell resolution of loss sums
-LOSS_ROUND = 9         # digits of the reported mean
-SUM_ROUND = 6          # digits of the reported sum
-
-
-def fixed_point(x: str) -> str:
-    """Cell value as an integer number of 1e-9 units (round half up)."""
-    return f"CAST(floor(({x}) * {X.lit(FIXED_SCALE)} + 0.5D) AS DECIMAL(18,0))"
-
-
-def fixed_point_long(x: str) -> str:
-    """As ``fixed_point`` but BIGINT: for adding a row's K cells exactly
-    before one decimal cast per row (a row total stays far below 2**63)."""
-    return f"CAST(floor(({x}) * {X.lit(FIXED_SCALE)} + 0.5D) AS BIGINT)"
-
-
-def exact_sum(x: str) -> str:
-    return f"sum({fixed_point(x)})"
-
-
-def from_fixed(total: str) -> str:
-    return f"(CAST({total} AS DOUBLE) / {X.lit(FIXED_SCALE)})"
 
 
 def loss_cell(kind: str, z: str, y: str, pos_weight: str | None = None,
@@ -155,12 +153,10 @@ def loss(ef, kind: str = "bce", reduction: str = "mean", logit: str = "logit",
     cells = loss_cells(ef, kind, logit, pos_weights, alpha, gamma)
     if reduction == "none":
         return cells
-    agg = cells.agg(F.expr(exact_sum("loss")).alias("s"), F.count(F.lit(1)).alias("n"))
-    total = from_fixed("s")
     if reduction == "sum":
-        return agg.selectExpr(f"round({total}, {SUM_ROUND}) AS loss")
+        return cells.agg(F.sum("loss").alias("loss"))
     if reduction == "mean":
-        return agg.selectExpr(f"round({total} / n, {LOSS_ROUND}) AS loss")
+        return cells.agg(F.avg("loss").alias("loss"))
     raise ValueError(f"unknown reduction {reduction!r}")
 
 
@@ -186,21 +182,17 @@ def loss_summary(ef, kinds=LOSS_KINDS, logit: str = "logit", pos_weights: DataFr
                  alpha: float = 1.0, gamma: float = 2.0) -> DataFrame:
     """All requested losses, mean and sum, from ONE scan: (kind, mean, sum, n).
 
-    No explode: every row adds its K fixed-point cells as BIGINT (each cell
-    is still rounded on its own), and the row totals are summed as decimals,
-    so the total is the exact per-cell sum and cannot overflow; ``n`` counts
-    cells (rows x K)."""
+    No explode: every row adds its K cells and the row totals are summed as
+    doubles; ``n`` counts cells (rows x K).  Class weights are fetched only
+    when the weighted loss is asked for."""
     k = ef.k
-    pw = weight_literals(pos_weights, k)
+    pw = weight_literals(pos_weights if "weighted_bce" in kinds else None, k)
     aggs = [F.expr(f"count(1) * {k} AS n")]
     for kd in kinds:
-        cells = [fixed_point_long(loss_cell(kd, X.elem(logit, i), X.elem("y_true", i),
-                                            pw[i] if pw else None, alpha, gamma)) for i in range(k)]
-        aggs.append(F.expr(f"sum(CAST({' + '.join(cells)} AS DECIMAL(18,0))) AS s_{kd}"))
+        cells = [loss_cell(kd, X.elem(logit, i), X.elem("y_true", i), pw[i] if pw else None, alpha, gamma)
+                 for i in range(k)]
+        aggs.append(F.expr(f"sum({X.fsum(cells)}) AS s_{kd}"))
     row = ef.df.agg(*aggs)
-    structs = [X.named_struct([("kind", X.lit(kd)),
-                               ("mean", f"round({from_fixed(f's_{kd}')} / n, {LOSS_ROUND})"),
-                               ("sum", f"round({from_fixed(f's_{kd}')}, {SUM_ROUND})"),
-                               ("n", "CAST(n AS BIGINT)")])
-               for kd in kinds]
+    structs = [X.named_struct([("kind", X.lit(kd)), ("mean", f"s_{kd} / n"), ("sum", f"s_{kd}"),
+                               ("n", "CAST(n AS BIGINT)")]) for kd in kinds]
     return row.select(X.inline_rows(structs))
