@@ -2,13 +2,14 @@
 
 Run log (long form): run_id, step, metric, value (+ any order column).
 
-best_metric / best_checkpoint   one aggregate per run (max_by/min_by with the
-                                first-on-ties key) plus one join back of that
+best_metric / best_checkpoint   one aggregate per run (max_by with the
+                                first-on-ties key) plus one salted join of that
                                 per-run row to count the position
 early_stop                      an order-dependent fold, made associative:
                                 the state after a row is the counter c in
-                                0..P-1 (the best is the row c steps back), so
-                                each row is a P-entry transition table and
+                                0..P-1 (the best is the row c steps back) with
+                                the best value it implies, so each row is a
+                                P-entry transition table and
                                 tables compose; chunks of consecutive rows are
                                 composed in bounded groups (see ordering.py)
 training_curves                 pivot of a fixed metric list per (run, step)
@@ -20,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sqltext as X
-from ..session import cut_lineage
 from .ordering import chunked_fold, global_index
 
 # Default early-stopping parameters of the reference trainer.
@@ -33,9 +33,10 @@ FALLBACK_METRIC = "eval_f1"  # unknown names fall back to macro F1
 # --- F1 ----------------------------------------------------------------------------
 
 def append_run_log(log: DataFrame, path: str) -> None:
-    """append (run_id, step, metric, value) partitioned by run."""
+    """append (run_id, step, metric, value), sorted by run inside each file so
+    that a run's reader skips most row groups (no folder per run)."""
     (log.select("run_id", "step", "metric", F.col("value").cast("double"))
-     .write.mode("append").partitionBy("run_id").parquet(path))
+     .sortWithinPartitions("run_id", "step").write.mode("append").parquet(path))
 
 
 def read_run_log(spark, path: str, metrics: list | None = None) -> DataFrame:
@@ -46,31 +47,44 @@ def read_run_log(spark, path: str, metrics: list | None = None) -> DataFrame:
 
 # --- F2, F4 ------------------------------------------------------------------------
 
+SALTS = 32  # parts a run's rows are dealt into where they meet the run's best row
+
+
+def _value(col: str = "value") -> Column:
+    """The value, null when it is NaN: a missing value never improves anything."""
+    v = F.col(col).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def best_metric(log: DataFrame, metric: str, mode: str = "max", run: str = "run_id",
                 order: str = "step") -> DataFrame:
     """per run the best value, its step and its position in the metric's
-    list (0-based); the first of equal values wins."""
-    s = log.filter(F.col("metric") == metric).select(run, order, "value")
-    rec = F.struct(F.col("value"), F.col(order).alias("best_step"))
-    if mode == "max":
-        best = F.max_by(rec, F.struct(F.col("value"), -F.col(order)))
-    elif mode == "min":
-        best = F.min_by(rec, F.struct(F.col("value"), F.col(order)))
-    else:
+    list (0-based); the first of equal values wins.  Missing values (null,
+    NaN) count as positions but are never the best; a run without any value
+    has null results."""
+    if mode not in ("max", "min"):
         raise ValueError("mode must be 'max' or 'min'")
-    per_run = s.groupBy(run).agg(best.alias("b"), F.count(F.lit(1)).alias("n_values"))
-    per_run = per_run.select(run, F.col("b.value").alias("best_value"),
-                             F.col("b.best_step").alias("best_step"), "n_values")
-    # one row per run on the right: AQE broadcasts it when it is small at run
-    # time and splits a hot run's partition (skew join) when it is not; the
-    # per-run columns ride along the join (equal on every row of a run), so
-    # one partial+final aggregate finishes the result
-    return (s.join(per_run, run).groupBy(run).agg(
+    s = log.filter(F.col("metric") == metric).select(run, order, _value().alias("value"))
+    rec = F.when(F.col("value").isNotNull(), F.struct(F.col("value"), F.col(order).alias("best_step")))
+    key = F.when(F.col("value").isNotNull(), F.struct(F.col("value") if mode == "max" else -F.col("value"),
+                                                      -F.col(order)))
+    per_run = (s.groupBy(run).agg(F.max_by(rec, key).alias("b"), F.count(F.lit(1)).alias("n_values"))
+               .select(run, F.col("b.value").alias("best_value"), F.col("b.best_step").alias("best_step"),
+                       "n_values"))
+    # a run's rows are dealt into SALTS parts, so a hot run meets its one row in as many tasks;
+    # each part counts its rows before the best step, and the parts are added up
+    salt = F.pmod(F.xxhash64(run, order), F.lit(SALTS))
+    dealt = per_run.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    parts = (s.withColumn("salt", salt).groupBy(run, "salt", order).agg(F.count(F.lit(1)).alias("n"))
+             .join(dealt, [run, "salt"]).groupBy(run, "salt").agg(
+                 F.max("best_value").alias("best_value"), F.max("best_step").alias("best_step"),
+                 F.sum(F.when(F.col(order) < F.col("best_step"), F.col("n")).otherwise(0)).alias("before"),
+                 F.max("n_values").alias("n_values")))
+    return (parts.groupBy(run).agg(
         F.max("best_value").alias("best_value"), F.max("best_step").alias("best_step"),
-        F.count_if(F.col(order) < F.col("best_step")).alias("best_position"),
-        F.max("n_values").alias("n_values"))
+        F.sum("before").alias("before"), F.max("n_values").alias("n_values"))
         .select(run, F.lit(metric).alias("metric"), "best_value", "best_step",
-                F.col("best_position").cast("long").alias("best_position"),
+                F.when(F.col("best_step").isNotNull(), F.col("before")).cast("long").alias("best_position"),
                 F.col("n_values").cast("long").alias("n_values")))
 
 
@@ -88,9 +102,15 @@ STOP = -1      # absorbing state: training stopped
 UNREACHED = -2  # a counter larger than the rows seen so far
 
 
+def _entry(state, stop=None, best=None) -> Column:
+    """One table entry: next counter, stop row, best value so far."""
+    return F.struct((F.lit(state) if isinstance(state, int) else state).alias("state"),
+                    (F.lit(None) if stop is None else stop).cast("long").alias("stop"),
+                    (F.lit(None) if best is None else best).cast("double").alias("best"))
+
+
 def _table_type(p: int):
-    return F.array(*[F.struct(F.lit(s).alias("state"), F.lit(None).cast("long").alias("stop"))
-                     for s in range(p)])
+    return F.array(*[_entry(s) for s in range(p)])
 
 
 def _compose(acc: Column, x: Column) -> Column:
@@ -113,7 +133,7 @@ def early_stop(log: DataFrame, metric: str | None = None, patience: int = DEFAUL
     """
     order = order or ["step"]
     s = log if metric is None else log.filter(F.col("metric") == metric)
-    s = s.select(run, *order, F.col("value").cast("double").alias("value"))
+    s = s.select(run, *order, _value().alias("value"))
     idx = global_index(s, [run] + order)
     starts = idx.groupBy(run).agg(F.min("gidx").alias("start"), F.max("gidx").alias("last"),
                                   F.count(F.lit(1)).alias("n_steps"))
@@ -129,24 +149,21 @@ def early_stop(log: DataFrame, metric: str | None = None, patience: int = DEFAUL
     lagged = own.unionByName(halo).select(
         run, "gidx", "value", "_halo",
         *[F.lag("value", c + 1).over(w).alias(f"_lag{c}") for c in range(p)],
+        *[F.lag("gidx", c + 1).over(w).isNotNull().alias(f"_has{c}") for c in range(p)],
         F.lag(F.col(run), 1).over(w).alias("_lrun0"))
     lagged = lagged.filter(~F.col("_halo"))
 
     def entry(c: int) -> Column:
-        best = F.col(f"_lag{c}")
-        if mode == "max":
-            improved = F.col("value") > best + F.lit(float(min_delta))
-        else:
-            improved = F.col("value") < best - F.lit(float(min_delta))
-        nxt = (F.when(improved, F.struct(F.lit(0).alias("state"), F.lit(None).cast("long").alias("stop")))
-               .when(F.lit(c + 1 >= p), F.struct(F.lit(STOP).alias("state"), F.col("gidx").alias("stop")))
-               .otherwise(F.struct(F.lit(c + 1).alias("state"), F.lit(None).cast("long").alias("stop"))))
-        valid = best.isNotNull()
-        return F.when(valid, nxt).otherwise(
-            F.struct(F.lit(UNREACHED).alias("state"), F.lit(None).cast("long").alias("stop")))
-
-    reset = F.array(*[F.struct(F.lit(0).alias("state"), F.lit(None).cast("long").alias("stop"))
-                      for _ in range(p)])
+        best, value = F.col(f"_lag{c}"), F.col("value")
+        beats = (value > best + F.lit(float(min_delta)) if mode == "max"
+                 else value < best - F.lit(float(min_delta)))
+        improved = value.isNotNull() & (best.isNull() | beats)
+        nxt = (F.when(improved, _entry(0, best=value))
+               .when(F.lit(c + 1 >= p), _entry(STOP, F.col("gidx"), best))
+               .otherwise(_entry(c + 1, best=best)))
+        return F.when(F.col(f"_has{c}"), nxt).otherwise(_entry(UNREACHED))
+
+    reset = F.array(*[_entry(0, best=F.col("value")) for _ in range(p)])
     # the window is per (run, chunk): a row without a previous row is a run start
     first_row = F.col("_lrun0").isNull()
     table = F.when(first_row, reset).otherwise(F.array(*[entry(c) for c in range(p)]))
@@ -159,20 +176,16 @@ def early_stop(log: DataFrame, metric: str | None = None, patience: int = DEFAUL
         run, "start", "last", "n_steps", F.col("folded")[0].alias("e"))
     stopped = F.col("e.state") == STOP
     best_g = F.when(stopped, F.col("e.stop") - F.lit(p)).otherwise(F.col("last") - F.col("e.state"))
-    res = res.select(run, "start", "n_steps", stopped.cast("int").alias("stopped"),
-                     F.when(stopped, F.col("e.stop")).alias("stop_g"), best_g.alias("best_g"))
-    # one row per run joined on a unique (run, gidx) key: no hot key
-    vals = idx.select(F.col(run).alias("_r"), F.col("gidx").alias("_bg"), F.col("value").alias("best_value"))
-    out = res.join(vals, (res[run] == vals["_r"]) & (res["best_g"] == vals["_bg"])).drop("_r", "_bg")
-    return out.select(
-        run, F.col("n_steps").cast("long").alias("n_steps"), "stopped",
-        (F.col("stop_g") - F.col("start")).alias("stop_position"),
-        (F.col("best_g") - F.col("start")).alias("best_position"), "best_value")
+    return res.select(
+        run, F.col("n_steps").cast("long").alias("n_steps"), stopped.cast("int").alias("stopped"),
+        F.when(stopped, F.col("e.stop") - F.col("start")).alias("stop_position"),
+        (best_g - F.col("start")).alias("best_position"), F.col("e.best").alias("best_value"))
 
 
 # --- F5 ------------------------------------------------------------------------------
 
-CURVE_METRICS = ("train_loss", "eval_loss", "eval_f1", "eval_accuracy", "learning_rate")
+CURVE_METRICS = ("train_loss", "eval_loss", "eval_f1", "eval_accuracy", "learning_rate",
+                 "macro_f1", "exact_match_accuracy", "hamming_loss", "macro_auc")
 
 
 def training_curves(log: DataFrame, metrics=CURVE_METRICS, run: str = "run_id",
@@ -191,11 +204,5 @@ def training_curves(log: DataFrame, metrics=CURVE_METRICS, run: str = "run_id",
     return log.groupBy(run, order).agg(*aggs)
 
 
-def recent_steps(log: DataFrame, n: int, run: str = "run_id", order: str = "step") -> DataFrame:
-    """Latest n records per run (row_number with a partial per-task limit)."""
-    w = Window.partitionBy(run).orderBy(F.col(order).desc())
-    return log.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-
-
 __all__ = ["append_run_log", "read_run_log", "best_metric", "best_checkpoint", "early_stop",
-           "training_curves", "recent_steps", "cut_lineage"]
+           "training_curves"]

@@ -27,17 +27,22 @@ def recent_history(df: DataFrame, key: str, order: list, n: int = HISTORY_LIMIT,
 
     ``clear`` (a SQL condition) marks clear records: a key's rows at or
     before its latest clear, in ``order``, are gone, and clear records are
-    not listed.  The latest clear per key is one partial+final aggregate,
-    joined back on the key (AQE broadcasts it when small and splits a hot
-    key's partition otherwise)."""
-    if clear is not None:
-        is_clear = F.coalesce(F.expr(clear), F.lit(False))
-        pos = F.struct(*[F.col(c) for c in order])
-        marks = df.filter(is_clear).groupBy(key).agg(F.max(pos).alias("_clear"))
-        df = (df.filter(~is_clear).join(marks, key, "left")
-              .filter(F.col("_clear").isNull() | (pos > F.col("_clear"))).drop("_clear"))
+    not listed.  Rows after a clear are the newest of their key, so each key is
+    cut to its n newest rows first (a partial limit before the shuffle, whatever
+    the key's share) and only those meet the latest clear: at most n rows a key
+    reach the join."""
     w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+    if clear is None:
+        return newest(df)
+    is_clear = F.coalesce(F.expr(clear), F.lit(False))
+    pos = F.struct(*[F.col(c) for c in order])
+    marks = df.filter(is_clear).groupBy(key).agg(F.max(pos).alias("_clear"))
+    return (newest(df.filter(~is_clear)).join(marks, key, "left")
+            .filter(F.col("_clear").isNull() | (pos > F.col("_clear"))).drop("_clear"))
 
 
 STATE_SCHEMA = ("ids array<long>, ts array<long>, kinds array<string>, vals array<double>, "
@@ -146,8 +151,9 @@ def latest_lists(spark, sink_path: str) -> DataFrame:
     """Current list per user: the rows of each user's highest version (an
     emptied list is one marker row without an event, dropped here)."""
     out = spark.read.parquet(sink_path)
-    w = Window.partitionBy("user_id")
-    latest = out.withColumn("_v", F.max("version").over(w)).filter(F.col("version") == F.col("_v"))
+    # rank() = 1 keeps a partial group limit before the shuffle: old versions stay in their tasks
+    w = Window.partitionBy("user_id").orderBy(F.col("version").desc())
+    latest = out.withColumn("_v", F.rank().over(w)).filter(F.col("_v") == 1)
     return latest.filter(F.col("event_id").isNotNull()).select(
         "user_id", "event_id", F.expr(f"timestampadd(MICROSECOND, ts_us, {EPOCH_NTZ})").alias("ts"),
         "event_type", "value", "rank")

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.corpus import DEFAULT_THRESHOLD, THRESHOLD_RANGE
+from ..operators.corpus import DEFAULT_THRESHOLD, THRESHOLD_RANGE, validate_requests
 
 
 def threshold_reason(threshold) -> F.Column:
@@ -22,7 +22,11 @@ def threshold_reason(threshold) -> F.Column:
     return F.when((threshold < lo) | (threshold > hi), F.lit("threshold_out_of_range"))
 
 
-def prepare_requests(df: DataFrame, threshold_col: str = "threshold") -> DataFrame:
+def prepare_requests(df: DataFrame, threshold_col: str = "threshold", text_col: str = "text") -> DataFrame:
+    """``reason`` of every request, null when accepted: text and threshold where
+    requests carry texts, the threshold alone where they carry vectors."""
+    if text_col in df.columns:
+        return validate_requests(df, text_col, threshold_col)
     t = F.coalesce(F.col(threshold_col).cast("double"), F.lit(DEFAULT_THRESHOLD))
     return df.withColumn(threshold_col, t).withColumn("reason", threshold_reason(F.col(threshold_col)))
 
