@@ -63,13 +63,20 @@ def safe_div(a: str, b: str) -> str:
             f"ELSE CAST(({a}) AS DOUBLE) / CAST(({b}) AS DOUBLE) END)")
 
 
-def above(p: str, t: float, op: str = "gt") -> str:
-    """Positive decision: strict ``p > t`` (evaluation) or ``p >= t`` (serving)."""
-    if op == "gt":
-        return f"(({p}) > {lit(float(t))})"
-    if op == "ge":
-        return f"(({p}) >= {lit(float(t))})"
-    raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
+def above(p: str, t, op: str = "gt") -> str:
+    """Positive decision: strict ``p > t`` (evaluation) or ``p >= t`` (serving).
+
+    A missing score, null or NaN, is never positive, so every cell is either
+    predicted or not.  ``t`` is a number or SQL text (a threshold column)."""
+    if op not in ("gt", "ge"):
+        raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
+    limit = t if isinstance(t, str) else lit(float(t))
+    return f"coalesce(({p}) {'>' if op == 'gt' else '>='} {limit} AND NOT isnan({p}), false)"
+
+
+def score_or_lowest(p: str) -> str:
+    """The score, minus infinity when it is missing (null or NaN): below every threshold and rank."""
+    return f"CASE WHEN ({p}) IS NULL OR isnan({p}) THEN CAST('-Infinity' AS DOUBLE) ELSE ({p}) END"
 
 
 def as_int(cond: str) -> str:

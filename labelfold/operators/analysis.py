@@ -36,7 +36,7 @@ def threshold_sweep(ef: EvalFrame, thresholds: Sequence[float] = DEFAULT_THRESHO
     incl = op == "ge"
     k = ef.k
     y = [X.elem("y_true", i) for i in range(k)]
-    p = [X.elem("score", i) for i in range(k)]
+    p = [X.score_or_lowest(X.elem("score", i)) for i in range(k)]
     # stage 1: per-row scalars (each computed once, referenced by name later)
     neg = [f"CASE WHEN {y[i]} = 0 THEN {p[i]} END" for i in range(k)]
     pos = [f"CASE WHEN {y[i]} = 1 THEN {p[i]} END" for i in range(k)]
@@ -123,31 +123,16 @@ def label_combinations(ef: EvalFrame, t=0.5, op: str = "gt", top: int = 10,
                        truth: bool = False, empty_as: str = "clean") -> DataFrame:
     """Most frequent exact label sets, count and share of rows.
 
-    ``groupBy(vector)`` is a partial + final aggregate (at most 2^K groups,
-    on a bitmask for predicted vectors);
+    ``groupBy(vector)`` is a partial + final aggregate (at most 2^K groups);
     the top-k is a TakeOrderedAndProject, the total a union with one row and a
     window over those k+1 rows, so no join and no global sort.
     """
     k = ef.k
-    if truth or k > 62:
-        vec = X.ident("y_true") if truth else X.binarize("score", k, per_label(t, k), op)
-        groups = ef.df.select(F.expr(X.vector_key(vec, k)).alias("vector")).groupBy("vector").agg(
-            F.count(F.lit(1)).alias("count"))
-        top_rows = (groups.orderBy(F.col("count").desc(), F.col("vector").desc()).limit(top)
-                    .withColumn("kind", F.lit("top")))
-    else:
-        # predicted bits are 0/1 by construction: group on a bitmask (first
-        # label = highest bit, so it orders like the '0,1,..' text) and format
-        # the text only for the top rows
-        ts = per_label(t, k)
-        bits = [f"shiftleft(CAST({X.above(X.elem('score', i), ts[i], op)} AS BIGINT), {k - 1 - i})"
-                for i in range(k)]
-        groups = ef.df.select(F.expr(" + ".join(bits)).alias("mask")).groupBy("mask").agg(
-            F.count(F.lit(1)).alias("count"))
-        text = "concat_ws(',', " + ", ".join(
-            f"CAST(shiftright(mask, {k - 1 - i}) & 1 AS STRING)" for i in range(k)) + ")"
-        top_rows = (groups.orderBy(F.col("count").desc(), F.col("mask").desc()).limit(top)
-                    .select(F.expr(text).alias("vector"), "count", F.lit("top").alias("kind")))
+    vec = X.ident("y_true") if truth else X.binarize("score", k, per_label(t, k), op)
+    groups = ef.df.select(F.expr(X.vector_key(vec, k)).alias("vector")).groupBy("vector").agg(
+        F.count(F.lit(1)).alias("count"))
+    top_rows = (groups.orderBy(F.col("count").desc(), F.col("vector").desc()).limit(top)
+                .withColumn("kind", F.lit("top")))
     total = groups.agg(F.sum("count").alias("count")).select(
         F.lit(None).cast("string").alias("vector"), "count", F.lit("total").alias("kind"))
     both = top_rows.unionByName(total)
@@ -225,16 +210,18 @@ def score_histogram(ef: EvalFrame, bins: int = 50) -> DataFrame:
     bins come from a K*bins grid merged by union + aggregate.
     """
     k = ef.k
-    ext = ef.df.agg(*[F.expr(f"{fn}({X.elem('score', i)}) AS {fn}_{i}")
-                      for i in range(k) for fn in ("min", "max")]).collect()[0]
-    labels = [i for i in range(k) if ext[f"min_{i}"] is not None]
-    rng = {i: histogram_range(float(ext[f"min_{i}"]), float(ext[f"max_{i}"]), bins) for i in labels}
-    stages = {i: histogram_bin_stages(X.elem("score", i), rng[i], bins, i) for i in labels}
+    present = [f"CASE WHEN NOT isnan({X.elem('score', i)}) THEN {X.elem('score', i)} END" for i in range(k)]
+    ext = ef.df.agg(*[F.expr(f"{fn}({present[i]}) AS {fn}_{i}") for i in range(k) for fn in ("min", "max")]).collect()[0]
+    labels = list(range(k))
+    # a label without any score has empty bins over [0, 1], as numpy gives an empty array
+    rng = {i: histogram_range(*((0.0, 1.0) if ext[f"min_{i}"] is None else
+                                (float(ext[f"min_{i}"]), float(ext[f"max_{i}"]))), bins) for i in labels}
+    stages = {i: histogram_bin_stages(present[i], rng[i], bins, i) for i in labels}
     d = ef.df.selectExpr("score", *[f"{stages[i][0]} AS _i0_{i}" for i in labels])
     d = d.selectExpr("score", *[f"_i0_{i}" for i in labels], *[f"{stages[i][1]} AS _i1_{i}" for i in labels])
     d = d.selectExpr(*[f"{stages[i][2]} AS bin_{i}" for i in labels])
     pairs = [X.named_struct([("label_idx", X.lit(i)), ("bin", f"bin_{i}")]) for i in labels]
-    counts = (d.select(X.inline_rows(pairs)).groupBy("label_idx", "bin")
+    counts = (d.select(X.inline_rows(pairs)).filter("bin IS NOT NULL").groupBy("label_idx", "bin")
               .agg(F.count(F.lit(1)).alias("count")))
     ids = X.array_of([X.lit(i) for i in labels])
     grid = ef.df.sparkSession.range(len(labels) * bins).selectExpr(
@@ -259,32 +246,30 @@ def evaluation_report(ef: EvalFrame, path: str, t=0.5, op: str = "gt",
                       bins: int = 50) -> DataFrame:
     """Every section of the evaluation written under ``path``.
 
-    The evaluation frame is persisted once so the sections (each its own
-    action) share one scan; every section is at most K*bins rows except the
-    detailed predictions, which the executors write directly.
-    Returns (section, path, rows) for the written sections.
-    """
-    from ..sources.reports import write_detailed_predictions, write_report
-
-    cached = ef.with_df(ef.df.persist())
-    try:
-        sweep = threshold_sweep(cached, thresholds, op)
-        sections = {
-            "overall": ev.overall_metrics(cached, t, op),
-            "per_label": per_label_report(cached, t, op),
-            "confusion": ev.confusion(cached, t, op),
-            "classification_report": ev.classification_report(cached, t, op),
-            "threshold_sweep": sweep,
-            "best_threshold": best_threshold(sweep),
-            "prediction_distribution": prediction_distribution(cached, t, op),
-            "top_label_combinations": label_combinations(cached, t, op),
-            "hard_examples": hard_examples(cached, hard_n, text="text" in cached.df.columns),
-            "score_histogram": score_histogram(cached, bins),
-        }
-        written = write_report(sections, path)
-        write_detailed_predictions(cached, f"{path}/detailed_predictions", t, op)
-        spark = ef.df.sparkSession
-        rows = [(name, target, spark.read.json(target).count()) for name, target in written]
-        return spark.createDataFrame(rows, "section string, path string, rows long")
-    finally:
-        cached.df.unpersist()
+    Nothing of data size is kept: confusion and report are projections of one
+    written row of counts, overall and per-label come with the AUC's aggregate,
+    and the best threshold is read from the written sweep.  Every section is at
+    most K*bins rows except the detailed predictions, which the executors write
+    directly.  Returns (section, path) of the written sections."""
+    from ..sources.reports import read_section, write_detailed_predictions, write_report, write_text_report
+
+    spark = ef.df.sparkSession
+    ev.counts_row(ef, t, op).write.mode("overwrite").parquet(f"{path}/counts")
+    row = spark.read.parquet(f"{path}/counts")
+    report = ev.classification_report(ef, t, op, row=row)
+    written = write_report({
+        "overall": ev.overall_metrics(ef, t, op),
+        "per_label": per_label_report(ef, t, op),
+        "confusion": ev.confusion(ef, t, op, row=row),
+        "classification_report": report,
+        "threshold_sweep": threshold_sweep(ef, thresholds, op),
+        "prediction_distribution": prediction_distribution(ef, t, op),
+        "top_label_combinations": label_combinations(ef, t, op),
+        "hard_examples": hard_examples(ef, hard_n, text="text" in ef.df.columns),
+        "score_histogram": score_histogram(ef, bins),
+    }, path)
+    written += write_report({"best_threshold": best_threshold(read_section(spark, path, "threshold_sweep"))}, path)
+    written += write_report({"per_label_csv": read_section(spark, path, "per_label")}, path, "csv")
+    write_text_report(report, f"{path}/report_text")
+    write_detailed_predictions(ef, f"{path}/detailed_predictions", t, op)
+    return spark.createDataFrame(written, "section string, path string")

@@ -22,8 +22,7 @@ most negatives below 0.001).  Instead:
    sum(pos * (offset + below)) = offset * pos_partition + sum(pos * below), so
    no row is ever joined back.
 
-Counts are int64; s2 is exact (int64 while provably safe, else Python
-integers) and leaves the tasks as DECIMAL(38,0), so the result equals the
+Counts are int64; s2 is exact (sums of 31-bit words) and leaves the tasks as DECIMAL(38,0), so the result equals the
 single-window rank-sum form even when one score holds a third of all rows.
 """
 
@@ -36,18 +35,23 @@ from ..functions import sqltext as X
 from .frame import EvalFrame, long_form
 
 SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, s2 decimal(38,0)"
-INT64_SAFE = 1 << 62
 
 
 def _weighted_sum(p, w) -> int:
-    """sum(p * w) exactly: int64 while a bound proves it cannot overflow,
-    Python integers otherwise (a score shared by a third of all rows makes
-    pos * neg exceed 2**63 at scale)."""
-    if len(p) == 0:
-        return 0
-    if int(p.max()) * int(w.max()) < INT64_SAFE // len(p):
-        return int(p @ w)
-    return sum(a * b for a, b in zip(p.tolist(), w.tolist()))
+    """sum(p * w) exactly for non-negative int64 arrays.
+
+    Each factor is cut into 31-bit words, so every product fits 62 bits, and a
+    product into two 31-bit halves, so their sums fit int64 for 2**32 rows."""
+    import numpy as np
+
+    low = np.int64((1 << 31) - 1)
+    total = 0
+    for i in range(3):
+        for j in range(3):
+            prod = ((p >> np.int64(31 * i)) & low) * ((w >> np.int64(31 * j)) & low)
+            part = int((prod & low).sum()) + (int((prod >> np.int64(31)).sum()) << 31)
+            total += part << (31 * (i + j))
+    return total
 
 
 def _partition_summaries(batches):
@@ -134,12 +138,6 @@ def roc_auc(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
     return auc_of(auc_sums(ef, partitions), ef.names)
 
 
-def macro_auc_row(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
-    """One row: per-label AUC (null -> 0.5) pivoted in label order, then their
-    mean summed in that fixed order."""
-    return macro_auc_of(auc_sums(ef, partitions), ef)
-
-
 def macro_auc_of(sums: DataFrame, ef: EvalFrame) -> DataFrame:
     a = auc_of(sums, ef.names)
     wide = a.agg(*[F.expr(f"max(CASE WHEN label_idx = {i} THEN coalesce(auc, 0.5D) END) AS auc_{i}")

@@ -210,17 +210,21 @@ def half_even_ratio_sql(num: str, den: str, digits: int = 3) -> str:
 
 
 def class_weights(df: DataFrame, labels: LabelDictionary, method: str = "neg_pos",
-                  splits: list | None = None, split_col: str = "split",
-                  drop_empty: bool = True) -> DataFrame:
+                  splits: list | None = ("train",), split_col: str = "split",
+                  drop_empty: bool = False) -> DataFrame:
     """(label_idx, label, n_pos, n_neg, pos_weight).
 
-    neg_pos            n_neg/n_pos rounded half-even to 3 digits; labels with
-                       no positives dropped (``drop_empty``) or weight 1.0
+    By default only the train split counts, so no prior of the validation rows
+    leaks into training, and a label without positives stays with weight 1.0;
+    ``splits=None, drop_empty=True`` is the parity mode (every row counts, such
+    labels are dropped).  A frame without a split column counts whole.
+
+    neg_pos            n_neg/n_pos rounded half-even to 3 digits
     balanced           n_neg/n_pos unrounded, 1.0 without positives
     inverse_frequency  1/(freq + 1e-6), scaled to sum to K
     other              1.0
     """
-    src = df if splits is None else df.filter(F.col(split_col).isin(list(splits)))
+    src = df if splits is None or split_col not in df.columns else df.filter(F.col(split_col).isin(list(splits)))
     k = labels.k
     row = src.agg(F.expr("count(1) AS n"),
                   *[F.expr(f"coalesce(sum(CAST({X.ident(n)} AS BIGINT)), 0) AS c_{i}")
@@ -252,16 +256,13 @@ def class_weights(df: DataFrame, labels: LabelDictionary, method: str = "neg_pos
 # --- B12: flatten metrics -------------------------------------------------------------
 
 
-def flatten_metrics(overall: DataFrame, per_label: DataFrame, prefix: str = "") -> DataFrame:
+def flatten_metrics(overall: DataFrame, prefix: str = "") -> DataFrame:
     """(name, value): every numeric overall column as ``overall_<name>``
-    plus the mean precision/recall/F1 over labels (one union, two tiny aggs)."""
+    and the mean precision/recall/F1 over labels, which are its macro columns
+    (one projection of one row, no second scan)."""
     num = [f.name for f in overall.schema.fields
            if f.dataType.typeName() in ("double", "float", "long", "integer")]
-    ov = overall.select(F.inline(F.array(*[
-        F.struct(F.lit(f"{prefix}overall_{c}").alias("name"), F.col(c).cast("double").alias("value"))
-        for c in num])))
-    means = per_label.agg(*[F.round(F.avg(m), 9).alias(m) for m in ("precision", "recall", "f1")])
-    av = means.select(F.inline(F.array(*[
-        F.struct(F.lit(f"{prefix}avg_{m}").alias("name"), F.col(m).alias("value"))
-        for m in ("precision", "recall", "f1")])))
-    return ov.unionByName(av)
+    named = [(f"{prefix}overall_{c}", c) for c in num]
+    named += [(f"{prefix}avg_{m}", f"macro_{m}") for m in ("precision", "recall", "f1")]
+    return overall.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.col(c).cast("double").alias("value")) for name, c in named])))

@@ -22,8 +22,6 @@ from ..functions import sqltext as X
 from ..functions.labels import per_label
 from .frame import EvalFrame
 
-ROUND = 9  # digits for averages of per-row ratios (summation order varies)
-
 
 def _row_terms(ef: EvalFrame, t, op: str, pred_col: str | None = None):
     """SQL text of the K predicted bits and the K truth bits."""
@@ -103,9 +101,9 @@ def _unpivot_labels(row: DataFrame, ef: EvalFrame, fields: list, builder) -> Dat
     return row.select(X.inline_rows(structs))
 
 
-def confusion(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
+def confusion(ef: EvalFrame, t=0.5, op: str = "gt", row: DataFrame | None = None) -> DataFrame:
     """Per label [[tn, fp], [fn, tp]] as columns."""
-    row = counts_row(ef, t, op)
+    row = row if row is not None else counts_row(ef, t, op)
 
     def b(i):
         return {m: f"CAST({m}_{i} AS BIGINT)" for m in ("tn", "fp", "fn", "tp")}
@@ -124,10 +122,8 @@ def per_label_metrics_of_groups(by_score: DataFrame, ef: EvalFrame, t=0.5, op: s
     """E1/E2 from the (label, score) -> (pos, neg) table of the AUC plan: the
     counts at a threshold are conditional sums over it (K rows out), so a
     report that also needs AUC scans the data once."""
-    if op not in ("gt", "ge"):
-        raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
-    ts = X.array_of([X.lit(v) for v in per_label(t, ef.k)])
-    hit = f"(p {'>' if op == 'gt' else '>='} {ts}[label_idx])"
+    ts = X.array_of([X.lit(float(v)) for v in per_label(t, ef.k)])
+    hit = X.above("p", f"{ts}[label_idx]", op)
     counts = by_score.groupBy("label_idx").agg(
         F.expr(f"sum(CASE WHEN {hit} THEN pos ELSE 0 END) AS tp"),
         F.expr(f"sum(CASE WHEN {hit} THEN neg ELSE 0 END) AS fp"),
@@ -187,7 +183,7 @@ def score_groups_with_exact(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     h, y = _row_terms(ef, t, op)
     exact = X.all_of([f"({h[i]}) = ({y[i]})" for i in range(ef.k)])
     cells = [X.named_struct([("label_idx", X.lit(i)), ("y", f"CAST({y[i]} AS BIGINT)"),
-                             ("p", X.elem("score", i)), ("ex", "0L")]) for i in range(ef.k)]
+                             ("p", X.score_or_lowest(X.elem("score", i))), ("ex", "0L")]) for i in range(ef.k)]
     row = X.named_struct([("label_idx", "-1"), ("y", "0L"), ("p", "0.0D"),
                           ("ex", f"CAST({exact} AS BIGINT)")])
     long = ef.df.select(X.inline_rows(cells + [row]))
@@ -198,15 +194,12 @@ def score_groups_with_exact(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
 def counts_row_of_groups(groups: DataFrame, ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
     """The counts row (n, tp/fp/fn/tn per label, exact) from
     ``score_groups_with_exact``: conditional sums over its rows."""
-    if op not in ("gt", "ge"):
-        raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
     ts = per_label(t, ef.k)
-    cmp = ">" if op == "gt" else ">="
     aggs = ["sum(CASE WHEN label_idx = -1 THEN neg ELSE 0 END) AS n",
             "sum(CASE WHEN label_idx = -1 THEN exact ELSE 0 END) AS exact"]
     for i in range(ef.k):
-        hit = f"label_idx = {i} AND p {cmp} {X.lit(ts[i])}"
-        miss = f"label_idx = {i} AND NOT (p {cmp} {X.lit(ts[i])})"
+        above = X.above("p", ts[i], op)
+        hit, miss = f"label_idx = {i} AND {above}", f"label_idx = {i} AND NOT {above}"
         aggs += [f"sum(CASE WHEN {hit} THEN pos ELSE 0 END) AS tp_{i}",
                  f"sum(CASE WHEN {hit} THEN neg ELSE 0 END) AS fp_{i}",
                  f"sum(CASE WHEN {miss} THEN pos ELSE 0 END) AS fn_{i}",
@@ -241,7 +234,7 @@ def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
 
 
 def sample_average_cols() -> dict:
-    return {m: f"round({X.safe_div(f's_{m}', 'n')}, {ROUND})" for m in ("precision", "recall", "f1")}
+    return {m: X.safe_div(f's_{m}', 'n') for m in ("precision", "recall", "f1")}
 
 
 def averages(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
@@ -268,10 +261,10 @@ def _average_structs(k: int) -> list:
     return [_report_struct(k + j, name, p, r, f, support) for j, (name, p, r, f) in enumerate(rows)]
 
 
-def classification_report(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
+def classification_report(ef: EvalFrame, t=0.5, op: str = "gt", row: DataFrame | None = None) -> DataFrame:
     """K label rows, then micro, macro, weighted and samples rows, all
     projected from the one aggregate row."""
-    row = counts_row(ef, t, op)
+    row = row if row is not None else counts_row(ef, t, op)
     structs = []
     for i, name in enumerate(ef.names):
         m = _label_metric_cols(i)

@@ -48,13 +48,10 @@ class EvalFrame:
                              "(predictions are still available through scoring)")
 
 
-def with_pred(ef: EvalFrame, t=0.5, op: str = "gt", name: str = "y_pred") -> DataFrame:
-    return ef.df.withColumn(name, F.expr(X.binarize("score", ef.k, per_label(t, ef.k), op)))
-
-
 def long_form(ef: EvalFrame, extra: list | None = None) -> DataFrame:
     """(keys..., label_idx, y, p): one row per cell; only for label-wise work."""
-    cells = [f"named_struct('label_idx', {i}, 'y', y_true[{i}], 'p', score[{i}])" for i in range(ef.k)]
+    cells = [f"named_struct('label_idx', {i}, 'y', y_true[{i}], 'p', {X.score_or_lowest(f'score[{i}]')})"
+             for i in range(ef.k)]
     cols = [F.col(c) for c in ef.keys] + [F.col(c) for c in (extra or [])]
     return ef.df.select(*cols, F.expr(f"inline(array({', '.join(cells)}))"))
 
