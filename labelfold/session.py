@@ -75,10 +75,33 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_made: list[str] = []  # scratch folders handed out by this driver
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for a written intermediate."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this driver was handed and its checkpoints; call it
+    when no result that reads them is needed any more.  Returns how many it deleted."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    folders = _made + ([spark.sparkContext.getCheckpointDir()] if spark.sparkContext.getCheckpointDir() else [])
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(conf)
+        if folder in _made:
+            done += bool(fs.delete(path, True))
+        elif fs.exists(path):
+            for child in fs.listStatus(path):  # checkpointed frames: rdd-<n>
+                if child.getPath().getName().startswith("rdd-"):
+                    done += bool(fs.delete(child.getPath(), True))
+    _made.clear()
+    return done
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -122,6 +122,16 @@ def read_class_weights(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{path}/class_weights")
 
 
+STATISTICS_SCHEMA = ("split string, total_samples long, avg_labels_per_sample double, max_labels_per_sample long, "
+                     "samples_with_no_labels long, samples_with_multiple_labels long, label_idx int, label string, "
+                     "count long, percentage double")
+
+
+def read_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """The dataset statistics, one row per split and label."""
+    return spark.read.schema(STATISTICS_SCHEMA).json(f"{path}/dataset_statistics")
+
+
 def read_label_info(spark: SparkSession, path: str) -> LabelDictionary:
-    rows = spark.read.text(f"{path}/label_info").collect()
+    rows = spark.read.text(f"{path}/label_info").limit(1).collect()
     return dictionary_from_info(json.loads(rows[0]["value"]) if rows else None)

@@ -6,12 +6,13 @@ is assembled on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import sqltext as X
 from ..functions.labels import per_label
 from ..operators.frame import EvalFrame
-from .corpus_io import CSV_WRITE
+from .corpus_io import CSV_READ, CSV_WRITE
 
 
 def detailed_predictions(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
@@ -37,15 +38,42 @@ def write_detailed_predictions(ef: EvalFrame, path: str, t=0.5, op: str = "gt",
         w.format(fmt).save(path)
 
 
+def read_detailed_predictions(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The written predictions, with their columns as ``schema`` lists them."""
+    return spark.read.schema(schema).options(**CSV_READ).csv(path)
+
+
+#: Most rows a report section may have: sections are written as one file.
+SECTION_ROWS = 100_000
+
+
 def write_report(sections: dict, path: str, fmt: str = "json") -> list:
-    """One small table per section; returns (section, path) pairs."""
+    """One small table per section; returns (section, path) pairs.
+
+    A section is one file, so a table that is not small is refused."""
     written = []
     for name, df in sections.items():
         target = f"{path}/{name}"
-        w = df.coalesce(1).write.mode("overwrite")
+        small = df.limit(SECTION_ROWS + 1).coalesce(1)
+        w = small.write.mode("overwrite")
         if fmt == "csv":
             w.options(**CSV_WRITE).csv(target)
         else:
             w.json(target)
+        if read_section(df.sparkSession, path, name, fmt).count() > SECTION_ROWS:
+            raise ValueError(f"section {name!r} has more than {SECTION_ROWS} rows")
         written.append((name, target))
     return written
+
+
+def read_section(spark: SparkSession, path: str, name: str, fmt: str = "json") -> DataFrame:
+    """One written section (small, so its types are inferred)."""
+    target = f"{path}/{name}"
+    return spark.read.options(**CSV_READ).csv(target) if fmt == "csv" else spark.read.json(target)
+
+
+def write_text_report(report: DataFrame, path: str) -> None:
+    """The classification report as aligned lines, each after its order."""
+    line = F.format_string("%d\t%-16s%12.4f%12.4f%12.4f%12d", "row_order", "row_name", "precision", "recall", "f1",
+                           "support")
+    report.coalesce(1).select(line.alias("value")).write.mode("overwrite").text(path)
