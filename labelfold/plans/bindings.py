@@ -145,6 +145,12 @@ def frame_h_events(spark: SparkSession, sf_dir: str, metrics=None) -> DataFrame:
 CENTROID_SCALE = 10.0  # logits = 10 * (x . c_k - |c_k|^2 / 2)
 
 
+def feature_dim(df: DataFrame, features: str = "features") -> int:
+    """Length of the feature vectors (all have that of the first)."""
+    first = df.select(F.size(features).alias("d")).filter("d > 0").first()
+    return first.d if first else 0
+
+
 def centroid_head(spark: SparkSession, sf_dir: str) -> tuple:
     """(weights K x d, bias K) from the class centroids of ``embeddings``.
 
@@ -155,9 +161,10 @@ def centroid_head(spark: SparkSession, sf_dir: str) -> tuple:
     emb = read_table(spark, sf_dir, "embeddings")
     cells = emb.select("label", F.posexplode("embedding").alias("dim", "x"))
     cent = cells.groupBy("label", "dim").agg(F.avg(F.col("x").cast("double")).alias("w"))
-    rows = cent.collect()
     k = v_dictionary().k  # one head per class of the V dictionary
-    d = max(r["dim"] for r in rows) + 1
+    # the first vector's length bounds what is fetched: K x d numbers, as a model's
+    d = feature_dim(emb, "embedding")
+    rows = cent.filter((F.col("label") >= 0) & (F.col("label") < k) & (F.col("dim") < d)).collect()
     w = [[0.0] * d for _ in range(k)]
     for r in rows:
         w[r["label"]][r["dim"]] = r["w"]

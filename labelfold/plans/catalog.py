@@ -91,6 +91,15 @@ def q_roc_auc(spark, sf):
     return auc_ops.roc_auc(B.frame_l(spark, sf))
 
 
+ROUND = 9  # digits compared where sums of doubles depend on the order of rows; operators round nothing
+
+
+def rounded_samples(report: DataFrame) -> DataFrame:
+    """The report with its samples averages (sums of per-row ratios) rounded for the comparison."""
+    return report.withColumns({c: F.when(F.col("row_name") == "samples avg", F.round(c, ROUND)).otherwise(F.col(c))
+                               for c in ("precision", "recall", "f1")})
+
+
 def _report_sql() -> str:
     rows = []
     for i, name in enumerate(L_NAMES):
@@ -103,8 +112,8 @@ def _report_sql() -> str:
         ("micro avg", m["precision"], m["recall"], m["f1"]),
         ("macro avg", O.macro("precision", K), O.macro("recall", K), O.macro("f1", K)),
         ("weighted avg", O.weighted("precision", K), O.weighted("recall", K), O.weighted("f1", K)),
-        ("samples avg", f"round({O.sdiv('s_precision', 'n')}, {ev.ROUND})",
-         f"round({O.sdiv('s_recall', 'n')}, {ev.ROUND})", f"round({O.sdiv('s_f1', 'n')}, {ev.ROUND})"),
+        ("samples avg", f"round({O.sdiv('s_precision', 'n')}, {ROUND})",
+         f"round({O.sdiv('s_recall', 'n')}, {ROUND})", f"round({O.sdiv('s_f1', 'n')}, {ROUND})"),
     ]
     for j, (name, p, r, f) in enumerate(avg_rows):
         rows.append(f"SELECT {K + j} AS row_order, {O.q(name)} AS row_name, {p} AS precision, "
@@ -114,13 +123,13 @@ def _report_sql() -> str:
 
 @register("classification_report", _report_sql())
 def q_classification_report(spark, sf):
-    return ev.classification_report(B.frame_l(spark, sf), 0.5, "gt")
+    return rounded_samples(ev.classification_report(B.frame_l(spark, sf), 0.5, "gt"))
 
 
 @register("weighted_sample_average",
           f"SELECT * FROM ({_report_sql()}) WHERE row_order >= {K}")
 def q_weighted_sample_average(spark, sf):
-    return ev.averages(B.frame_l(spark, sf), 0.5, "gt")
+    return rounded_samples(ev.averages(B.frame_l(spark, sf), 0.5, "gt"))
 
 
 # --- E12-E19 ---------------------------------------------------------------------
@@ -313,7 +322,8 @@ def _weights_sql(method: str, names: list, src: str) -> str:
 for _m in ("neg_pos", "balanced", "inverse_frequency", "none"):
     def _mk(method):
         def fn(spark, sf):
-            return cp.class_weights(B.frame_u(spark, sf), B.u_dictionary(), method)
+            # parity with the published weights: every row counts, empty labels drop
+            return cp.class_weights(B.frame_u(spark, sf), B.u_dictionary(), method, splits=None, drop_empty=True)
         return fn
     register(f"class_weights_{_m}", f"WITH {U_SQL}, {_weights_sql(_m, U_NAMES, 'u')}")(_mk(_m))
 
@@ -348,7 +358,9 @@ def _flatten_sql() -> str:
 @register("flatten_metrics", _flatten_sql())
 def q_flatten_metrics(spark, sf):
     ef = B.frame_l(spark, sf)
-    return cp.flatten_metrics(ev.overall_metrics(ef), ev.per_label_metrics(ef), prefix="eval_")
+    flat = cp.flatten_metrics(ev.overall_metrics(ef), prefix="eval_")
+    return flat.withColumn("value", F.when(F.col("name").startswith("eval_avg_"), F.round("value", ROUND))
+                           .otherwise(F.col("value")))
 
 
 @register("normalize_labels",
@@ -442,10 +454,13 @@ def q_score_batch(spark, sf):
 
 # --- D5-D8, E11: losses on frame L logits ---------------------------------------------
 
-def _loss_sql(kinds) -> str:
+SUM_ROUND = 4  # digits of compared loss sums (up to about 1e6 at sf0.1)
+
+
+def _loss_sql(kinds, z: str = "(p{i} - 0.5::DOUBLE) * 6.0::DOUBLE", scale: float = 1.0) -> str:
     k = K
     cells = " UNION ALL ".join(
-        f"SELECT {i} AS label_idx, y{i} AS y, (p{i} - 0.5::DOUBLE) * 6.0::DOUBLE AS z FROM l" for i in range(k))
+        f"SELECT {i} AS label_idx, y{i} AS y, {z.format(i=i)} AS z FROM l" for i in range(k))
     wrows = []
     for i in range(k):
         pos, neg = f"c_{i}", f"(n - c_{i})"
@@ -453,17 +468,21 @@ def _loss_sql(kinds) -> str:
         w = (f"CASE WHEN {pos} = 0 THEN 1.0::DOUBLE ELSE CAST(CASE WHEN 2 * {rv} > {pos} THEN {qv} + 1 "
              f"WHEN 2 * {rv} = {pos} AND {qv} % 2 = 1 THEN {qv} + 1 ELSE {qv} END AS DOUBLE) / 1000.0::DOUBLE END")
         wrows.append(f"SELECT {i} AS label_idx, {w} AS pw FROM cwl")
-    bce = "((1.0::DOUBLE - y) * z + (ln(1.0::DOUBLE + exp(-abs(z))) + greatest(-z, 0.0::DOUBLE)))"
+    # ln(1 + e) by its series where e is tiny, since DuckDB has no log1p
+    e = "exp(-abs(z))"
+    soft = (f"(CASE WHEN {e} < 0.00001::DOUBLE THEN {e} - {e} * {e} / 2.0::DOUBLE + {e} * {e} * {e} / 3.0::DOUBLE "
+            f"ELSE ln(1.0::DOUBLE + {e}) END)")
+    bce = f"((1.0::DOUBLE - y) * z + ({soft} + greatest(-z, 0.0::DOUBLE)))"
     lw = "((pw - 1.0::DOUBLE) * y + 1.0::DOUBLE)"
-    wbce = f"((1.0::DOUBLE - y) * z + {lw} * (ln(1.0::DOUBLE + exp(-abs(z))) + greatest(-z, 0.0::DOUBLE)))"
+    wbce = f"((1.0::DOUBLE - y) * z + {lw} * ({soft} + greatest(-z, 0.0::DOUBLE)))"
     pr = "(1.0::DOUBLE / (1.0::DOUBLE + exp(-z)))"
     pt = f"({pr} * y + (1.0::DOUBLE - {pr}) * (1.0::DOUBLE - y))"
     focal = f"(1.0::DOUBLE * pow(1.0::DOUBLE - {pt}, 2.0::DOUBLE) * {bce})"
     exprs = {"bce": bce, "weighted_bce": wbce, "focal": focal}
     rows = " UNION ALL ".join(
-        f"SELECT {O.q(kd)} AS kind, round(CAST(s_{kd} AS DOUBLE) / 1e9::DOUBLE / n, {sc.LOSS_ROUND}) AS mean, "
-        f"round(CAST(s_{kd} AS DOUBLE) / 1e9::DOUBLE, {sc.SUM_ROUND}) AS sum, n FROM agg" for kd in kinds)
-    sums = ", ".join(f"sum(CAST(floor({exprs[kd]} * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS s_{kd}" for kd in kinds)
+        f"SELECT {O.q(kd)} AS kind, round(s_{kd} * {O.d(scale)} / n, {ROUND}) AS mean, "
+        f"round(s_{kd} * {O.d(scale)}, {SUM_ROUND}) AS sum, n FROM agg" for kd in kinds)
+    sums = ", ".join(f"sum({exprs[kd]}) AS s_{kd}" for kd in kinds)
     return (f"WITH {O.frame_l_sql()}, cwl AS (SELECT CAST(count(*) AS BIGINT) AS n, "
             + ", ".join(f"CAST(sum(y{i}) AS BIGINT) AS c_{i}" for i in range(k)) + " FROM l), "
             f"w AS ({' UNION ALL '.join(wrows)}), cl AS ({cells}), "
@@ -472,15 +491,31 @@ def _loss_sql(kinds) -> str:
             f"agg AS (SELECT CAST(count(*) AS BIGINT) AS n, {sums} FROM cz) {rows}")
 
 
+def _compared(losses: DataFrame, scale: float = 1.0) -> DataFrame:
+    return losses.select("kind", F.round(F.col("mean") * scale, ROUND).alias("mean"),
+                         F.round(F.col("sum") * scale, SUM_ROUND).alias("sum"), "n")
+
+
 def _loss_query(kinds):
     def fn(spark, sf):
         ef = B.frame_l_logits(spark, sf)
         wide = ef.df.select(*[F.col("y_true")[i].alias(n) for i, n in enumerate(L_NAMES)])
-        pw = cp.class_weights(wide, ef.labels, "neg_pos")
-        return sc.loss_summary(ef, kinds, "logit", pw)
+        pw = cp.class_weights(wide, ef.labels, "neg_pos", splits=None) if "weighted_bce" in kinds else None
+        return _compared(sc.loss_summary(ef, kinds, "logit", pw))
     return fn
 
 
+# a model that is right everywhere by 32 to 33 logits: true mean about 1e-14, compared times 1e14
+CONFIDENT = "(2.0::DOUBLE * y{i} - 1.0::DOUBLE) * (32.0::DOUBLE + p{i})"
+
+
+@register("confident_loss", _loss_sql(["bce"], CONFIDENT, 1e14))
+def q_confident_loss(spark, sf):
+    ef = B.frame_l(spark, sf)
+    z = ", ".join(f"(2.0D * y_true[{i}] - 1.0D) * (32.0D + score[{i}])" for i in range(ef.k))
+    return _compared(sc.loss_summary(ef.with_df(ef.df.selectExpr("*", f"array({z}) AS logit")), ["bce"]), 1e14)
+
+
 register("bce_loss", _loss_sql(["bce"]))(_loss_query(["bce"]))
 register("weighted_bce_loss", _loss_sql(["weighted_bce"]))(_loss_query(["weighted_bce"]))
 register("focal_loss", _loss_sql(["focal"]))(_loss_query(["focal"]))
@@ -517,9 +552,9 @@ def q_best_checkpoint(spark, sf):
 
 
 def _early_stop_sql(metric: str, patience: int, delta: float) -> str:
-    imp = f"(s.value > r.best + {O.d(delta)})"
+    imp = f"(s.value IS NOT NULL AND (r.best IS NULL OR s.value > r.best + {O.d(delta)}))"
     return (f"WITH RECURSIVE {H_SQL}, s AS (SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY step) - 1 "
-            f"AS pos, value FROM h WHERE metric = {O.q(metric)}), "
+            f"AS pos, CASE WHEN NOT isnan(value) THEN value END AS value FROM h WHERE metric = {O.q(metric)}), "
             "r AS (SELECT run_id, pos, value AS best, pos AS best_pos, 0 AS cnt, 0 AS stopped, "
             "CAST(NULL AS BIGINT) AS stop_pos FROM s WHERE pos = 0 UNION ALL "
             f"SELECT s.run_id, s.pos, CASE WHEN {imp} THEN s.value ELSE r.best END, "
@@ -540,15 +575,10 @@ def q_early_stop(spark, sf):
                          rn.DEFAULT_MIN_DELTA, "max")
 
 
-@register("early_stop_all_steps",
-          _early_stop_sql("eval_f1", 3, 0.001).replace(f"WHERE metric = {O.q('eval_f1')}", "WHERE metric IS NOT NULL"))
-def q_early_stop_all_steps(spark, sf):
-    return rn.early_stop(B.frame_h(spark, sf), None, 3, 0.001, "max")
-
-
 @register("training_curves",
           f"WITH {H_SQL} SELECT run_id, step, "
-          + ", ".join(f"coalesce(max(CASE WHEN metric = {O.q(m)} THEN value END), 0.0::DOUBLE) AS {m}"
+          + ", ".join((f"max(CASE WHEN metric = {O.q(m)} THEN value END) AS {m}" if m == "macro_auc" else
+                       f"coalesce(max(CASE WHEN metric = {O.q(m)} THEN value END), 0.0::DOUBLE) AS {m}")
                       for m in rn.CURVE_METRICS)
           + " FROM h GROUP BY run_id, step")
 def q_training_curves(spark, sf):
@@ -616,48 +646,78 @@ def q_encode_corpus(spark, sf):
 from ..operators import fit as fit_ops  # noqa: E402
 
 
-@register("text_features")
+TFIDF_SQL = (f"WITH {D_SQL}, tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+')) "
+             "AS t FROM d), cell AS (SELECT doc_id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 262144 AS bucket, "
+             "count(*) AS tf FROM tok WHERE t <> '' GROUP BY 1, 2), idf AS (SELECT bucket, "
+             "ln((CAST((SELECT count(*) FROM d) AS DOUBLE) + 1.0::DOUBLE) / (CAST(count(*) AS DOUBLE) + 1.0::DOUBLE)) AS idf "
+             "FROM cell GROUP BY 1) SELECT doc_id, count(*) AS n_nonzero, CAST(sum(tf) AS BIGINT) AS n_tokens, "
+             "round(sum(tf * idf), 6) AS tfidf_sum FROM cell JOIN idf USING (bucket) GROUP BY 1")
+
+
+@register("text_features", TFIDF_SQL)
 def q_text_features(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-    d = B.frame_d(spark, sf)
-    feats, _ = ft.text_features(d, 1 << 10)
-    arr = vector_to_array("features")
-    return feats.select("doc_id", "split", F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"),
-                        F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("tfidf_sum"))
+    cells = ft.tfidf_cells(B.frame_d(spark, sf).select("doc_id", "text"), "doc_id")
+    return cells.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_nonzero"), F.sum("tf").alias("n_tokens"),
+                                       F.round(F.sum("tfidf"), 6).alias("tfidf_sum"))
+
 
+V_LABEL_ROWS = " UNION ALL ".join(f"SELECT {i} AS label_idx, 'class_{i}' AS label" for i in range(10))
 
-@register("fit_binary_relevance")
+
+@register("fit_binary_relevance",
+          f"SELECT l.label_idx, l.label, CAST((SELECT count(*) FROM embeddings) - count(e.label) AS DOUBLE) "
+          f"/ CAST(count(e.label) AS DOUBLE) AS pos_weight, true AS at_optimum FROM ({V_LABEL_ROWS}) l "
+          "LEFT JOIN embeddings e ON e.label = l.label_idx GROUP BY 1, 2")
 def q_fit_binary_relevance(spark, sf):
-    d = B.frame_d(spark, sf)
-    train = d.filter(F.col("split") == "train")
+    """Weighted logistic regressions of the vector classes; each fit must stand at the
+    optimum of its regularised objective (gradient within 1e-5 of zero)."""
+    from pyspark.ml.functions import array_to_vector
+    v, dic = B.frame_v(spark, sf), B.v_dictionary()
+    wide = v.select(*[F.col("y_true")[i].alias(n) for i, n in enumerate(V_NAMES)])
     # K weights (bounded by K) reach the driver as the model's parameters do
-    weights = {r["label"]: r["pos_weight"] for r in
-               cp.class_weights(train, B.d_dictionary(), "neg_pos").collect()}
-    # tokenize once: the persisted term frequencies feed the IDF fit and the
-    # (cached) training frame of the K logistic regressions
-    tf = ft.term_frequencies(train.select(F.array("quality", "toxic").alias("y_true"), "text"),
-                             1 << 10).drop("text").persist()
-    try:
-        feats, _ = ft.inverse_document_frequency(tf)
-        _, summary = fit_ops.fit_binary_relevance(feats, D_NAMES, pos_weights=weights, max_iter=10)
-    finally:
-        tf.unpersist()
-    return summary
+    weights = {r["label"]: r["pos_weight"] for r in cp.class_weights(wide, dic, "balanced", splits=None).collect()}
+    models, summary = fit_ops.fit_binary_relevance(
+        v.select(array_to_vector("features").alias("features"), "y_true"), V_NAMES, pos_weights=weights)
+    gaps = fit_ops.optimality_gap(v, models, V_NAMES, weights)
+    good = F.array(*[F.lit(g < 1e-5) for g in gaps])
+    return summary.select("label_idx", "label", "pos_weight", F.get(good, F.col("label_idx")).alias("at_optimum"))
+
+
+@register("fit_text_labels",
+          f"WITH {D_SQL}, n AS (SELECT split, count(*) AS n, sum(quality) AS q, sum(toxic) AS x FROM d WHERE "
+          "split = 'train' GROUP BY 1) SELECT 0 AS label_idx, 'quality' AS label, true AS improved, true AS converged "
+          "FROM n UNION ALL SELECT 1, 'toxic', true, true FROM n")
+def q_fit_text_labels(spark, sf):
+    """The same fits on hashed TF-IDF of the labelled texts, weights from the train split."""
+    d = B.frame_d(spark, sf)
+    weights = {r["label"]: r["pos_weight"] for r in cp.class_weights(d, B.d_dictionary(), "neg_pos").collect()}
+    train = d.filter(F.col("split") == "train").select(F.array("quality", "toxic").alias("y_true"), "text")
+    feats, _ = ft.text_features(train)
+    _, summary = fit_ops.fit_binary_relevance(feats, D_NAMES, pos_weights=weights, reg=0.01, tol=1e-5)
+    return summary.select("label_idx", "label", (F.col("final_objective") < F.col("first_objective")).alias("improved"),
+                          (F.col("iterations") < 500).alias("converged"))
 
 
 FOCAL_LR, FOCAL_EPOCHS, FIT_ROUND = 2.0, 3, 9
 
 
-def _focal_fit_sql(k: int = 10, lr: float = FOCAL_LR, epochs: int = FOCAL_EPOCHS) -> str:
-    """Full-batch gradient descent of the K heads under focal loss (alpha 1,
-    gamma 2) from zero weights, written out epoch by epoch; the loss of each
-    epoch is taken before its update, as in ``fit_linear_head``."""
+def _head_fit_sql(kind: str = "focal", k: int = 10, lr: float = FOCAL_LR, epochs: int = FOCAL_EPOCHS,
+                  weights_out: bool = False) -> str:
+    """Full-batch gradient descent of the K heads under focal (alpha 1, gamma
+    2) or weighted BCE loss (positives weigh negatives / positives of their
+    class) from zero weights, written out epoch by epoch; the loss of each
+    epoch is taken before its update, as in ``fit_linear_head``.  Returns the
+    losses, or the rounded weights after the last update."""
     one = O.d(1.0)
 
     def cell(z: str) -> dict:
         p = f"({one} / ({one} + exp(-{z})))"
         pt = f"({p} * y + ({one} - {p}) * ({one} - y))"
         bce = f"(({one} - y) * {z} + ln({one} + exp(-abs({z}))) + greatest(-{z}, {O.d(0.0)}))"
+        if kind == "weighted_bce":
+            lw = f"((pw - {one}) * y + {one})"
+            soft = f"(ln({one} + exp(-abs({z}))) + greatest(-{z}, {O.d(0.0)}))"
+            return {"loss": f"(({one} - y) * {z} + {lw} * {soft})", "grad": f"(({one} - y) - {lw} * ({one} - {p}))"}
         mod = f"pow({one} - {pt}, {O.d(2.0)})"
         dmod = f"({O.d(2.0)} * ({one} - {pt}) * (-({O.d(2.0)} * y - {one}) * {p} * ({one} - {p})))"
         return {"loss": f"({mod} * {bce})", "grad": f"({dmod} * {bce} + {mod} * ({p} - y))"}
@@ -665,38 +725,57 @@ def _focal_fit_sql(k: int = 10, lr: float = FOCAL_LR, epochs: int = FOCAL_EPOCHS
     ctes = ["e AS (SELECT vec_id, label, unnest(embedding) AS x, "
             "unnest(generate_series(0, len(embedding) - 1)) AS dim FROM embeddings)",
             "v AS (SELECT DISTINCT vec_id, label FROM e)",
-            f"cells AS (SELECT v.vec_id, kk.k, CAST(v.label = kk.k AS DOUBLE) AS y FROM v "
-            f"CROSS JOIN (SELECT unnest(generate_series(0, {k - 1})) AS k) kk)",
+            f"cells AS (SELECT v.vec_id, kk.k, CAST(v.label = kk.k AS DOUBLE) AS y, "
+            f"coalesce(cnt.pw, 1.0::DOUBLE) AS pw FROM v "
+            f"CROSS JOIN (SELECT unnest(generate_series(0, {k - 1})) AS k) kk LEFT JOIN (SELECT label, "
+            "CAST((SELECT count(*) FROM v) - count(*) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS pw "
+            "FROM v GROUP BY label) cnt ON cnt.label = kk.k)",
             f"nc AS (SELECT CAST(count(*) AS DOUBLE) AS cells FROM cells)",
             "w0 AS (SELECT kk.k, d.dim, 0.0::DOUBLE AS w FROM (SELECT DISTINCT k FROM cells) kk "
             "CROSS JOIN (SELECT DISTINCT dim FROM e) d)",
             "b0 AS (SELECT DISTINCT k, 0.0::DOUBLE AS b FROM cells)"]
     for t in range(epochs):
-        ctes.append(f"z{t} AS (SELECT c.vec_id, c.k, c.y, sum(e.x * w.w) + max(b.b) AS z FROM cells c "
+        ctes.append(f"z{t} AS (SELECT c.vec_id, c.k, c.y, c.pw, sum(e.x * w.w) + max(b.b) AS z FROM cells c "
                     f"JOIN e ON e.vec_id = c.vec_id JOIN w{t} w ON w.k = c.k AND w.dim = e.dim "
-                    f"JOIN b{t} b ON b.k = c.k GROUP BY c.vec_id, c.k, c.y)")
+                    f"JOIN b{t} b ON b.k = c.k GROUP BY c.vec_id, c.k, c.y, c.pw)")
         f = cell("z")
         ctes.append(f"g{t} AS (SELECT vec_id, k, {f['loss']} AS loss, {f['grad']} AS g FROM z{t})")
         ctes.append(f"h{t} AS (SELECT {t} AS epoch, sum(loss) / (SELECT cells FROM nc) AS mean_loss FROM g{t})")
-        if t + 1 < epochs:
+        if t + 1 < epochs or weights_out:
             ctes.append(f"w{t + 1} AS (SELECT w.k, w.dim, w.w - {O.d(lr)} * sum(g.g * e.x) / (SELECT cells FROM nc) "
                         f"AS w FROM w{t} w JOIN g{t} g ON g.k = w.k JOIN e ON e.vec_id = g.vec_id "
                         f"AND e.dim = w.dim GROUP BY w.k, w.dim, w.w)")
             ctes.append(f"b{t + 1} AS (SELECT b.k, b.b - {O.d(lr)} * sum(g.g) / (SELECT cells FROM nc) AS b "
                         f"FROM b{t} b JOIN g{t} g ON g.k = b.k GROUP BY b.k, b.b)")
+    if weights_out:
+        return (f"WITH {', '.join(ctes)} SELECT CAST(k AS INTEGER) AS label_idx, CAST(dim AS INTEGER) AS dim, "
+                f"round(w, {FIT_ROUND}) AS weight FROM w{epochs}")
     hist = " UNION ALL ".join(f"SELECT * FROM h{t}" for t in range(epochs))
     return (f"WITH {', '.join(ctes)} SELECT CAST(epoch AS INTEGER) AS epoch, "
             f"round(mean_loss, {FIT_ROUND}) AS mean_loss FROM ({hist})")
 
 
-@register("fit_linear_head_focal", _focal_fit_sql())
+@register("fit_linear_head_focal", _head_fit_sql())
 def q_fit_linear_head_focal(spark, sf):
     v = B.frame_v(spark, sf)
-    _, _, hist = fit_ops.fit_linear_head(v, 10, 64, "focal", epochs=FOCAL_EPOCHS, lr=FOCAL_LR)
+    _, _, hist = fit_ops.fit_linear_head(v, 10, B.feature_dim(v), "focal", epochs=FOCAL_EPOCHS, lr=FOCAL_LR)
     # K x d parameters and one loss per epoch reach the driver, as a fit's do
     return spark.createDataFrame([(e, round(m, FIT_ROUND)) for e, m in hist], "epoch int, mean_loss double")
 
 
+@register("fit_linear_head_weighted_bce", _head_fit_sql("weighted_bce", weights_out=True))
+def q_fit_linear_head_weighted_bce(spark, sf):
+    """The class weights of the vectors feed the weighted fit; its weights are compared."""
+    v = B.frame_v(spark, sf)
+    wide = v.select(*[F.col("y_true")[i].alias(n) for i, n in enumerate(V_NAMES)])
+    w = {r["label_idx"]: r["pos_weight"] for r in
+         cp.class_weights(wide, B.v_dictionary(), "balanced", splits=None).collect()}
+    head, _, _ = fit_ops.fit_linear_head(v, 10, B.feature_dim(v), "weighted_bce", epochs=FOCAL_EPOCHS, lr=FOCAL_LR,
+                                         pos_weight=[w[i] for i in range(10)])
+    return spark.createDataFrame([(k, d, round(float(x), FIT_ROUND)) for k, row in enumerate(head)
+                                  for d, x in enumerate(row)], "label_idx int, dim int, weight double")
+
+
 # --- A1-A9: sources and sinks (round trips through the shared folder) ----------------------
 
 from ..session import scratch_path  # noqa: E402
@@ -738,7 +817,7 @@ def q_metadata_round_trip(spark, sf):
     path = scratch_path(spark, "metadata")
     dic = B.u_dictionary()
     u = B.frame_u(spark, sf)
-    io.write_metadata(path, weights=cp.class_weights(u, dic, "neg_pos"), labels=dic,
+    io.write_metadata(path, weights=cp.class_weights(u, dic, "neg_pos", splits=None, drop_empty=True), labels=dic,
                       statistics=cp.dataset_statistics(u, dic), spark=spark)
     assert io.read_label_info(spark, path).names == dic.names
     return io.read_class_weights(spark, path)
@@ -753,26 +832,74 @@ def q_detailed_predictions(spark, sf):
     return rp.detailed_predictions(B.frame_l(spark, sf), 0.5, "gt")
 
 
-def _report_rows_sql() -> str:
-    """Rows each written section of the evaluation report must have."""
-    vec = "concat_ws(',', " + ", ".join(f"CAST(CAST({O.pred(i, 0.5)} AS INTEGER) AS VARCHAR)"
-                                      for i in range(K)) + ")"
-    fixed = [("overall", "1"), ("per_label", str(K)), ("confusion", str(K)),
-             ("classification_report", str(K + 4)), ("threshold_sweep", str(len(TS))),
-             ("best_threshold", "1"), ("prediction_distribution", str(K)),
-             ("top_label_combinations", "least(10, (SELECT count(DISTINCT v) FROM vecs))"),
-             ("hard_examples", "least(20, (SELECT count(*) FROM l))"),
-             ("score_histogram", str(K * 50))]
-    rows = " UNION ALL ".join(f"SELECT {O.q(name)} AS section, CAST({n} AS BIGINT) AS rows"
-                              for name, n in fixed)
-    return f"WITH {O.frame_l_sql()}, vecs AS (SELECT {vec} AS v FROM l) {rows}"
+# section of the written report -> (checked query with the same rows, key, metrics)
+REPORT = {
+    "overall": ("overall_metrics", "'all'", ("exact_match_accuracy", "hamming_loss", "macro_f1", "micro_f1", "macro_auc")),
+    "per_label": ("per_label_report", "label", ("precision", "recall", "f1", "specificity", "auc", "support", "rank")),
+    "confusion": ("confusion_matrix", "label", ("tn", "fp", "fn", "tp")),
+    "classification_report": ("classification_report", "row_name", ("precision", "recall", "f1", "support")),
+    "threshold_sweep": ("threshold_sweep", "CAST(t_idx AS {s})", ("threshold", "exact_match_accuracy", "macro_f1")),
+    "best_threshold": ("best_threshold", "'best'", ("threshold", "macro_f1")),
+    "prediction_distribution": ("prediction_distribution", "label", ("predicted_count", "avg_labels_per_sample")),
+    "top_label_combinations": ("top_label_combinations", "vector", ("rank", "count", "percentage")),
+    "hard_examples": ("hard_examples", "CAST(rank AS {s})", ("confidence", "is_correct", "hardness")),
+    "score_histogram": ("score_histogram", "label || ':' || CAST(bin AS {s})", ("bin_lo", "bin_hi", "count")),
+}
 
 
-@register("evaluation_report", _report_rows_sql())
+def _report_content_sql() -> str:
+    parts = []
+    for section, (query, key, metrics) in REPORT.items():
+        for m in metrics:
+            value = f"round(CAST({m} AS DOUBLE), {ROUND})"
+            parts.append(f"SELECT '{section}' AS section, {key.format(s='VARCHAR')} AS key, '{m}' AS metric, "
+                         f"{value} AS value FROM ({ORACLE[query]})")
+    return " UNION ALL ".join(parts)
+
+
+@register("evaluation_report", _report_content_sql())
 def q_evaluation_report(spark, sf):
-    # (section, rows) of the written report; the folder is a fresh scratch path
-    written = an.evaluation_report(B.frame_l(spark, sf), scratch_path(spark, "evaluation-report"))
-    return written.select("section", "rows")
+    # the written sections read back, as (section, key, metric, value)
+    path = scratch_path(spark, "evaluation-report")
+    an.evaluation_report(B.frame_l(spark, sf), path)
+    out = None
+    for section, (_, key, metrics) in REPORT.items():
+        df = rp.read_section(spark, path, section)
+        cells = [f"named_struct('metric', '{m}', 'value', round(CAST({m} AS DOUBLE), {ROUND}))" for m in metrics]
+        part = df.selectExpr(f"'{section}' AS section", f"{key.format(s='STRING')} AS key",
+                             f"inline(array({', '.join(cells)}))")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("per_label_csv",
+          f"SELECT label, precision, recall, f1, CAST(support AS BIGINT) AS support FROM ({ORACLE['per_label_report']})")
+def q_per_label_csv(spark, sf):
+    path = scratch_path(spark, "per-label-csv")
+    rp.write_report({"per_label": an.per_label_report(B.frame_l(spark, sf))}, path, "csv")
+    return rp.read_section(spark, path, "per_label", "csv").selectExpr(
+        "label", "CAST(precision AS DOUBLE) AS precision", "CAST(recall AS DOUBLE) AS recall",
+        "CAST(f1 AS DOUBLE) AS f1", "CAST(support AS BIGINT) AS support")
+
+
+@register("text_report",
+          "SELECT row_order, printf('%-16s%12.4f%12.4f%12.4f%12d', row_name, precision, recall, f1, support) AS line "
+          f"FROM ({ORACLE['classification_report']})")
+def q_text_report(spark, sf):
+    path = scratch_path(spark, "text-report")
+    rp.write_text_report(ev.classification_report(B.frame_l(spark, sf), 0.5, "gt"), f"{path}/report")
+    return spark.read.text(f"{path}/report").selectExpr(
+        "CAST(split(value, '\t')[0] AS INT) AS row_order", "split(value, '\t')[1] AS line")
+
+
+@register("detailed_predictions_round_trip", ORACLE["detailed_predictions"])
+def q_detailed_predictions_round_trip(spark, sf):
+    path, ef = scratch_path(spark, "detailed-predictions"), B.frame_l(spark, sf)
+    rp.write_detailed_predictions(ef, path)
+    schema = ", ".join([f"{c} {'int' if c == 'l_linenumber' else 'bigint'}" for c in B.L_KEYS]
+                       + [f"{n}_prob double" for n in L_NAMES] + [f"{n}_pred int" for n in L_NAMES]
+                       + [f"{n}_true double" for n in L_NAMES])
+    return rp.read_detailed_predictions(spark, path, schema)
 
 
 # --- G1, G2: streaming, compared with the batch SQL ------------------------------------------
@@ -800,14 +927,7 @@ def q_score_stream(spark, sf):
 
     def scorer(df):
         s = sc.probabilities(sc.linear_head(df, weights, bias), 10)
-        # per-request threshold: predicted = p >= threshold
-        items = F.array(*[F.struct(F.lit(n).alias("name"), F.col("score")[i].alias("probability"),
-                                   (F.col("score")[i] >= F.col("threshold")).alias("predicted"))
-                          for i, n in enumerate(V_NAMES)])
-        ti = sc.top_index("score", 10)
-        names = F.array(*[F.lit(n) for n in V_NAMES])
-        return s.select("vec_id", "threshold", items.alias("labels"),
-                        F.struct(names[ti].alias("name"), F.col("score")[ti].alias("probability")).alias("top"))
+        return sc.score_batch(s, V_NAMES, "threshold", "ge").select("vec_id", "threshold", "labels", "top")
 
     acc, rej = scratch_path(spark, "stream-accepted"), scratch_path(spark, "stream-rejected")
     q = ss.score_stream(stream, scorer, acc, rej, scratch_path(spark, "stream-ckpt"))
@@ -820,6 +940,30 @@ def q_score_stream(spark, sf):
         F.size(picked).alias("n_predicted"))
 
 
+# requests over documents: every 11th text blank, every 13th missing, thresholds up to 1.3
+REQUEST_TEXT = "CASE WHEN doc_id % 11 = 0 THEN '   ' WHEN doc_id % 13 = 0 THEN NULL ELSE text END"
+
+
+@register("score_stream_rejected",
+          f"WITH r AS (SELECT doc_id, {REQUEST_TEXT} AS text, CASE WHEN doc_id % 7 <> 0 THEN "
+          "CAST(doc_id % 14 AS DOUBLE) / 10.0::DOUBLE END AS t FROM documents) "
+          "SELECT doc_id, coalesce(t, 0.5::DOUBLE) AS threshold, CASE WHEN text IS NULL THEN 'text_missing' "
+          "WHEN len(text) < 1 THEN 'text_too_short' WHEN len(text) > 4000 THEN 'text_too_long' "
+          "WHEN regexp_full_match(text, '\\s*') THEN 'text_blank' ELSE 'threshold_out_of_range' END AS reason FROM r "
+          "WHERE text IS NULL OR len(text) < 1 OR len(text) > 4000 OR regexp_full_match(text, '\\s*') OR t > 1.0::DOUBLE")
+def q_score_stream_rejected(spark, sf):
+    src = f"{sf}/documents.parquet"
+    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
+              .option("pathGlobFilter", "documents.parquet").parquet(sf)
+              .selectExpr("doc_id", f"{REQUEST_TEXT} AS text",
+                          "CASE WHEN doc_id % 7 <> 0 THEN CAST(doc_id % 14 AS DOUBLE) / 10.0D END AS threshold"))
+    acc, rej = scratch_path(spark, "requests-accepted"), scratch_path(spark, "requests-rejected")
+    q = ss.score_stream(stream, lambda df: df.select("doc_id", "threshold"), acc, rej,
+                        scratch_path(spark, "requests-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(rej).select("doc_id", "threshold", "reason")
+
+
 @register("recent_history_clear_stream", ORACLE["recent_history_clear"])
 def q_recent_history_clear_stream(spark, sf):
     src = f"{sf}/events.parquet"
@@ -888,3 +1032,157 @@ def q_union_splits(spark, sf):
     return both.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
                                      F.sum("quality").cast("long").alias("quality"),
                                      F.sum("toxic").cast("long").alias("toxic"))
+
+
+# --- missing values: one rule in every path -------------------------------------------------
+
+# frame L with a null score in every 7th order and a NaN in every 11th (by column arithmetic)
+DIRTY_SQL = (O.frame_l_sql().replace("l AS (SELECT", "l0 AS (SELECT", 1) + ", l AS (SELECT * REPLACE ("
+             + ", ".join(f"CASE WHEN l_orderkey % 7 = {i} OR l_orderkey % 11 = {i} THEN "
+                         f"CAST('-Infinity' AS DOUBLE) ELSE p{i} END AS p{i}" for i in range(K)) + ") FROM l0)")
+
+
+def _dirty_l(spark, sf):
+    ef = B.frame_l(spark, sf)
+    p = ", ".join(f"CASE WHEN l_orderkey % 7 = {i} THEN NULL WHEN l_orderkey % 11 = {i} THEN CAST('NaN' AS DOUBLE) "
+                  f"ELSE score[{i}] END" for i in range(ef.k))
+    return ef.with_df(ef.df.withColumn("score", F.expr(f"array({p})")))
+
+
+def _dirty_metrics_sql() -> str:
+    return (f"WITH {DIRTY_SQL}, {O.counts_sql(K)}, {O.auc_sql(K)}, m AS ("
+            + _labels_union(O.label_metric_exprs, ev.PER_LABEL_COLUMNS)
+            + ") SELECT m.label_idx, m.label, m.precision, m.recall, m.f1, true_positive, false_positive, "
+            "false_negative, true_negative, coalesce(auc.auc, 0.5::DOUBLE) AS auc, CAST(true_positive + false_positive "
+            "+ false_negative + true_negative AS BIGINT) AS n FROM m JOIN auc USING (label_idx)")
+
+
+@register("dirty_scores_metrics", _dirty_metrics_sql())
+def q_dirty_scores_metrics(spark, sf):
+    rep = an.per_label_report(_dirty_l(spark, sf))
+    return rep.select("label_idx", "label", "precision", "recall", "f1", "true_positive", "false_positive",
+                      "false_negative", "true_negative", "auc",
+                      F.expr("true_positive + false_positive + false_negative + true_negative").alias("n"))
+
+
+@register("dirty_overall_metrics",
+          f"WITH {DIRTY_SQL}, {O.counts_sql(K)} SELECT {O.overall_exprs(K)['hamming_loss']} AS hamming_loss, "
+          f"{O.overall_exprs(K)['exact_match_accuracy']} AS exact_match_accuracy, "
+          f"{O.overall_exprs(K)['macro_f1']} AS macro_f1 FROM c")
+def q_dirty_overall_metrics(spark, sf):
+    return ev.overall_metrics(_dirty_l(spark, sf)).select("hamming_loss", "exact_match_accuracy", "macro_f1")
+
+
+@register("dirty_label_combinations",
+          ORACLE["top_label_combinations"].replace(O.frame_l_sql(), DIRTY_SQL))
+def q_dirty_label_combinations(spark, sf):
+    return an.label_combinations(_dirty_l(spark, sf))
+
+
+@register("dirty_threshold_sweep", f"WITH {DIRTY_SQL}, {O.sweep_sql(K, TS)} SELECT * FROM sw")
+def q_dirty_threshold_sweep(spark, sf):
+    return an.threshold_sweep(_dirty_l(spark, sf), TS)
+
+
+# run values: NaN at every 5th event, null at every 9th
+DIRTY_VALUE = "CASE WHEN step % 9 = 0 THEN NULL WHEN step % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END"
+DIRTY_H_SQL = (H_SQL.replace("h AS (SELECT", "h0 AS (SELECT", 1)
+               + f", h AS (SELECT run_id, step, ts, metric, {DIRTY_VALUE} AS value FROM h0)")
+
+
+def _dirty_h(spark, sf, metrics):
+    return B.frame_h(spark, sf, metrics).withColumn("value", F.expr(DIRTY_VALUE))
+
+
+@register("dirty_early_stop", _early_stop_sql("eval_f1", rn.DEFAULT_PATIENCE, rn.DEFAULT_MIN_DELTA)
+          .replace(H_SQL, DIRTY_H_SQL))
+def q_dirty_early_stop(spark, sf):
+    return rn.early_stop(_dirty_h(spark, sf, ["eval_f1"]), "eval_f1")
+
+
+@register("dirty_best_metric",
+          f"WITH {DIRTY_H_SQL}, s AS (SELECT run_id, step, CASE WHEN NOT isnan(value) THEN value END AS value FROM h "
+          "WHERE metric = 'eval_f1'), b AS (SELECT run_id, max(value) AS best_value, CAST(count(*) AS BIGINT) AS n_values "
+          "FROM s GROUP BY run_id), bs AS (SELECT b.run_id, min(s.step) AS best_step FROM b LEFT JOIN s ON "
+          "s.run_id = b.run_id AND s.value = b.best_value GROUP BY b.run_id) SELECT b.run_id, 'eval_f1' AS metric, "
+          "best_value, best_step, CASE WHEN best_step IS NOT NULL THEN CAST((SELECT count(*) FROM s WHERE "
+          "s.run_id = b.run_id AND s.step < bs.best_step) AS BIGINT) END AS best_position, n_values "
+          "FROM b JOIN bs USING (run_id)")
+def q_dirty_best_metric(spark, sf):
+    return rn.best_metric(_dirty_h(spark, sf, ["eval_f1"]), "eval_f1", "max")
+
+
+# --- operators that only other queries used ---------------------------------------------------
+
+
+@register("reject_null_text",
+          f"SELECT doc_id, {REQUEST_TEXT} IS NULL AS rejected FROM documents")
+def q_reject_null_text(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", f"{REQUEST_TEXT} AS text")
+    good, bad = cp.text_as_string(d)
+    return (good.select("doc_id", F.lit(False).alias("rejected"))
+            .unionByName(bad.select("doc_id", F.lit(True).alias("rejected"))))
+
+
+@register("label_arrays",
+          f"WITH {D_SQL} SELECT doc_id, split, CAST(quality AS VARCHAR) || ',' || CAST(toxic AS VARCHAR) AS labels FROM d")
+def q_label_arrays(spark, sf):
+    arrays = cp.to_label_array(B.frame_d(spark, sf).drop("text"), B.d_dictionary())
+    return arrays.select("doc_id", "split", F.array_join("labels", ",").alias("labels"))
+
+
+LABEL_THRESHOLDS = [0.3, 0.45, 0.6, 0.75]
+
+
+@register("per_label_thresholds",
+          f"WITH {O.frame_l_sql()} SELECT {', '.join(B.L_KEYS)}, "
+          + " || ',' || ".join(f"CAST(CAST(p{i} >= {O.d(t)} AS INTEGER) AS VARCHAR)"
+                               for i, t in enumerate(LABEL_THRESHOLDS)) + " AS predicted FROM l")
+def q_per_label_thresholds(spark, sf):
+    ef = B.frame_l(spark, sf)
+    vec = X.binarize("score", ef.k, LABEL_THRESHOLDS, "ge")
+    return ef.df.selectExpr(*ef.keys, f"{X.vector_key(vec, ef.k)} AS predicted")
+
+
+@register("unlabelled_predictions",
+          f"WITH {O.frame_l_sql()} SELECT {', '.join(B.L_KEYS)}, "
+          + ", ".join(f"p{i} AS {n}_prob, CAST({O.pred(i, 0.5)} AS INTEGER) AS {n}_pred"
+                      for i, n in enumerate(L_NAMES)) + " FROM l")
+def q_unlabelled_predictions(spark, sf):
+    # a file without label columns is told apart by its columns: predictions only
+    ef = B.frame_l(spark, sf)
+    wide = ef.df.select(*ef.keys, *[F.col("score")[i].alias(f"s_{n}") for i, n in enumerate(L_NAMES)])
+    labelled = cp.detect_labels(wide, ef.labels)
+    frame = from_wide(wide, ef.keys, ef.labels, truth_cols=L_NAMES if labelled else None,
+                      score_cols=[f"s_{n}" for n in L_NAMES])
+    return rp.detailed_predictions(frame, 0.5, "gt")
+
+
+@register("statistics_round_trip", ORACLE["events_dataset_statistics"])
+def q_statistics_round_trip(spark, sf):
+    path, u = scratch_path(spark, "statistics"), B.frame_u(spark, sf)
+    io.write_metadata(path, statistics=cp.dataset_statistics(u, B.u_dictionary()))
+    return io.read_statistics(spark, path)
+
+
+@register("run_log_round_trip",
+          f"WITH {H_SQL} SELECT run_id, step, metric, value FROM h WHERE metric IN ('eval_f1', 'eval_loss')")
+def q_run_log_round_trip(spark, sf):
+    path = scratch_path(spark, "run-log")
+    for name in ("eval_loss", "eval_f1", "learning_rate"):  # appended one after the other
+        rn.append_run_log(B.frame_h(spark, sf, [name]), path)
+    return rn.read_run_log(spark, path, ["eval_f1", "eval_loss"])
+
+
+# several metrics of one step: five events in a row are one step
+CURVE_STEP = "CAST((event_id - event_id % 5) / 5 AS BIGINT)"
+
+
+@register("merged_training_curves",
+          f"WITH {H_SQL.replace('event_id AS step', CURVE_STEP + ' AS step')} SELECT run_id, step, "
+          + ", ".join((f"max(CASE WHEN metric = {O.q(m)} THEN value END) AS {m}" if m == "macro_auc" else
+                       f"coalesce(max(CASE WHEN metric = {O.q(m)} THEN value END), 0.0::DOUBLE) AS {m}")
+                      for m in rn.CURVE_METRICS) + " FROM h GROUP BY run_id, step")
+def q_merged_training_curves(spark, sf):
+    h = B.frame_h_events(spark, sf).withColumn("step", F.expr(CURVE_STEP.replace("BIGINT", "bigint")))
+    return rn.training_curves(h)

@@ -8,10 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from labelfold.session import build_session, shared_dir
+    from labelfold.session import build_session, remove_scratch, shared_dir
     s = build_session("local[*]", app="labelfold-tests", shuffle_partitions=8)
     shared_dir(s)  # local master: a private scratch folder when none is configured
     yield s
+    remove_scratch(s)
     s.stop()
 
 

@@ -39,8 +39,18 @@ def test_binary_relevance_weighted(spark):
     from pyspark.ml.functions import array_to_vector
     df, X, Y = _frame(spark)
     vec = df.select(array_to_vector("features").alias("features"), "y_true")
-    models, summary = fit_ops.fit_binary_relevance(vec, ["u", "v"], pos_weights={"u": 3.0}, max_iter=15)
+    models, summary = fit_ops.fit_binary_relevance(vec, ["u", "v"], pos_weights={"u": 3.0}, with_auc=True)
     rows = {r["label"]: r for r in summary.collect()}
     assert set(models) == {"u", "v"} and rows["u"]["pos_weight"] == 3.0 and rows["v"]["pos_weight"] == 1.0
     for r in rows.values():
         assert r["final_objective"] < r["first_objective"] and r["train_auc"] > 0.8
+    gap = fit_ops.optimality_gap(df, models, ["u", "v"], {"u": 3.0})
+    assert max(gap) < 1e-5
+
+
+def test_a_fit_that_is_cut_off_is_an_error(spark):
+    from pyspark.ml.functions import array_to_vector
+    df, X, Y = _frame(spark)
+    vec = df.select(array_to_vector("features").alias("features"), "y_true")
+    with pytest.raises(RuntimeError):
+        fit_ops.fit_binary_relevance(vec, ["u", "v"], max_iter=1)

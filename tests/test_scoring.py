@@ -34,8 +34,11 @@ def test_losses(micro, spark):
 def test_class_weights_micro(micro):
     wide = micro.df.select(*[F.col("y_true")[i].alias(n) for i, n in enumerate("abc")])
     d = make_dictionary(["a", "b", "c"])
-    np_ = {r["label"]: r["pos_weight"] for r in cp.class_weights(wide, d, "neg_pos").collect()}
+    np_ = {r["label"]: r["pos_weight"] for r in cp.class_weights(wide, d, "neg_pos", drop_empty=True).collect()}
     assert np_ == {"a": 2.0, "b": 1.0}  # c has no positives: dropped
+    assert {r["label"]: r["pos_weight"] for r in cp.class_weights(wide, d, "neg_pos").collect()}["c"] == 1.0
+    split = wide.withColumn("split", F.when(F.col("a") == 1, "valid").otherwise("train"))
+    assert {r["label"]: r["n_pos"] for r in cp.class_weights(split, d).collect()}["a"] == 0  # train rows only
     bal = {r["label"]: r["pos_weight"] for r in cp.class_weights(wide, d, "balanced").collect()}
     assert bal == {"a": 2.0, "b": 1.0, "c": 1.0}
     inv = {r["label"]: r["pos_weight"] for r in cp.class_weights(wide, d, "inverse_frequency").collect()}
@@ -104,3 +107,28 @@ def test_weighted_cells_sum_to_summary_and_reject_duplicates(micro, spark):
     dup = spark.createDataFrame([(0, 2.0), (0, 3.0)], "label_idx int, pos_weight double")
     with pytest.raises(ValueError):
         sc.loss_summary(ef, ["weighted_bce"], pos_weights=dup)
+
+
+def test_losses_are_neither_cut_nor_capped(spark):
+    """A confident right model keeps its tiny loss; huge logits neither overflow nor fail."""
+    from labelfold.operators.frame import EvalFrame
+    d = make_dictionary(["a", "b"])
+    ef = lambda z, y: EvalFrame(spark.createDataFrame([(1, y, z)], "id long, y_true array<int>, logit array<double>"),
+                                ("id",), d)
+    r = sc.loss_summary(ef([30.0, -30.0], [1, 0]), ["bce"]).first()
+    assert 0 < r["mean"] < 1e-9 and r["mean"] == A(math.log1p(math.exp(-30.0)), rel=1e-9)
+    r = sc.loss_summary(ef([2e9, 5.0], [0, 1]), ["bce"]).first()
+    assert r["sum"] == A(2e9, rel=1e-9)
+
+
+def test_threshold_column(spark):
+    df = spark.createDataFrame([(1, [0.4, 0.9], 0.3), (2, [0.4, 0.9], 0.5), (3, [0.4, float("nan")], 0.1)],
+                               "id long, score array<double>, t double")
+    got = {r.id: [x.predicted for x in r.labels] for r in sc.score_batch(df, ["a", "b"], "t").collect()}
+    assert got == {1: [True, True], 2: [False, True], 3: [True, False]}
+
+
+def test_linear_head_is_the_matrix_product(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [0.5, -1.0])], "id long, features array<double>")
+    got = {r.id: r.logit for r in sc.linear_head(df, [[1.0, 0.0], [2.0, -1.0], [0.0, 0.0]], [0.0, 1.0, 5.0]).collect()}
+    assert got == {1: [1.0, 1.0, 5.0], 2: None, 3: [0.5, 3.0, 5.0]}
