@@ -30,6 +30,17 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smallest_hashes(df: DataFrame, cols: list[str], n: int) -> DataFrame:
+    """The different rows (by ``cols``) with the n smallest hashes, in hash order: a bounded
+    sample that any partitioning gives alike.  Hashes alone find the limit, so texts above
+    it never move."""
+    h = F.xxhash64(*cols)
+    limit = df.select(h.alias("h")).distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    if limit is None:
+        return df.limit(0)
+    return df.filter(h <= limit).withColumn("_h", h).dropDuplicates(["_h"]).orderBy("_h").drop("_h")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared location for files that tasks write themselves."""
     return scratch_path(spark, name)

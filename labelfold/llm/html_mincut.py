@@ -1,13 +1,19 @@
 """Operator 10: main-text extraction by minimum-cut labelling.
 
 A page is read into text blocks (a block ends where a block-level element
-begins or ends).  A logistic classifier over a block's place and words gives the
-cost of either label; the costs become terminal capacities of a graph whose
+begins or ends).  A logistic classifier over a block's words and element gives
+the cost of either label; the costs become terminal capacities of a graph whose
 smoothness edges join neighbouring blocks and tie the blocks of one parent
 element together.  The maximum flow's source side is the content.  Blocks that a
 structural rule decides (menus, headers, footers, sidebars, notices, adverts,
 forms, comments) get a cost no smoothing can buy off.
 
+The classifier is trained on the pages themselves: on at most ``fit_pages`` of
+them (a documented bound: those with the smallest hashes), blocks inside marked
+articles are positives and blocks inside marked boilerplate negatives, and it
+learns to tell them by words and element alone, which then decides blocks that
+nothing marks.  Pages without both kinds leave it at ``PLAIN``.
+
 The flow runs on runs of neighbouring blocks that share costs and parent, so
 its graph grows with the page's structure, not its length.  One narrow pass over
 the pages; a task holds one batch.
@@ -25,11 +31,12 @@ import math
 from collections import deque
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelfold.llm.common import text_of
+from labelfold.llm.common import smallest_hashes, text_of
 
 # Element names.
 SKIPPED = {"script", "style", "noscript", "template", "head", "svg", "math", "iframe", "object", "canvas",
@@ -52,9 +59,15 @@ CONTENT_WORDS = {"article", "content", "entry", "main", "post", "story", "body"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3",
             "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SAME_CLOSES = {"li", "dt", "dd", "tr", "td", "th", "option"}
-# Weights of the block classifier (log-odds of content).
-WEIGHTS = {"bias": -0.6, "in_content": 3.0, "in_boilerplate": -9.0, "named_content": 1.2, "link_share": -3.5,
-           "words": 0.9, "stop_mark": 0.8, "heading": 0.8, "paragraph": 0.9, "list_item": -0.6}
+FEATURES = ("bias", "words", "link_share", "stop_mark", "heading", "paragraph", "list_item")
+#: The classifier's weights (log-odds of content) where the pages can't train it.
+PLAIN = (-0.6, 0.45, -3.5, 0.8, 0.8, 0.9, -0.6)
+#: What a block's place adds to its log-odds: marked article, marked boilerplate, named as content.
+IN_CONTENT, IN_BOILERPLATE, NAMED_CONTENT = 6.0, -30.0, 1.2
+#: Added to unmarked blocks of pages that mark their article.
+OUTSIDE = -6.0
+#: Bound of the classifier's part, so that a mark always outweighs it.
+MOST = 5.0
 #: Capacities are costs times this, rounded.
 SCALE = 1000
 NEIGHBOUR, SIBLING = 0.6, 0.4
@@ -165,13 +178,62 @@ class Reader(HTMLParser):
             self.block.linked += len(data)
 
 
-def log_odds(b: Block, text: str) -> float:
-    """The classifier: log-odds that a block is content."""
-    w = WEIGHTS
-    z = w["bias"] + w["words"] * math.log1p(text.count(" ") + 1) / 2 + w["link_share"] * b.linked / max(1, b.size)
-    z += w["in_content"] * (b.zone == 1) + w["in_boilerplate"] * (b.zone == -1) + w["named_content"] * b.named
-    z += w["stop_mark"] * (text[-1:] in ".!?") + w["heading"] * (b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"))
-    return z + w["paragraph"] * (b.tag in ("p", "blockquote", "pre")) + w["list_item"] * (b.tag == "li")
+def block_features(b: Block, text: str) -> tuple:
+    """FEATURES of a block: its words and element, not its place."""
+    return (1.0, math.log1p(text.count(" ") + 1), b.linked / max(1, b.size), float(text[-1:] in ".!?"),
+            float(b.tag in ("h1", "h2", "h3", "h4", "h5", "h6")), float(b.tag in ("p", "blockquote", "pre")),
+            float(b.tag == "li"))
+
+
+def log_odds(b: Block, text: str, weights=PLAIN) -> float:
+    """The classifier's log-odds that a block is content, with what its place adds."""
+    z = sum(w * x for w, x in zip(weights, block_features(b, text)))
+    return (max(-MOST, min(MOST, z)) + IN_CONTENT * (b.zone == 1) + IN_BOILERPLATE * (b.zone == -1)
+            + NAMED_CONTENT * b.named)
+
+
+def read_blocks(html: str) -> list[tuple[Block, str]]:
+    """The blocks with text of a page, in page order."""
+    reader = Reader()
+    reader.feed(html)
+    reader.close()
+    return [(b, t) for b, t in ((b, b.text()) for b in reader.blocks) if t]
+
+
+def fit_weights(x: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60, ridge: float = 1.0) -> tuple:
+    """Logistic regression of rows that count n times, by Newton steps, drawn towards PLAIN so that
+    unseen features keep its weights."""
+    plain, penalty = np.array(PLAIN), ridge * np.eye(x.shape[1])
+    w = plain.copy()
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (n * (p - y)) + ridge * (w - plain))
+        w = w - np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
+            break
+    return tuple(float(v) for v in w)
+
+
+def _marked_blocks(batches):
+    for df in batches:
+        rows = [(*block_features(b, t), float(b.zone == 1)) for x in df["html"] for b, t in read_blocks(x) if b.zone]
+        # equal blocks repeat on every page of a site: counts instead of copies
+        out = pd.DataFrame(rows, columns=[*FEATURES, "y"]).round(3)
+        yield out.groupby([*FEATURES, "y"], as_index=False).size().rename(columns={"size": "n"})
+
+
+def train_classifier(pages: DataFrame, html_col: str = "html", fit_pages: int = 2000) -> tuple:
+    """Weights learnt from the marked blocks of at most ``fit_pages`` pages."""
+    p = pages.select(text_of(html_col).alias("html"))
+    pick = smallest_hashes(p, ["html"], fit_pages)
+    kinds = ", ".join(f"{f} double" for f in (*FEATURES, "y")) + ", n long"
+    rows = (pick.mapInPandas(_marked_blocks, kinds).groupBy(*FEATURES, "y").agg(F.sum("n").alias("n"))
+            .orderBy(*FEATURES, "y").collect())
+    data = np.array([tuple(r) for r in rows], dtype=float).reshape(len(rows), len(FEATURES) + 2)
+    x, y, n = data[:, :-2], data[:, -2], data[:, -1]
+    if len({*y.tolist()}) < 2:
+        return PLAIN
+    return fit_weights(x, y, n)
 
 
 def source_side(n: int, edges: list[tuple[int, int, int, int]], s: int, t: int) -> set[int]:
@@ -243,34 +305,31 @@ def label_blocks(costs: list[float], parents: list[int]) -> list[bool]:
     return [i in content for i, r in enumerate(runs) for _ in range(r[2])]
 
 
-def main_text(html: str) -> str:
+def main_text(html: str, weights=PLAIN) -> str:
     """The page's content blocks, joined by one space."""
-    reader = Reader()
-    reader.feed(html)
-    reader.close()
-    texts = [b.text() for b in reader.blocks]
-    kept = [(b, t) for b, t in zip(reader.blocks, texts) if t]
+    kept = read_blocks(html)
     if not kept:
         return ""
-    if any(b.zone == 1 for b, _ in kept):  # the page marks its article: what stands outside it is not main text
-        costs = [log_odds(b, t) - (6.0 if b.zone == 0 else 0.0) for b, t in kept]
-    else:
-        costs = [log_odds(b, t) for b, t in kept]
+    # where the page marks its article, what stands outside it is not main text
+    outside = OUTSIDE if any(b.zone == 1 for b, _ in kept) else 0.0
+    costs = [log_odds(b, t, weights) + (outside if b.zone == 0 else 0.0) for b, t in kept]
     return " ".join(t for (_, t), keep in zip(kept, label_blocks(costs, [b.parent for b, _ in kept])) if keep)
 
 
-def _extract(id_col: str, url_col: str):
+def _extract(id_col: str, url_col: str, weights: tuple):
     def run(batches):
         for df in batches:
-            texts = [main_text(x) for x in df["html"]]
+            texts = [main_text(x, weights) for x in df["html"]]
             yield pd.DataFrame({id_col: df[id_col], url_col: df[url_col], "text": pd.Series(texts, dtype=object),
                                 "n_chars": pd.Series([len(x) for x in texts], dtype="int64")})
     return run
 
 
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                 html_col: str = "html") -> DataFrame:
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                 fit_pages: int = 2000) -> DataFrame:
     """One row per page: id, url, text, n_chars."""
+    weights = train_classifier(pages, html_col, fit_pages)
     rows = pages.select(F.col(id_col), F.col(url_col), text_of(html_col).alias("html"))
     kind = rows.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(_extract(id_col, url_col), f"{id_col} {kind}, {url_col} string, text string, n_chars long")
+    return rows.mapInPandas(_extract(id_col, url_col, weights),
+                            f"{id_col} {kind}, {url_col} string, text string, n_chars long")
