@@ -84,16 +84,15 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 def per_label_report(ef: EvalFrame, t=0.5, op: str = "gt", auc_partitions: int | None = None) -> DataFrame:
     """Per-label metrics + AUC (null shown as 0.5) + description, ranked by F1.
 
-    Metrics and AUC both come from one (label, score) -> (pos, neg) aggregate,
-    so the data is scanned once; every table joined here has K rows."""
-    groups = auc_ops.score_groups(ef)
-    metrics = ev.per_label_metrics_of_groups(groups, ef, t, op)
-    aucs = auc_ops.auc_of(auc_ops.auc_sums_of(groups, auc_partitions), ef.names).select(
-        "label_idx", F.coalesce(F.col("auc"), F.lit(0.5)).alias("auc"))
+    Metrics and AUC both come from the AUC plan's table of sums (K rows), so
+    the data is exchanged once."""
+    m = ev.metric_exprs("tp", "fp", "(n_pos - tp)", "(n_neg - fp)", "(n_pos + n_neg)")
+    names = X.array_of([X.lit(n) for n in ef.names])
     dic = ef.labels.to_frame(ef.df.sparkSession).select("label_idx", "label_en", "description")
-    # both sides are one row per label (K rows): broadcast is bounded by K
-    rep = (metrics.join(F.broadcast(aucs), "label_idx")
-           .join(F.broadcast(dic), "label_idx"))
+    # one row per label on both sides: the broadcast is bounded by K
+    rep = (auc_ops.label_sums(ef, t, op, auc_partitions).selectExpr(
+        "label_idx", f"{names}[label_idx] AS label", *[f"{m[c]} AS {c}" for c in ev.PER_LABEL_COLUMNS],
+        f"coalesce({auc_ops.AUC_SQL}, 0.5D) AS auc").join(F.broadcast(dic), "label_idx"))
     rank = F.row_number().over(Window.orderBy(F.col("f1").desc(), F.col("label_idx")))
     return rep.withColumn("rank", rank)
 

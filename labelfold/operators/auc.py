@@ -7,22 +7,28 @@ tenth of all cells, or far more with few labels) into one task, and any
 fixed score bucket does the same when scores cluster (a confident model puts
 most negatives below 0.001).  Instead:
 
-1. ``groupBy(label, score)`` -> (pos, neg): partial aggregation in the scan
-   tasks, so a repeated score reaches the shuffle at most once per task and
-   the rows left are distinct (label, score) keys.
-2. ``repartitionByRange(label, score)`` + ``sortWithinPartitions``: Spark
-   samples the keys, so partitions are balanced whatever the score
-   distribution, and partition i holds keys below those of partition i+1.
-3. Each partition emits one summary row per label it holds: positives,
-   negatives and s2 = sum(pos * (2 * neg_below_in_partition + neg)), from a
-   running sum over its sorted rows (numpy inside ``mapInPandas``; state is
-   one counter per label, batches stream through).
+1. Every cell is (label, score, pos, neg); each Arrow batch of cells is combined
+   on (label, score) before it leaves its task, so repeated scores shrink there
+   and nearly unique ones cost one pass.
+2. ONE exchange: ``repartitionByRange(label, score)`` + ``sortWithinPartitions``.
+   Spark samples the keys, so partitions are balanced whatever the score
+   distribution, equal keys meet, and partition i holds keys below those of
+   partition i+1.
+3. Each partition merges equal neighbours and emits one summary row per label:
+   positives, negatives, those above the threshold, and
+   s2 = sum(pos * (2 * neg_below_in_partition + neg)), from a running sum over
+   its sorted rows (numpy inside ``mapInPandas``; state is one counter per label
+   and one open key, batches stream through).
 4. The summary table (#partitions x labels rows) gives each partition the
    negatives of the earlier partitions of its label with a small window, and
    sum(pos * (offset + below)) = offset * pos_partition + sum(pos * below), so
    no row is ever joined back.
 
-Counts are int64; s2 is exact (sums of 31-bit words) and leaves the tasks as DECIMAL(38,0), so the result equals the
+The same table holds the confusion counts at a threshold and, under label -1,
+the exact-match count, so reports that need both read the data once.
+
+Counts are int64; s2 is exact (sums of 31-bit words) and leaves
+the tasks as DECIMAL(38,0), so the result equals the
 single-window rank-sum form even when one score holds a third of all rows.
 """
 
@@ -32,9 +38,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sqltext as X
-from .frame import EvalFrame, long_form
+from ..functions.labels import per_label
+from .frame import EvalFrame
 
-SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, s2 decimal(38,0)"
+CELL_SCHEMA = "label_idx int, p double, pos long, neg long"
+SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, tp long, fp long, s2 decimal(38,0)"
+EXACT = -1  # the label under which rows are counted as exact matches (pos) or not (neg)
 
 
 def _weighted_sum(p, w) -> int:
@@ -54,94 +63,113 @@ def _weighted_sum(p, w) -> int:
     return total
 
 
-def _partition_summaries(batches):
-    """Per partition of (label_idx, p, pos, neg) sorted by (label_idx, p):
-    one row per label with pos, neg and s2 = sum(pos * (2 * below + neg))."""
-    from decimal import Decimal
+def _merged(labels, p, pos, neg):
+    """Sorted by (label, score) in, one row per key out."""
+    import numpy as np
+
+    first = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (p[1:] != p[:-1])])
+    return labels[first], p[first], np.add.reduceat(pos, first), np.add.reduceat(neg, first)
+
 
+def _combine(batches):
+    """Cells of one Arrow batch, combined on (label, score)."""
     import numpy as np
     import pandas as pd
-    from pyspark import TaskContext
 
-    part = TaskContext.get().partitionId()
-    totals = {}  # label -> [pos, neg, s2]; negatives seen so far = neg
     for pdf in batches:
-        pdf = pdf[pdf["label_idx"] >= 0]  # negative labels are carried-along records
-        if len(pdf) == 0:
-            continue
-        labels = pdf["label_idx"].to_numpy()
-        pos = pdf["pos"].to_numpy(dtype=np.int64)
-        neg = pdf["neg"].to_numpy(dtype=np.int64)
-        # labels are contiguous in the sorted batch: split at the changes
-        cuts = np.flatnonzero(np.diff(labels)) + 1
-        for lo, hi in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(labels)]))):
-            lab = int(labels[lo])
-            acc = totals.setdefault(lab, [0, 0, 0])
-            n = neg[lo:hi]
-            p = pos[lo:hi]
-            below = np.cumsum(n) - n + acc[1]   # counts stay far below 2**62
-            acc[2] += _weighted_sum(p, 2 * below + n)
-            acc[0] += int(p.sum())
-            acc[1] += int(n.sum())
-    rows = [(part, lab, v[0], v[1], Decimal(v[2])) for lab, v in sorted(totals.items())]
-    yield pd.DataFrame(rows, columns=["part", "label_idx", "pos", "neg", "s2"])
-
-
-def score_groups(ef: EvalFrame) -> DataFrame:
-    """(label_idx, p, pos, neg): positives and negatives per distinct score of
-    each label (partial aggregation in the scan tasks).  Per-label confusion
-    counts at any threshold are sums over this table too, so a report that
-    needs both reads the data once (the exchange is reused)."""
+        if len(pdf):
+            cols = [pdf[c].to_numpy() for c in ("label_idx", "p", "pos", "neg")]
+            order = np.lexsort((cols[1], cols[0]))
+            yield pd.DataFrame(dict(zip(("label_idx", "p", "pos", "neg"), _merged(*(c[order] for c in cols)))))
+
+
+def _partition_summaries(ts: list, op: str):
+    """Per partition of (label_idx, p, pos, neg) sorted by (label_idx, p): one
+    summary row per label."""
+    def run(batches):
+        from decimal import Decimal
+
+        import numpy as np
+        import pandas as pd
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        totals = {}  # label -> [pos, neg, tp, fp, s2]; negatives seen so far = neg
+        limits = np.array(ts + [np.inf])  # the last for label -1
+
+        def add(labels, p, pos, neg):
+            hit = (p > limits[labels]) if op == "gt" else (p >= limits[labels])
+            cuts = np.flatnonzero(np.diff(labels)) + 1  # labels are contiguous in sorted rows
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(labels)]):
+                acc = totals.setdefault(int(labels[lo]), [0, 0, 0, 0, 0])
+                n, q, h = neg[lo:hi], pos[lo:hi], hit[lo:hi]
+                below = np.cumsum(n) - n + acc[1]  # counts stay far below 2**62
+                acc[4] += _weighted_sum(q, 2 * below + n)
+                for i, v in enumerate((q, n, q[h], n[h])):
+                    acc[i] += int(v.sum())
+
+        held = None  # the last key of a batch may go on in the next one
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            cols = [pdf[c].to_numpy() for c in ("label_idx", "p", "pos", "neg")]
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+            rows = _merged(*cols)
+            held = tuple(x[-1:] for x in rows)
+            if len(rows[0]) > 1:
+                add(*(x[:-1] for x in rows))
+        if held is not None:
+            add(*held)
+        rows = [(part, lab, *v[:4], Decimal(v[4])) for lab, v in sorted(totals.items())]
+        yield pd.DataFrame(rows, columns=["part", "label_idx", "pos", "neg", "tp", "fp", "s2"])
+    return run
+
+
+def label_sums(ef: EvalFrame, t=0.5, op: str = "gt", partitions: int | None = None,
+               exact: bool = False) -> DataFrame:
+    """(label_idx, n_pos, n_neg, tp, fp, s2), s2 = 2 * sum(pos * (neg_below + neg/2)).
+
+    With ``exact``, label -1 counts rows whose predicted and true vectors agree
+    (n_pos) or not (n_neg).  ``partitions`` is the number of range partitions
+    (default: the session's shuffle partitions; AQE may merge small neighbours,
+    which keeps order)."""
     ef.require_truth()
-    cells = long_form(ef).select("label_idx", F.col("y").cast("long").alias("y"), "p")
-    return cells.groupBy("label_idx", "p").agg(
-        F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg"))
-
-
-def auc_sums_of(by_score: DataFrame, partitions: int | None = None) -> DataFrame:
-    """(label_idx, n_pos, n_neg, s2) from ``score_groups``; s2 = 2 * sum(pos * (neg_below + neg/2)).
-
-    Rows with a negative ``label_idx`` are ignored (skipped inside the tasks,
-    not by a filter, which Catalyst would push below the shared aggregate).
-
-    ``partitions`` is the number of range partitions (default: the session's
-    shuffle partitions; AQE may merge small neighbours, which keeps order).
-    """
-    ranged = (by_score.repartitionByRange(partitions, "label_idx", "p") if partitions
-              else by_score.repartitionByRange("label_idx", "p"))
+    if op not in ("gt", "ge"):
+        raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
+    ts = per_label(t, ef.k)
+    y = [X.elem("y_true", i) for i in range(ef.k)]
+    cells = [X.named_struct([("label_idx", X.lit(i)), ("p", X.score_or_lowest(X.elem("score", i))),
+                             ("pos", f"CAST({y[i]} AS BIGINT)"), ("neg", f"CAST(1 - {y[i]} AS BIGINT)")])
+             for i in range(ef.k)]
+    if exact:
+        same = X.all_of([f"{X.as_int(X.above(X.elem('score', i), ts[i], op))} = {y[i]}" for i in range(ef.k)])
+        cells.append(X.named_struct([("label_idx", X.lit(EXACT)), ("p", "0.0D"), ("pos", f"CAST({same} AS BIGINT)"),
+                                     ("neg", f"CAST(NOT {same} AS BIGINT)")]))
+    return sums_of_cells(ef.df.select(X.inline_rows(cells)).mapInPandas(_combine, CELL_SCHEMA), ts, op, partitions)
+
+
+def sums_of_cells(cells: DataFrame, ts: list, op: str = "gt", partitions: int | None = None) -> DataFrame:
+    """``label_sums`` of (label_idx, p, pos, neg) rows, of which several may share a key."""
+    ranged = (cells.repartitionByRange(partitions, "label_idx", "p") if partitions
+              else cells.repartitionByRange("label_idx", "p"))
     summaries = ranged.sortWithinPartitions("label_idx", "p").mapInPandas(
-        _partition_summaries, SUMMARY_SCHEMA)
+        _partition_summaries(ts, op), SUMMARY_SCHEMA)
     w_off = (Window.partitionBy("label_idx").orderBy("part")
              .rowsBetween(Window.unboundedPreceding, -1))
     summaries = summaries.withColumn("off", F.coalesce(F.sum("neg").over(w_off), F.lit(0)))
     return summaries.groupBy("label_idx").agg(
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
         F.sum(F.col("s2") + F.col("off").cast("decimal(38,0)") * 2 * F.col("pos")).alias("s2"))
 
 
-def auc_sums(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
-    return auc_sums_of(score_groups(ef), partitions)
-
-
-def auc_of(sums: DataFrame, names) -> DataFrame:
-    """(label_idx, label, auc, n_pos, n_neg); auc is null when a label has one class."""
-    arr = X.array_of([X.lit(n) for n in names])
-    return sums.selectExpr(
-        "label_idx", f"{arr}[label_idx] AS label",
-        "CASE WHEN n_pos > 0 AND n_neg > 0 THEN CAST(s2 AS DOUBLE) / "
-        "(CAST(n_pos AS DOUBLE) * CAST(n_neg AS DOUBLE) * 2.0D) END AS auc",
-        "CAST(n_pos AS BIGINT) AS n_pos", "CAST(n_neg AS BIGINT) AS n_neg")
+AUC_SQL = ("CASE WHEN n_pos > 0 AND n_neg > 0 THEN CAST(s2 AS DOUBLE) / "
+           "(CAST(n_pos AS DOUBLE) * CAST(n_neg AS DOUBLE) * 2.0D) END")
 
 
 def roc_auc(ef: EvalFrame, partitions: int | None = None) -> DataFrame:
     """(label_idx, label, auc, n_pos, n_neg); auc is null when a label has one class."""
-    return auc_of(auc_sums(ef, partitions), ef.names)
-
-
-def macro_auc_of(sums: DataFrame, ef: EvalFrame) -> DataFrame:
-    a = auc_of(sums, ef.names)
-    wide = a.agg(*[F.expr(f"max(CASE WHEN label_idx = {i} THEN coalesce(auc, 0.5D) END) AS auc_{i}")
-                   for i in range(ef.k)])
-    total = " + ".join(f"auc_{i}" for i in range(ef.k))
-    return wide.selectExpr(f"({total}) / {float(ef.k)!r}D AS macro_auc",
-                           *[f"auc_{i}" for i in range(ef.k)])
+    names = X.array_of([X.lit(n) for n in ef.names])
+    return label_sums(ef, partitions=partitions).selectExpr(
+        "label_idx", f"{names}[label_idx] AS label", f"{AUC_SQL} AS auc",
+        "CAST(n_pos AS BIGINT) AS n_pos", "CAST(n_neg AS BIGINT) AS n_neg")

@@ -8,9 +8,8 @@ key can be hot.  Every table below (K label rows, the overall row, the
 report) is a projection of that one row; averages are written as sums in a
 fixed label order so they are reproducible bit for bit.
 
-When AUC is wanted as well, the same counts row is instead summed from the
-AUC plan's (label, score) -> (pos, neg) aggregate (``counts_row_of_groups``),
-so one scan serves both.  Wide expressions are SQL text (``sqltext``).
+When AUC is wanted as well, the counts come from the AUC plan's table of sums
+per label (``auc.label_sums``), so one exchange serves both.  Wide expressions are SQL text (``sqltext``).
 """
 
 from __future__ import annotations
@@ -118,24 +117,6 @@ def per_label_metrics(ef: EvalFrame, t=0.5, op: str = "gt", row: DataFrame | Non
     return _unpivot_labels(row, ef, PER_LABEL_COLUMNS, _label_metric_cols)
 
 
-def per_label_metrics_of_groups(by_score: DataFrame, ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
-    """E1/E2 from the (label, score) -> (pos, neg) table of the AUC plan: the
-    counts at a threshold are conditional sums over it (K rows out), so a
-    report that also needs AUC scans the data once."""
-    ts = X.array_of([X.lit(float(v)) for v in per_label(t, ef.k)])
-    hit = X.above("p", f"{ts}[label_idx]", op)
-    counts = by_score.groupBy("label_idx").agg(
-        F.expr(f"sum(CASE WHEN {hit} THEN pos ELSE 0 END) AS tp"),
-        F.expr(f"sum(CASE WHEN {hit} THEN neg ELSE 0 END) AS fp"),
-        F.expr(f"sum(CASE WHEN {hit} THEN 0 ELSE pos END) AS fn"),
-        F.expr(f"sum(CASE WHEN {hit} THEN 0 ELSE neg END) AS tn"),
-        F.expr("sum(pos + neg) AS n"))
-    m = metric_exprs("tp", "fp", "fn", "tn", "n")
-    names = X.array_of([X.lit(n) for n in ef.names])
-    return counts.selectExpr("label_idx", f"{names}[label_idx] AS label",
-                             *[f"{m[c]} AS {c}" for c in PER_LABEL_COLUMNS])
-
-
 def _macro(metric: str, k: int) -> str:
     return f"({X.fsum([_label_metric_cols(i)[metric] for i in range(k)])} / {X.lit(float(k))})"
 
@@ -174,63 +155,33 @@ def overall_columns(k: int) -> dict:
     }
 
 
-def score_groups_with_exact(ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
-    """(label_idx, p, pos, neg, exact): the AUC plan's (label, score) table
-    plus one record per row under label_idx -1 carrying its exact-match bit.
-    Those records meet in one group, combined map-side (one partial row per
-    task), so the overall measures and the AUC come from one scan."""
-    ef.require_truth()
-    h, y = _row_terms(ef, t, op)
-    exact = X.all_of([f"({h[i]}) = ({y[i]})" for i in range(ef.k)])
-    cells = [X.named_struct([("label_idx", X.lit(i)), ("y", f"CAST({y[i]} AS BIGINT)"),
-                             ("p", X.score_or_lowest(X.elem("score", i))), ("ex", "0L")]) for i in range(ef.k)]
-    row = X.named_struct([("label_idx", "-1"), ("y", "0L"), ("p", "0.0D"),
-                          ("ex", f"CAST({exact} AS BIGINT)")])
-    long = ef.df.select(X.inline_rows(cells + [row]))
-    return long.groupBy("label_idx", "p").agg(
-        F.expr("sum(y) AS pos"), F.expr("sum(1 - y) AS neg"), F.expr("sum(ex) AS exact"))
-
-
-def counts_row_of_groups(groups: DataFrame, ef: EvalFrame, t=0.5, op: str = "gt") -> DataFrame:
-    """The counts row (n, tp/fp/fn/tn per label, exact) from
-    ``score_groups_with_exact``: conditional sums over its rows."""
-    ts = per_label(t, ef.k)
-    aggs = ["sum(CASE WHEN label_idx = -1 THEN neg ELSE 0 END) AS n",
-            "sum(CASE WHEN label_idx = -1 THEN exact ELSE 0 END) AS exact"]
-    for i in range(ef.k):
-        above = X.above("p", ts[i], op)
-        hit, miss = f"label_idx = {i} AND {above}", f"label_idx = {i} AND NOT {above}"
-        aggs += [f"sum(CASE WHEN {hit} THEN pos ELSE 0 END) AS tp_{i}",
-                 f"sum(CASE WHEN {hit} THEN neg ELSE 0 END) AS fp_{i}",
-                 f"sum(CASE WHEN {miss} THEN pos ELSE 0 END) AS fn_{i}",
-                 f"sum(CASE WHEN {miss} THEN neg ELSE 0 END) AS tn_{i}"]
-    return groups.agg(*[F.expr(a) for a in aggs])
-
-
 def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
                     auc_partitions: int | None = None, pred_col: str | None = None) -> DataFrame:
     """E10 overall row: exact match, subset accuracy, Hamming, macro/micro P/R/F1,
-    and macro AUC (a null per-label AUC counts as 0.5).
+    macro AUC (a null per-label AUC counts as 0.5) and the AUC of every label.
 
-    With AUC, everything comes from one (label, score) aggregate of one scan:
-    the counts are conditional sums over it and the AUC plan reads the same
-    (reused) exchange.  With ``pred_col`` (a given 0/1 prediction vector, S16)
-    there are no scores, so macro AUC is null."""
+    With AUC, everything comes from the AUC plan's table of K + 1 sums, so the
+    data is exchanged once.  With ``pred_col`` (a given 0/1 prediction vector,
+    S16) there are no scores, so the AUCs are null."""
     cols = overall_columns(ef.k)
     if pred_col is not None:
         return counts_row(ef, t, op, pred_col).selectExpr(
-            *[f"{c} AS {n}" for n, c in cols.items()], "CAST(NULL AS DOUBLE) AS macro_auc")
+            *[f"{c} AS {n}" for n, c in cols.items()], "CAST(NULL AS DOUBLE) AS macro_auc",
+            "CAST(NULL AS ARRAY<DOUBLE>) AS auc_by_label")
     if not with_auc:
         return counts_row(ef, t, op).selectExpr(*[f"{c} AS {n}" for n, c in cols.items()])
-    from .auc import auc_sums_of, macro_auc_of
-    groups = score_groups_with_exact(ef, t, op)
-    row = counts_row_of_groups(groups, ef, t, op)
-    auc = macro_auc_of(auc_sums_of(groups, auc_partitions), ef)
-    # one-row frames meet through a union and a max, never a join
-    names = list(cols) + ["macro_auc"]
-    left = row.selectExpr(*[f"{c} AS {n}" for n, c in cols.items()], "CAST(NULL AS DOUBLE) AS macro_auc")
-    right = auc.selectExpr(*[f"CAST(NULL AS DOUBLE) AS {n}" for n in cols], "macro_auc")
-    return left.unionByName(right).groupBy().agg(*[F.expr(f"max({n}) AS {n}") for n in names])
+    from .auc import AUC_SQL, EXACT, label_sums
+    sums = label_sums(ef, t, op, auc_partitions, exact=True).selectExpr("*", f"{AUC_SQL} AS auc")
+    at = lambda i, e: f"coalesce(max(CASE WHEN label_idx = {i} THEN {e} END), 0)"
+    aggs = [f"{at(EXACT, 'n_pos')} AS exact", f"{at(EXACT, 'n_pos + n_neg')} AS n"]
+    for i in range(ef.k):
+        aggs += [f"{at(i, 'tp')} AS tp_{i}", f"{at(i, 'fp')} AS fp_{i}", f"{at(i, 'n_pos - tp')} AS fn_{i}",
+                 f"{at(i, 'n_neg - fp')} AS tn_{i}", f"max(CASE WHEN label_idx = {i} THEN auc END) AS auc_{i}"]
+    row = sums.agg(*[F.expr(x) for x in aggs])
+    total = " + ".join(f"coalesce(auc_{i}, 0.5D)" for i in range(ef.k))
+    return row.selectExpr(*[f"{c} AS {n}" for n, c in cols.items()],
+                          f"({total}) / {float(ef.k)!r}D AS macro_auc",
+                          f"{X.array_of([f'auc_{i}' for i in range(ef.k)])} AS auc_by_label")
 
 
 def sample_average_cols() -> dict:

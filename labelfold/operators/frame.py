@@ -48,14 +48,6 @@ class EvalFrame:
                              "(predictions are still available through scoring)")
 
 
-def long_form(ef: EvalFrame, extra: list | None = None) -> DataFrame:
-    """(keys..., label_idx, y, p): one row per cell; only for label-wise work."""
-    cells = [f"named_struct('label_idx', {i}, 'y', y_true[{i}], 'p', {X.score_or_lowest(f'score[{i}]')})"
-             for i in range(ef.k)]
-    cols = [F.col(c) for c in ef.keys] + [F.col(c) for c in (extra or [])]
-    return ef.df.select(*cols, F.expr(f"inline(array({', '.join(cells)}))"))
-
-
 def from_wide(df: DataFrame, keys, labels: LabelDictionary, truth_cols=None,
               score_cols=None, text_col: str | None = None) -> EvalFrame:
     """Build an evaluation frame from one column per label."""

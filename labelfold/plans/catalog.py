@@ -75,12 +75,29 @@ def _overall_sql() -> str:
     auc_fill = O.fsum([f"(SELECT coalesce(auc, 0.5::DOUBLE) FROM auc WHERE label_idx = {i})"
                        for i in range(K)])
     return (f"WITH {O.frame_l_sql()}, {O.counts_sql(K)}, {O.auc_sql(K)} "
-            f"SELECT {cols}, {auc_fill} / {O.d(K)} AS macro_auc FROM c")
+            f"SELECT {cols}, {auc_fill} / {O.d(K)} AS macro_auc, "
+            + ", ".join(f"(SELECT auc FROM auc WHERE label_idx = {i}) AS auc_{i}" for i in range(K)) + " FROM c")
 
 
 @register("overall_metrics", _overall_sql())
 def q_overall(spark, sf):
-    return ev.overall_metrics(B.frame_l(spark, sf), 0.5, "gt")
+    overall = ev.overall_metrics(B.frame_l(spark, sf), 0.5, "gt")
+    return overall.select(*[c for c in overall.columns if c != "auc_by_label"],
+                          *[F.col("auc_by_label")[i].alias(f"auc_{i}") for i in range(K)])
+
+
+# scores made nearly unique per row: nothing repeats, so nothing combines before the exchange
+CONTINUOUS = "{p} + CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) * {unit}"
+
+
+@register("roc_auc_continuous",
+          f"WITH {O.frame_l_sql().replace('l AS (SELECT', 'l0 AS (SELECT', 1)}, l AS (SELECT * REPLACE ("
+          + ", ".join(CONTINUOUS.format(p=f"p{i}", unit="1e-9::DOUBLE") + f" AS p{i}" for i in range(K))
+          + f") FROM l0), {O.auc_sql(K)} SELECT label_idx, auc, n_pos, n_neg FROM auc")
+def q_roc_auc_continuous(spark, sf):
+    ef = B.frame_l(spark, sf)
+    p = ", ".join(CONTINUOUS.format(p=f"score[{i}]", unit="1e-9D") for i in range(ef.k))
+    return auc_ops.roc_auc(ef.with_df(ef.df.withColumn("score", F.expr(f"array({p})")))).drop("label")
 
 
 @register("roc_auc",

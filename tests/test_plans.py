@@ -49,12 +49,14 @@ def test_run_log_metric_filter_reaches_scan(spark, name):
     assert pushed and all("event_type" in ln.split("PushedFilters")[1].split("]")[0] for ln in pushed)
 
 
-@pytest.mark.parametrize("name", ["overall_metrics", "per_label_report"])
-def test_auc_reports_scan_once(spark, name):
-    """Counts and AUC share one (label, score) aggregate: one lineitem scan,
-    its exchange reused by the AUC branch."""
+@pytest.mark.parametrize("name", ["overall_metrics", "per_label_report", "roc_auc", "roc_auc_continuous"])
+def test_auc_reports_exchange_cells_once(spark, name):
+    """Counts and AUC come from one scan and one exchange of (label, score) cells;
+    what is exchanged after it is one row per partition and label."""
     df = QUERIES[name](spark, SF_SMALL)
     df.collect()  # settle the adaptive plan
     p = df._jdf.queryExecution().executedPlan().toString()
     final = p.split("== Initial Plan ==")[0]
-    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+    assert final.count("FileScan parquet") == 1
+    assert final.count("rangepartitioning(label_idx") == 1
+    assert "hashpartitioning(label_idx#" not in final.split("rangepartitioning(label_idx")[1]  # none below it
