@@ -24,15 +24,15 @@ from labelfold.plans.catalog import QUERIES  # noqa: E402
 from labelfold.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "per_label_metrics", "overall_metrics", "classification_report", "roc_auc",
+    "per_label_metrics", "overall_metrics", "classification_report", "roc_auc", "roc_auc_continuous",
     "threshold_sweep", "per_label_report", "top_label_combinations", "hard_examples",
     "score_histogram", "evaluation_loss", "dataset_statistics", "class_weights_neg_pos",
     "truth_label_combinations", "linear_head_scores", "score_batch", "length_profile",
-    "best_metric", "early_stop", "training_curves", "recent_history", "validate_requests",
+    "best_metric", "early_stop", "training_curves", "recent_history", "recent_history_clear", "validate_requests",
     "detailed_predictions", "fit_linear_head_focal", "fit_binary_relevance",
 ]
 ROW_SIZED = {"detailed_predictions", "linear_head_scores", "score_batch", "training_curves",
-             "validate_requests", "recent_history"}
+             "validate_requests", "recent_history", "recent_history_clear"}
 
 
 def materialise(name, df):
