@@ -186,9 +186,11 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                      text_of(html_col).alias("html"))
     key = [F.unhex(F.sha1("html")).alias("sha"), F.octet_length("html").alias("n")]
-    best = (p.select("page_id", *key).filter(F.col("n") >= min_revisit).groupBy("sha", "n")
-            .agg(F.max("page_id").alias("keep"), F.count(F.lit(1)).alias("copies"))
-            .filter("copies > 1").select("sha", "n", "keep"))
+    # written, so that the join below meets it by a plain exchange, which can be split at a hot payload
+    best = through_table(
+        p.select("page_id", *key).filter(F.col("n") >= min_revisit).groupBy("sha", "n")
+        .agg(F.max("page_id").alias("keep"), F.count(F.lit(1)).alias("copies"))
+        .filter("copies > 1").select("sha", "n", "keep"), "warc-best")
     # only ids and digests meet the choice; pages get theirs by id, so no hot payload is shuffled
     revisits = (p.select("page_id", *key).join(best, ["sha", "n"])
                 .filter("page_id is null or page_id < keep")
@@ -219,8 +221,8 @@ def warc_round_trip(pages: DataFrame, id_col: str = "page_id", **options) -> Dat
         "page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("bytes")),
         "warc-read")
     # a revisit has no payload of its own: its length is that of the response it names
-    held = read.filter("record_type = 'response'").groupBy(
-        F.col("page_id").alias("rid"), F.col("digest").alias("rdigest")).agg(F.max("bytes").alias("held"))
+    held = through_table(read.filter("record_type = 'response'").groupBy(
+        F.col("page_id").alias("rid"), F.col("digest").alias("rdigest")).agg(F.max("bytes").alias("held")), "warc-held")
     return (read.join(held, (F.col("refers_to") == F.col("rid")) & (F.col("digest") == F.col("rdigest")), "left")
             .select(F.col("page_id").alias(id_col), F.coalesce("bytes", "held").alias("payload_bytes"),
                     F.col("digest").alias("payload_digest"), "record_type", "refers_to"))
