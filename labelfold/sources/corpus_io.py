@@ -69,7 +69,7 @@ def read_label_list_csv(spark: SparkSession, path: str, extra=None) -> DataFrame
 
 def read_label_dictionary(spark: SparkSession, path: str) -> LabelDictionary:
     """A4: label info JSON -> dictionary (K entries; falls back to the default)."""
-    rows = spark.read.option("multiLine", "true").json(path).collect()
+    rows = spark.read.option("multiLine", "true").json(path).limit(1).collect()
     if not rows:
         return dictionary_from_info(None)
     info = rows[0].asDict(recursive=True)

@@ -27,7 +27,7 @@ NODES = [
     ("top-k", r"\bTakeOrderedAndProject\b"),
     ("window group limit", r"\bWindowGroupLimit\b"),
     ("windows", r"\bWindow \["),
-    ("python stages", r"\b(MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython)\b"),
+    ("python stages", r"\b(MapInPandas|MapInArrow|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython)\b"),
 ]
 
 
