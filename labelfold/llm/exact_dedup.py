@@ -46,6 +46,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     F.lower(F.hex("sha")).alias("text_sha256")))
 
 
+def id_key(col: Column) -> list[Column]:
+    """An id as two columns without nulls, so that joining and dropping repeats on them share one exchange."""
+    return [F.coalesce(col.cast("string"), F.lit("")).alias("idv"), col.isNull().alias("idnull")]
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns.
 
@@ -55,13 +60,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
     norm = normalised(text_col)
-    rows = docs.select(*own, F.col(id_col).alias("id"), F.unhex(F.md5(norm)).alias("h"),
-                       F.unhex(F.sha2(norm, 256)).alias("sha"))
-    keep = _classes(docs, id_col, text_col).select(
-        F.col("h").alias("kh"), F.col("sha").alias("ksha"), "keep_id")
-    kept = rows.join(keep, (F.col("h") == F.col("kh")) & (F.col("sha") == F.col("ksha"))
-                     & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
-    return kept.dropDuplicates(["h", "sha", "id"]).select(
+    key = ["h", "sha", "idv", "idnull"]
+    rows = docs.select(*own, F.unhex(F.md5(norm)).alias("h"), F.unhex(F.sha2(norm, 256)).alias("sha"),
+                       *id_key(F.col(id_col)))
+    keep = _classes(docs, id_col, text_col).select("h", "sha", *id_key(F.col("keep_id")))
+    return rows.join(keep, key, "left_semi").dropDuplicates(key).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
