@@ -8,9 +8,11 @@ per-source, per-pass pseudorandom permutation of the block indexes.  Joining
 slots to blocks on (source, block) yields what each document contributes.
 
 Scale: texts are read once for their sizes and never shuffled.  Offsets inside
-a source come from two sums (over hash buckets of a few thousand rows each,
-then inside a bucket), so a source with a third of all rows is never sorted by
-one task; slots and blocks meet on (source, block), which is unique per pass.
+a source come from two sums, over hash buckets and inside a bucket; there are as
+many buckets as rows in a bucket (the square root of all rows), so a source with
+a third of all rows is never sorted by one task.  Slots and blocks meet on
+(source, block), which is unique per pass, by a shuffle on both sides: slots grow
+with the data, so they are never broadcast.
 The driver holds one row per source (at most ``max_sources``, else it fails)
 and one count per source and shard (at most ``MAX_SHARDS`` shards).
 
@@ -22,6 +24,7 @@ agree, since every order and draw depends on ids, sizes and the seed only.
 
 from __future__ import annotations
 
+import math
 from fractions import Fraction
 
 import numpy as np
@@ -118,7 +121,7 @@ def _slots(block: int, seed: int):
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              weights=(5, 2, 1), share=Fraction(3, 2), stop: int = 2, block: int = 512,
-             shard_slots: int = 8192, bucket_rows: int = 4096, max_sources: int = 100_000,
+             shard_slots: int = 8192, max_sources: int = 100_000,
              seed: int = 20) -> dict[str, DataFrame]:
     """The mix as tables: ``sources`` (sid, source, source_size, target), ``slots``
     (shard, slot, sid, block, take), ``pieces`` (id, size, sid, off, block, begin,
@@ -138,13 +141,13 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sources = spark.createDataFrame(
         [(i, r.source, sizes[i], float(goal[i])) for i, r in enumerate(stats)],
         "sid int, source string, source_size long, target double")
-    draws = spark.createDataFrame(
-        [(sh, s, first, n, sizes[s], quota[s]) for sh, s, first, n in draw_shards(slots, shard_slots, seed)],
-        "shard int, sid int, first long, count long, size long, quota long")
-    slots_df = draws.repartition("shard").mapInPandas(
+    drawn = [(sh, s, first, n, sizes[s], quota[s]) for sh, s, first, n in draw_shards(slots, shard_slots, seed)]
+    draws = spark.createDataFrame(drawn, "shard int, sid int, first long, count long, size long, quota long")
+    # a fixed number of partitions: adaptive execution would put these few rows, which make all slots, into one task
+    slots_df = draws.repartition(max([0, *(x[0] for x in drawn)]) + 1, "shard").mapInPandas(
         _slots(block, seed), "shard int, slot long, sid int, block long, take long")
 
-    buckets = max(1, -(-sum(int(r.rows) for r in stats) // bucket_rows))
+    buckets = max(1, math.isqrt(sum(int(r.rows) for r in stats)))
     d = (sized.join(F.broadcast(sources.select("sid", F.col("source").alias("name"))),
                     F.col("source").eqNullSafe(F.col("name")))
          .select("id", "size", "sid", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(buckets)).alias("bucket")))
@@ -167,7 +170,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per document: id, size, source_size, target, taken."""
     plan = mix_plan(docs, id_col, **options)
-    got = (plan["pieces"].join(plan["slots"].select("sid", "block", "take"), ["sid", "block"], "left")
+    got = (plan["pieces"].join(plan["slots"].select("sid", "block", "take").hint("merge"), ["sid", "block"], "left")
            .withColumn("words", F.greatest(F.least("end", "take") - F.col("begin"), F.lit(0)))
            .withColumn("words", F.when(F.col("take").isNull(), F.lit(0)).otherwise(F.col("words"))))
     per_doc = (got.groupBy("sid", "off", "id", "size").agg(F.sum("words").alias("taken")).drop("off")
