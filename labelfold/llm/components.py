@@ -13,7 +13,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Each round links every node's larger neighbours to its smallest one, then the
     smaller ones, until the edges are stars around their smallest nodes.  Rounds
-    are written to the shared folder; the driver sees a count and a checksum.
+    are written to the shared folder; the driver sees a count and a checksum.  The
+    smallest neighbours are written before they meet the edges: both sides of the
+    join are then plain exchanges, so adaptive execution can split the edges of a
+    node that most others hang on.
     Fails loudly if ``max_rounds`` (ample: rounds grow with the logarithm of the
     nodes) are not enough.
     """
@@ -22,9 +25,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     mark = _mark(e)
     for _ in range(max_rounds):
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = through_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
+                            "star-low")
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = through_table(large, "star-large")
+        low2 = through_table(large.groupBy("a").agg(F.min("b").alias("m")), "star-low")
         small = (large.join(low2, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low2.select("a", "m")).distinct())
         e = through_table(small, "star-edges")
