@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from labelfold.llm.common import text_of, through_table
 from labelfold.llm.components import components
+from labelfold.llm.exact_dedup import id_key
 
 N, THRESHOLD, RECALL = 5, Fraction(4, 5), 0.9995
 
@@ -240,14 +241,15 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = found.groupBy(F.col("a").alias("key")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     stars = components(found.select("a", "b")).withColumnRenamed("node", "key")
     tied = stars.join(members.select("key", "own"), "key")
-    names = tied.groupBy("root").agg(F.min("own").alias("first"))
+    names = through_table(tied.groupBy("root").agg(F.min("own").alias("first")), "join-names")
     tied = tied.select("key", "root").join(names, "root").join(counts, "key").select("key", "first", "texts", "docs")
     out = (members.select("key", "copies", "own").join(tied, "key", "left")
            .withColumn("first", F.coalesce("first", "own"))
            .select("key", "copies", F.coalesce("texts", F.lit(0)).alias("texts"),
                    F.coalesce("docs", F.lit(0)).alias("docs"), F.col("first.id").alias("class_id"),
                    F.col("first.h").alias("class_h")))
-    return sig.select("id", "h", "key"), out
+    # written, so that a later join meets it by a plain exchange, which can be split at a hot key
+    return sig.select("id", "h", "key"), through_table(out, "join-classes")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -262,11 +264,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each class (the smallest id), with all its columns."""
     _, sets = link_classes(docs, id_col, text_col, **options)
-    first = sets.select("class_id", "class_h").distinct()
+    key = ["h", "idv", "idnull"]
+    first = sets.select(F.col("class_h").alias("h"), *id_key(F.col("class_id"))).distinct()
     own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)],
-                      F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("h"))
-    kept = own.join(first, F.col("id").eqNullSafe(F.col("class_id")) & (F.col("h") == F.col("class_h")), "left_semi")
-    return kept.dropDuplicates(["id", "h"]).select(
+                      F.unhex(F.md5(text_of(text_col))).alias("h"), *id_key(F.col(id_col)))
+    return own.join(first, key, "left_semi").dropDuplicates(key).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
