@@ -10,7 +10,10 @@ equal key, so a digest collision never decides.  Pages are only read and
 projected: there is no shuffle, and a hot host costs nothing.
 
 An entry fits its host and all subdomains, and URLs whose path starts with its
-path.  Rules come before the plain block list; among entries of a kind the
+path.  The block list is an input: host names, or a DataFrame whose ``host`` column
+holds them, read on the driver (about 200 bytes a host).  Hosts are lower-cased;
+null and empty ones are dropped.  The default list is the two hosts of the SQL.
+Rules come before the plain block list; among entries of a kind the
 longest (host and path together, then host) wins, and of two equal entries the
 blocking one.  A URL on neither is allowed.
 
@@ -58,9 +61,18 @@ def path_of(url: str) -> Column:
     return F.coalesce(F.regexp_extract(F.col(url), r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def listed_hosts(blocked, host_col: str = "host") -> list[str]:
+    """The different hosts of a block list: names, or a DataFrame with a column of them."""
+    if isinstance(blocked, DataFrame):
+        rows = blocked.select(F.col(host_col).cast("string").alias("host")).distinct()
+        blocked = [r.host for r in rows.toLocalIterator()]
+    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    return sorted({h.translate(lower) for h in blocked if h})
+
+
 def build_list(spark: SparkSession, rules=RULES, blocked=BLOCKED_HOSTS) -> str:
     """Write the sorted digest array into the shared folder; returns its location."""
-    entries = [(h, p, ALLOW if v == "allow" else BLOCK) for v, h, p in rules] + [(h, "", LISTED) for h in blocked]
+    entries = [(h, p, ALLOW if v == "allow" else BLOCK) for v, h, p in rules] + [(h, "", LISTED) for h in listed_hosts(blocked)]
     entries = sorted(((xxhash.xxh64_intdigest((h + p).encode()), h, p, k) for h, p, k in set(entries)))
     raw = [(h + p).encode() for _, h, p, _ in entries]
     arrays = {
@@ -156,7 +168,7 @@ def _judge(at: str, id_col: str):
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 rules=RULES, blocked=BLOCKED_HOSTS) -> DataFrame:
-    """One row per page: id, host, path, rule, verdict."""
+    """One row per page: id, host, path, rule, verdict; blocked is a block list as listed_hosts reads it."""
     at = build_list(pages.sparkSession, rules, blocked)
     urls = pages.select(F.col(id_col), host_of(url_col).alias("host"), path_of(url_col).alias("path"))
     return urls.mapInPandas(_judge(at, id_col), f"{id_col} {urls.schema[id_col].dataType.simpleString()}, "

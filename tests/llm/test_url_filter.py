@@ -53,3 +53,18 @@ def test_odd_rows(spark, odd_pages):
     got = u.filter_urls(odd_pages)
     assert got.count() == odd_pages.count() and u.filter_urls(odd_pages.limit(0)).count() == 0
     assert u.filter_urls(odd_pages, rules=(), blocked=()).filter("verdict <> 'allow'").count() == 0
+
+
+def test_block_list_as_a_table(spark):
+    """A table of hosts decides; every family under every ending of the larger pages, read as they are."""
+    families = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    hosts = [f"{x}.example.{end}" for x in families for end in ("com", "net", "org")]
+    table = spark.createDataFrame([(h.upper(),) for h in hosts] + [(hosts[0],), ("",), (None,)], "host string")
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    rows = u.filter_urls(pages, blocked=table).collect()
+    listed = [r for r in rows if r.rule is None and any("." + r.host == "." + h or r.host.endswith("." + h) for h in hosts)]
+    assert len(rows) == pages.count() and len(listed) > 100 and {r.verdict for r in listed} == {"block"}
+    rest = {r.page_id for r in rows} - {r.page_id for r in listed}
+    plain = {r.page_id: r.verdict for r in u.filter_urls(pages, blocked=()).collect()}
+    assert all(r.verdict == plain[r.page_id] for r in rows if r.page_id in rest)
+    assert sum(plain[r.page_id] == "block" for r in listed) == 0
