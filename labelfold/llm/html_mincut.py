@@ -4,14 +4,18 @@ A page is read into text blocks (a block ends where a block-level element
 begins or ends).  A logistic classifier over a block's words and element gives
 the cost of either label; the costs become terminal capacities of a graph whose
 smoothness edges join neighbouring blocks and tie the blocks of one parent
-element together.  The maximum flow's source side is the content.  Blocks that a
-structural rule decides (menus, headers, footers, sidebars, notices, adverts,
-forms, comments) get a cost no smoothing can buy off.
+element together.  The maximum flow's source side is the content.  Marks (menus,
+headers, footers, sidebars, notices, adverts, forms, comments) are bounded costs
+that the classifier and the smoothing can outweigh.  A mark that spans the page is
+no mark: an element that holds more than half of the page's unlinked text, and
+little marked content beside it, only wraps the page.  <main> reopens any marked
+element, <article> any but comments, adverts and asides.  Words that also name a
+layout (header, form, sidebar) do not mark an element that is named as content.
 
 The classifier is trained on the pages themselves: on at most ``fit_pages`` of
 them (a documented bound: those with the smallest hashes), blocks inside marked
 articles are positives and blocks inside marked boilerplate negatives, and it
-learns to tell them by words and element alone, which then decides blocks that
+learns to tell them by words and element alone (wrapped pages count as unmarked), which then decides blocks that
 nothing marks.  Pages without both kinds leave it at ``PLAIN``.
 
 The flow runs on runs of neighbouring blocks that share costs and parent, so
@@ -55,6 +59,13 @@ BOILERPLATE_WORDS = {
     "promotion", "related", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "widget", "reply", "replies", "contentinfo", "complementary", "search",
 }
+#: Those that as often name a layout or a plain part of the content.
+LAYOUT_WORDS = {"banner", "form", "header", "masthead", "search", "sidebar", "toolbar", "widget"}
+LAYOUT_TAGS = {"form", "fieldset", "header"}
+#: What only <main> reopens: asides and the words that are no layout and no menu.
+MENU_WORDS = {"breadcrumb", "breadcrumbs", "footer", "menu", "nav", "navbar", "navigation", "pager", "pagination",
+              "contentinfo"}
+CLOSED_TAGS = {"aside", "dialog"}
 CONTENT_WORDS = {"article", "content", "entry", "main", "post", "story", "body"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3",
             "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
@@ -62,23 +73,31 @@ SAME_CLOSES = {"li", "dt", "dd", "tr", "td", "th", "option"}
 FEATURES = ("bias", "words", "link_share", "stop_mark", "heading", "paragraph", "list_item")
 #: The classifier's weights (log-odds of content) where the pages can't train it.
 PLAIN = (-0.6, 0.45, -3.5, 0.8, 0.8, 0.9, -0.6)
-#: What a block's place adds to its log-odds: marked article, marked boilerplate, named as content.
-IN_CONTENT, IN_BOILERPLATE, NAMED_CONTENT = 6.0, -30.0, 1.2
-#: Added to unmarked blocks of pages that mark their article.
+#: Zones of a block: what the nearest deciding element says.
+CONTENT, PLAIN_ZONE, LAYOUT, MENU, CLOSED = 1, 0, -1, -2, -3
+#: What a block's zone adds to its log-odds.
+ZONE_ODDS = {CONTENT: 6.0, PLAIN_ZONE: 0.0, LAYOUT: -3.0, MENU: -5.5, CLOSED: -6.0}
+#: What being named as content adds.
+NAMED_CONTENT = 1.2
+#: Added to unmarked blocks, times the marked articles' share of the unmarked and marked text.
 OUTSIDE = -6.0
-#: Bound of the classifier's part, so that a mark always outweighs it.
+#: Bound of the classifier's part.
 MOST = 5.0
+#: An element is a page's wrapper when it holds more than this share of its unlinked text and marked content
+#: beside it is under a quarter of its own; what only <main> reopens needs more, and no such content at all.
+WRAPPER, CLOSED_WRAPPER = 0.5, 0.75
 #: Capacities are costs times this, rounded.
 SCALE = 1000
 NEIGHBOUR, SIBLING = 0.6, 0.4
 
 
 class Block:
-    __slots__ = ("parts", "linked", "size", "tag", "parent", "zone", "named")
+    __slots__ = ("parts", "linked", "size", "tag", "parent", "element", "zone", "named")
 
-    def __init__(self, tag: str, parent: int, zone: int, named: bool):
+    def __init__(self, tag: str, parent: int, element: int):
         self.parts, self.linked, self.size = [], 0, 0
-        self.tag, self.parent, self.zone, self.named = tag, parent, zone, named
+        self.tag, self.parent, self.element = tag, parent, element
+        self.zone, self.named = PLAIN_ZONE, False
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
@@ -90,26 +109,59 @@ class Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, int, bool]] = []  # name, element number, zone, named as content
-        self.elements = self.skipping = self.links = 0
+        self.open: list[tuple[str, int]] = []  # name, element number
+        # of each element, 0 is the page: the one around it, its mark (None: none), its tag, named as content
+        self.around, self.marks, self.tags, self.named = [0], [None], [""], [False]
+        self.skipping = self.links = 0
         self.block: Block | None = None
 
-    def here(self) -> tuple[str, int, int, bool]:
-        return self.open[-1] if self.open else ("", -1, 0, False)
-
-    def zone_of(self, tag: str, attrs, zone: int) -> tuple[int, bool]:
-        """The nearest naming element decides: -1 boilerplate, 1 content; boilerplate inside content stays out."""
+    def mark_of(self, tag: str, attrs) -> tuple[int | None, bool]:
+        """What an element says of its text, and whether its words name content."""
         words = set()
         for k, v in attrs:
             if k in ("class", "id", "role") and v:
                 words.update(v.lower().replace("-", " ").replace("_", " ").split())
         if tag in ("html", "body"):
-            return zone, False
-        if tag == "header" and zone == 1:  # an article's own header
-            return zone, False
-        if zone == -1 or tag in BOILERPLATE_TAGS or words & BOILERPLATE_WORDS and tag not in CONTENT_TAGS:
-            return -1, False
-        return (1 if tag in CONTENT_TAGS else zone), bool(words & CONTENT_WORDS)
+            return None, False
+        if tag in CONTENT_TAGS:
+            return CONTENT, bool(words & CONTENT_WORDS)
+        named, bad = bool(words & CONTENT_WORDS), words & BOILERPLATE_WORDS
+        if tag in CLOSED_TAGS or bad - LAYOUT_WORDS - MENU_WORDS:
+            return CLOSED, False
+        if tag in BOILERPLATE_TAGS - LAYOUT_TAGS or bad & MENU_WORDS:
+            return MENU, False
+        if tag in LAYOUT_TAGS and not (named and tag != "header") or bad and not named:
+            return LAYOUT, False
+        return None, named
+
+    def resolve(self):
+        """The zone of every block, once the whole page is known.  Elements are numbered in page order, so
+        that one pass each way adds up their texts and hands down their zones."""
+        n = len(self.around)
+        size, content = [0] * n, [0] * n
+        for b in self.blocks:
+            size[b.element] += b.size - b.linked
+        for e in range(n - 1, 0, -1):
+            marked = self.marks[e] == CONTENT or self.marks[e] is None and self.named[e]
+            content[e] = size[e] if marked else content[e]
+            size[self.around[e]] += size[e]
+            content[self.around[e]] += content[e]
+        zones, named = [PLAIN_ZONE] * n, [False] * n
+        for e in range(1, n):
+            zone, mark = zones[self.around[e]], self.marks[e]
+            named[e] = named[self.around[e]] or self.named[e]
+            if mark == CONTENT:
+                zone = zone if zone == CLOSED and self.tags[e] != "main" else CONTENT
+            elif mark is not None:
+                beside = content[0] - content[e]
+                wraps = (size[e] > CLOSED_WRAPPER * size[0] and not beside if mark == CLOSED
+                         else size[e] > WRAPPER * size[0] and 4 * beside < size[e])
+                # an article's own header is the article's
+                if not wraps and not (self.tags[e] == "header" and mark == LAYOUT and zone == CONTENT):
+                    zone, named[e] = min(zone, mark), False
+            zones[e] = zone
+        for b in self.blocks:
+            b.zone, b.named = zones[b.element], named[b.element]
 
     def end_block(self):
         self.block = None
@@ -135,10 +187,12 @@ class Reader(HTMLParser):
                     break
                 if name not in INLINE and name not in ("p",):
                     break
-        _, _, zone, named = self.here()
-        zone, says = self.zone_of(tag, attrs, zone)
-        self.elements += 1
-        self.open.append((tag, self.elements, zone, named or says))
+        mark, named = self.mark_of(tag, attrs)
+        self.around.append(self.open[-1][1] if self.open else 0)
+        self.marks.append(mark)
+        self.tags.append(tag)
+        self.named.append(named)
+        self.open.append((tag, len(self.around) - 1))
         self.skipping += tag in SKIPPED
         self.links += tag == "a"
         if tag not in INLINE:
@@ -166,11 +220,10 @@ class Reader(HTMLParser):
         if self.block is None:
             if not data.strip():
                 return
-            block_at = next((o for o in reversed(self.open) if o[0] not in INLINE), ("", -1, 0, False))
-            _, _, zone, named = self.here()
+            block_at = next((o for o in reversed(self.open) if o[0] not in INLINE), ("", -1))
             depth = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][1] == block_at[1]), 0)
             parent = self.open[depth - 1][1] if depth > 0 else -1
-            self.block = Block(block_at[0], parent, zone, named)
+            self.block = Block(block_at[0], parent, self.open[-1][1] if self.open else 0)
             self.blocks.append(self.block)
         self.block.parts.append(data)
         self.block.size += len(data)
@@ -188,8 +241,7 @@ def block_features(b: Block, text: str) -> tuple:
 def log_odds(b: Block, text: str, weights=PLAIN) -> float:
     """The classifier's log-odds that a block is content, with what its place adds."""
     z = sum(w * x for w, x in zip(weights, block_features(b, text)))
-    return (max(-MOST, min(MOST, z)) + IN_CONTENT * (b.zone == 1) + IN_BOILERPLATE * (b.zone == -1)
-            + NAMED_CONTENT * b.named)
+    return max(-MOST, min(MOST, z)) + ZONE_ODDS[b.zone] + NAMED_CONTENT * b.named
 
 
 def read_blocks(html: str) -> list[tuple[Block, str]]:
@@ -197,6 +249,7 @@ def read_blocks(html: str) -> list[tuple[Block, str]]:
     reader = Reader()
     reader.feed(html)
     reader.close()
+    reader.resolve()
     return [(b, t) for b, t in ((b, b.text()) for b in reader.blocks) if t]
 
 
@@ -216,7 +269,7 @@ def fit_weights(x: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60, ri
 
 def _marked_blocks(batches):
     for df in batches:
-        rows = [(*block_features(b, t), float(b.zone == 1)) for x in df["html"] for b, t in read_blocks(x) if b.zone]
+        rows = [(*block_features(b, t), float(b.zone == CONTENT)) for x in df["html"] for b, t in read_blocks(x) if b.zone]
         # equal blocks repeat on every page of a site: counts instead of copies
         out = pd.DataFrame(rows, columns=[*FEATURES, "y"]).round(3)
         yield out.groupby([*FEATURES, "y"], as_index=False).size().rename(columns={"size": "n"})
@@ -310,9 +363,10 @@ def main_text(html: str, weights=PLAIN) -> str:
     kept = read_blocks(html)
     if not kept:
         return ""
-    # where the page marks its article, what stands outside it is not main text
-    outside = OUTSIDE if any(b.zone == 1 for b, _ in kept) else 0.0
-    costs = [log_odds(b, t, weights) + (outside if b.zone == 0 else 0.0) for b, t in kept]
+    # the more of the text marked articles hold, the less what stands outside them is main text
+    inside, plain = (sum(b.size - b.linked for b, _ in kept if b.zone == z) for z in (CONTENT, PLAIN_ZONE))
+    outside = OUTSIDE * inside / max(1, inside + plain)
+    costs = [log_odds(b, t, weights) + (outside if b.zone == PLAIN_ZONE else 0.0) for b, t in kept]
     return " ".join(t for (_, t), keep in zip(kept, label_blocks(costs, [b.parent for b, _ in kept])) if keep)
 
 

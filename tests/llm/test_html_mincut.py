@@ -78,3 +78,34 @@ def test_odd_rows(odd_pages):
     assert len(rows) == odd_pages.count()
     assert {r.page_id: r.text for r in rows}[3] == ""
     assert m.extract_text(odd_pages.limit(0)).count() == 0
+
+
+TEXT = [f"Paragraph {i} of the main text tells a long and quiet story about the river, the hills and the {w} that people "
+        "see there on their way through the country in the summer months." for i, w in enumerate(("birds", "fish", "trees"))]
+PARAS = "".join(f"<p>{t}</p>" for t in TEXT)
+MENU = "<ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul>"
+
+
+def test_marks_do_not_swallow_a_page():
+    want = " ".join(TEXT)
+    assert m.main_text(f"<form id='aspnetForm'><nav>{MENU}</nav><div>{PARAS}</div></form>") == want
+    for name in ("content has-sidebar", "header-fixed", "page has-sidebar", "with-widget"):
+        assert m.main_text(f"<div class='{name}'><nav>{MENU}</nav>{PARAS}<footer>Copyright by us.</footer></div>") == want
+    assert m.main_text(f"<nav>{MENU}<div>{PARAS}</div>") == want  # never closed
+    assert m.main_text(f"<nav>{MENU}<article>{PARAS}</article>") == want
+    assert m.main_text(f"<div class='sidebar'><main>{PARAS}</main></div><div>x</div>") == want
+    head = "<div class='entry-header'><h1>The title</h1></div>"
+    assert m.main_text(f"<article>{head}{PARAS}</article>") == "The title " + want
+    assert m.main_text(f"<article><div class='post form'>{PARAS}</div></article>") == want
+
+
+def test_a_teaser_does_not_hide_the_text():
+    got = m.main_text(f"<div id=content>{PARAS}</div><div><article><p>Short teaser here.</p></article></div>")
+    assert " ".join(TEXT) in got
+
+
+def test_marked_parts_stay_out():
+    want = " ".join(TEXT)
+    assert m.main_text(f"<article>{PARAS}</article><section id=comments><article class=comment><p>{TEXT[0]}</p></article>"
+                       "</section><aside><article><p>Read also this story.</p></article></aside>") == want
+    assert m.main_text(f"<nav>{MENU}</nav><div class='main-menu'>{MENU}</div>") == ""
