@@ -18,8 +18,9 @@ articles are positives and blocks inside marked boilerplate negatives, and it
 learns to tell them by words and element alone (wrapped pages count as unmarked), which then decides blocks that
 nothing marks.  Pages without both kinds leave it at ``PLAIN``.
 
-The flow runs on runs of neighbouring blocks that share costs and parent, so
-its graph grows with the page's structure, not its length.  One narrow pass over
+Every block is a node.  Blocks whose cost is at least what all their edges can
+carry are decided at once, and then those whose neighbours leave them no choice,
+so the flow runs on the few undecided ones.  The labelling is the minimum cut.  One narrow pass over
 the pages; a task holds one batch.
 
 Defined results: a null html is empty; a page without content has the empty text
@@ -338,24 +339,40 @@ def source_side(n: int, edges: list[tuple[int, int, int, int]], s: int, t: int)
 
 def label_blocks(costs: list[float], parents: list[int]) -> list[bool]:
     """Content or not, from log-odds and parent elements, by a minimum cut."""
-    runs: list[list] = []  # [sum of costs, parent, blocks]: neighbours of one parent whose costs agree in sign
-    for z, p in zip(costs, parents):
-        if runs and runs[-1][1] == p and (runs[-1][0] >= 0) == (z >= 0):
-            runs[-1][0] += z
-            runs[-1][2] += 1
-        else:
-            runs.append([z, p, 1])
-    hubs = {p: len(runs) + i for i, p in enumerate(dict.fromkeys(r[1] for r in runs))}
-    s = len(runs) + len(hubs)
-    edges = []
-    for i, (z, p, _) in enumerate(runs):
-        c = round(abs(z) * SCALE)
-        edges.append((s, i, c, 0) if z >= 0 else (i, s + 1, c, 0))
-        edges.append((i, hubs[p], round(SIBLING * SCALE), round(SIBLING * SCALE)))
-        if i:
-            edges.append((i - 1, i, round(NEIGHBOUR * SCALE), round(NEIGHBOUR * SCALE)))
-    content = source_side(s + 2, edges, s, s + 1)
-    return [i in content for i, r in enumerate(runs) for _ in range(r[2])]
+    n = len(costs)
+    hubs = {p: n + i for i, p in enumerate(dict.fromkeys(parents))}
+    gain = [round(z * SCALE) for z in costs] + [0] * len(hubs)
+    near, near_by = round(NEIGHBOUR * SCALE), round(SIBLING * SCALE)
+    edges = [(i - 1, i, near) for i in range(1, n)] + [(i, hubs[p], near_by) for i, p in enumerate(parents)]
+    out: list[list[tuple[int, int]]] = [[] for _ in gain]
+    left = [0] * len(gain)
+    for a, b, c in edges:
+        for x, y in ((a, b), (b, a)):
+            out[x].append((y, c))
+            left[x] += c
+    # a node whose gain outweighs its edges to undecided nodes is decided and adds to its neighbours' gains;
+    # a tie is not content, as on the source side of the smallest minimum cut
+    side: list[bool | None] = [None] * len(gain)
+    queue = deque(range(len(gain)))
+    while queue:
+        x = queue.popleft()
+        if side[x] is not None or -left[x] < gain[x] <= left[x]:
+            continue
+        side[x] = gain[x] > left[x]
+        for y, c in out[x]:
+            if side[y] is None:
+                gain[y] += c if side[x] else -c
+                left[y] -= c
+                queue.append(y)
+    place = {x: i for i, x in enumerate(x for x, on in enumerate(side) if on is None)}
+    if place:
+        s = len(place)
+        flow = [(s, i, gain[x], 0) if gain[x] >= 0 else (i, s + 1, -gain[x], 0) for x, i in place.items()]
+        flow += [(place[a], place[b], c, c) for a, b, c in edges if a in place and b in place]
+        content = source_side(s + 2, flow, s, s + 1)
+        for x, i in place.items():
+            side[x] = i in content
+    return [bool(on) for on in side[:n]]
 
 
 def main_text(html: str, weights=PLAIN) -> str:

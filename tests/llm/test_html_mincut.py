@@ -109,3 +109,24 @@ def test_marked_parts_stay_out():
     assert m.main_text(f"<article>{PARAS}</article><section id=comments><article class=comment><p>{TEXT[0]}</p></article>"
                        "</section><aside><article><p>Read also this story.</p></article></aside>") == want
     assert m.main_text(f"<nav>{MENU}</nav><div class='main-menu'>{MENU}</div>") == ""
+
+
+def test_cut_is_minimal_with_runs():
+    rng = random.Random(8)
+    for _ in range(120):
+        n = rng.randint(1, 8)
+        costs = [rng.choice([-0.3, 0.3, rng.uniform(-2, 2), rng.uniform(-0.5, 0.5)]) for _ in range(n)]
+        parents = [rng.randrange(2) for _ in range(n)] if rng.random() < 0.6 else [0] * n
+        labels = m.label_blocks(costs, parents)
+        assert cost_of(labels, costs, parents) == brute_cut(costs, parents)
+    assert m.label_blocks([3.0] * 4 + [-0.3] * 6 + [3.0] * 4, [0] * 14) == [True] * 14
+
+
+def test_many_undecided_blocks():
+    """Long pages of blocks that nothing decides at once stay fast."""
+    import time
+    rng = random.Random(9)
+    for parents in ([0] * 20_000, [i // 7 for i in range(20_000)], list(range(20_000))):
+        start = time.time()
+        m.label_blocks([rng.uniform(-1.5, 1.5) for _ in parents], parents)
+        assert time.time() - start < 20
