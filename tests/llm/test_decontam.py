@@ -89,3 +89,16 @@ def test_odd_rows(spark, odd_docs):
     assert dc.keep_clean(odd_docs, bench).columns == odd_docs.columns
     assert dc.decontaminate(odd_docs.limit(0), bench).count() == 0
     assert dc.decontaminate(odd_docs, bench.limit(0)).filter(F.col("contaminated")).count() == 0
+
+
+def test_short_items_at_the_threshold(spark):
+    """Items of five shingles of which the text's end leaves four: similarity 0.8, and fingerprints far apart."""
+    import random
+    rng = random.Random(3)
+    items = [(i, " ".join(f"w{rng.getrandbits(40)}" for _ in range(9))) for i in range(600)]
+    docs = spark.createDataFrame([(i, " ".join(t.split()[:8])) for i, t in items], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in dc.decontaminate(docs, bench).collect()}
+    assert got == {i: [i] for i, _ in items}
+    narrow = dc.decontaminate(docs, bench, radius=19).filter("contaminated").count()
+    assert narrow < len(items)
