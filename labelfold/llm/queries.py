@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from labelfold.llm.decontam import DECONTAM_SQL, decontaminate
 from labelfold.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from labelfold.llm.filter_audit import FILTER_AUDIT_SQL, audit_filters
 from labelfold.llm.html_mincut import extract_text
 from labelfold.llm.mixing import mix_sources
 from labelfold.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mixing": lambda spark, d: mix_sources(read(spark, d, "documents")),
     "op9_url_filter": lambda spark, d: filter_urls(read(spark, d, "pages")),
     "op10_html_text": lambda spark, d: extract_text(read(spark, d, "pages")),
+    "op13_filter_audit": lambda spark, d: audit_filters(read(spark, d, "documents"), read(spark, d, "labels")),
 }
 
 ORACLE = {
@@ -33,4 +35,5 @@ ORACLE = {
     "op6_exact_dedup": EXACT_DEDUP_SQL,
     "op7_warc": WARC_SQL,
     "op9_url_filter": URL_FILTER_SQL,
+    "op13_filter_audit": FILTER_AUDIT_SQL,
 }
