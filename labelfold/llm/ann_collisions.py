@@ -14,9 +14,11 @@ distance is one that the window finds with probability ``FIND``, or they hold th
 block.  The directions are orthonormal, so counts scatter less than the binomial that
 the bound uses: recall lies above ``FIND``.
 
-Index: vectors are range-partitioned by a bit-interleaved key of their first four
-numbers, so blocks hold neighbouring vectors, and every block of at most ``BLOCK``
-rows is one row of the written index table.  First every query searches its own block;
+Index: vectors get one of 65 536 cells, the interleaved bits of their first four numbers.
+Cells in order are cut into blocks by their running count, and a cell too large for one
+block is dealt into several by the id's hash, so blocks hold neighbouring vectors and
+their number follows the rows alone.  Every block of at most ``BLOCK`` rows is one row of
+the written index table.  First every query searches its own block;
 its k-th distance there bounds the search of the others.  A block is skipped, without
 loss, when too few of its arrays reach into the query's final windows for anything in
 it to collide often enough.  The task of a block streams the written queries past it;
@@ -40,7 +42,6 @@ from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from labelfold.llm.common import through_table
 from labelfold.llm.shards import record_batches
@@ -227,33 +228,48 @@ def _with_cells(d: int, top: float):
 BLOCK_SCHEMA = "block string, ids binary, vectors binary, sorted binary, numbers binary"
 
 
+def block_names(placed: DataFrame, rows: int) -> DataFrame:
+    """(id, v, block) with blocks of about rows / 2 vectors; the counted cells are 65 536 rows at most."""
+    half = max(rows // 2, 1)
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    cells = (cells.withColumn("start", F.sum("n").over(Window.orderBy("cell")) - F.col("n"))
+             .withColumn("parts", F.ceil(F.col("n") / half)))
+    name = F.when(F.col("parts") == 1, F.concat(F.lit("r"), F.floor(F.col("start") / half))).otherwise(
+        F.concat_ws("-", F.lit("c"), "cell", F.pmod(F.xxhash64("id"), F.col("parts"))))
+    return placed.join(F.broadcast(cells), "cell").select("id", "v", name.alias("block"))
+
+
 def _build_blocks(d: int, top: float, rows: int):
-    """Vectors of a partition -> index rows of at most ``rows`` vectors."""
+    """Vectors sorted by block -> index rows of at most ``rows`` vectors."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
-
-        part, made, ids, vectors = TaskContext.get().partitionId(), 0, [], []
 
-        def row():
-            b = Block(np.concatenate(ids), np.concatenate(vectors), top)
+        def row(name, made, held):
+            b = Block(np.concatenate([p[0] for p in held]), np.concatenate([p[1] for p in held]), top)
             cells = [b.ids.tobytes(), b.vectors.tobytes(), b.order.tobytes(), b.values.tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([f"{part}-{made}"]), *[pa.array([c], pa.binary()) for c in cells]],
+            return pa.RecordBatch.from_arrays([pa.array([f"{name}-{made}"]), *[pa.array([c], pa.binary()) for c in cells]],
                                               names=["block", "ids", "vectors", "sorted", "numbers"])
 
-        held = 0
+        name, made, held, n = None, 0, [], 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                piece = batch.slice(lo, 1024)
-                ids.append(piece.column(0).to_numpy())
-                vectors.append(piece.column(1).flatten().to_numpy().reshape(-1, d))
-                held += piece.num_rows
-                if held + 1024 > rows:
-                    yield row()
-                    made, ids, vectors, held = made + 1, [], [], 0
-        if held:
-            yield row()
+            names = batch.column(2).to_numpy(zero_copy_only=False)
+            ids, vectors = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(-1, d)
+            cuts = np.flatnonzero(names[1:] != names[:-1]) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(names)]):
+                if hi > lo and names[lo] != name:
+                    if n:
+                        yield row(name, made, held)
+                    name, made, held, n = names[lo], 0, [], 0
+                while lo < hi:
+                    end = min(hi, lo + rows - n)
+                    held.append((ids[lo:end], vectors[lo:end]))
+                    n, lo = n + end - lo, end
+                    if n == rows:
+                        yield row(name, made, held)
+                        made, held, n = made + 1, [], 0
+        if n:
+            yield row(name, made, held)
     return run
 
 
@@ -338,8 +354,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     d, top = facts["d"], facts["top"] ** 0.5
     placed = through_table(own.mapInArrow(_with_cells(d, top), "id long, v array<double>, cell long"), "vectors")
     index = through_table(
-        placed.withColumn("h", F.xxhash64("id")).repartitionByRange(-(-facts["n"] // (block // 2 + 1)), "cell", "h")
-        .select("id", "v").mapInArrow(_build_blocks(d, top, block), T._parse_datatype_string(BLOCK_SCHEMA)), "ann-index")
+        block_names(placed, block).repartition(1 + 2 * facts["n"] // block, "block").sortWithinPartitions("block")
+        .mapInArrow(_build_blocks(d, top, block), BLOCK_SCHEMA), "ann-index")
     queries = through_table(index.mapInArrow(_search_home(d, top, query_step, k), QUERY_SCHEMA), "ann-queries")
     near = queries.select("home", "row", "query_id", F.inline(F.arrays_zip("near", "near_scores")).alias("vec_id", "score"))
     where = queries.inputFiles()
