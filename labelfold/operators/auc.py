@@ -2,33 +2,29 @@
 
 AUC_k = sum over positive cells of  P(neg score < p) + 1/2 P(neg score = p).
 
-A window ``partitionBy(label).orderBy(score)`` would put a whole label (a
-tenth of all cells, or far more with few labels) into one task, and any
+A window ``partitionBy(label).orderBy(score)`` over the rows would put a whole
+label (a tenth of all cells, or far more with few labels) into one task, and any
 fixed score bucket does the same when scores cluster (a confident model puts
-most negatives below 0.001).  Instead:
-
-1. Every cell is (label, score, pos, neg); each Arrow batch of cells is combined
-   on (label, score) before it leaves its task, so repeated scores shrink there
-   and nearly unique ones cost one pass.
-2. ONE exchange: ``repartitionByRange(label, score)`` + ``sortWithinPartitions``.
-   Spark samples the keys, so partitions are balanced whatever the score
-   distribution, equal keys meet, and partition i holds keys below those of
-   partition i+1.
-3. Each partition merges equal neighbours and emits one summary row per label:
-   positives, negatives, those above the threshold, and
-   s2 = sum(pos * (2 * neg_below_in_partition + neg)), from a running sum over
-   its sorted rows (numpy inside ``mapInPandas``; state is one counter per label
-   and one open key, batches stream through).
-4. The summary table (#partitions x labels rows) gives each partition the
-   negatives of the earlier partitions of its label with a small window, and
-   sum(pos * (offset + below)) = offset * pos_partition + sum(pos * below), so
-   no row is ever joined back.
+most negatives below 0.001).  Instead, in two levels and inside the JVM:
+
+1. ``groupBy(label, score)`` counts positives and negatives, combined in the scan
+   tasks, so a repeated score is one row per task whatever share of the rows it
+   holds.  The counts are written once into the shared folder: the input is read
+   once, and nothing later grows with anything but the distinct scores.
+2. Scores of a label are cut into buckets of about ``BUCKET_ROWS`` distinct scores
+   at quantiles of a mergeable sketch over the counts (at most ``MAX_BUCKETS`` a
+   label, so the cut table stays small).  A score finds its bucket by binary search.
+3. A window per (label, bucket) gives each score the negatives below it in its
+   bucket; each bucket becomes one row: positives, negatives, those above the
+   threshold, and sum(pos * (2 * neg_below_in_bucket + neg)).
+4. Over those few rows a window adds the negatives of the earlier buckets, and
+   sum(pos * (offset + below)) = offset * pos_bucket + sum(pos * below), so no row is
+   ever joined back.
 
 The same table holds the confusion counts at a threshold and, under label -1,
 the exact-match count, so reports that need both read the data once.
 
-Counts are int64; s2 is exact (sums of 31-bit words) and leaves
-the tasks as DECIMAL(38,0), so the result equals the
+Counts are int64; the weighted sums are DECIMAL(38,0), so the result equals the
 single-window rank-sum form even when one score holds a third of all rows.
 """
 
@@ -39,91 +35,12 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext as X
 from ..functions.labels import per_label
+from ..session import scratch_path
 from .frame import EvalFrame
 
-CELL_SCHEMA = "label_idx int, p double, pos long, neg long"
-SUMMARY_SCHEMA = "part int, label_idx int, pos long, neg long, tp long, fp long, s2 decimal(38,0)"
 EXACT = -1  # the label under which rows are counted as exact matches (pos) or not (neg)
-
-
-def _weighted_sum(p, w) -> int:
-    """sum(p * w) exactly for non-negative int64 arrays.
-
-    Each factor is cut into 31-bit words, so every product fits 62 bits, and a
-    product into two 31-bit halves, so their sums fit int64 for 2**32 rows."""
-    import numpy as np
-
-    low = np.int64((1 << 31) - 1)
-    total = 0
-    for i in range(3):
-        for j in range(3):
-            prod = ((p >> np.int64(31 * i)) & low) * ((w >> np.int64(31 * j)) & low)
-            part = int((prod & low).sum()) + (int((prod >> np.int64(31)).sum()) << 31)
-            total += part << (31 * (i + j))
-    return total
-
-
-def _merged(labels, p, pos, neg):
-    """Sorted by (label, score) in, one row per key out."""
-    import numpy as np
-
-    first = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (p[1:] != p[:-1])])
-    return labels[first], p[first], np.add.reduceat(pos, first), np.add.reduceat(neg, first)
-
-
-def _combine(batches):
-    """Cells of one Arrow batch, combined on (label, score)."""
-    import numpy as np
-    import pandas as pd
-
-    for pdf in batches:
-        if len(pdf):
-            cols = [pdf[c].to_numpy() for c in ("label_idx", "p", "pos", "neg")]
-            order = np.lexsort((cols[1], cols[0]))
-            yield pd.DataFrame(dict(zip(("label_idx", "p", "pos", "neg"), _merged(*(c[order] for c in cols)))))
-
-
-def _partition_summaries(ts: list, op: str):
-    """Per partition of (label_idx, p, pos, neg) sorted by (label_idx, p): one
-    summary row per label."""
-    def run(batches):
-        from decimal import Decimal
-
-        import numpy as np
-        import pandas as pd
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        totals = {}  # label -> [pos, neg, tp, fp, s2]; negatives seen so far = neg
-        limits = np.array(ts + [np.inf])  # the last for label -1
-
-        def add(labels, p, pos, neg):
-            hit = (p > limits[labels]) if op == "gt" else (p >= limits[labels])
-            cuts = np.flatnonzero(np.diff(labels)) + 1  # labels are contiguous in sorted rows
-            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(labels)]):
-                acc = totals.setdefault(int(labels[lo]), [0, 0, 0, 0, 0])
-                n, q, h = neg[lo:hi], pos[lo:hi], hit[lo:hi]
-                below = np.cumsum(n) - n + acc[1]  # counts stay far below 2**62
-                acc[4] += _weighted_sum(q, 2 * below + n)
-                for i, v in enumerate((q, n, q[h], n[h])):
-                    acc[i] += int(v.sum())
-
-        held = None  # the last key of a batch may go on in the next one
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            cols = [pdf[c].to_numpy() for c in ("label_idx", "p", "pos", "neg")]
-            if held is not None:
-                cols = [np.concatenate(x) for x in zip(held, cols)]
-            rows = _merged(*cols)
-            held = tuple(x[-1:] for x in rows)
-            if len(rows[0]) > 1:
-                add(*(x[:-1] for x in rows))
-        if held is not None:
-            add(*held)
-        rows = [(part, lab, *v[:4], Decimal(v[4])) for lab, v in sorted(totals.items())]
-        yield pd.DataFrame(rows, columns=["part", "label_idx", "pos", "neg", "tp", "fp", "s2"])
-    return run
+#: Distinct scores of a bucket, and buckets of a label at most (beyond them buckets grow and spill).
+BUCKET_ROWS, MAX_BUCKETS = 250_000, 4096
 
 
 def label_sums(ef: EvalFrame, t=0.5, op: str = "gt", partitions: int | None = None,
@@ -131,36 +48,70 @@ def label_sums(ef: EvalFrame, t=0.5, op: str = "gt", partitions: int | None = No
     """(label_idx, n_pos, n_neg, tp, fp, s2), s2 = 2 * sum(pos * (neg_below + neg/2)).
 
     With ``exact``, label -1 counts rows whose predicted and true vectors agree
-    (n_pos) or not (n_neg).  ``partitions`` is the number of range partitions
-    (default: the session's shuffle partitions; AQE may merge small neighbours,
-    which keeps order)."""
+    (n_pos) or not (n_neg).  ``partitions`` is the number of buckets of a label (default:
+    by the distinct scores)."""
     ef.require_truth()
     if op not in ("gt", "ge"):
         raise ValueError(f"op must be 'gt' or 'ge', not {op!r}")
     ts = per_label(t, ef.k)
-    y = [X.elem("y_true", i) for i in range(ef.k)]
-    cells = [X.named_struct([("label_idx", X.lit(i)), ("p", X.score_or_lowest(X.elem("score", i))),
-                             ("pos", f"CAST({y[i]} AS BIGINT)"), ("neg", f"CAST(1 - {y[i]} AS BIGINT)")])
-             for i in range(ef.k)]
+    cells = truth_cells(ef)
     if exact:
+        y = [X.elem("y_true", i) for i in range(ef.k)]
         same = X.all_of([f"{X.as_int(X.above(X.elem('score', i), ts[i], op))} = {y[i]}" for i in range(ef.k)])
         cells.append(X.named_struct([("label_idx", X.lit(EXACT)), ("p", "0.0D"), ("pos", f"CAST({same} AS BIGINT)"),
                                      ("neg", f"CAST(NOT {same} AS BIGINT)")]))
-    return sums_of_cells(ef.df.select(X.inline_rows(cells)).mapInPandas(_combine, CELL_SCHEMA), ts, op, partitions)
+    return sums_of_cells(ef.df.select(X.inline_rows(cells)), ts, op, partitions)
+
+
+def truth_cells(ef: EvalFrame) -> list[str]:
+    """SQL text of a row's (label_idx, p, pos, neg) structs, one per label."""
+    y = [X.elem("y_true", i) for i in range(ef.k)]
+    return [X.named_struct([("label_idx", X.lit(i)), ("p", X.score_or_lowest(X.elem("score", i))),
+                            ("pos", f"CAST({y[i]} AS BIGINT)"), ("neg", f"CAST(1 - {y[i]} AS BIGINT)")])
+            for i in range(ef.k)]
+
+
+def written_counts(cells: DataFrame) -> DataFrame:
+    """(label_idx, p, pos, neg), one row per label and distinct score, from the shared folder."""
+    spark = cells.sparkSession
+    path = scratch_path(spark, "score-counts")
+    cells.groupBy("label_idx", "p").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).write.parquet(path)
+    return spark.read.schema("label_idx int, p double, pos long, neg long").parquet(path)
+
+
+def with_buckets(counts: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The counts with the bucket of every score: the number of its label's cuts below it."""
+    if buckets is None:
+        buckets = min(MAX_BUCKETS, 1 + counts.count() // BUCKET_ROWS)
+    if buckets <= 1:
+        return counts.withColumn("bucket", F.lit(0))
+    steps = [1 << b for b in reversed(range((buckets - 1).bit_length()))]
+    wanted = ", ".join(X.lit(i / buckets) for i in range(1, buckets))
+    # per label at most MAX_BUCKETS cuts, filled up to a power of two for the binary search
+    cuts = counts.groupBy("label_idx").agg(F.expr(
+        f"concat(approx_percentile(p, array({wanted}), {max(10_000, 20 * buckets)}), "
+        f"array_repeat(CAST('Infinity' AS DOUBLE), {2 * steps[0] - buckets}))").alias("cuts"))
+    find = (f"aggregate(array({', '.join(map(str, steps))}), 0, "
+            "(at, step) -> at + CASE WHEN cuts[at + step - 1] < p THEN step ELSE 0 END)")
+    return counts.join(F.broadcast(cuts), "label_idx").withColumn("bucket", F.expr(find)).drop("cuts")
 
 
 def sums_of_cells(cells: DataFrame, ts: list, op: str = "gt", partitions: int | None = None) -> DataFrame:
     """``label_sums`` of (label_idx, p, pos, neg) rows, of which several may share a key."""
-    ranged = (cells.repartitionByRange(partitions, "label_idx", "p") if partitions
-              else cells.repartitionByRange("label_idx", "p"))
-    summaries = ranged.sortWithinPartitions("label_idx", "p").mapInPandas(
-        _partition_summaries(ts, op), SUMMARY_SCHEMA)
-    w_off = (Window.partitionBy("label_idx").orderBy("part")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    summaries = summaries.withColumn("off", F.coalesce(F.sum("neg").over(w_off), F.lit(0)))
-    return summaries.groupBy("label_idx").agg(
+    limit = X.array_of([X.lit(float(t)) for t in ts])
+    hit = f"(label_idx >= 0 AND p {'>' if op == 'gt' else '>='} {limit}[greatest(label_idx, 0)])"
+    below = Window.partitionBy("label_idx", "bucket").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = with_buckets(written_counts(cells), partitions).withColumn("below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    sums = ranked.groupBy("label_idx", "bucket").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+        F.expr(f"sum(CASE WHEN {hit} THEN pos ELSE 0 END)").alias("tp"),
+        F.expr(f"sum(CASE WHEN {hit} THEN neg ELSE 0 END)").alias("fp"),
+        F.expr("sum(CAST(pos AS DECIMAL(19,0)) * CAST(2 * below + neg AS DECIMAL(19,0)))").alias("s2"))
+    w_off = Window.partitionBy("label_idx").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("off", F.coalesce(F.sum("neg").over(w_off), F.lit(0)))
+    return sums.groupBy("label_idx").agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
-        F.sum(F.col("s2") + F.col("off").cast("decimal(38,0)") * 2 * F.col("pos")).alias("s2"))
+        F.expr("sum(s2 + CAST(2 * off AS DECIMAL(19,0)) * CAST(pos AS DECIMAL(19,0)))").alias("s2"))
 
 
 AUC_SQL = ("CASE WHEN n_pos > 0 AND n_neg > 0 THEN CAST(s2 AS DOUBLE) / "

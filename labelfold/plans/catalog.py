@@ -1203,3 +1203,6 @@ CURVE_STEP = "CAST((event_id - event_id % 5) / 5 AS BIGINT)"
 def q_merged_training_curves(spark, sf):
     h = B.frame_h_events(spark, sf).withColumn("step", F.expr(CURVE_STEP.replace("BIGINT", "bigint")))
     return rn.training_curves(h)
+
+
+from . import catalog_tuning  # noqa: E402,F401

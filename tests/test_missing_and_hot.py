@@ -9,7 +9,7 @@ from labelfold.functions.dictionary import make_dictionary
 from labelfold.operators import analysis as an
 from labelfold.operators import evaluate as ev
 from labelfold.operators import runs as rn
-from labelfold.operators.auc import _weighted_sum, roc_auc
+from labelfold.operators.auc import roc_auc
 from labelfold.operators.frame import EvalFrame
 from labelfold.streaming.history import latest_lists, recent_history
 
@@ -61,13 +61,6 @@ def test_runs_with_missing_values(spark):
     assert {r.run_id: r.best_value for r in rn.best_metric(log, "m", "min").collect()}[1] == 0.4
 
 
-def test_weighted_sum_is_exact():
-    import numpy as np
-    p = np.array([2**45 + 3, 7, 0, 2**62 - 1], dtype=np.int64)
-    w = np.array([2**46 + 1, 2**62 - 5, 9, 2**61 + 11], dtype=np.int64)
-    assert _weighted_sum(p, w) == sum(int(a) * int(b) for a, b in zip(p, w))
-
-
 @pytest.fixture
 def no_broadcast(spark):
     keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
