@@ -112,3 +112,15 @@ def tfidf_cells(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text")
     # one row beside at most ``dim`` rows
     idf = df_of.join(F.broadcast(n)).select("bucket", F.expr("ln((n + 1D) / (df + 1D))").alias("idf"))
     return cells.join(F.broadcast(idf), "bucket").select(key, "bucket", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
+def tfidf_vectors(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text") -> DataFrame:
+    """D2 as sparse rows: (key, indices array<int>, values array<double>), indices ascending.
+
+    The cells of ``tfidf_cells`` gathered per key; a row without tokens has empty arrays."""
+    cells = tfidf_cells(df, key, dim, text)
+    packed = cells.groupBy(key).agg(F.sort_array(F.collect_list(
+        F.struct(F.col("bucket").cast("int").alias("i"), F.col("tfidf").alias("v")))).alias("cells"))
+    empty = F.array().cast("array<struct<i:int,v:double>>")
+    return (df.select(key).join(packed, key, "left").withColumn("cells", F.coalesce("cells", empty))
+            .select(key, F.col("cells.i").alias("indices"), F.col("cells.v").alias("values")))

@@ -27,9 +27,10 @@ def fit_binary_relevance(df: DataFrame, names, features: str = "features", truth
                          max_iter: int = 500, with_auc: bool = False, threads: int = 4):
     """Returns (models by label, summary DataFrame).
 
-    The positive ``reg`` gives every fit a finite optimum, ``tol`` ends it there;
-    a fit that ``max_iter`` cuts off is an error.  The training AUC is another
-    pass over the data, so it is computed only when asked for."""
+    The positive ``reg`` gives every fit a finite optimum, ``tol`` ends it there; a fit
+    that ``max_iter`` cuts off says ``converged = false``.  The training AUC is another
+    pass over the data, so it is computed only when asked for.  Sparse text features
+    need ``solver.fit_heads``, which scales them."""
     from pyspark.ml.classification import LogisticRegression
 
     base = df.select(features, truth).persist()
@@ -44,11 +45,9 @@ def fit_binary_relevance(df: DataFrame, names, features: str = "features", truth
                                 maxIter=max_iter, regParam=reg, tol=tol, standardization=False)
         m = lr.fit(data)
         s = m.summary
-        if s.totalIterations >= max_iter:
-            raise RuntimeError(f"the fit of {name!r} did not converge in {max_iter} iterations")
         hist = s.objectiveHistory
         return name, m, (i, name, w, int(s.totalIterations), float(hist[0]), float(hist[-1]),
-                         float(s.areaUnderROC) if with_auc else None)
+                         float(s.areaUnderROC) if with_auc else None, s.totalIterations < max_iter)
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
@@ -59,7 +58,7 @@ def fit_binary_relevance(df: DataFrame, names, features: str = "features", truth
         T.StructField("label_idx", T.IntegerType()), T.StructField("label", T.StringType()),
         T.StructField("pos_weight", T.DoubleType()), T.StructField("iterations", T.IntegerType()),
         T.StructField("first_objective", T.DoubleType()), T.StructField("final_objective", T.DoubleType()),
-        T.StructField("train_auc", T.DoubleType())])
+        T.StructField("train_auc", T.DoubleType()), T.StructField("converged", T.BooleanType())])
     summary = df.sparkSession.createDataFrame([r[2] for r in results], schema)
     return {r[0]: r[1] for r in results}, summary
 
@@ -69,17 +68,25 @@ def optimality_gap(df: DataFrame, models: dict, names, pos_weights: dict | None
     """The largest absolute gradient entry of each label's regularised weighted
     objective at its fitted model (0 at the optimum), from one pass over the data.
     ``features`` is array<double>."""
-    pw = np.array([float((pos_weights or {}).get(n, 1.0)) for n in names])
     W = np.array([models[n].coefficients.toArray() for n in names])
     b = np.array([models[n].intercept for n in names])
+    return head_gap(df, W, b, "weighted_bce", [float((pos_weights or {}).get(n, 1.0)) for n in names], reg, features, truth)
+
+
+def head_gap(df: DataFrame, W, b, kind: str, pos_weights, reg: float, features: str = "features",
+             truth: str = "y_true") -> list[float]:
+    """``optimality_gap`` of a (K, d) head under any of the losses."""
+    pw = np.array(pos_weights, float)
     k, d = W.shape
-    fn = _partial_gradients(W, b, "weighted_bce", pw, 1.0, 2.0, features, truth)
+    fn = _partial_gradients(W, b, kind, pw, 1.0, 2.0, features, truth)
     sums = df.select(features, truth).mapInPandas(fn, GRAD_SCHEMA).groupBy("idx").agg(F.sum("value").alias("v"))
     v = np.zeros(k * d + k + 2)
     for r in sums.collect():
         v[r["idx"]] = r["v"]
-    pos = df.agg(*[F.sum(F.col(truth)[i]).alias(f"p{i}") for i in range(k)]).first()
-    total = np.array([v[-1] + (pw[i] - 1.0) * pos[i] for i in range(k)])
+    total = np.full(k, v[-1])
+    if kind == "weighted_bce":
+        pos = df.agg(*[F.sum(F.col(truth)[i]).alias(f"p{i}") for i in range(k)]).first()
+        total = np.array([v[-1] + (pw[i] - 1.0) * pos[i] for i in range(k)])
     gW = v[:k * d].reshape(k, d) / total[:, None] + reg * W
     return np.maximum(np.abs(gW).max(axis=1), np.abs(v[k * d:k * d + k] / total)).tolist()
 

@@ -146,9 +146,11 @@ CENTROID_SCALE = 10.0  # logits = 10 * (x . c_k - |c_k|^2 / 2)
 
 
 def feature_dim(df: DataFrame, features: str = "features") -> int:
-    """Length of the feature vectors (all have that of the first)."""
-    first = df.select(F.size(features).alias("d")).filter("d > 0").first()
-    return first.d if first else 0
+    """Length of the feature vectors; vectors of different lengths are an error."""
+    row = df.select(F.size(features).alias("d")).filter("d > 0").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+    if row.lo != row.hi:
+        raise ValueError(f"{features} has vectors of {row.lo} to {row.hi} components")
+    return row.hi or 0
 
 
 def centroid_head(spark: SparkSession, sf_dir: str) -> tuple:
@@ -162,7 +164,7 @@ def centroid_head(spark: SparkSession, sf_dir: str) -> tuple:
     cells = emb.select("label", F.posexplode("embedding").alias("dim", "x"))
     cent = cells.groupBy("label", "dim").agg(F.avg(F.col("x").cast("double")).alias("w"))
     k = v_dictionary().k  # one head per class of the V dictionary
-    # the first vector's length bounds what is fetched: K x d numbers, as a model's
+    # the vectors' length bounds what is fetched: K x d numbers, as a model's
     d = feature_dim(emb, "embedding")
     rows = cent.filter((F.col("label") >= 0) & (F.col("label") < k) & (F.col("dim") < d)).collect()
     w = [[0.0] * d for _ in range(k)]

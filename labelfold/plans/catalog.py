@@ -700,21 +700,6 @@ def q_fit_binary_relevance(spark, sf):
     return summary.select("label_idx", "label", "pos_weight", F.get(good, F.col("label_idx")).alias("at_optimum"))
 
 
-@register("fit_text_labels",
-          f"WITH {D_SQL}, n AS (SELECT split, count(*) AS n, sum(quality) AS q, sum(toxic) AS x FROM d WHERE "
-          "split = 'train' GROUP BY 1) SELECT 0 AS label_idx, 'quality' AS label, true AS improved, true AS converged "
-          "FROM n UNION ALL SELECT 1, 'toxic', true, true FROM n")
-def q_fit_text_labels(spark, sf):
-    """The same fits on hashed TF-IDF of the labelled texts, weights from the train split."""
-    d = B.frame_d(spark, sf)
-    weights = {r["label"]: r["pos_weight"] for r in cp.class_weights(d, B.d_dictionary(), "neg_pos").collect()}
-    train = d.filter(F.col("split") == "train").select(F.array("quality", "toxic").alias("y_true"), "text")
-    feats, _ = ft.text_features(train)
-    _, summary = fit_ops.fit_binary_relevance(feats, D_NAMES, pos_weights=weights, reg=0.01, tol=1e-5)
-    return summary.select("label_idx", "label", (F.col("final_objective") < F.col("first_objective")).alias("improved"),
-                          (F.col("iterations") < 500).alias("converged"))
-
-
 FOCAL_LR, FOCAL_EPOCHS, FIT_ROUND = 2.0, 3, 9
 
 
@@ -1205,4 +1190,4 @@ def q_merged_training_curves(spark, sf):
     return rn.training_curves(h)
 
 
-from . import catalog_tuning  # noqa: E402,F401
+from . import catalog_fits, catalog_tuning  # noqa: E402,F401
