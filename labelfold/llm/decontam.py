@@ -4,41 +4,52 @@ Words are runs of letters and digits, lower-cased; a shingle is a run of five
 words.  For every benchmark item, windows of the item's size are laid over each
 document wherever one of its shingles would line up with the same shingle of
 some item; no other window can share enough with an item.  Each window and each
-item gets a 64-bit SimHash of its weighted shingles (weight: how often it
-occurs).  Fingerprints are cut into ``RADIUS + 1`` blocks: two within the radius
-agree in one block at least, so joining on (size, block, value) finds them all.
-Candidates within the radius are verified by the exact weighted Jaccard
-similarity of the shingles: ``threshold`` or more is contamination.
-
-Everything runs as SQL expressions.  Documents are never shuffled: a document's
-shingle hashes meet the item shingles by a broadcast join of checked size (a
-larger benchmark is taken in several parts of that size), and only the windows
-found carry their shingles on.  A passage that a third of all documents share is
-as many narrow rows.
+item gets a 256-bit SimHash of its weighted shingles (weight: how often it
+occurs).  A window meets an item of its size within Hamming distance ``RADIUS``,
+and the pairs are verified by the exact weighted Jaccard similarity of the
+shingles: ``threshold`` or more is contamination.
+
+The index that brings a window to its items is not one of Hamming blocks.  At
+similarity 0.8 a bit differs with probability 0.15 to 0.19 and the radius must be a
+quarter to a third of the bits, and for such a radius blocks that guarantee it do not
+select (figures in README.md).  It is a guarantee of another kind: a window that has
+the threshold's share of an item misses at most (1 - threshold) of the item's
+shingles, so it holds one of any larger choice of them.  Chosen are those that the
+fewest items hold, and a document's windows meet only the items of which the document
+holds a chosen shingle.  No pair above the threshold is missed by it, and unrelated
+items of one size never meet.
+
+Everything runs as SQL expressions.  Documents are read once; their shingle hashes
+meet the item shingles by a broadcast join of checked size, and only the windows found
+carry their shingles on.  With a larger benchmark (place, shingle) rows meet the item
+shingles by a shuffle join on the shingle instead, and the texts that hold one are read
+once more to cut the windows, however many shingles the benchmark has.  A passage that a
+third of all documents share is as many narrow rows.
 
 Defined results: null texts and texts of fewer than five words have no shingles
 and are clean; an item of fewer than five words matches nothing; a null id is a
 document like any other; rows that repeat id and text are judged alike, rows that
 repeat the id alone by their own texts; equal items are each reported; an item
-with a null id taints but is not listed; empty tables give clean documents or
-none; other columns are never read.
+with a null id taints but is not listed; a similarity of just the threshold counts;
+one very long text gives as many windows as it has shared shingles; empty tables give
+clean documents or none; other columns are never read.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelfold.llm.common import text_of, through_table
 
 WORDS, THRESHOLD = 5, Fraction(4, 5)
-#: Hamming radius.  At similarity 0.8 a bit differs with probability 0.15 among many shingles and 0.19 where
-#: 4 of 5 are left: 9.7 and 12 bits on average, and radius 28 loses about 1e-8 and 1e-6 of such windows
-#: (at most 3e-4, where two repeated shingles make the fingerprint).
-RADIUS = 28
-#: Item shingles broadcast at once (about 40 bytes each).
+#: Words of the fingerprint, and the Hamming radius.  At similarity 0.8 a bit differs with probability 0.15 among
+#: many shingles and 0.19 where 4 of 5 are left: 39 and 49 of 256 bits on average, 8 and 6 deviations below the
+#: radius.  Unrelated fingerprints differ in 128 bits, 5 deviations above it (3e-7 of them come within).
+PRINT_WORDS, RADIUS = 4, 88
+#: Item shingles broadcast at most (about 60 bytes each).
 BROADCAST_ROWS = 500_000
 
 
@@ -61,19 +72,29 @@ def shingles(hashes: str) -> Column:
 
 
 def simhash(hashes: str) -> Column:
-    """64-bit SimHash of an array of shingle hashes, repeats weighing more."""
-    return F.expr(f"""aggregate(transform(sequence(0, 63), b ->
-        if(aggregate({hashes}, 0, (n, x) -> n + if((shiftright(x, b) & 1L) = 1L, 1, -1)) > 0,
-           shiftleft(1L, b), 0L)), 0L, (a, x) -> a | x)""")
+    """SimHash of an array of shingle hashes as PRINT_WORDS longs, repeats weighing more."""
+    words = [f"""aggregate(transform(sequence(0, 63), b ->
+        if(aggregate(w{k}, 0, (n, x) -> n + if((shiftright(x, b) & 1L) = 1L, 1, -1)) > 0,
+           shiftleft(1L, b), 0L)), 0L, (a, x) -> a | x)""" for k in range(PRINT_WORDS)]
+    mixed = [f"transform({hashes}, x -> {'x' if k == 0 else f'xxhash64(x, {k})'})" for k in range(PRINT_WORDS)]
+    for k in range(PRINT_WORDS):  # each word's hashes are made once, as the only element of an array
+        words[k] = f"transform(array({mixed[k]}), w{k} -> {words[k]})[0]"
+    return F.expr(f"array({', '.join(words)})")
 
 
-def hamming_blocks(fingerprint: str, radius: int = RADIUS) -> Column:
-    """The 64 bits cut into radius + 1 blocks of near-equal width."""
-    n, cuts = radius + 1, []
-    for i in range(n):
-        begin, end = 64 * i // n, 64 * (i + 1) // n
-        cuts.append(f"shiftrightunsigned({fingerprint}, {begin}) & {(1 << (end - begin)) - 1}L")
-    return F.expr(f"array({', '.join(cuts)})")
+def hamming(a: str, b: str) -> Column:
+    """Bits in which two fingerprints differ."""
+    return F.expr(" + ".join(f"bit_count({a}[{k}] ^ {b}[{k}])" for k in range(PRINT_WORDS)))
+
+
+def chosen_shingles(items: DataFrame, threshold: Fraction) -> DataFrame:
+    """(gram, size, item_no): of every item the shingles that the fewest items hold, one more than it may miss."""
+    each = items.select("item_no", "size", F.explode("grams").alias("gram"))
+    held = each.groupBy("gram").agg(F.countDistinct("item_no").alias("held"))
+    ranked = each.join(held, "gram").withColumn(
+        "r", F.row_number().over(Window.partitionBy("item_no").orderBy("held", "gram")))
+    may_miss = F.floor(F.col("size") * (threshold.denominator - threshold.numerator) / threshold.denominator)
+    return ranked.filter(F.col("r") <= may_miss + 1).select("gram", "size", "item_no").distinct()
 
 
 def shared_weight(a: str, b: str) -> Column:
@@ -85,45 +106,64 @@ def shared_weight(a: str, b: str) -> Column:
           n + least(size(filter({a}, x -> x = g)), size(filter({b}, x -> x = g)))) END""")
 
 
+def item_table(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(item_no, item, item_key, grams, size, print) of the items with a shingle, written."""
+    return through_table(
+        benchmark.select(F.col(item_col).alias("item"), text_of(item_text_col).alias("text"))
+        .select("item", F.unhex(F.md5("text")).alias("item_key"), word_hashes("text").alias("hashes"))
+        .select("item", "item_key", shingles("hashes").alias("grams")).filter("size(grams) > 0")
+        .withColumn("size", F.size("grams")).withColumn("print", simhash("grams"))
+        .withColumn("item_no", F.monotonically_increasing_id()), "items")
+
+
+def find_windows(docs: DataFrame, items: DataFrame, threshold: Fraction, broadcast_rows: int) -> DataFrame:
+    """(id, th, size, begin, own, print, linked): item-sized windows, and the items that their document may hold."""
+    # every (gram, size, place) once; the items that chose a gram stand at one of its places
+    seeds = items.select("size", F.posexplode("grams").alias("at", "gram")).distinct()
+    links = chosen_shingles(items, threshold).groupBy("gram", "size").agg(F.collect_set("item_no").alias("linked"))
+    first = seeds.groupBy("gram", "size").agg(F.min("at").alias("at")).join(links, ["gram", "size"])
+    seeds = through_table(seeds.join(first, ["gram", "size", "at"], "left"), "seeds")
+
+    d = docs.select("id", "th", word_hashes("text").alias("hashes"))
+    # every place is made and hashed in one stage of generated code; only hits become rows
+    placed = d.select("id", "th", "hashes", F.posexplode_outer("hashes").alias("pos", "word")).withColumn(
+        "gram", shingle_at(F.col("hashes"), F.col("pos")))
+    start = (F.col("pos") - F.col("at")).alias("start")
+    near = F.expr("slice(hashes, greatest(start, 0) + 1, least(start, 0) + size + 4)").alias("near")
+    if seeds.count() <= broadcast_rows:
+        found = (placed.join(F.broadcast(seeds), "gram").select("id", "th", "size", start, "hashes", "linked")
+                 .select("id", "th", "size", "start", "linked", near))
+    else:
+        hits = (placed.filter("gram IS NOT NULL").select("id", "th", "pos", "gram").join(seeds, "gram")
+                .select("id", "th", "size", start, "linked").groupBy("id", "th", "size", "start")
+                .agg(F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked")))
+        found = (hits.withColumnsRenamed({"id": "hid", "th": "hth"})
+                 .join(d.dropDuplicates(["id", "th"]), F.expr("hid <=> id AND hth = th"))
+                 .select("id", "th", "size", "start", "linked", near))
+    windows = through_table(
+        found.groupBy("id", "th", "size", "start").agg(
+            F.first("near").alias("near"), F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked"))
+        .select("id", "th", "size", F.greatest("start", F.lit(0)).alias("begin"), shingles("near").alias("own"), "linked")
+        .withColumn("print", simhash("own")), "windows")
+    return windows
+
+
+def meeting_pairs(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows with the items of their size that their document is linked to."""
+    linked = windows.select("id", "th", "size", F.explode("linked").alias("item_no")).distinct()
+    linked = linked.withColumnsRenamed({"id": "lid", "th": "lth", "size": "lsize"})
+    met = (windows.drop("linked").join(linked, F.expr("id <=> lid AND th = lth AND size = lsize")).drop("lid", "lth", "lsize"))
+    return met.join(items.withColumnRenamed("print", "item_print").drop("size"), "item_no")
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               item_col: str = "item_id", item_text_col: str = "text", threshold: Fraction = THRESHOLD,
               radius: int = RADIUS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Verified windows: id, th (128-bit hash of the text), item, item_key, begin (word), words, similarity."""
-    items = through_table(
-        benchmark.select(F.col(item_col).alias("item"), text_of(item_text_col).alias("text"))
-        .select("item", F.unhex(F.md5("text")).alias("item_key"), word_hashes("text").alias("hashes"))
-        .select("item", "item_key", shingles("hashes").alias("grams")).filter("size(grams) > 0").withColumn("size", F.size("grams"))
-        .withColumn("print", simhash("grams")), "items")
-    seeds = items.select("size", F.posexplode("grams").alias("at", "gram")).distinct()
-    n_seeds = seeds.count()
-    parts = max(1, -(-n_seeds // broadcast_rows))
-
-    d = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("th"),
-                    word_hashes(text_col).alias("hashes"))
-    # every place is made, hashed and looked up in one stage of generated code; only hits become rows
-    placed = (d.select("id", "th", "hashes", F.posexplode_outer("hashes").alias("pos", "word"))
-              .withColumn("gram", shingle_at(F.col("hashes"), F.col("pos"))))
-    found = None
-    for k in range(parts):
-        part = seeds if parts == 1 else seeds.filter(F.pmod(F.xxhash64("gram"), F.lit(parts)) == k)
-        met = (placed.join(F.broadcast(part), "gram")
-               .select("id", "th", "size", (F.col("pos") - F.col("at")).alias("start"), "hashes")
-               .select("id", "th", "size", "start",
-                       F.expr("slice(hashes, greatest(start, 0) + 1, least(start, 0) + size + 4)").alias("near")))
-        found = met if found is None else found.union(met)
-    windows = (found.groupBy("id", "th", "size", "start").agg(F.first("near").alias("near"))
-               .select("id", "th", "size", F.greatest("start", F.lit(0)).alias("begin"), shingles("near").alias("own"))
-               .withColumn("print", simhash("own")))
-
-    few = items.count() * (radius + 1) <= broadcast_rows
-    blocks = (items.select("item", "item_key", "size", "grams", F.col("print").alias("item_print"),
-                           F.posexplode(hamming_blocks("print", radius)).alias("block", "value")))
-    candidates = (windows.select("*", F.posexplode(hamming_blocks("print", radius)).alias("block", "value"))
-                  .join(F.broadcast(blocks) if few else blocks, ["size", "block", "value"])
-                  .withColumn("diff", F.expr("print ^ item_print"))
-                  .filter(F.expr(f"bit_count(diff) <= {radius}"))
-                  # a pair is verified in the first block that agrees
-                  .filter(_first_block(radius)))
+    items = item_table(benchmark, item_col, item_text_col)
+    own = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("th"), text_of(text_col).alias("text"))
+    windows = find_windows(own, items, threshold, broadcast_rows)
+    candidates = meeting_pairs(windows, items).filter(hamming("print", "item_print") <= radius)
     t = threshold
     return (candidates.withColumn("shared", shared_weight("own", "grams"))
             .withColumn("all", F.expr("size(own) + size(grams) - shared"))
@@ -132,14 +172,6 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
                     (F.col("shared") / F.col("all")).alias("similarity")))
 
 
-def _first_block(radius: int) -> Column:
-    n, out = radius + 1, []
-    for i in range(n):
-        begin, end = 64 * i // n, 64 * (i + 1) // n
-        out.append(f"WHEN (shiftrightunsigned(diff, {begin}) & {(1 << (end - begin)) - 1}L) = 0 THEN {i}")
-    return F.expr(f"block = CASE {' '.join(out)} END")
-
-
 def _per_document(hits: DataFrame) -> DataFrame:
     return hits.groupBy("id", "th").agg(
         F.sort_array(F.collect_set("item")).alias("item_ids"), F.max("similarity").alias("similarity"))

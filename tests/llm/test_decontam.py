@@ -54,30 +54,81 @@ def test_real_tables(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, x in got.items() if not x)
 
 
-def test_blocks_guarantee_the_radius(spark):
-    """Fingerprints within the radius agree in a block; the blocks hold all 64 bits."""
-    import random
-    rng = random.Random(1)
-    rows = []
-    for _ in range(200):
-        a = rng.getrandbits(64)
-        b = a
-        for bit in rng.sample(range(64), dc.RADIUS):
-            b ^= 1 << bit
-        rows.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, b)))
-    df = spark.createDataFrame(rows, "a long, b long").select(
-        dc.hamming_blocks("a").alias("x"), dc.hamming_blocks("b").alias("y"))
-    assert all(any(p == q for p, q in zip(r.x, r.y)) for r in df.collect())
+def mix(x, k):
+    """xxhash64 of a long and an int, as Spark makes it."""
+    import struct
+
+    import xxhash
+    h = xxhash.xxh64(struct.pack("<q", x), seed=42).intdigest()
+    return xxhash.xxh64(struct.pack("<i", k), seed=h).intdigest()
+
+
+def fingerprint(hashes):
+    words = []
+    for k in range(dc.PRINT_WORDS):
+        own, word = [x % (1 << 64) if k == 0 else mix(x, k) for x in hashes], 0
+        for b in range(64):
+            if sum(1 if (x >> b) & 1 else -1 for x in own) > 0:
+                word |= 1 << b
+        words.append(word)
+    return words
 
 
 def test_simhash(spark):
     h = [5, -9, 5, 123456789012345]
-    want = 0
-    for b in range(64):
-        if sum(1 if (x >> b) & 1 else -1 for x in h) > 0:
-            want |= 1 << b
-    got = spark.createDataFrame([(h,)], "h array<bigint>").select(dc.simhash("h").alias("s")).first().s
-    assert got % (1 << 64) == want
+    row = spark.createDataFrame([(h, [1, 2, 3, -1], [1, 2, 0, -2])], "h array<bigint>, a array<bigint>, b array<bigint>").select(
+        dc.simhash("h").alias("s"), dc.hamming("a", "b").alias("d")).first()
+    assert [x % (1 << 64) for x in row.s] == fingerprint(h) and row.d == 3
+
+
+def test_the_radius_loses_nothing_at_the_threshold():
+    """Simulated windows of just similarity 0.8, and unrelated ones, by their random bits."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+
+    def bits(n, rows):
+        return 2 * rng.integers(0, 2, size=(rows, n, 256), dtype=np.int8) - 1
+
+    def prints(x):
+        return x.sum(axis=1, dtype=np.int16) > 0
+    worst, apart = 0, []
+    for n, kept, rounds in ((5, 4, 60), (9, 8, 30), (45, 40, 10)):  # kept of n shingles in both, similarity 0.8 to 0.82
+        for _ in range(rounds):
+            a = bits(n, 1000)
+            other = np.concatenate([a[:, :kept], bits(n - kept, 1000)], axis=1) if n > 9 else a[:, :kept]
+            worst = max(worst, int((prints(a) != prints(other)).sum(axis=1).max()))
+            apart.append((prints(a)[:-1] != prints(a)[1:]).sum(axis=1).min())
+    assert worst <= dc.RADIUS
+    assert min(apart) > dc.RADIUS - 10 and np.mean(np.array(apart) <= dc.RADIUS) < 0.1
+
+
+def test_many_items_of_one_size_do_not_meet(spark):
+    """10 000 items of one size: windows meet the items that they share a chosen shingle with, and no other."""
+    import random
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=20))) for i in range(10_000)]
+    # a template that all others share but for their last words has no rare shingle besides those
+    docs = [(i, f"start {items[i * 50][1]} end") for i in range(200)] + [(500, " ".join(items[3][1].split()[:12]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = dc.item_table(bench)
+    own = spark.createDataFrame(docs, "id long, text string").withColumn("th", F.unhex(F.md5("text")))
+    windows = dc.find_windows(own, table, dc.THRESHOLD, dc.BROADCAST_ROWS)
+    met = dc.meeting_pairs(windows, table)
+    n, pairs = windows.count(), met.count()
+    within = met.filter(dc.hamming("print", "item_print") <= dc.RADIUS).count()
+    assert n >= 200 and pairs < 0.01 * n * len(items) and pairs <= 2 * n and 200 <= within <= 210
+    hits = dc.find_hits(spark.createDataFrame(docs, "doc_id long, text string"), bench).select("id", "item").distinct().collect()
+    assert sorted(hits) == [(i, i * 50) for i in range(200)]
+
+
+def test_chosen_shingles_are_more_than_may_be_missed(spark):
+    items = [(1, ITEM), (2, "a b c d e"), (3, "x " * 12), (4, "x " * 12)]
+    table = dc.item_table(spark.createDataFrame(items, "item_id long, text string"))
+    n = {r.item: r.n for r in dc.chosen_shingles(table, dc.THRESHOLD).join(table, "item_no").groupBy("item").count()
+         .withColumnRenamed("count", "n").collect()}
+    # 17 shingles may miss 3; one may miss none; a single shingle repeated is one choice
+    assert n == {1: 4, 2: 1, 3: 1, 4: 1}
 
 
 def test_odd_rows(spark, odd_docs):
