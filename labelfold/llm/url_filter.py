@@ -12,7 +12,8 @@ projected: there is no shuffle, and a hot host costs nothing.
 An entry fits its host and all subdomains, and URLs whose path starts with its
 path.  The block list is an input: host names, or a DataFrame whose ``host`` column
 holds them, read on the driver (about 200 bytes a host).  Hosts are lower-cased;
-null and empty ones are dropped.  The default list is the two hosts of the SQL.
+null and empty ones are dropped.  The default list is the file
+``blocked_hosts.txt``.
 Rules come before the plain block list; among entries of a kind the
 longest (host and path together, then host) wins, and of two equal entries the
 blocking one.  A URL on neither is allowed.
@@ -24,10 +25,13 @@ table gives an empty table; other columns are never read.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import string
 import tempfile
 from functools import lru_cache
+from importlib import resources
 
 import numpy as np
 import pandas as pd
@@ -44,10 +48,11 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-# Hosts of the default block list.
-BLOCKED_HOSTS = ("cheap-pills.example.com", "spam-farm.example.org")
+#: The default block list, a file of host names beside this module; the SQL is made from it too.
+BLOCK_LIST = resources.files(__package__).joinpath("blocked_hosts.txt")
+BLOCKED_HOSTS = tuple(x for x in BLOCK_LIST.read_text().split("\n") if x and not x.startswith("#"))
 
-ARRAYS = ("keys.npy", "bounds.npy", "host_len.npy", "kind.npy", "text.npy")
+ARRAYS = ("keys.npy", "bounds.npy", "host_len.npy", "kind.npy", "text.npy", "path_lengths.npy")
 #: kind: block list, rule that allows, rule that blocks.
 LISTED, ALLOW, BLOCK = 0, 1, 2
 
@@ -64,8 +69,9 @@ def path_of(url: str) -> Column:
 def listed_hosts(blocked, host_col: str = "host") -> list[str]:
     """The different hosts of a block list: names, or a DataFrame with a column of them."""
     if isinstance(blocked, DataFrame):
-        rows = blocked.select(F.col(host_col).cast("string").alias("host")).distinct()
-        blocked = [r.host for r in rows.toLocalIterator()]
+        host = F.translate(F.col(host_col).cast("string"), string.ascii_uppercase, string.ascii_lowercase).alias("host")
+        rows = blocked.select(host).filter("host <> ''").distinct().orderBy("host")
+        return [r.host for r in rows.toLocalIterator()]
     lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
     return sorted({h.translate(lower) for h in blocked if h})
 
@@ -81,6 +87,8 @@ def build_list(spark: SparkSession, rules=RULES, blocked=BLOCKED_HOSTS) -> str:
         "host_len.npy": np.array([len(e[1].encode()) for e in entries], dtype=np.int32),
         "kind.npy": np.array([e[3] for e in entries], dtype=np.int8),
         "text.npy": np.frombuffer(b"".join(raw) or b"\0", dtype=np.uint8),
+        # path lengths that occur, in code points: only those prefixes are probed
+        "path_lengths.npy": np.array(sorted({len(e[2]) for e in entries}), dtype=np.int64),
     }
     at = shared_folder(spark, "url-digests")
     fs, path = filesystem(at)
@@ -105,17 +113,14 @@ def _mapped(at: str) -> dict[str, np.ndarray]:
     fs, path = filesystem(at)
     if not isinstance(fs, LocalFileSystem):
         own = tempfile.mkdtemp(prefix="url-digests-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
         for name in ARRAYS:
             with fs.open_input_stream(f"{path}/{name}") as src, open(os.path.join(own, name), "wb") as dst:
                 while chunk := src.read(1 << 20):
                     dst.write(chunk)
         path = own
     out = {name[:-4]: np.load(os.path.join(path, name), mmap_mode="r", allow_pickle=False) for name in ARRAYS}
-    # path lengths that occur, in code points: only those prefixes are probed
-    lengths = set()
-    for i in range(len(out["keys"])):
-        lengths.add(len(bytes(out["text"][out["bounds"][i] + out["host_len"][i]:out["bounds"][i + 1]]).decode()))
-    return out | {"path_lengths": np.array(sorted(lengths))}
+    return out
 
 
 def probe(at: str, hosts, paths) -> tuple[list, list]:
@@ -176,7 +181,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 
 URL_FILTER_SQL = r"""
-WITH u AS (
+WITH listed(name) AS (VALUES {hosts}),
+u AS (
   SELECT page_id,
          translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -192,8 +198,7 @@ r AS (
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
   WHEN rule IS NOT NULL THEN 'block'
-  WHEN host IN ('cheap-pills.example.com', 'spam-farm.example.org')
-    OR host LIKE '%.cheap-pills.example.com' OR host LIKE '%.spam-farm.example.org' THEN 'block'
+  WHEN EXISTS (SELECT 1 FROM listed WHERE host = name OR ends_with(host, '.' || name)) THEN 'block'
   ELSE 'allow' END AS verdict
 FROM r
-"""
+""".replace("{hosts}", ", ".join(f"('{h}')" for h in BLOCKED_HOSTS))

@@ -8,17 +8,21 @@ record to its bundle, frame, and offset and length inside the raw frame.
 
 Of pages with equal payloads of at least ``min_revisit`` bytes the largest id is
 the response and the others are revisits that name it; payloads are compared by
-SHA-1 and length.  The choice combines on the map side, so a payload that a
+SHA-256 and length (SHA-1 pairs that collide are known), the digest of the records is SHA-1.  The choice combines on the map side, so a payload that a
 third of all pages share is one row per scan task.
 
 A task that is lost or run twice writes another bundle under a fresh name; only
 bundles in the index, which Spark commits with the tasks that succeeded, are
-ever read.
+ever read.  The read path takes a frame's place from the index, one request a frame; the
+footer's seek table gives the same places to readers without the index (``read_record``).
+
+A URL stands in its header as given.  One with a line break, which a header can't hold, is
+percent-encoded whole (percent signs and line breaks) and marked by ``WARC-X-URI-Encoded``.
 
 Defined results: a null html is an empty payload; a null id or URL leaves its
 header out and reads back as null; null ids sort before all others; pages that
 repeat the largest id of a group are all responses; an empty table gives no
-record; line breaks in a URL are percent-encoded; other columns are never read.
+record; a very long payload is a frame of its own; other columns are never read.
 """
 
 from __future__ import annotations
@@ -50,7 +54,10 @@ def record_bytes(page_id, url, payload: bytes, refers_to, revisit: bool) -> byte
             f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
             "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
     if url is not None:
-        head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
+        if "\r" in url or "\n" in url:
+            url = url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+            head.append("WARC-X-URI-Encoded: yes")
+        head.append("WARC-Target-URI: " + url)
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                  f"WARC-Refers-To: <urn:page:{refers_to}>"]
@@ -64,7 +71,7 @@ def parse_record(raw: bytes) -> dict:
     f = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
     number = lambda v: int(v[len("<urn:page:"):-1]) if v and v != "<urn:page:>" else None
     url = f.get("WARC-Target-URI")
-    if url is not None:
+    if url is not None and "WARC-X-URI-Encoded" in f:
         url = url.replace("%0D", "\r").replace("%0A", "\n").replace("%25", "%")
     payload = rest[:int(f["Content-Length"])]
     if rest[len(payload):] != b"\r\n\r\n":
@@ -185,7 +192,7 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     spark = pages.sparkSession
     p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                      text_of(html_col).alias("html"))
-    key = [F.unhex(F.sha1("html")).alias("sha"), F.octet_length("html").alias("n")]
+    key = [F.unhex(F.sha2("html", 256)).alias("sha"), F.octet_length("html").alias("n")]
     # written, so that the join below meets it by a plain exchange, which can be split at a hot payload
     best = through_table(
         p.select("page_id", *key).filter(F.col("n") >= min_revisit).groupBy("sha", "n")
@@ -196,7 +203,7 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 .filter("page_id is null or page_id < keep")
                 .select(F.col("page_id").alias("rid"), F.col("sha").alias("rsha"), "keep").distinct())
     marked = (p.join(revisits, F.col("page_id").eqNullSafe(F.col("rid"))
-                     & (F.unhex(F.sha1("html")) == F.col("rsha")), "left")
+                     & (F.unhex(F.sha2("html", 256)) == F.col("rsha")), "left")
               .select("page_id", "url", "html", F.col("keep").alias("refers_to"),
                       F.col("keep").isNotNull().alias("revisit")))
     at = shared_folder(spark, "warc")

@@ -130,3 +130,29 @@ def test_many_undecided_blocks():
         start = time.time()
         m.label_blocks([rng.uniform(-1.5, 1.5) for _ in parents], parents)
         assert time.time() - start < 20
+
+
+def test_broken_markup_is_read_in_one_pass():
+    import time
+    for piece in ('<a x="', "<a x='", "<!-- ", "<b><p>", "<b><b><b><div></div>", "<", "</i>", "<script>", "<![CDATA[", "<p a=b ", "</",
+                  "<p/a=", "<li><ul>", "<a x=\"'"):
+        start = time.time()
+        blocks = m.read_blocks("<p>before</p>" + piece * (400_000 // len(piece)))
+        assert time.time() - start < 5, piece
+        assert blocks[0][1] == "before"
+
+
+def test_tags_as_browsers_read_them():
+    def texts(page):
+        return [t for _, t in m.read_blocks(page)]
+    assert texts("a<p title='x>y'>b</P >c<br/>d") == ["a", "b", "c", "d"]
+    assert texts('<p a="1"b=2 c d = "<p>" / e>one</p><!-- <p>no --> two <!doctype x> three') == ["one", "two three"]
+    assert texts("<p>1 < 2 &lt; 3 &amp 4 <5</p>") == ["1 < 2 < 3 & 4 <5"]
+    assert texts("<script>if (a </b) '</p>'</script>x<style>p{}</STYLE >y") == ["x", "y"]
+    assert texts("<p>x<![CDATA[ <b>no</b> ]]>y<?php no ?>z</>!") == ["xyz!"]
+    assert texts("<p>kept<p class='cut off") == ["kept"]
+    assert texts("<!-->a<!--->b") == ["ab"]
+
+
+def test_no_mark_is_beyond_the_classifier():
+    assert all(abs(v) < m.MOST for v in m.ZONE_ODDS.values())

@@ -25,7 +25,8 @@ URLS = [None, "", "x", "http://net", "http://net/", "HTTP://A.NET/x", "http://ex
         "http://notexample.net/en/1", "https://m.example.com/de/", "http://example.com/de", "http://a.org/fr/2?x=/de/",
         "a://b://c.net/d", "http://www.cheap-pills.example.com/en/4", "http://spam-farm.example.org/fr/1",
         "http://spam-farm.example.org/de/1", "http://ÄB.net/é", "http://net?x/", "http://net#/", "http://.net/", "://net/z",
-        "http://x\ny.net/a\nb"]
+        "http://x\ny.net/a\nb", "http://adult-x.example.com/", "http://m.casino-win.example.org/a", "http://xcasino-win.example.org/a",
+        "http://CASINO-win.example.com", "http://casino-win.example.com.org/"]
 
 
 def test_against_brute_force(spark):
@@ -68,3 +69,13 @@ def test_block_list_as_a_table(spark):
     plain = {r.page_id: r.verdict for r in u.filter_urls(pages, blocked=()).collect()}
     assert all(r.verdict == plain[r.page_id] for r in rows if r.page_id in rest)
     assert sum(plain[r.page_id] == "block" for r in listed) == 0
+
+
+def test_the_listed_families_are_blocked_under_every_ending(spark):
+    """No page of a listed family passes that no rule decides, on the larger pages as they are."""
+    assert len(u.BLOCKED_HOSTS) == 18 and {h.rsplit(".", 1)[1] for h in u.BLOCKED_HOSTS} == {"com", "net", "org"}
+    families = {h.split(".")[0] for h in u.BLOCKED_HOSTS}
+    rows = u.filter_urls(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).collect()
+    own = [r for r in rows if r.rule is None and set(r.host.split(".")) & families]
+    assert len(own) > 100 and all(r.verdict == "block" for r in own)
+    assert all(r.verdict == "allow" for r in rows if r.rule is None and not set(r.host.split(".")) & families)

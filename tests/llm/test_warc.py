@@ -64,3 +64,12 @@ def test_header_fields_survive():
     assert (r["page_id"], r["url"], r["payload"]) == (5, "http://x/%0A\r\n é", b"abc")
     r = w.parse_record(w.record_bytes(None, None, b"abc", 9, True))
     assert (r["page_id"], r["url"], r["refers_to"], r["payload"], r["record_type"]) == (None, None, 9, None, "revisit")
+
+
+def test_urls_stand_in_the_archive_as_given():
+    for url in ("http://a.net/a%20b?x=%0A%25", "http://a.net/100%", "", " x ", "http://a.net/ü"):
+        raw = w.record_bytes(1, url, b"x", None, False)
+        assert f"\r\nWARC-Target-URI: {url}\r\n".encode() in raw and w.parse_record(raw)["url"] == url
+    for url in ("a\nb%0A", "a\r\nWARC-Type: fake%"):
+        raw = w.record_bytes(1, url, b"x", None, False)
+        assert w.parse_record(raw)["url"] == url and w.parse_record(raw)["record_type"] == "response"
