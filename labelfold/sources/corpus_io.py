@@ -1,10 +1,10 @@
 """Sources and sinks for labelled corpora and their metadata.
 
-CSV is read with an explicit schema (no inference pass), ``multiLine`` and
-RFC-4180 quoting (a doubled quote inside a quoted field), which matches how
-pandas writes the corpus files.  ``multiLine`` makes one task per file, so a
-large CSV should be converted to Parquet once (``write_labeled``) and read
-from there.  Metadata (weights, label info, statistics) are K-row tables
+CSV is read with an explicit schema (no inference pass) and RFC-4180 quoting (a
+doubled quote inside a quoted field, line breaks in quotes), which matches how
+pandas writes the corpus files.  A file is read by as many tasks as it has byte
+ranges (``split_csv``); ``splittable=False`` takes Spark's ``multiLine`` reader, one
+task per file, which also reads files with quotes in unquoted fields.  Metadata (weights, label info, statistics) are K-row tables
 written as single small JSON files.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dictionary import LabelDictionary, dictionary_from_info
+from .split_csv import read_quoted_csv
 
 CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "quoteAll": "false",
@@ -42,9 +43,17 @@ def labeled_schema(labels: LabelDictionary, text_col: str = "text", extra=None)
     return T.StructType(fields)
 
 
-def read_labeled_csv(spark: SparkSession, path: str, labels: LabelDictionary, extra=None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, splittable: bool = True) -> DataFrame:
+    """CSV files with a header each, by many tasks a file or by one."""
+    if splittable:
+        return read_quoted_csv(spark, path, schema)
+    return spark.read.schema(schema).options(**CSV_READ).csv(path)
+
+
+def read_labeled_csv(spark: SparkSession, path: str, labels: LabelDictionary, extra=None,
+                     splittable: bool = True) -> DataFrame:
     """A2: the wide labelled CSV (text + one int column per label)."""
-    return spark.read.schema(labeled_schema(labels, extra=extra)).options(**CSV_READ).csv(path)
+    return read_csv(spark, path, labeled_schema(labels, extra=extra), splittable)
 
 
 def format_label_list(arr) -> F.Column:
@@ -59,11 +68,11 @@ def parse_label_list(text) -> F.Column:
     return F.from_json(t, "array<double>").cast("array<int>")
 
 
-def read_label_list_csv(spark: SparkSession, path: str, extra=None) -> DataFrame:
+def read_label_list_csv(spark: SparkSession, path: str, extra=None, splittable: bool = True) -> DataFrame:
     """A3: (extra..., text, labels array<int>)."""
     fields = [T.StructField(c, t, True) for c, t in (extra or [])]
     fields += [T.StructField("text", T.StringType(), True), T.StructField("labels", T.StringType(), True)]
-    df = spark.read.schema(T.StructType(fields)).options(**CSV_READ).csv(path)
+    df = read_csv(spark, path, T.StructType(fields), splittable)
     return df.withColumn("labels", parse_label_list("labels"))
 
 
