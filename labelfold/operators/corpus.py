@@ -186,8 +186,12 @@ def cardinality_stats(df: DataFrame, labels: LabelDictionary, by: str | None = "
 
 def dataset_statistics(df: DataFrame, labels: LabelDictionary, by: str | None = "split") -> DataFrame:
     """C1 and C2 together, one row per (split, label), from one aggregate."""
-    row = _split_stats_row(df, labels, by)
-    return row.selectExpr(*SPLIT_COLUMNS, _label_rows(labels))
+    return statistics_of_rows(_split_stats_row(df, labels, by), labels)
+
+
+def statistics_of_rows(rows: DataFrame, labels: LabelDictionary) -> DataFrame:
+    """``dataset_statistics`` from rows of split sums."""
+    return rows.selectExpr(*SPLIT_COLUMNS, _label_rows(labels))
 
 
 # --- C4-C7: class weights -------------------------------------------------------------
@@ -225,10 +229,16 @@ def class_weights(df: DataFrame, labels: LabelDictionary, method: str = "neg_pos
     other              1.0
     """
     src = df if splits is None or split_col not in df.columns else df.filter(F.col(split_col).isin(list(splits)))
-    k = labels.k
     row = src.agg(F.expr("count(1) AS n"),
                   *[F.expr(f"coalesce(sum(CAST({X.ident(n)} AS BIGINT)), 0) AS c_{i}")
                     for i, n in enumerate(labels.names)])
+    return weights_of_counts(row, labels, method, drop_empty)
+
+
+def weights_of_counts(row: DataFrame, labels: LabelDictionary, method: str = "neg_pos",
+                      drop_empty: bool = False) -> DataFrame:
+    """``class_weights`` from the one row of counts (n, c_0, c_1, ...)."""
+    k = labels.k
     pos = [f"c_{i}" for i in range(k)]
     neg = [f"(n - c_{i})" for i in range(k)]
     if method == "neg_pos":

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -104,6 +105,21 @@ def remove_scratch(spark: SparkSession) -> int:
     return done
 
 
+@contextmanager
+def temporary_scratch(spark: SparkSession, keep: list[str]):
+    """Delete the scratch folders handed out inside the block when it ends, but for those in ``keep``
+    (extend the list inside); earlier ones, which other results may read, stay."""
+    start = len(_made)
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in [f for f in _made[start:] if f not in keep]:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+            _made.remove(folder)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never localCheckpoint)."""
     shared_dir(df.sparkSession)

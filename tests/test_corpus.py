@@ -78,3 +78,34 @@ def test_cardinality_rollup(spark):
     got = {r["split"]: r for r in cp.cardinality_stats(df, d).collect()}
     assert got["all"]["total_samples"] == 3 and got["train"]["samples_with_multiple_labels"] == 1
     assert got["all"]["avg_labels_per_sample"] == 1.0 and got["valid"]["max_labels_per_sample"] == 1
+
+
+def test_statistics_of_recorded_batches_equal_those_of_all_rows(spark):
+    """Replayed and reordered batches, one replaced by fewer rows, one that has become empty, one without rows."""
+    import random
+
+    from labelfold.functions.dictionary import make_dictionary
+    from labelfold.operators import incremental as inc
+    from labelfold.session import scratch_path
+    rng = random.Random(3)
+    d = make_dictionary(["a", "b'c", "never"])
+    rows = [(rng.choice(["train", "valid", None]), int(rng.random() < 0.4), int(rng.random() < 0.2), 0) for _ in range(500)]
+    df = spark.createDataFrame(rows, "split string, a int, `b'c` int, never int").repartition(3).cache()
+    parts = {i: df.filter(F.pmod(F.hash(*df.columns, F.spark_partition_id()), F.lit(4)) == i).cache() for i in range(4)}
+    assert sum(p.count() for p in parts.values()) == 500
+    store = scratch_path(spark, "store")
+    inc.record_batch(df, 3, store, d)                       # a first try with other rows
+    for i in (3, 1, 0, 1, 2, 3):
+        inc.record_batch(parts[i], i, store, d)
+    inc.record_batch(df, 9, store, d)
+    inc.record_batch(df.limit(0), 9, store, d)              # now without rows
+    key = lambda x: sorted(map(repr, x.collect()))
+    cols = cp.dataset_statistics(df, d).columns
+    assert key(inc.merged_statistics(spark, store, d).select(cols)) == key(cp.dataset_statistics(df, d))
+    for method in ("neg_pos", "balanced", "inverse_frequency", "none"):
+        for splits in (None, ["train"]):
+            assert (key(inc.merged_class_weights(spark, store, d, method, splits))
+                    == key(cp.class_weights(df, d, method, splits)))
+    empty = scratch_path(spark, "store")
+    inc.record_batch(df.limit(0), 0, empty, d)
+    assert inc.merged_statistics(spark, empty, d).collect() == []
