@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from labelfold.llm import decontam, exact_dedup, mixing, ngram_join, pu_quality
-from labelfold.session import read_table, scratch_path
+from labelfold.session import read_table, scratch_path, temporary_scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        kept = []
+        # a stage's own tables are not needed once its rows are written
+        with temporary_scratch(spark, kept):
+            path = scratch_path(spark, f"pipeline-{name}")
+            kept.append(path)
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
