@@ -162,6 +162,11 @@ class Objective:
         return np.where(bound > 0, bound, 1.0) ** DAMPING
 
 
+def _dot(a: np.ndarray, b: np.ndarray) -> float:
+    """Inner product by numpy's own sum: the same bits on every run, where a threaded BLAS may differ."""
+    return float(np.add.reduce(a * b))
+
+
 class _Label:
     """State of one label's descent, in scaled coordinates."""
 
@@ -173,19 +178,19 @@ class _Label:
     def aim(self):
         """The two-loop recursion; the steepest descent where it does not point downhill."""
         q, alphas = self.grad.copy(), []
-        for s, y in reversed(self.pairs):
-            a = (s @ q) / (s @ y)
+        for s, y, sy in reversed(self.pairs):
+            a = _dot(s, q) / sy
             q -= a * y
             alphas.append(a)
         if self.pairs:
-            s, y = self.pairs[-1]
-            q *= (s @ y) / (y @ y)
-        for (s, y), a in zip(self.pairs, reversed(alphas)):
-            q += (a - (y @ q) / (s @ y)) * s
+            s, y, sy = self.pairs[-1]
+            q *= sy / _dot(y, y)
+        for (s, y, sy), a in zip(self.pairs, reversed(alphas)):
+            q += (a - _dot(y, q) / sy) * s
         self.direction = -q
-        if self.direction @ self.grad >= 0:
+        if _dot(self.direction, self.grad) >= 0:
             self.pairs, self.direction = [], -self.grad
-        self.step = 1.0 if self.pairs else min(1.0, 1.0 / max(np.linalg.norm(self.grad), 1e-300))
+        self.step = 1.0 if self.pairs else min(1.0, 1.0 / max(_dot(self.grad, self.grad) ** 0.5, 1e-300))
         self.tries = 0
 
     def trial(self):
@@ -193,13 +198,13 @@ class _Label:
 
     def judge(self, value, grad):
         """Take the trial point if the objective falls enough, else shorten the step."""
-        slope = self.direction @ self.grad
+        slope = _dot(self.direction, self.grad)
         # below the rounding of the value, a falling gradient counts
         flat = abs(value - self.value) <= 1e-13 * max(1.0, abs(self.value)) and np.abs(grad).max() < np.abs(self.grad).max()
         if np.isfinite(value) and (value <= self.value + ARMIJO * self.step * slope or flat):
             s, y = self.step * self.direction, grad - self.grad
-            if s @ y > 1e-12 * np.sqrt((s @ s) * (y @ y)):
-                self.pairs = [*self.pairs[-(MEMORY - 1):], (s, y)]
+            if _dot(s, y) > 1e-12 * (_dot(s, s) * _dot(y, y)) ** 0.5:
+                self.pairs = [*self.pairs[-(MEMORY - 1):], (s, y, _dot(s, y))]
             self.x, self.value, self.grad = self.trial(), value, grad
             self.steps += 1
             return True
