@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import per_label
 from ..functions import sqltext as X
+from ..session import scratch_path
 from . import auc as auc_ops
+from . import frequent
 from . import evaluate as ev
 from .frame import EvalFrame
 
@@ -30,18 +32,12 @@ def threshold_sweep(ef: EvalFrame, thresholds: Sequence[float] = DEFAULT_THRESHO
     does not grow with the data or with a cross join over thresholds.
     """
     ef.require_truth()
-    ts_in = [float(t) for t in thresholds]
-    uniq = sorted(set(ts_in))
-    j_of = [uniq.index(t) for t in ts_in]
-    incl = op == "ge"
     k = ef.k
+    lo, hi = _row_bounds(ef)
+    uniq, incl = sorted({float(t) for t in thresholds}), op == "ge"
     y = [X.elem("y_true", i) for i in range(k)]
     p = [X.score_or_lowest(X.elem("score", i)) for i in range(k)]
     # stage 1: per-row scalars (each computed once, referenced by name later)
-    neg = [f"CASE WHEN {y[i]} = 0 THEN {p[i]} END" for i in range(k)]
-    pos = [f"CASE WHEN {y[i]} = 1 THEN {p[i]} END" for i in range(k)]
-    lo = f"greatest({', '.join(neg)})" if k > 1 else neg[0]
-    hi = f"least({', '.join(pos)})" if k > 1 else pos[0]
     stage = ef.df.selectExpr(*[f"{y[i]} AS _y{i}" for i in range(k)],
                              *[f"{p[i]} AS _p{i}" for i in range(k)],
                              f"{lo} AS _lo", f"{hi} AS _hi")
@@ -49,13 +45,33 @@ def threshold_sweep(ef: EvalFrame, thresholds: Sequence[float] = DEFAULT_THRESHO
     stage = stage.selectExpr(
         *[f"_y{i}" for i in range(k)],
         *[f"{X.count_below(f'_p{i}', uniq, incl)} AS _r{i}" for i in range(k)],
-        f"CASE WHEN _lo IS NULL THEN 0 ELSE {X.count_below('_lo', uniq, incl)} END AS _a",
-        f"CASE WHEN _hi IS NULL THEN {len(uniq)} ELSE {X.count_below('_hi', uniq, incl)} END AS _b")
+        *[f"{e} AS {n}" for n, e in zip(("_a", "_b"), _right_between("_lo", "_hi", uniq, incl))])
     cells = [X.named_struct([("kind", X.lit(i)), ("x1", f"_y{i}"), ("x2", f"_r{i}")]) for i in range(k)]
     row_rec = X.named_struct([("kind", X.lit(-1)), ("x1", "_a"), ("x2", "_b")])
     small = (stage.select(X.inline_rows(cells + [row_rec]))
              .groupBy("kind", "x1", "x2").agg(F.count(F.lit(1)).alias("cnt")))
+    return sweep_of_counts(small, k, thresholds)
+
+
+def _row_bounds(ef: EvalFrame) -> tuple[str, str]:
+    """SQL text of a row's highest score of a false label and lowest of a true one."""
+    p = [X.score_or_lowest(X.elem("score", i)) for i in range(ef.k)]
+    neg, pos = ([f"CASE WHEN {X.elem('y_true', i)} = {v} THEN {p[i]} END" for i in range(ef.k)] for v in (0, 1))
+    return ((f"greatest({', '.join(neg)})", f"least({', '.join(pos)})") if ef.k > 1 else (neg[0], pos[0]))
 
+
+def _right_between(lo: str, hi: str, uniq: Sequence[float], inclusive: bool) -> tuple[str, str]:
+    """SQL text of [a, b): the sorted thresholds at which a row with these bounds is wholly right."""
+    return (f"CASE WHEN {lo} IS NULL THEN 0 ELSE {X.count_below(lo, uniq, inclusive)} END",
+            f"CASE WHEN {hi} IS NULL THEN {len(uniq)} ELSE {X.count_below(hi, uniq, inclusive)} END")
+
+
+def sweep_of_counts(small: DataFrame, k: int, thresholds: Sequence[float]) -> DataFrame:
+    """E12 from (kind, x1, x2, cnt): kind i counts label i's cells of truth x1 and rank x2, kind -1 the rows
+    that are right at the sorted thresholds [x1, x2)."""
+    ts_in = [float(t) for t in thresholds]
+    uniq = sorted(set(ts_in))
+    j_of = [uniq.index(t) for t in ts_in]
     grid = small.selectExpr("*", f"explode(sequence(0, {len(ts_in) - 1})) AS t_idx")
     j = f"{X.array_of([X.lit(v) for v in j_of])}[t_idx]"
     hit = f"x2 > {j}"
@@ -81,16 +97,18 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
     return sweep.agg(best.alias("b")).select("b.t_idx", "b.threshold", "b.macro_f1")
 
 
-def per_label_report(ef: EvalFrame, t=0.5, op: str = "gt", auc_partitions: int | None = None) -> DataFrame:
+def per_label_report(ef: EvalFrame, t=0.5, op: str = "gt", auc_partitions: int | None = None,
+                     sums: DataFrame | None = None) -> DataFrame:
     """Per-label metrics + AUC (null shown as 0.5) + description, ranked by F1.
 
-    Metrics and AUC both come from the AUC plan's table of sums (K rows), so
-    the data is exchanged once."""
+    Metrics and AUC both come from the AUC plan's table of sums (K rows; ``sums``
+    when it is there already), so the data is exchanged once."""
+    sums = auc_ops.label_sums(ef, t, op, auc_partitions) if sums is None else sums.filter("label_idx >= 0")
     m = ev.metric_exprs("tp", "fp", "(n_pos - tp)", "(n_neg - fp)", "(n_pos + n_neg)")
     names = X.array_of([X.lit(n) for n in ef.names])
     dic = ef.labels.to_frame(ef.df.sparkSession).select("label_idx", "label_en", "description")
     # one row per label on both sides: the broadcast is bounded by K
-    rep = (auc_ops.label_sums(ef, t, op, auc_partitions).selectExpr(
+    rep = (sums.selectExpr(
         "label_idx", f"{names}[label_idx] AS label", *[f"{m[c]} AS {c}" for c in ev.PER_LABEL_COLUMNS],
         f"coalesce({auc_ops.AUC_SQL}, 0.5D) AS auc").join(F.broadcast(dic), "label_idx"))
     rank = F.row_number().over(Window.orderBy(F.col("f1").desc(), F.col("label_idx")))
@@ -101,14 +119,22 @@ def prediction_distribution(ef: EvalFrame, t=0.5, op: str = "gt", truth: bool =
     """E15 (and C1/C2 on the truth when ``truth``): per-label counts plus the
     per-row cardinality summary, from one aggregate."""
     vec = X.ident("y_true") if truth else X.binarize("score", ef.k, per_label(t, ef.k), op)
-    card = X.vector_sum(vec, ef.k)
-    aggs = ["count(1) AS n", f"sum({card}) AS card_sum", f"max({card}) AS card_max",
-            f"count_if({card} = 0) AS none", f"count_if({card} > 1) AS several"]
-    aggs += [f"sum({X.vec_elem(vec, i)}) AS c_{i}" for i in range(ef.k)]
-    row = ef.df.agg(*[F.expr(a) for a in aggs])
+    return distribution_of_vectors(ef.df.selectExpr(f"{vec} AS vec", "1L AS copies"), ef.names)
+
+
+def distribution_of_vectors(vectors: DataFrame, names: Sequence[str]) -> DataFrame:
+    """E15 of (vec, copies): label vectors and how many rows have each (one vector may come several times)."""
+    k = len(names)
+    card = X.vector_sum("vec", k)
+    # a frame without rows has no rows "without labels", as count_if says it
+    aggs = ["coalesce(sum(copies), 0) AS n", f"sum({card} * copies) AS card_sum", f"max({card}) AS card_max",
+            f"coalesce(sum(CASE WHEN {card} = 0 THEN copies ELSE 0 END), 0) AS none",
+            f"coalesce(sum(CASE WHEN {card} > 1 THEN copies ELSE 0 END), 0) AS several"]
+    aggs += [f"sum({X.vec_elem('vec', i)} * copies) AS c_{i}" for i in range(k)]
+    row = vectors.agg(*[F.expr(a) for a in aggs])
     structs = [X.named_struct([("label_idx", X.lit(i)), ("label", X.lit(n)),
                                ("predicted_count", f"CAST(c_{i} AS BIGINT)")])
-               for i, n in enumerate(ef.names)]
+               for i, n in enumerate(names)]
     return row.selectExpr(
         f"inline({X.array_of(structs)})",
         "CAST(n AS BIGINT) AS total_samples",
@@ -119,20 +145,32 @@ def prediction_distribution(ef: EvalFrame, t=0.5, op: str = "gt", truth: bool =
 
 
 def label_combinations(ef: EvalFrame, t=0.5, op: str = "gt", top: int = 10,
-                       truth: bool = False, empty_as: str = "clean") -> DataFrame:
+                       truth: bool = False, empty_as: str = "clean", counters: int | None = None) -> DataFrame:
     """Most frequent exact label sets, count and share of rows.
 
     ``groupBy(vector)`` is a partial + final aggregate (at most 2^K groups);
     the top-k is a TakeOrderedAndProject, the total a union with one row and a
-    window over those k+1 rows, so no join and no global sort.
+    window over those k+1 rows, so no join and no global sort.  With many labels
+    nearly every set may differ: ``counters`` then bounds what a task holds
+    (``frequent.top_counts``, the same result).
     """
     k = ef.k
     vec = X.ident("y_true") if truth else X.binarize("score", k, per_label(t, k), op)
-    groups = ef.df.select(F.expr(X.vector_key(vec, k)).alias("vector")).groupBy("vector").agg(
-        F.count(F.lit(1)).alias("count"))
+    keys = ef.df.select(F.expr(X.vector_key(vec, k)).alias("vector"))
+    if counters is not None:
+        found, n, _ = frequent.top_counts(keys, "vector", top, counters)
+        total = ef.df.sparkSession.range(1).select(F.lit(n).cast("long").alias("count"))
+        return ranked_combinations(found, total, ef.names, top, empty_as)
+    groups = keys.groupBy("vector").agg(F.count(F.lit(1)).alias("count"))
+    return ranked_combinations(groups, groups.agg(F.sum("count").alias("count")), ef.names, top, empty_as)
+
+
+def ranked_combinations(groups: DataFrame, total: DataFrame, names: Sequence[str], top: int = 10,
+                        empty_as: str = "clean") -> DataFrame:
+    """E16 of (vector, count), one row per label set, and the one row of all rows' ``count``."""
     top_rows = (groups.orderBy(F.col("count").desc(), F.col("vector").desc()).limit(top)
                 .withColumn("kind", F.lit("top")))
-    total = groups.agg(F.sum("count").alias("count")).select(
+    total = total.select(
         F.lit(None).cast("string").alias("vector"), "count", F.lit("total").alias("kind"))
     both = top_rows.unionByName(total)
     w = Window.partitionBy(F.lit(0))
@@ -141,7 +179,7 @@ def label_combinations(ef: EvalFrame, t=0.5, op: str = "gt", top: int = 10,
     names_of = "transform(split(vector, ','), x -> CAST(x AS INT))"
     rank = F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("vector").desc()))
     return ranked.select(
-        rank.alias("rank"), F.expr(X.decode_names(names_of, ef.names, empty_as)).alias("labels"), "vector",
+        rank.alias("rank"), F.expr(X.decode_names(names_of, names, empty_as)).alias("labels"), "vector",
         F.col("count").cast("long").alias("count"),
         (F.col("count") / F.col("n") * F.lit(100.0)).alias("percentage"))
 
@@ -187,8 +225,9 @@ def histogram_range(lo: float, hi: float, bins: int) -> tuple:
 def histogram_bin_stages(p: str, rng: tuple, bins: int, i: int) -> tuple:
     """SQL text of numpy.histogram's bin of p in three stages, each a column
     of the previous select (_i0_i, _i1_i, bin_i): equal bins, last one closed,
-    with numpy's corrections for values that fall on an edge after rounding."""
-    lo2, hi2, step, norm = (X.lit(float(v)) for v in rng)
+    with numpy's corrections for values that fall on an edge after rounding.  The
+    range's entries are numbers or SQL text."""
+    lo2, hi2, step, norm = (v if isinstance(v, str) else X.lit(float(v)) for v in rng)
 
     def edge(j):
         return f"CASE WHEN {j} = {bins} THEN {hi2} ELSE CAST({j} AS DOUBLE) * {step} + {lo2} END"
@@ -240,35 +279,104 @@ def score_histogram(ef: EvalFrame, bins: int = 50) -> DataFrame:
         "CAST(count AS BIGINT) AS count")
 
 
+def histogram_of_counts(scores: DataFrame, names: Sequence[str], bins: int = 50) -> DataFrame:
+    """E19 of (label_idx, p, pos, neg), one row per label and distinct score; minus infinity stands for a
+    missing score and lies in no bin."""
+    k = len(names)
+    seen = scores.filter("label_idx >= 0 AND p > CAST('-Infinity' AS DOUBLE)")
+    ends = seen.groupBy("label_idx").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
+    labels = scores.sparkSession.range(k).selectExpr("CAST(id AS INT) AS label_idx")
+    ranges = (labels.join(ends, "label_idx", "left")
+              .selectExpr("label_idx", "coalesce(lo, 0.0D) AS lo", "coalesce(hi, 1.0D) AS hi")
+              .selectExpr("label_idx", "CASE WHEN lo = hi THEN lo - 0.5D ELSE lo END AS lo2",
+                          "CASE WHEN lo = hi THEN hi + 0.5D ELSE hi END AS hi2")
+              .selectExpr("*", f"(hi2 - lo2) / {float(bins)!r}D AS step", f"{float(bins)!r}D / (hi2 - lo2) AS norm"))
+    stages = histogram_bin_stages("p", ("lo2", "hi2", "step", "norm"), bins, 0)
+    # both sides of every join below have K rows or are cut to K x bins
+    d = seen.join(F.broadcast(ranges), "label_idx")
+    for name, stage in zip(("_i0_0", "_i1_0", "bin"), stages):
+        d = d.withColumn(name, F.expr(stage))
+    counts = d.groupBy("label_idx", "bin").agg(F.sum(F.expr("pos + neg")).alias("count"))
+    grid = labels.selectExpr("label_idx", f"explode(sequence(0, {bins - 1})) AS bin", "0L AS count")
+    merged = counts.unionByName(grid).groupBy("label_idx", "bin").agg(F.sum("count").alias("count"))
+    label_names = X.array_of([X.lit(n) for n in names])
+    return merged.join(F.broadcast(ranges), "label_idx").selectExpr(
+        "label_idx", f"{label_names}[label_idx] AS label", "bin", "CAST(bin AS DOUBLE) * step + lo2 AS bin_lo",
+        f"CASE WHEN bin = {bins - 1} THEN hi2 ELSE CAST(bin + 1 AS DOUBLE) * step + lo2 END AS bin_hi", "count")
+
+
+def report_counts(ef: EvalFrame, t=0.5, op: str = "gt",
+                  thresholds: Sequence[float] = DEFAULT_THRESHOLDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What every counted section of a report needs, from one scan and one aggregate, written once.
+
+    Each row gives K score cells and its exact-match bit (as ``auc``), the sorted thresholds at which it is
+    wholly right, and its pair of predicted and true vectors; all are counted together, combined in the scan
+    tasks.  Returns (label_idx, p, pos, neg), (x1, x2, cnt) and (y_pred, y_true, copies)."""
+    ef.require_truth()
+    ts = per_label(t, ef.k)
+    lo, hi = _row_bounds(ef)
+    a, b = _right_between(lo, hi, sorted({float(x) for x in thresholds}), op == "ge")
+    one = X.named_struct([("label_idx", "0"), ("p", "0.0D"), ("pos", "1L"), ("neg", "0L")])
+
+    def record(part, v=one, x1="0", x2="0", pred="CAST(NULL AS ARRAY<INT>)", true="CAST(NULL AS ARRAY<INT>)"):
+        return X.named_struct([("part", X.lit(part)), ("v", v), ("x1", x1), ("x2", x2), ("y_pred", pred), ("y_true", true)])
+    records = [record("scores", c) for c in (*auc_ops.truth_cells(ef), auc_ops.exact_cell(ef, ts, op))]
+    records += [record("rows", x1=a, x2=b),
+                record("vectors", pred=X.binarize("score", ef.k, ts, op), true=X.ident("y_true"))]
+    spark = ef.df.sparkSession
+    path = scratch_path(spark, "report-counts")
+    (ef.df.select(X.inline_rows(records)).select("part", "v.*", "x1", "x2", "y_pred", "y_true")
+     .groupBy("part", "label_idx", "p", "x1", "x2", "y_pred", "y_true")
+     .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).write.partitionBy("part").parquet(path))
+    whole = spark.read.schema("label_idx int, p double, x1 int, x2 int, y_pred array<int>, y_true array<int>, "
+                              "pos long, neg long, part string").parquet(path)
+    part = {name: whole.filter(F.col("part") == name) for name in ("scores", "rows", "vectors")}
+    return (part["scores"].select("label_idx", "p", "pos", "neg"),
+            part["rows"].select("x1", "x2", F.col("pos").alias("cnt")),
+            part["vectors"].select("y_pred", "y_true", F.col("pos").alias("copies")))
+
+
 def evaluation_report(ef: EvalFrame, path: str, t=0.5, op: str = "gt",
                       thresholds: Sequence[float] = DEFAULT_THRESHOLDS, hard_n: int = 20,
                       bins: int = 50) -> DataFrame:
     """Every section of the evaluation written under ``path``.
 
-    Nothing of data size is kept: confusion and report are projections of one
-    written row of counts, overall and per-label come with the AUC's aggregate,
-    and the best threshold is read from the written sweep.  Every section is at
-    most K*bins rows except the detailed predictions, which the executors write
-    directly.  Returns (section, path) of the written sections."""
+    The frame is read three times: once for the counts from which all counted
+    sections are cut (``report_counts``), once for the hard examples and once for the
+    detailed predictions, which the executors write directly.  Returns (section, path)
+    of the written sections."""
     from ..sources.reports import read_section, write_detailed_predictions, write_report, write_text_report
 
     spark = ef.df.sparkSession
-    ev.counts_row(ef, t, op).write.mode("overwrite").parquet(f"{path}/counts")
+    scores, rows, vectors = report_counts(ef, t, op, thresholds)
+    row = ev.counts_row(ef.with_df(vectors), t, op, pred_col="y_pred", weight="copies")
+    row.write.mode("overwrite").parquet(f"{path}/counts")
     row = spark.read.parquet(f"{path}/counts")
+    sums_at = scratch_path(spark, "report-sums")
+    auc_ops.sums_of_counts(scores, per_label(t, ef.k), op).write.parquet(sums_at)
+    sums = spark.read.parquet(sums_at)
+    rank = X.count_below("p", sorted({float(x) for x in thresholds}), op == "ge")
+    cells = scores.filter("label_idx >= 0").selectExpr(
+        "label_idx AS kind", f"{rank} AS x2", "inline(array(named_struct('x1', 1, 'cnt', pos), named_struct('x1', 0, 'cnt', neg)))")
+    small = cells.unionByName(rows.withColumn("kind", F.lit(-1))).groupBy("kind", "x1", "x2").agg(F.sum("cnt").alias("cnt"))
+    predicted = vectors.groupBy("y_pred").agg(F.sum("copies").alias("copies")).withColumnRenamed("y_pred", "vec")
+    sets = predicted.select(F.expr(X.vector_key("vec", ef.k)).alias("vector"), F.col("copies").alias("count"))
     report = ev.classification_report(ef, t, op, row=row)
-    written = write_report({
-        "overall": ev.overall_metrics(ef, t, op),
-        "per_label": per_label_report(ef, t, op),
+    sections = {
+        "overall": ev.overall_metrics(ef, t, op, sums=sums),
+        "per_label": per_label_report(ef, t, op, sums=sums),
         "confusion": ev.confusion(ef, t, op, row=row),
         "classification_report": report,
-        "threshold_sweep": threshold_sweep(ef, thresholds, op),
-        "prediction_distribution": prediction_distribution(ef, t, op),
-        "top_label_combinations": label_combinations(ef, t, op),
+        "threshold_sweep": sweep_of_counts(small, ef.k, thresholds),
+        "prediction_distribution": distribution_of_vectors(predicted, ef.names),
+        "top_label_combinations": ranked_combinations(sets, sets.agg(F.sum("count").alias("count")), ef.names),
         "hard_examples": hard_examples(ef, hard_n, text="text" in ef.df.columns),
-        "score_histogram": score_histogram(ef, bins),
-    }, path)
-    written += write_report({"best_threshold": best_threshold(read_section(spark, path, "threshold_sweep"))}, path)
-    written += write_report({"per_label_csv": read_section(spark, path, "per_label")}, path, "csv")
+        "score_histogram": histogram_of_counts(scores, ef.names, bins),
+    }
+    written = write_report(sections, path)
+    again = {n: read_section(spark, path, n, schema=sections[n].schema) for n in ("threshold_sweep", "per_label")}
+    written += write_report({"best_threshold": best_threshold(again["threshold_sweep"])}, path)
+    written += write_report({"per_label_csv": again["per_label"]}, path, "csv")
     write_text_report(report, f"{path}/report_text")
     write_detailed_predictions(ef, f"{path}/detailed_predictions", t, op)
     return spark.createDataFrame(written, "section string, path string")

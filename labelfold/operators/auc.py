@@ -56,13 +56,17 @@ def label_sums(ef: EvalFrame, t=0.5, op: str = "gt", partitions: int | None = No
     ts = per_label(t, ef.k)
     cells = truth_cells(ef)
     if exact:
-        y = [X.elem("y_true", i) for i in range(ef.k)]
-        same = X.all_of([f"{X.as_int(X.above(X.elem('score', i), ts[i], op))} = {y[i]}" for i in range(ef.k)])
-        cells.append(X.named_struct([("label_idx", X.lit(EXACT)), ("p", "0.0D"), ("pos", f"CAST({same} AS BIGINT)"),
-                                     ("neg", f"CAST(NOT {same} AS BIGINT)")]))
+        cells.append(exact_cell(ef, ts, op))
     return sums_of_cells(ef.df.select(X.inline_rows(cells)), ts, op, partitions)
 
 
+def exact_cell(ef: EvalFrame, ts: list, op: str) -> str:
+    """SQL text of a row's struct under label ``EXACT``."""
+    same = X.all_of([f"{X.as_int(X.above(X.elem('score', i), ts[i], op))} = {X.elem('y_true', i)}" for i in range(ef.k)])
+    return X.named_struct([("label_idx", X.lit(EXACT)), ("p", "0.0D"), ("pos", f"CAST({same} AS BIGINT)"),
+                           ("neg", f"CAST(NOT {same} AS BIGINT)")])
+
+
 def truth_cells(ef: EvalFrame) -> list[str]:
     """SQL text of a row's (label_idx, p, pos, neg) structs, one per label."""
     y = [X.elem("y_true", i) for i in range(ef.k)]
@@ -98,10 +102,15 @@ def with_buckets(counts: DataFrame, buckets: int | None = None) -> DataFrame:
 
 def sums_of_cells(cells: DataFrame, ts: list, op: str = "gt", partitions: int | None = None) -> DataFrame:
     """``label_sums`` of (label_idx, p, pos, neg) rows, of which several may share a key."""
+    return sums_of_counts(written_counts(cells), ts, op, partitions)
+
+
+def sums_of_counts(counts: DataFrame, ts: list, op: str = "gt", partitions: int | None = None) -> DataFrame:
+    """``label_sums`` of written counts, one row per label and distinct score."""
     limit = X.array_of([X.lit(float(t)) for t in ts])
     hit = f"(label_idx >= 0 AND p {'>' if op == 'gt' else '>='} {limit}[greatest(label_idx, 0)])"
     below = Window.partitionBy("label_idx", "bucket").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = with_buckets(written_counts(cells), partitions).withColumn("below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    ranked = with_buckets(counts, partitions).withColumn("below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     sums = ranked.groupBy("label_idx", "bucket").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
         F.expr(f"sum(CASE WHEN {hit} THEN pos ELSE 0 END)").alias("tp"),

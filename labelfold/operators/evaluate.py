@@ -33,31 +33,34 @@ def _row_terms(ef: EvalFrame, t, op: str, pred_col: str | None = None):
     return h, y
 
 
-def counts_row(ef: EvalFrame, t=0.5, op: str = "gt", pred_col: str | None = None) -> DataFrame:
+def counts_row(ef: EvalFrame, t=0.5, op: str = "gt", pred_col: str | None = None,
+               weight: str = "1") -> DataFrame:
     """One row: n, per label tp/fp/fn/tn, exact-match count, sample sums.
 
     ``pred_col`` names a precomputed 0/1 vector to evaluate instead of
-    thresholding the scores (the reference's call without scores).
+    thresholding the scores (the reference's call without scores).  ``weight`` is
+    SQL text of how many rows a row stands for.
     """
     ef.require_truth()
     h, y = _row_terms(ef, t, op, pred_col)
-    aggs = ["count(1) AS n"]
+
+    def rows_with(cond: str) -> str:
+        return f"count_if({cond})" if weight == "1" else f"coalesce(sum(CASE WHEN {cond} THEN {weight} ELSE 0 END), 0)"
+    aggs = [f"{rows_with('true')} AS n"]
     for i in range(ef.k):
         aggs += [
-            f"count_if(({h[i]}) = 1 AND ({y[i]}) = 1) AS tp_{i}",
-            f"count_if(({h[i]}) = 1 AND ({y[i]}) = 0) AS fp_{i}",
-            f"count_if(({h[i]}) = 0 AND ({y[i]}) = 1) AS fn_{i}",
-            f"count_if(({h[i]}) = 0 AND ({y[i]}) = 0) AS tn_{i}",
+            f"{rows_with(f'({h[i]}) = {a} AND ({y[i]}) = {b}')} AS {m}_{i}"
+            for m, a, b in (("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1), ("tn", 0, 0))
         ]
     exact = X.all_of([f"({h[i]}) = ({y[i]})" for i in range(ef.k)])
     inter = X.fsum([f"({h[i]}) * ({y[i]})" for i in range(ef.k)])
     nh = X.fsum(h)
     ny = X.fsum(y)
     aggs += [
-        f"count_if({exact}) AS exact",
-        f"sum({X.safe_div(inter, nh)}) AS s_precision",
-        f"sum({X.safe_div(inter, ny)}) AS s_recall",
-        f"sum({X.safe_div(f'2 * {inter}', f'{nh} + {ny}')}) AS s_f1",
+        f"{rows_with(exact)} AS exact",
+        f"sum({X.safe_div(inter, nh)} * {weight}) AS s_precision",
+        f"sum({X.safe_div(inter, ny)} * {weight}) AS s_recall",
+        f"sum({X.safe_div(f'2 * {inter}', f'{nh} + {ny}')} * {weight}) AS s_f1",
     ]
     return ef.df.agg(*[F.expr(a) for a in aggs])
 
@@ -156,13 +159,14 @@ def overall_columns(k: int) -> dict:
 
 
 def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
-                    auc_partitions: int | None = None, pred_col: str | None = None) -> DataFrame:
+                    auc_partitions: int | None = None, pred_col: str | None = None,
+                    sums: DataFrame | None = None) -> DataFrame:
     """E10 overall row: exact match, subset accuracy, Hamming, macro/micro P/R/F1,
     macro AUC (a null per-label AUC counts as 0.5) and the AUC of every label.
 
     With AUC, everything comes from the AUC plan's table of K + 1 sums, so the
     data is exchanged once.  With ``pred_col`` (a given 0/1 prediction vector,
-    S16) there are no scores, so the AUCs are null."""
+    S16) there are no scores, so the AUCs are null.  ``sums`` gives that table."""
     cols = overall_columns(ef.k)
     if pred_col is not None:
         return counts_row(ef, t, op, pred_col).selectExpr(
@@ -171,7 +175,8 @@ def overall_metrics(ef: EvalFrame, t=0.5, op: str = "gt", with_auc: bool = True,
     if not with_auc:
         return counts_row(ef, t, op).selectExpr(*[f"{c} AS {n}" for n, c in cols.items()])
     from .auc import AUC_SQL, EXACT, label_sums
-    sums = label_sums(ef, t, op, auc_partitions, exact=True).selectExpr("*", f"{AUC_SQL} AS auc")
+    sums = label_sums(ef, t, op, auc_partitions, exact=True) if sums is None else sums
+    sums = sums.selectExpr("*", f"{AUC_SQL} AS auc")
     at = lambda i, e: f"coalesce(max(CASE WHEN label_idx = {i} THEN {e} END), 0)"
     aggs = [f"{at(EXACT, 'n_pos')} AS exact", f"{at(EXACT, 'n_pos + n_neg')} AS n"]
     for i in range(ef.k):

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext as X
 from .ordering import chunked_fold, global_index
+from ..sources.committed import append_batch, read_committed
 
 # Default early-stopping parameters of the reference trainer.
 DEFAULT_PATIENCE = 3
@@ -45,6 +46,22 @@ def read_run_log(spark, path: str, metrics: list | None = None) -> DataFrame:
     return log if metrics is None else log.filter(F.col("metric").isin(list(metrics)))
 
 
+RUN_LOG = "run_id long, step long, metric string, value double"
+
+
+def append_run_batch(log: DataFrame, path: str, batch: int) -> None:
+    """append a batch of records that is there whole or not at all, and once however often it is
+    written (``sources.committed``)."""
+    rows = log.select("run_id", "step", "metric", F.col("value").cast("double").alias("value"))
+    append_batch(rows.sortWithinPartitions("run_id", "step"), path, batch)
+
+
+def read_run_batches(spark, path: str, metrics: list | None = None) -> DataFrame:
+    """the records of all committed batches."""
+    log = read_committed(spark, path, RUN_LOG).drop("batch")
+    return log if metrics is None else log.filter(F.col("metric").isin(list(metrics)))
+
+
 # --- F2, F4 ------------------------------------------------------------------------
 
 SALTS = 32  # parts a run's rows are dealt into where they meet the run's best row

@@ -1190,4 +1190,4 @@ def q_merged_training_curves(spark, sf):
     return rn.training_curves(h)
 
 
-from . import catalog_fits, catalog_live, catalog_tuning  # noqa: E402,F401
+from . import catalog_batches, catalog_fits, catalog_live, catalog_tuning  # noqa: E402,F401

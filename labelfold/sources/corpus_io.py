@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dictionary import LabelDictionary, dictionary_from_info
+from .committed import append_batch
 from .split_csv import read_quoted_csv
 
 CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -95,6 +96,12 @@ def write_labeled(df: DataFrame, path: str, fmt: str = "parquet", split_col: str
         w.format(fmt).save(path)
 
 
+def append_labeled(df: DataFrame, path: str, batch: int, split_col: str = "split") -> None:
+    """A5 for a growing corpus: a batch of the wide frame, partitioned by split, that is there whole or not at
+    all and once however often it is written; ``committed.read_committed`` reads it."""
+    append_batch(df, path, batch, (split_col,))
+
+
 def write_label_list(df: DataFrame, labels: LabelDictionary, path: str, fmt: str = "csv",
                      keep=("text",), split_col: str | None = "split", mode: str = "overwrite") -> None:
     """The array form; CSV stores the list as text."""

@@ -43,33 +43,25 @@ def read_detailed_predictions(spark: SparkSession, path: str, schema: str) -> Da
     return spark.read.schema(schema).options(**CSV_READ).csv(path)
 
 
-#: Most rows a report section may have: sections are written as one file.
-SECTION_ROWS = 100_000
-
-
 def write_report(sections: dict, path: str, fmt: str = "json") -> list:
-    """One small table per section; returns (section, path) pairs.
-
-    A section is one file, so a table that is not small is refused."""
+    """One folder per section, whatever its size; returns (section, path) pairs."""
     written = []
     for name, df in sections.items():
         target = f"{path}/{name}"
-        small = df.limit(SECTION_ROWS + 1).coalesce(1)
-        w = small.write.mode("overwrite")
+        w = df.write.mode("overwrite")
         if fmt == "csv":
             w.options(**CSV_WRITE).csv(target)
         else:
             w.json(target)
-        if read_section(df.sparkSession, path, name, fmt).count() > SECTION_ROWS:
-            raise ValueError(f"section {name!r} has more than {SECTION_ROWS} rows")
         written.append((name, target))
     return written
 
 
-def read_section(spark: SparkSession, path: str, name: str, fmt: str = "json") -> DataFrame:
-    """One written section (small, so its types are inferred)."""
+def read_section(spark: SparkSession, path: str, name: str, fmt: str = "json", schema=None) -> DataFrame:
+    """One written section; its types are inferred unless ``schema`` gives them (an empty section has none)."""
     target = f"{path}/{name}"
-    return spark.read.options(**CSV_READ).csv(target) if fmt == "csv" else spark.read.json(target)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.options(**CSV_READ).csv(target) if fmt == "csv" else reader.json(target)
 
 
 def write_text_report(report: DataFrame, path: str) -> None:
