@@ -20,10 +20,15 @@ of one widened chunk; there is no shuffle.
 Defined results: a null text is empty: 0 bytes and 0 tokens; special strings in a
 text count as the library counts them (one token each); repeated rows are
 counted each; an empty table gives an empty table; other columns are never read.
+
+Both ways hold for byte-level vocabularies with the pattern of ``PATTERN`` and no normaliser.  The
+vocabulary's file is asked for that (``has_stable_boundaries``); with any other one, and with a
+sentencepiece ``.model``, every text is encoded whole by its library.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 
@@ -53,6 +58,29 @@ def _tokenizer(path: str):
     return t
 
 
+@lru_cache(maxsize=4)
+def _sentences(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+@lru_cache(maxsize=4)
+def has_stable_boundaries(path: str) -> bool:
+    """Whether the splice and the word sums give what the library gives, by the vocabulary's own file."""
+    if path.endswith(".model"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    pre, model = d.get("pre_tokenizer") or {}, d["model"]
+    added = d.get("added_tokens") or []
+    return (not d.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
+            and pre.get("use_regex", True) and model.get("type", "BPE") == "BPE" and not model.get("dropout")
+            and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+            and not any(re.search(r"\s", a["content"]) or a.get("lstrip") or a.get("rstrip") or a.get("single_word")
+                        for a in added))
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -168,8 +196,25 @@ class WordCounts:
         return [n + sum(map(own.__getitem__, p[1:])) for n, p in zip(out, parts)]
 
 
+def _whole(path: str, texts: list[str]) -> list[int]:
+    """Token counts by the library alone, a few texts at a time."""
+    out = []
+    for k in range(0, len(texts), 64):
+        part = texts[k:k + 64]
+        if path.endswith(".model"):
+            out += map(len, _sentences(path).encode(part, num_threads=1))
+        else:
+            out += [len(e) for e in _tokenizer(path).encode_batch(part, add_special_tokens=False)]
+    return out
+
+
 def _count(path: str, id_col: str, chunk: int, overlap: int):
     def run(batches):
+        if not has_stable_boundaries(path):
+            for df in batches:
+                counts = np.array(_whole(path, df["text"].tolist()), dtype=np.int64)
+                yield pd.DataFrame({id_col: df[id_col], "n_bytes": df["n_bytes"], "n_tokens": counts})
+            return
         words = WordCounts(_tokenizer(path))
         for df in batches:
             texts, counts = df["text"].tolist(), np.zeros(len(df), dtype=np.int64)

@@ -54,3 +54,21 @@ def test_a_full_table_of_words_is_refilled():
     for t in texts:
         assert small.count([t]) == [len(whole(t))]
         assert len(small.seen) <= 50
+
+
+def test_other_vocabularies_are_encoded_whole(spark):
+    """Lower-casing, word ends, sentencepiece: what the splice doesn't hold for goes to the library."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+    assert tc.has_stable_boundaries(tc.vocabulary_path())
+    texts = ["", "Hello  World foo", "a" * 500, "don't  STOP <|endoftext|> now " * 40, "日本語 テキスト " * 30]
+    d = spark.createDataFrame(list(enumerate(texts)) + [(9, None)], "doc_id long, text string")
+    t = Tokenizer.from_file(tc.vocabulary_path("word_bpe_49k.json"))
+    t.no_truncation()
+    s = sentencepiece.SentencePieceProcessor(model_file=tc.vocabulary_path("piece_bpe_32k.model"))
+    for name, library in (("word_bpe_49k.json", lambda x: len(t.encode(x, add_special_tokens=False).ids)),
+                          ("piece_bpe_32k.model", lambda x: len(s.encode(x)))):
+        path = tc.vocabulary_path(name)
+        assert not tc.has_stable_boundaries(path)
+        got = {r.doc_id: r.n_tokens for r in tc.count_tokens(d, vocabulary=path, chunk=100, overlap=8).collect()}
+        assert got == {**{i: library(x) for i, x in enumerate(texts)}, 9: library("")}
