@@ -19,6 +19,10 @@ footer's seek table gives the same places to readers without the index (``read_r
 A URL stands in its header as given.  One with a line break, which a header can't hold, is
 percent-encoded whole (percent signs and line breaks) and marked by ``WARC-X-URI-Encoded``.
 
+A record's id is its page's id and payload digest; records that nothing refers to (revisits, pages without
+an id) carry their place too.  So only pages that repeat both id and payload of a response share an id,
+and what refers to it finds the same payload in each.
+
 Defined results: a null html is an empty payload; a null id or URL leaves its
 header out and reads back as null; null ids sort before all others; pages that
 repeat the largest id of a group are all responses; an empty table gives no
@@ -48,10 +52,18 @@ INDEX = ("page_id long, bundle string, frame long, frame_at long, frame_size lon
 RECORD = ("page_id long, url string, record_type string, refers_to long, payload binary, digest string")
 
 
-def record_bytes(page_id, url, payload: bytes, refers_to, revisit: bool) -> bytes:
+def record_name(page_id, payload: bytes, place: str = "") -> str:
+    """A record's id: the page's id and its payload's SHA-256, which a revisit can tell of its response too, and
+    the place of records that nothing refers to."""
+    page = "" if page_id is None else page_id
+    return f"<urn:page:{page}:{hashlib.sha256(payload).hexdigest()}{place and ':' + place}>"
+
+
+def record_bytes(page_id, url, payload: bytes, refers_to, revisit: bool, place: str = "") -> bytes:
+    """``place`` (bundle and number in it) tells records without a page id, and revisits, apart."""
     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-            f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+            "WARC-Record-ID: " + record_name(page_id, payload, place if revisit or page_id is None else ""),
             "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
     if url is not None:
         if "\r" in url or "\n" in url:
@@ -60,7 +72,7 @@ def record_bytes(page_id, url, payload: bytes, refers_to, revisit: bool) -> byte
         head.append("WARC-Target-URI: " + url)
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"WARC-Refers-To: <urn:page:{refers_to}>"]
+                 "WARC-Refers-To: " + record_name(refers_to, payload)]
         payload = b""
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
@@ -69,7 +81,8 @@ def record_bytes(page_id, url, payload: bytes, refers_to, revisit: bool) -> byte
 def parse_record(raw: bytes) -> dict:
     head, _, rest = raw.partition(b"\r\n\r\n")
     f = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    number = lambda v: int(v[len("<urn:page:"):-1]) if v and v != "<urn:page:>" else None
+    page = lambda v: (v or "<urn:page::>").split(":")[2]
+    number = lambda v: int(page(v)) if page(v) else None
     url = f.get("WARC-Target-URI")
     if url is not None and "WARC-X-URI-Encoded" in f:
         url = url.replace("%0D", "\r").replace("%0A", "\n").replace("%25", "%")
@@ -93,6 +106,12 @@ class BundleWriter:
         self.f = fs.open_output_stream(f"{path}/{self.name}", compression=None)
         self.z = zstandard.ZstdCompressor(level=3)
         self.frames, self.at, self.raw, self.size, self.open = [], 0, [], 0, []
+        self.records = 0
+
+    def place(self) -> str:
+        """Where the next record will stand, as its id tells it."""
+        self.records += 1
+        return f"{self.name[len('bundle-'):-len('.warc.zst')]}.{self.records}"
 
     def add(self, page_id, raw: bytes) -> list[tuple]:
         self.open.append((page_id, self.size, len(raw)))
@@ -159,7 +178,7 @@ def _write(at: str, frame_bytes: int, bundle_bytes: int):
                 if out is None:
                     out = BundleWriter(at, frame_bytes)
                 page, keep = (None if pd.isna(x) else int(x) for x in (r.page_id, r.refers_to))
-                rows += out.add(page, record_bytes(page, r.url, r.html.encode(), keep, r.revisit))
+                rows += out.add(page, record_bytes(page, r.url, r.html.encode(), keep, r.revisit, out.place()))
                 if out.at >= bundle_bytes:
                     rows += out.close()
                     out = None

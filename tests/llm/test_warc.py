@@ -73,3 +73,23 @@ def test_urls_stand_in_the_archive_as_given():
     for url in ("a\nb%0A", "a\r\nWARC-Type: fake%"):
         raw = w.record_bytes(1, url, b"x", None, False)
         assert w.parse_record(raw)["url"] == url and w.parse_record(raw)["record_type"] == "response"
+
+
+def test_record_ids(spark):
+    """Ids differ but for rows that repeat id and payload of a response; what a revisit names is its response's id."""
+    big = "x" * 1500
+    rows = [(1, "u", "a"), (1, "u", "b"), (None, "u", "a"), (None, "v", "a"), (2, "u", big), (3, "u", big), (3, "u", big), (None, "u", big)]
+    at, index = w.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    heads = []
+    for r in index.collect():
+        fs, path = w.filesystem(at)
+        with fs.open_input_file(f"{path}/{r.bundle}") as f:
+            f.seek(r.frame_at)
+            raw = w.zstandard.ZstdDecompressor().decompress(f.read(r.frame_size))[r.at:r.at + r.length]
+        heads.append(dict(x.split(": ", 1) for x in raw.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:]))
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(ids) == len(rows) and len(set(ids)) == len(rows) - 1  # page 3 stands there twice
+    response = {h["WARC-Record-ID"] for h in heads if h["WARC-Type"] == "response"}
+    named = [h["WARC-Refers-To"] for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(named) == 2 and set(named) <= response
+    assert len(set(ids) - response) == 2
