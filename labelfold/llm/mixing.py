@@ -10,9 +10,12 @@ slots to blocks on (source, block) yields what each document contributes.
 Scale: texts are read once for their sizes and never shuffled.  Offsets inside
 a source come from two sums (over hash buckets of a few thousand rows each,
 then inside a bucket), so a source with a third of all rows is never sorted by
-one task; slots and blocks meet on (source, block), which is unique per pass.
+one task; rows of equal id and size are counted before they are sorted, so null or
+equal ids are no hot bucket either.  Slots are written into the shared folder and meet
+the blocks by a shuffle on (source, block), which is unique per pass: both grow with the
+data, so neither is broadcast.  A task holds ``SLOT_ROWS`` slots at a time.
 The driver holds one row per source (at most ``max_sources``, else it fails)
-and one count per source and shard (at most ``MAX_SHARDS`` shards).
+and one count per source and shard (at most ``MAX_SHARDS`` shards, which grow beyond that).
 
 Defined results: a null text is empty and has size 0; a document of size 0
 is never taken; a null source is a source of its own, last in order; a repeated
@@ -33,6 +36,8 @@ from labelfold.llm.common import WORD, text_of, through_table
 
 #: Upper bound of output shards, and so of the driver's table of draws.
 MAX_SHARDS = 4096
+#: Slots a task makes at a time.
+SLOT_ROWS = 1 << 16
 
 
 def targets(sizes: list[int], weights=(5, 2, 1), share=Fraction(3, 2), stop: int = 2) -> list[Fraction]:
@@ -98,8 +103,8 @@ def permute(pos: np.ndarray, n: int, key: int) -> np.ndarray:
 def _slots(block: int, seed: int):
     def run(batches):
         for df in batches:
-            for d in df.itertuples(index=False):
-                r = np.arange(d.first, d.first + d.count, dtype=np.int64)
+            for d, part in ((d, p) for d in df.itertuples(index=False) for p in range(0, d.count, SLOT_ROWS)):
+                r = np.arange(d.first + part, d.first + min(d.count, part + SLOT_ROWS), dtype=np.int64)
                 whole, short = d.size // block, d.size % block
                 per_pass = whole + (short > 0)
                 turn, pos = r // per_pass, r % per_pass
@@ -111,7 +116,7 @@ def _slots(block: int, seed: int):
                 passes, rest = divmod(d.quota, d.size)
                 if rest:  # the last slot of a source may take a part of its block
                     take[r == passes * per_pass + -(-rest // block) - 1] = rest - (-(-rest // block) - 1) * block
-                yield pd.DataFrame({"shard": d.shard, "slot": np.arange(len(r)), "sid": d.sid,
+                yield pd.DataFrame({"shard": d.shard, "slot": part + np.arange(len(r)), "sid": d.sid,
                                     "block": index, "take": take})
     return run
 
@@ -141,22 +146,25 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     draws = spark.createDataFrame(
         [(sh, s, first, n, sizes[s], quota[s]) for sh, s, first, n in draw_shards(slots, shard_slots, seed)],
         "shard int, sid int, first long, count long, size long, quota long")
-    slots_df = draws.repartition("shard").mapInPandas(
-        _slots(block, seed), "shard int, slot long, sid int, block long, take long")
+    slots_df = through_table(draws.repartition("shard").mapInPandas(
+        _slots(block, seed), "shard int, slot long, sid int, block long, take long"), "mix-slots")
 
     buckets = max(1, -(-sum(int(r.rows) for r in stats) // bucket_rows))
     d = (sized.join(F.broadcast(sources.select("sid", F.col("source").alias("name"))),
                     F.col("source").eqNullSafe(F.col("name")))
          .select("id", "size", "sid", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(buckets)).alias("bucket")))
-    before = (d.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
+    alike = d.groupBy("sid", "bucket", "id", "size").agg(F.count(F.lit(1)).alias("copies"))
+    before = (alike.groupBy("sid", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
               .select("sid", "bucket", (F.sum("words").over(
                   Window.partitionBy("sid").orderBy("bucket")) - F.col("words")).alias("start")))
     inside = Window.partitionBy("sid", "bucket").orderBy("id", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    placed = (d.withColumn("upto", F.sum("size").over(inside)).join(before, ["sid", "bucket"])
-              .select("id", "size", "sid", (F.col("start") + F.col("upto") - F.col("size")).alias("off")))
+    placed = (alike.filter("size > 0").withColumn("upto", F.sum(F.col("size") * F.col("copies")).over(inside))
+              .join(before, ["sid", "bucket"])
+              .withColumn("back", F.explode(F.sequence(F.col("copies"), F.lit(1), F.lit(-1))))
+              .select("id", "size", "sid", (F.col("start") + F.col("upto") - F.col("size") * F.col("back")).alias("off")))
     first, last = F.expr(f"off div {block}"), F.expr(f"(off + size - 1) div {block}")
-    pieces = (placed.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
+    pieces = (placed.withColumn("block", F.explode(F.sequence(first, last)))
               .withColumn("begin", F.greatest("off", F.col("block") * block) - F.col("block") * block)
               .withColumn("end", F.least(F.col("off") + F.col("size"), (F.col("block") + 1) * block)
                           - F.col("block") * block))
@@ -167,7 +175,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per document: id, size, source_size, target, taken."""
     plan = mix_plan(docs, id_col, **options)
-    got = (plan["pieces"].join(plan["slots"].select("sid", "block", "take"), ["sid", "block"], "left")
+    got = (plan["pieces"].join(plan["slots"].select("sid", "block", "take").hint("merge"), ["sid", "block"], "left")
            .withColumn("words", F.greatest(F.least("end", "take") - F.col("begin"), F.lit(0)))
            .withColumn("words", F.when(F.col("take").isNull(), F.lit(0)).otherwise(F.col("words"))))
     per_doc = (got.groupBy("sid", "off", "id", "size").agg(F.sum("words").alias("taken")).drop("off")

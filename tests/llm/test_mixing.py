@@ -2,7 +2,9 @@ from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 
+from labelfold.llm import mixing
 from labelfold.llm.mixing import draw_shards, mix_plan, mix_sources, permute, targets
 
 
@@ -68,6 +70,26 @@ def test_every_slot_is_a_block_at_most_twice(spark):
     assert max(seen.values()) <= 2 and len(shards) > 3
 
 
+def test_repeated_and_null_ids_fill_blocks_of_their_own(spark):
+    rows = [(None, "a b c", "s")] * 700 + [(7, "a b c d", "s")] * 300 + [(i, "x " * (i % 9), "s") for i in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mix_plan(d, block=16, bucket_rows=50)
+    words = sorted((p.block * 16 + p.begin, p.block * 16 + p.end) for p in plan["pieces"].collect())
+    assert [a for a, _ in words] == [0] + [b for _, b in words][:-1]  # no gap, no overlap
+    assert words[-1][1] == sum(len(t.split()) for _, t, _ in rows)
+    got = mix_sources(d, block=16, bucket_rows=50).collect()
+    assert len(got) == len(rows) and all(r.taken <= 2 * r.size for r in got)
+    assert sum(r.taken for r in got) == round(got[0].target)
+
+
+def test_slots_are_made_in_parts(monkeypatch):
+    parts = [pd.DataFrame([(0, 0, 0, 50, 900, 1300)], columns=["shard", "sid", "first", "count", "size", "quota"])]
+    whole = next(mixing._slots(16, 20)(iter(parts)))
+    monkeypatch.setattr(mixing, "SLOT_ROWS", 7)
+    cut = list(mixing._slots(16, 20)(iter(parts)))
+    assert len(cut) == 8 and [tuple(r) for p in cut for r in p.itertuples(index=False)] == list(whole.itertuples(index=False, name=None))
+
+
 def test_odd_rows(odd_docs):
     rows = mix_sources(odd_docs).collect()
     assert len(rows) == odd_docs.count()
