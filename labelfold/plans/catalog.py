@@ -780,7 +780,7 @@ def q_fit_linear_head_weighted_bce(spark, sf):
 
 # --- A1-A9: sources and sinks (round trips through the shared folder) ----------------------
 
-from ..session import scratch_path  # noqa: E402
+from ..session import scratch_path, stream_table  # noqa: E402
 from ..sources import corpus_io as io  # noqa: E402
 from ..sources import reports as rp  # noqa: E402
 
@@ -921,9 +921,7 @@ from ..streaming import scoring_stream as ss  # noqa: E402
           "GROUP BY sv.vec_id, th.threshold")
 def q_score_stream(spark, sf):
     weights, bias = B.centroid_head(spark, sf)
-    src = f"{sf}/embeddings.parquet"
-    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
-              .option("pathGlobFilter", "embeddings.parquet").parquet(sf)
+    stream = (stream_table(spark, sf, "embeddings")
               .select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("features"),
                       ((F.col("vec_id") % 12).cast("double") / F.lit(10.0)).alias("threshold")))
 
@@ -954,9 +952,7 @@ REQUEST_TEXT = "CASE WHEN doc_id % 11 = 0 THEN '   ' WHEN doc_id % 13 = 0 THEN N
           "WHEN regexp_full_match(text, '\\s*') THEN 'text_blank' ELSE 'threshold_out_of_range' END AS reason FROM r "
           "WHERE text IS NULL OR len(text) < 1 OR len(text) > 4000 OR regexp_full_match(text, '\\s*') OR t > 1.0::DOUBLE")
 def q_score_stream_rejected(spark, sf):
-    src = f"{sf}/documents.parquet"
-    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
-              .option("pathGlobFilter", "documents.parquet").parquet(sf)
+    stream = (stream_table(spark, sf, "documents")
               .selectExpr("doc_id", f"{REQUEST_TEXT} AS text",
                           "CASE WHEN doc_id % 7 <> 0 THEN CAST(doc_id % 14 AS DOUBLE) / 10.0D END AS threshold"))
     acc, rej = scratch_path(spark, "requests-accepted"), scratch_path(spark, "requests-rejected")
@@ -968,9 +964,7 @@ def q_score_stream_rejected(spark, sf):
 
 @register("recent_history_clear_stream", ORACLE["recent_history_clear"])
 def q_recent_history_clear_stream(spark, sf):
-    src = f"{sf}/events.parquet"
-    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
-              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    stream = stream_table(spark, sf, "events")
     sink = scratch_path(spark, "history-clear-sink")
     q = hs.recent_history_stream(stream, sink, scratch_path(spark, "history-clear-ckpt"),
                                  clear_type=B.CLEAR_EVENT)
@@ -980,9 +974,7 @@ def q_recent_history_clear_stream(spark, sf):
 
 @register("recent_history_stream", ORACLE["recent_history"])
 def q_recent_history_stream(spark, sf):
-    src = f"{sf}/events.parquet"
-    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
-              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    stream = stream_table(spark, sf, "events")
     sink = scratch_path(spark, "history-sink")
     q = hs.recent_history_stream(stream, sink, scratch_path(spark, "history-ckpt"))
     q.awaitTermination()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import incremental as inc
 from ..operators import runs as rn
-from ..session import scratch_path
+from ..session import scratch_path, stream_table
 from ..streaming import early_stopping as es
 from . import bindings as B
 from .catalog import ORACLE, _early_stop_sql, register
@@ -37,9 +37,7 @@ def q_incremental_class_weights(spark, sf):
           + _early_stop_sql("eval_f1", rn.DEFAULT_PATIENCE, rn.DEFAULT_MIN_DELTA) + ") WHERE stopped = 1")
 def q_early_stop_stream(spark, sf):
     """The run log as a stream of event records; every run that stops is told once."""
-    src = f"{sf}/events.parquet"
-    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
-              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    stream = stream_table(spark, sf, "events")
     kinds = F.create_map(*[F.lit(x) for kv in B.RUN_METRICS.items() for x in kv])
     log = stream.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("step"),
                         kinds[F.col("event_type")].alias("metric"), "value")

@@ -132,3 +132,15 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream of its files.  A table may be a folder of part files, which is streamed
+    as it is, or one file, which a file source reads only through its folder."""
+    src = table_path(sf_dir, name)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(src)
+    status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+    reader = spark.readStream.schema(spark.read.parquet(src).schema)
+    if status.isDirectory():
+        return reader.parquet(src)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)

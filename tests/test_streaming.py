@@ -65,3 +65,34 @@ def test_history_clear_stream_matches_batch(spark):
                                     clear="event_type = 'signup'").collect())
     assert got == want
     assert [e for u, _, e in got if u == 1] == [401, 204, 203] and not [1 for u, _, _ in got if u == 2]
+
+
+def test_queries_stream_tables_that_are_folders(spark):
+    """A table as a folder of part files gives what the same rows as one file give, and no file of another table."""
+    import pytest
+    from pyspark.sql import functions as F
+    from labelfold.plans.catalog_live import q_early_stop_stream
+    from labelfold.plans import catalog as c
+
+    emb = spark.createDataFrame([(i, [float(i % 3), 1.0, float(i % 7)], i % 10) for i in range(60)],
+                                "vec_id long, embedding array<float>, label int")
+    docs = spark.createDataFrame([(i, None if i % 5 == 0 else f"text {i}") for i in range(90)], "doc_id long, text string")
+    events = spark.createDataFrame(_events(0, 300, 4), SCHEMA).withColumn(
+        "event_type", F.when(F.col("event_id") % 9 == 0, "signup").otherwise(F.col("event_type")))
+    tables = {"embeddings": emb, "documents": docs, "events": events}
+    folders, files = scratch_path(spark, "tables"), scratch_path(spark, "tables")
+    for name, df in tables.items():
+        df.repartition(3).write.parquet(f"{folders}/{name}.parquet")
+        df.coalesce(1).write.parquet(f"{files}/parts/{name}")
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(files)
+        fs = root.getFileSystem(conf)
+        part = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{files}/parts/{name}/part-*"))[0].getPath()
+        fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{files}/{name}.parquet"))
+    for query, rows in ((c.q_score_stream, 1), (c.q_score_stream_rejected, 1), (c.q_recent_history_stream, 1),
+                        (c.q_recent_history_clear_stream, 1), (q_early_stop_stream, 0)):
+        a, b = [sorted(map(str, query(spark, d).collect())) for d in (folders, files)]
+        assert a == b and len(a) >= rows, query.__name__
+    assert c.q_score_stream(spark, folders).count() == 55  # vec_id % 12 = 11 is refused
+    with pytest.raises(Exception):
+        c.q_score_stream(spark, scratch_path(spark, "no-table"))
