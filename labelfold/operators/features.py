@@ -97,28 +97,37 @@ def text_features(df: DataFrame, dim: int = 1 << 18, text: str = "text", out: st
 TOKEN_GAP = r"[\x20\x09-\x0D]+"
 
 
-def tfidf_cells(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text") -> DataFrame:
-    """D2 in long form: (key, bucket, tf, tfidf) of every non-zero cell.
-
-    Buckets are the first 32 bits of a token's MD5 modulo ``dim``, a hash any
-    engine computes alike; idf = ln((n + 1) / (df + 1)).  Counts combine on
-    the map side; the bucket table joined back has at most ``dim`` rows."""
+def bucket_counts(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text") -> DataFrame:
+    """(key, bucket, tf) of every non-zero cell.  Buckets are the first 32 bits of a token's MD5
+    modulo ``dim``, a hash any engine computes alike; counts combine on the map side."""
     token = F.explode(F.split(F.lower(F.col(text)), TOKEN_GAP))
-    cells = (df.select(key, token.alias("t")).filter("t <> ''")
-             .select(key, F.expr(f"CAST(conv(substr(md5(t), 1, 8), 16, 10) AS BIGINT) % {dim}").alias("bucket"))
-             .groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("tf")))
-    df_of = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    return (df.select(key, token.alias("t")).filter("t <> ''")
+            .select(key, F.expr(f"CAST(conv(substr(md5(t), 1, 8), 16, 10) AS BIGINT) % {dim}").alias("bucket"))
+            .groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def weighted_counts(counts: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """(key, bucket, tf, tfidf) of the counts of a frame's texts, idf = ln((n + 1) / (df + 1)).
+
+    The counts are read twice: write them first where the texts are many.  The bucket table joined
+    back has at most ``dim`` rows."""
+    df_of = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
     n = df.agg(F.count(F.lit(1)).cast("double").alias("n"))
     # one row beside at most ``dim`` rows
     idf = df_of.join(F.broadcast(n)).select("bucket", F.expr("ln((n + 1D) / (df + 1D))").alias("idf"))
-    return cells.join(F.broadcast(idf), "bucket").select(key, "bucket", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    return counts.join(F.broadcast(idf), "bucket").select(key, "bucket", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
+def tfidf_cells(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text") -> DataFrame:
+    """D2 in long form: (key, bucket, tf, tfidf) of every non-zero cell."""
+    return weighted_counts(bucket_counts(df, key, dim, text), df, key)
 
 
-def tfidf_vectors(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text") -> DataFrame:
+def tfidf_vectors(df: DataFrame, key: str, dim: int = 1 << 18, text: str = "text", cells: DataFrame | None = None) -> DataFrame:
     """D2 as sparse rows: (key, indices array<int>, values array<double>), indices ascending.
 
-    The cells of ``tfidf_cells`` gathered per key; a row without tokens has empty arrays."""
-    cells = tfidf_cells(df, key, dim, text)
+    The cells of ``tfidf_cells`` (or those given) gathered per key; a row without tokens has empty arrays."""
+    cells = tfidf_cells(df, key, dim, text) if cells is None else cells
     packed = cells.groupBy(key).agg(F.sort_array(F.collect_list(
         F.struct(F.col("bucket").cast("int").alias("i"), F.col("tfidf").alias("v")))).alias("cells"))
     empty = F.array().cast("array<struct<i:int,v:double>>")

@@ -8,8 +8,12 @@ with the losses of the head fit (``bce``, ``weighted_bce`` with c = the positive
 on positives, ``focal``).  One pass over the data evaluates all labels that still move,
 each at its own trial point, so K fits cost as many passes as the slowest one.
 
-* The training rows are written once into the shared folder; a pass reads them through
-  Arrow, dense rows as one matrix per batch, sparse rows as flat (index, value) runs.
+* The training rows are written once into the shared folder; a pass reads dense rows through
+  Arrow as one matrix per batch.  Sparse rows are written a second time as blocks of at most
+  ``BLOCK`` entries (or one row), feature by feature: bytes that hold each entry's row and its value,
+  the value as a number among the block's different ones where these are few, so that a pass moves
+  some 4 bytes an entry and converts nothing.  A pass over blocks has as many tasks as the
+  cluster runs at a time, however many files there are: each gives a partial of K x d numbers.
 * Every partition gives one partial (loss, gradient, weights).  Partials are summed in
   groups of ``FAN`` neighbours, in the order of partitions, level by level, until at
   most ``FAN`` reach the driver: the sum's order is fixed, so a rerun gives the same bits,
@@ -28,6 +32,7 @@ The driver holds K x d numbers per stored pair, as any model of that size does.
 
 from __future__ import annotations
 
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,26 +45,102 @@ from .fit import cell_loss_grad
 MEMORY, FAN, ARMIJO, DAMPING = 20, 8, 1e-4, 0.125
 LOSSES = ("bce", "weighted_bce", "focal")
 PARTIAL = "part long, body binary"
+BLOCK, BLOCKS_PER_BATCH = 1 << 21, 4
+FEW = 1 << 16  # rows and different values of a block that two bytes number
+PACKED = "cols binary, starts binary, at binary, codes binary, vals binary, y_true binary"
+PACKED_TYPES = (np.int32, np.int32, np.uint16, np.uint16, np.float64, np.int32)
+
+
+def _column(batch, name):
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _dense_parts(batches):
+    """(truth, product with a d-vector, transposed product with a row vector, squares' product) of every Arrow batch."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = _column(batch, "features").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        y = _column(batch, "y_true").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        yield y, (lambda w, x=x: x @ w), (lambda g, x=x: g @ x), (lambda g, x=x: g @ (x * x))
+
+
+def _sparse_parts(batches, d: int, k: int):
+    """The same of every block of sparse rows with k labels."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            cols, starts, at, codes, values, y = (
+                np.frombuffer(_column(batch, name.split()[0])[i].as_buffer(), kind)
+                for name, kind in zip(PACKED.split(", "), PACKED_TYPES))
+            values, at, y = values[codes] if len(codes) else values, at.astype(np.intp), y.reshape(-1, k)
+            sizes = np.diff(starts, append=len(at))
+
+            def times(w, cols=cols, sizes=sizes, at=at, values=values, n=len(y)):
+                return np.bincount(at, values * np.repeat(w[cols], sizes), minlength=n)
+
+            def added(entries, cols=cols, starts=starts):
+                out = np.zeros(d)
+                if len(cols):
+                    out[cols] = np.add.reduceat(entries, starts)
+                return out
+
+            def back(g, at=at, values=values, added=added):
+                return added(values * g[at])
+
+            def squares(g, at=at, values=values, added=added):
+                return added(values * values * g[at])
+
+            yield y, times, back, squares
+
+
+def _pack(active: np.ndarray):
+    """Arrow batches of (indices, values, y_true) -> rows of PACKED, indices numbered among ``active``."""
+    def block(index, values, sizes, y):
+        at = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.argsort(index, kind="stable")
+        index, at, values = index[order], at[order], values[order]
+        starts = np.flatnonzero(np.diff(index, prepend=-1))
+        names, codes = np.unique(values, return_inverse=True)
+        if len(names) > FEW:
+            names, codes = values, codes[:0]
+        return index[starts], starts, at, codes, names, y
 
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            index = np.searchsorted(active, _column(batch, "indices").flatten().to_numpy(zero_copy_only=False))
+            values = _column(batch, "values").flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(_column(batch, "indices").offsets.to_numpy())
+            y = _column(batch, "y_true").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            ends, start = np.cumsum(sizes, dtype=np.int64), 0
+            while start < batch.num_rows:
+                at = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, min(start + FEW, int(np.searchsorted(ends, at + BLOCK, side="right"))))
+                to = int(ends[stop - 1])
+                parts = block(index[at:to], values[at:to], sizes[start:stop], y[start:stop])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([np.ascontiguousarray(p, kind).tobytes()], pa.binary()) for p, kind in zip(parts, PACKED_TYPES)],
+                    names=[c.split()[0] for c in PACKED.split(", ")])
+                start = stop
+    return run
 
-def _batch_products(batch, sparse: bool, d: int, active):
-    """(product with a d-vector, transposed product with a row vector, squares' product) of one Arrow batch."""
-    def column(name):
-        return batch.column(batch.schema.get_field_index(name))
 
-    values = column("values" if sparse else "features").flatten().to_numpy(zero_copy_only=False)
-    if not sparse:
-        x = values.reshape(batch.num_rows, d)
-        return (lambda w: x @ w), (lambda g: g @ x), (lambda g: g @ (x * x))
-    index = np.searchsorted(active, column("indices").flatten().to_numpy(zero_copy_only=False))
-    sizes = np.diff(column("indices").offsets.to_numpy())
-    row = np.repeat(np.arange(batch.num_rows), sizes)
-    return ((lambda w: np.bincount(row, values * w[index], minlength=batch.num_rows)),
-            (lambda g: np.bincount(index, values * g[row], minlength=d)),
-            (lambda g: np.bincount(index, values * values * g[row], minlength=d)))
+@contextmanager
+def _small_batches(spark):
+    """Blocks are large rows: few of them in one Arrow batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BLOCKS_PER_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
-def _partials(w, b, live, kind, pos_weights, alpha, gamma, sparse, active, curvature):
+def _partials(w, b, live, kind, pos_weights, alpha, gamma, sparse, curvature):
     """Arrow batches -> one row per partition: for every live label loss, weight, intercept and
     feature gradients (with ``curvature`` the weighted squares of the features instead)."""
     d = w.shape[1]
@@ -69,12 +150,7 @@ def _partials(w, b, live, kind, pos_weights, alpha, gamma, sparse, active, curva
         from pyspark import TaskContext
 
         total = np.zeros((len(live), d + 3))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            times, back, squares = _batch_products(batch, sparse, d, active)
-            truth = batch.column(batch.schema.get_field_index("y_true"))
-            y_all = truth.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        for y_all, times, back, squares in _sparse_parts(batches, d, len(w)) if sparse else _dense_parts(batches):
             for at, k in enumerate(live):
                 y = y_all[:, k].astype(float)
                 c = np.where(y == 1, pos_weights[k], 1.0) if kind == "weighted_bce" else np.ones(len(y))
@@ -129,8 +205,7 @@ class Objective:
     reg: float = 0.0
     alpha: float = 1.0
     gamma: float = 2.0
-    sparse: bool = False
-    active: np.ndarray | None = None  # of sparse rows: the indices that occur, ascending
+    sparse: bool = False  # the frame holds rows of PACKED
     passes: int = field(default=0, init=False)
 
     def __post_init__(self):
@@ -138,12 +213,16 @@ class Objective:
             raise ValueError(f"unknown loss {self.kind!r}")
         self.pos_weights = np.ones(self.k) if self.pos_weights is None else np.asarray(self.pos_weights, float)
         self.partitions = self.data.rdd.getNumPartitions()
+        if self.sparse:
+            self.partitions = min(self.partitions, self.data.sparkSession.sparkContext.defaultParallelism)
+            self.data = self.data.coalesce(self.partitions)
 
     def _sum(self, w, b, live, curvature=False):
         self.passes += 1
-        fn = _partials(w, b, tuple(live), self.kind, self.pos_weights, self.alpha, self.gamma, self.sparse, self.active,
-                       curvature)
-        return tree_sum(self.data.mapInArrow(fn, PARTIAL), self.partitions).reshape(len(live), self.d + 3)
+        fn = _partials(w, b, tuple(live), self.kind, self.pos_weights, self.alpha, self.gamma, self.sparse, curvature)
+        with _small_batches(self.data.sparkSession) if self.sparse else nullcontext():
+            total = tree_sum(self.data.mapInArrow(fn, PARTIAL), self.partitions)
+        return total.reshape(len(live), self.d + 3)
 
     def __call__(self, points: np.ndarray, live) -> tuple[np.ndarray, np.ndarray]:
         """Values and gradients at (K, d + 1) points (the intercept last) of the live labels."""
@@ -281,8 +360,11 @@ def fit_heads(df: DataFrame, names, d: int, kind: str = "bce", pos_weights: dict
     active = None
     if sparse:  # at most d numbers
         active = np.array(sorted(r[0] for r in data.select(F.explode("indices")).distinct().collect()), np.int64)
-    fit = minimise(Objective(data, len(names), d if active is None else len(active), kind, weights, reg, alpha, gamma, sparse,
-                             active), tol, max_iter)
+        blocks = scratch_path(df.sparkSession, "training-blocks")
+        data.mapInArrow(_pack(active), PACKED).write.option("compression", "uncompressed").parquet(blocks)
+        data = df.sparkSession.read.schema(PACKED).parquet(blocks)
+    fit = minimise(Objective(data, len(names), d if active is None else len(active), kind, weights, reg, alpha, gamma, sparse),
+                   tol, max_iter)
     if sparse:
         whole = np.zeros((len(names), d))
         whole[:, active] = fit.weights

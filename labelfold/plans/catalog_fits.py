@@ -16,6 +16,7 @@ from ..operators import corpus as cp
 from ..operators import features as ft
 from ..operators import fit as fit_ops
 from ..operators import solver
+from ..session import scratch_path
 from . import bindings as B
 from .catalog import D_NAMES, D_SQL, V_LABEL_ROWS, V_NAMES, register
 
@@ -28,21 +29,28 @@ def text_gradients(cells: DataFrame, truth: DataFrame, fit: solver.Fit, weights:
     spark = cells.sparkSession
     k = len(weights)
     at = np.nonzero(np.abs(fit.weights).max(axis=0))[0]  # the buckets of the training texts
-    table = spark.createDataFrame(pd.DataFrame({
-        "label_idx": np.repeat(np.arange(k, dtype=np.int32), len(at)), "bucket": np.tile(at, k),
-        "w": fit.weights[:, at].ravel()}), "label_idx int, bucket long, w double")
+    # one row a bucket, at most the model's size
+    table = spark.createDataFrame(pd.DataFrame({"bucket": at, **{f"w{i}": fit.weights[i, at] for i in range(k)}}),
+                                  "bucket long, " + ", ".join(f"w{i} double" for i in range(k)))
     head = spark.createDataFrame([(i, float(weights[i]), float(fit.intercepts[i])) for i in range(k)],
                                  "label_idx int, pw double, b double")
-    z = cells.join(table, "bucket").groupBy("doc_id", "label_idx").agg(F.sum(F.col("tfidf") * F.col("w")).alias("xw"))
-    g = (truth.join(F.broadcast(head), "label_idx").join(z, ["doc_id", "label_idx"], "left")
-         .withColumn("z", F.coalesce("xw", F.lit(0.0)) + F.col("b"))
+    z = cells.join(F.broadcast(table), "bucket").groupBy("doc_id").agg(
+        F.array(*[F.sum(F.col("tfidf") * F.col(f"w{i}")) for i in range(k)]).alias("xw"))
+    g = (truth.join(F.broadcast(head), "label_idx").join(z, "doc_id", "left")
+         .withColumn("z", F.coalesce(F.get("xw", F.col("label_idx")), F.lit(0.0)) + F.col("b"))
          .withColumn("c", F.when(F.col("y") == 1, F.col("pw")).otherwise(F.lit(1.0)))
          .withColumn("g", F.expr("c * (1D / (1D + exp(-z)) - y)")).select("doc_id", "label_idx", "g", "c"))
     total = g.groupBy("label_idx").agg(F.sum("c").alias("total"), F.sum("g").alias("gb"))
-    entries = (cells.join(g, "doc_id").groupBy("label_idx", "bucket").agg(F.sum(F.col("g") * F.col("tfidf")).alias("gw"))
-               .join(table, ["label_idx", "bucket"], "left").join(F.broadcast(total), "label_idx")
-               .select("label_idx", F.abs(F.col("gw") / F.col("total") + reg * F.coalesce("w", F.lit(0.0))).alias("gap"))
-               .unionByName(total.select("label_idx", F.abs(F.col("gb") / F.col("total")).alias("gap"))))
+    # a document's slopes side by side: its cells meet them once; equal ids add up as their rows would
+    slopes = g.groupBy("doc_id").agg(*[F.sum(F.when(F.col("label_idx") == i, F.col("g"))).alias(f"g{i}") for i in range(k)])
+    sums = (cells.join(slopes, "doc_id").groupBy("bucket")
+            .agg(*[F.sum(F.col(f"g{i}") * F.col("tfidf")).alias(f"gw{i}") for i in range(k)])
+            .join(F.broadcast(table), "bucket", "left"))
+    entries = (sums.select(F.explode(F.array(*[F.struct(
+        F.lit(i).alias("label_idx"), F.col(f"gw{i}").alias("gw"), F.col(f"w{i}").alias("w")) for i in range(k)])).alias("e"))
+        .select("e.*").join(F.broadcast(total), "label_idx")
+        .select("label_idx", F.abs(F.col("gw") / F.col("total") + reg * F.coalesce("w", F.lit(0.0))).alias("gap"))
+        .unionByName(total.select("label_idx", F.abs(F.col("gb") / F.col("total")).alias("gap"))))
     return entries.groupBy("label_idx").agg(F.max("gap").alias("gap"))
 
 
@@ -57,13 +65,16 @@ def q_fit_text_labels(spark, sf):
     d = B.frame_d(spark, sf)
     by_label = {r["label"]: r["pos_weight"] for r in cp.class_weights(d, B.d_dictionary(), "neg_pos").collect()}
     train = d.filter(F.col("split") == "train")
-    rows = (ft.tfidf_vectors(train.select("doc_id", "text"), "doc_id")
+    texts = train.select("doc_id", "text")
+    path = scratch_path(spark, "bucket-counts")  # the texts are cut once, for the fit and for its check
+    ft.bucket_counts(texts, "doc_id").write.parquet(path)
+    cells = ft.weighted_counts(spark.read.parquet(path), texts, "doc_id")
+    rows = (ft.tfidf_vectors(texts, "doc_id", cells=cells)
             .join(train.select("doc_id", F.array("quality", "toxic").alias("y_true")), "doc_id"))
     fit, summary = solver.fit_heads(rows, D_NAMES, 1 << 18, "weighted_bce", by_label, TEXT_REG, tol=GAP / 2, max_iter=500,
                                     sparse=True)
     truth = train.select("doc_id", F.posexplode(F.array("quality", "toxic")).alias("label_idx", "y"))
-    gaps = text_gradients(ft.tfidf_cells(train.select("doc_id", "text"), "doc_id"), truth, fit,
-                          [by_label.get(n, 1.0) for n in D_NAMES], TEXT_REG)
+    gaps = text_gradients(cells, truth, fit, [by_label.get(n, 1.0) for n in D_NAMES], TEXT_REG)
     n_rows = train.agg(F.count(F.lit(1)).alias("n_rows"))
     return (summary.join(gaps, "label_idx").join(F.broadcast(n_rows))
             .select("label_idx", "label", "n_rows", "pos_weight", "converged", (F.col("gap") < GAP).alias("at_optimum")))
