@@ -136,3 +136,18 @@ def test_long_spelled_out_addresses(spark):
     rows = {r.id: r.more for r in pii.find_candidates(df).collect()}
     assert (6, 0, 6 + len(long)) in {(c.s, c.k, c.e) for c in rows[1]}
     assert all(c.s == 0 for c in rows[2])
+
+
+def test_every_proposal_is_learned_from(spark):
+    """A form that few texts of a large table hold counts whole: no sample of the proposals is drawn."""
+    from pyspark.sql import functions as F
+    rows = spark.range(0, 26_000, 1, 8).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("order "), F.col("id") * 7919 % 9_000_000 + 1_000_000, F.lit(" or mail a"), F.col("id"), F.lit("@example.com")).alias("text"))
+    found = pii.find_candidates(rows).cache()
+    total = found.select(F.sum(F.size("more"))).first()[0]
+    assert total > 20_000
+    counted = pii.count_proposals(found)
+    assert counted.agg(F.sum("n")).first()[0] == total and counted.count() < total
+    assert counted.filter("held").agg(F.sum("n") / F.lit(total)).first()[0] < 0.3
+    assert pii.fit_trees(found) is not None
+    found.unpersist()
